@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroad.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from tallyroad.llm.fingerprints import op4_fingerprints
 from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_fingerprints": op4_fingerprints,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
