@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyroad.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from tallyroad.llm.fingerprints import op4_fingerprints
+from tallyroad.llm.license_scan import op3_license_scan
 from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
+from tallyroad.llm.sentencepiece_codec import op5_sentencepiece
 from tallyroad.llm.toxicity import op2_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": op2_toxicity,
+        "op3_license_scan": op3_license_scan,
         "op4_fingerprints": op4_fingerprints,
+        "op5_sentencepiece": op5_sentencepiece,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
