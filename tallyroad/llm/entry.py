@@ -10,6 +10,7 @@ from tallyroad.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from tallyroad.llm.fingerprints import op4_fingerprints
 from tallyroad.llm.license_scan import op3_license_scan
 from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
+from tallyroad.llm.mixing import OP7_SQL, op7_mixing
 from tallyroad.llm.sentencepiece_codec import op5_sentencepiece
 from tallyroad.llm.toxicity import op2_toxicity
 
@@ -20,10 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_license_scan": op3_license_scan,
         "op4_fingerprints": op4_fingerprints,
         "op5_sentencepiece": op5_sentencepiece,
+        "op7_mixing": op7_mixing,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op7_mixing": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
