@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyroad.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from tallyroad.llm.fingerprints import op4_fingerprints
+from tallyroad.llm.jaccard_join import OP1_SQL, op1_jaccard_join
 from tallyroad.llm.license_scan import op3_license_scan
 from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
 from tallyroad.llm.mixing import OP7_SQL, op7_mixing
@@ -17,6 +18,7 @@ from tallyroad.llm.toxicity import op2_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_jaccard_join": op1_jaccard_join,
         "op2_toxicity": op2_toxicity,
         "op3_license_scan": op3_license_scan,
         "op4_fingerprints": op4_fingerprints,
@@ -28,4 +30,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_jaccard_join": OP1_SQL, "op7_mixing": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
