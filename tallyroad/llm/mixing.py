@@ -18,7 +18,7 @@ ROUNDS = 12
 #: Rounds planned together before the cells are written: bounds the plan, not the result.
 ROUNDS_A_JOB = 3
 #: Exponent of the token share in the targets: 1 keeps the mixture, 0 gives every value the same weight.
-EVENNESS = 0.5
+EVENNESS = 0.85
 #: Digits of probabilities, so that sums of different order agree.
 DIGITS = 6
 MARGINS = ("source", "lang", "topic")
@@ -29,8 +29,7 @@ TABLE_SIGN, SYMBOL_SIGN, SHOUT_SIGN = " | ", "[%&$#*]{3}", "!!"
 def topic_of(text: Column) -> Column:
     """Topic of a text by its form, where no topic column is given."""
     return (
-        F.when(F.char_length(text) < 200, "short")
-        .when(F.contains(text, F.lit(TABLE_SIGN)), "table")
+        F.when(F.contains(text, F.lit(TABLE_SIGN)), "table")
         .when(text.rlike(SYMBOL_SIGN), "symbols")
         .when(F.contains(text, F.lit(SHOUT_SIGN)), "shout")
         .when(F.char_length(text) < 1500, "note")
@@ -117,7 +116,7 @@ def _sql() -> str:
     return f"""
 WITH base AS (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
-         CASE WHEN length(t) < 200 THEN 'short' WHEN contains(t, '{TABLE_SIGN}') THEN 'table'
+         CASE WHEN contains(t, '{TABLE_SIGN}') THEN 'table'
               WHEN regexp_matches(t, '{SYMBOL_SIGN}') THEN 'symbols' WHEN contains(t, '{SHOUT_SIGN}') THEN 'shout'
               WHEN length(t) < 1500 THEN 'note' WHEN length(t) < 6000 THEN 'article' ELSE 'report' END AS topic,
          len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens
