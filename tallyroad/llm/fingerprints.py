@@ -1,8 +1,9 @@
 """Document fingerprints by one-permutation MinHash; DataFrame functions only.
 
 Every shingle hash falls into one bin by its top bits and each bin keeps its minimum.
-Empty bins are filled by optimal densification: bin j takes the non-empty bin b whose
-universal hash of (j, b) is smallest, which is the same choice in every document; what it
+Empty bins are filled by optimal densification: bin j takes the first filled bin of its
+own sequence of hashed bins (after a few probes, the filled bin b of the least hash of
+(j, b)), which is the same choice in every document; what it
 stores is hashed with j once more, so that short texts do not agree in all bins by one
 chance. The low BIN_BITS bits of each bin are packed as one hexadecimal digit. Two fingerprints that agree
 in a share m of bins have the similarity (m - c) / (1 - c), where c = 2 ** -BIN_BITS is
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from tallyroad.llm import common
 
 SHINGLE, BINS, BIN_BITS = 5, 256, 4
+#: Hashed bins that an empty bin tries before all filled bins are ranked.
+PROBES = 6
 _SHIFT = 64 - 8  # the top eight bits choose one of 256 bins
 _REST = (1 << _SHIFT) - 1
 _DIGITS = "0123456789abcdef"
@@ -44,10 +47,19 @@ def fingerprint(hashes: Column) -> Column:
         lambda s: F.filter(s, lambda h, i: (i == 0) | (bin_of(h) != bin_of(s[F.greatest(i - 1, F.lit(0))]))),
     )[0]
     is_empty = lambda h: h.bitwiseAND(F.lit(_REST)) == _REST
-    donor = lambda m, h: F.array_min(F.transform(F.filter(m, lambda x: ~is_empty(x)), lambda x: F.struct(F.xxhash64(bin_of(h), bin_of(x)).alias("order"), x.alias("value"))))["value"]
+
+    def donor(m: Column, filled: Column, h: Column) -> Column:
+        """Value of the bin that fills the empty bin of ``h``: the first filled one of a few probes, else the one of least order."""
+        probes = F.transform(F.array(*[F.lit(t) for t in range(PROBES)]), lambda t: m[F.pmod(F.xxhash64(bin_of(h), t), F.lit(BINS)).cast("int")])
+        first = F.get(F.filter(probes, lambda x: ~is_empty(x)), F.lit(0))
+        least = F.array_min(F.transform(filled, lambda x: F.struct(F.xxhash64(bin_of(h), bin_of(x)).alias("order"), x.alias("value"))))["value"]
+        return F.coalesce(first, least)
+
     digits = F.transform(
-        F.array(minima),
-        lambda m: F.array_join(F.transform(m, lambda h: F.substring(F.lit(_DIGITS), F.when(is_empty(h), F.xxhash64(bin_of(h), donor(m, h))).otherwise(h).bitwiseAND(F.lit(15)).cast("int") + 1, F.lit(1))), ""),
+        F.array(F.struct(minima.alias("m"), F.filter(minima, lambda x: ~is_empty(x)).alias("filled"))),
+        lambda s: F.array_join(
+            F.transform(s["m"], lambda h: F.substring(F.lit(_DIGITS), F.when(is_empty(h), F.xxhash64(bin_of(h), donor(s["m"], s["filled"], h))).otherwise(h).bitwiseAND(F.lit(15)).cast("int") + 1, F.lit(1))), ""
+        ),
     )[0]
     return F.when(F.size(hashes) > 0, digits)
 
