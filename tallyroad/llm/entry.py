@@ -13,6 +13,7 @@ from tallyroad.llm.license_scan import op3_license_scan
 from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
 from tallyroad.llm.mixing import OP7_SQL, op7_mixing
 from tallyroad.llm.sentencepiece_codec import op5_sentencepiece
+from tallyroad.llm.suffix_dedup import op9_suffix_dedup
 from tallyroad.llm.toxicity import op2_toxicity
 
 
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sentencepiece": op5_sentencepiece,
         "op7_mixing": op7_mixing,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
 
