@@ -2,9 +2,9 @@
 
 A document's set is its distinct word shingles, as 64-bit hashes. A fixed-size sketch of
 how many documents hold a hash orders hashes from rare to common; two sets that are similar
-enough share one of their first (rarest) hashes. Sets with such a shared hash are
-partitioned into groups of similar sets, and the matrix holds the shared hashes of each
-group. A query set meets only groups that hold one of its own first hashes; where it meets
+enough share several of their first (rarest) hashes, more of them the larger they are. Sets
+with enough shared hashes are partitioned into groups of similar sets, and the matrix holds the shared hashes of each
+group. A query set meets only groups that hold enough of its own first hashes; where it meets
 one, its overlap with the group's whole token union bounds its overlap with every member,
 and only groups whose bound reaches the threshold are opened and compared member by member.
 Groups are split into blocks of BLOCK members, so that no task holds more, and within a
@@ -28,6 +28,8 @@ from tallyroad.llm import common
 from tallyroad.llm.components import connected_components
 
 BLOCK = 1024
+#: One set in so many hashes is asked for beyond the first shared one.
+LEVEL = 20
 SKETCH_BITS, SLICES = 22, 64
 _LOWER = bytes.maketrans(common.UPPER.encode(), common.LOWER.encode())
 _KEPT_WORDS = 500_000
@@ -117,6 +119,11 @@ def least_overlap(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
+def level(n: int) -> int:
+    """First hashes that sets of n or more must share, taking ``level`` more of them than for a single one."""
+    return 1 + n // LEVEL
+
+
 def _ordered(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Hashes from rare to common; the hash itself breaks ties."""
     return hashes[np.argsort(classes[hashes >> np.uint64(64 - SKETCH_BITS)], kind="stable")]
@@ -136,7 +143,7 @@ def _prefixes(shared, width: int, num: int, den: int):
                 hashes = shingle(text)
                 sizes.append(len(hashes))
                 keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                firsts.append(_ordered(hashes, classes)[: len(hashes) - least_overlap(len(hashes), num, den) + 1] if len(hashes) else hashes)
+                firsts.append(_ordered(hashes, classes)[: len(hashes) - least_overlap(len(hashes), num, den) + level(len(hashes))] if len(hashes) else hashes)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(firsts)], names=["doc_id", "n", "key", "prefix"])
 
     return run
@@ -277,19 +284,24 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     classes = spark.sparkContext.broadcast(rarity_classes(base.select("text"), width))
     sets = common.materialize(base.mapInArrow(_prefixes(classes, width, num, den), "doc_id long, n long, key binary, prefix array<long>"), "sets")
-    distinct = common.materialize(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")).where("rep is not null"), "distinct")
+    distinct = common.materialize(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).where("rep is not null"), "distinct")
     n = common.shuffle_partitions(spark)
     tokens = distinct.select(F.explode("prefix").alias("token"), "rep").repartition(n, "token").sortWithinPartitions("token")
     firsts = common.materialize(tokens.mapInArrow(_shared_only, "token long, rep long"), "firsts")
     # groups: sets that share the first hash by an order of its own; blocks of a bounded size
-    groups = firsts.groupBy("rep").agg(F.min(F.xxhash64("token")).alias("grp"))
+    # a partner has num / den of the hashes at least, so both share as many first hashes as its level
+    need = (1 + F.floor(F.ceil(F.col("n") * num / den) / LEVEL)).alias("need")
+    needs = distinct.groupBy("rep").agg(F.min("n").alias("n")).select("rep", need)
+    groups = firsts.groupBy("rep").agg(F.min(F.xxhash64("token")).alias("grp"), F.count(F.lit(1)).alias("shared")).join(needs, "rep").where("shared >= need").select("rep", "grp", "need")
+    groups = common.materialize(groups, "groups")
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    blocks = common.materialize(groups.join(sizes, "grp").select("rep", F.xxhash64("grp", F.pmod(F.xxhash64("rep"), F.col("blocks"))).alias("own")), "blocks")
+    blocks = common.materialize(groups.join(sizes, "grp").select("rep", "need", F.xxhash64("grp", F.pmod(F.xxhash64("rep"), F.col("blocks"))).alias("own")), "blocks")
     placed = common.materialize(firsts.join(blocks, "rep"), "placed")
     matrix = placed.select("token", F.col("own").alias("block")).distinct()
     # one direction of each pair of blocks is enough; a set is a member of its own block
-    met = common.materialize(placed.join(matrix, "token").where("own <= block").groupBy("rep", "own", "block").agg(F.count(F.lit(1)).alias("hits")), "met")
-    asked = met.groupBy("rep").agg(F.collect_set(F.struct("block", F.when(F.col("block") == F.col("own"), 0).otherwise(1).alias("role"))).alias("own"))
+    met = common.materialize(placed.join(matrix, "token").where("own <= block").groupBy("rep", "own", "block", "need").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need or own = block"), "met")
+    busy = common.materialize(met.groupBy("block").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("block"), "busy")
+    asked = met.join(busy, "block").groupBy("rep").agg(F.collect_set(F.struct("block", F.when(F.col("block") == F.col("own"), 0).otherwise(1).alias("role"))).alias("own"))
     texts = base.join(asked, base["doc_id"] == asked["rep"]).select("rep", "text", F.to_json("own").alias("own"))
     opened = texts.mapInArrow(_sets(classes, width), "rep long, own string, tokens array<long>")
     rows = opened.select(F.explode(F.from_json("own", "array<struct<block:bigint,role:int>>")).alias("o"), "rep", "tokens").select("o.block", "o.role", "rep", "tokens")
