@@ -11,6 +11,7 @@ from tallyroad.llm.fingerprints import op4_fingerprints
 from tallyroad.llm.jaccard_join import OP1_SQL, op1_jaccard_join
 from tallyroad.llm.license_scan import op3_license_scan
 from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
+from tallyroad.llm.lm_scoring import op6_lm_scoring
 from tallyroad.llm.mixing import OP7_SQL, op7_mixing
 from tallyroad.llm.sentencepiece_codec import op5_sentencepiece
 from tallyroad.llm.suffix_dedup import op9_suffix_dedup
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_license_scan": op3_license_scan,
         "op4_fingerprints": op4_fingerprints,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_mixing": op7_mixing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_suffix_dedup": op9_suffix_dedup,
