@@ -1,11 +1,11 @@
 """Burrows-Wheeler transform and common prefixes of a collection, built column by column.
 
 Round j inserts the suffix of length j of every string that is long enough, each at the
-place that its first symbol and the place of its remainder give. The transform, the first
-symbols, the places of remainders and the common prefixes are flat sequences in suffix
-order, and a round rewrites each of them once from front to back. A collection is one
-bounded block of a task, so its sequences are held as arrays rather than as files on a
-machine's own disk, which other machines could not see.
+place that its first symbol and the place of its remainder give. Two sequences in suffix
+order are kept, the places of the remainders (the transform is read off them at the end)
+and the common prefixes, and a round rewrites each of them once from front to back. A
+collection is one bounded block of a task, so the sequences are held as arrays rather than
+as files on a machine's own disk, which other machines could not see.
 """
 
 from __future__ import annotations
@@ -13,90 +13,101 @@ from __future__ import annotations
 import numpy as np
 
 _SPAN = 64
+#: Common prefixes count no further.
+MOST = 255
 
 
 class _RangeMin:
-    """Minima of ranges of an array: partial minima of blocks of _SPAN, with doubling above them."""
+    """Minima of ranges: ends are read, whole spans between them come from a table of doubled spans."""
 
     def __init__(self, values: np.ndarray):
+        whole = len(values) // _SPAN
         self.values = values
-        pad = -len(values) % _SPAN
-        low = np.concatenate([values, np.full(pad, np.iinfo(values.dtype).max, values.dtype)]).reshape(-1, _SPAN)
-        self.prefix = np.minimum.accumulate(low, axis=1)
-        self.suffix = np.minimum.accumulate(low[:, ::-1], axis=1)[:, ::-1]
-        self.levels = [self.prefix[:, -1]]
+        self.levels = [values[: whole * _SPAN].reshape(-1, _SPAN).min(axis=1)] if whole else [values[:0]]
         while 2 << (len(self.levels) - 1) <= len(self.levels[0]):
             half, last = 1 << (len(self.levels) - 1), self.levels[-1]
             self.levels.append(np.minimum(last[:-half], last[half:]))
 
+    def _read(self, low: np.ndarray, n: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(n)
+        flat = np.repeat(low - ends + n, n) + np.arange(ends[-1])
+        return np.minimum.reduceat(self.values[flat], ends - n)
+
     def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Minimum over first..last, both included, for each pair."""
-        a, b = first // _SPAN, last // _SPAN
-        out = np.minimum(self.suffix[a, first % _SPAN], self.prefix[b, last % _SPAN])
-        same = np.flatnonzero(a == b)
-        if len(same):  # within one block: at most _SPAN values each
-            lo, n = first[same], last[same] - first[same] + 1
-            ends = np.cumsum(n)
-            flat = np.repeat(lo - ends + n, n) + np.arange(ends[-1])
-            out[same] = np.minimum.reduceat(self.values[flat], ends - n)
-        between = np.flatnonzero(b - a > 1)
-        if len(between):
-            lo, n = a[between] + 1, b[between] - a[between] - 1
-            level = np.floor(np.log2(n)).astype(np.int64)
+        a, b = first // _SPAN + 1, last // _SPAN  # whole spans a..b-1
+        long = b > a
+        out = np.empty(len(first), self.values.dtype)
+        short = np.flatnonzero(~long)
+        if len(short):
+            out[short] = self._read(first[short], last[short] - first[short] + 1)
+        far = np.flatnonzero(long)
+        if len(far):
+            x, y = a[far], b[far]
+            low = np.minimum(self._read(first[far], x * _SPAN - first[far]), self._read(y * _SPAN, last[far] - y * _SPAN + 1))
+            level = np.log2(y - x).astype(np.int64)
             for k in np.unique(level):
                 here = level == k
-                at, x, m = between[here], lo[here], n[here]
-                out[at] = np.minimum(out[at], np.minimum(self.levels[k][x], self.levels[k][x + m - (1 << k)]))
+                table = self.levels[k]
+                low[here] = np.minimum(low[here], np.minimum(table[x[here]], table[y[here] - (1 << k)]))
+            out[far] = low
         return out
 
 
 def build(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(string, offset, common prefix with the suffix before, symbol before) of all suffixes in order, empty ones first."""
+    """(string, offset, common prefix with the suffix before, symbol before) of all suffixes in order, empty ones first.
+
+    Symbols are bytes plus one, 0 stands before a whole string. Equal suffixes follow the order of their strings.
+    """
     m = len(strings)
     lengths = np.fromiter(map(len, strings), np.int64, m)
     text = np.frombuffer(b"".join(strings), np.uint8)
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if m else np.zeros(0, np.int64)
-    # Round 0: one empty suffix a string, in the order of strings; symbols are 1-256, 0 ends a string.
-    owner, length = np.arange(m), np.zeros(m, np.int32)
-    first, rest = np.zeros(m, np.int32), np.arange(m)  # first symbol, and place of the remainder
-    common = np.zeros(m, np.int32)
-    place = np.arange(m)  # of each string's latest suffix
+    starts = np.cumsum(lengths) - lengths
+    # round 0: an empty suffix a string; pile c holds the suffixes that begin with symbol c
+    piles = np.zeros(258, np.int64)
+    piles[1:] = m
+    rest, common, place = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8), np.arange(m, dtype=np.int32)
     for j in range(1, int(lengths.max(initial=0)) + 1):
         live = np.flatnonzero(lengths >= j)
-        symbol = text[starts[live] + lengths[live] - j].astype(np.int32) + 1
+        symbol = text[starts[live] + lengths[live] - j].astype(np.int64) + 1
         order = np.lexsort((place[live], symbol))
         live, symbol = live[order], symbol[order]
         remainder = place[live]
-        size = len(owner)
-        # the sequence is sorted by (first, rest), the empty suffixes lie in front with first 0
-        at = np.searchsorted(first.astype(np.int64) * (size + 1) + rest, symbol.astype(np.int64) * (size + 1) + remainder)
+        size = len(rest)
+        at = np.empty(len(live), np.int64)
+        groups = np.flatnonzero(np.diff(symbol, prepend=-1))
+        for a, b in zip(groups, [*groups[1:], len(live)], strict=True):
+            low, high = piles[symbol[a]], piles[symbol[a] + 1]
+            at[a:b] = low + np.searchsorted(rest[low:high], remainder[a:b])
         fresh = at + np.arange(len(live))
-        old = np.delete(np.arange(size + len(live)), fresh)
         total = size + len(live)
-
-        def merged(values, new, total=total, old=old, fresh=fresh):
-            out = np.empty(total, values.dtype)
-            out[old], out[fresh] = values, new
-            return out
-
-        first2, rest2 = merged(first, symbol), merged(rest, remainder)
-        # common prefixes: of each new suffix with its neighbour before, and of each old one behind a new one
-        minima = _RangeMin(common)
-        common2 = merged(common, 0)
-        behind = fresh + 1
-        touched = np.unique(np.concatenate([fresh, behind[behind < total]]))
-        touched = touched[touched > 0]
-        same = touched[(first2[touched] == first2[touched - 1]) & (first2[touched] > 0)]
-        common2[touched] = 0
-        if len(same):
-            common2[same] = 1 + minima(rest2[same - 1] + 1, rest2[same])
-        owner, length = merged(owner, live), merged(length, np.int32(j))
-        first, common = first2, common2
+        kept = np.ones(total, bool)
+        kept[fresh] = False
+        rest2, common2 = np.empty(total, np.int32), np.empty(total, np.uint8)
+        rest2[kept], rest2[fresh] = rest, remainder
+        common2[kept], common2[fresh] = common, 0
+        piles[1:] += np.searchsorted(symbol, np.arange(1, 258))
+        # a new suffix has a new common prefix, and so has the one behind it
+        touched = np.zeros(total + 1, bool)
+        touched[fresh] = touched[fresh + 1] = True
+        touched[piles[:-1]] = False  # the first of a pile shares nothing
+        touched = np.flatnonzero(touched[:total])
+        common2[fresh] = 0
+        common2[piles[:-1][piles[:-1] < total]] = 0
+        if len(touched):
+            shared = _RangeMin(common)(rest2[touched - 1].astype(np.int64) + 1, rest2[touched].astype(np.int64))
+            common2[touched] = np.minimum(shared, MOST - 1) + 1
         # places move back by the suffixes inserted before them
-        rest, place = old[rest2], old[place]
+        moved = np.flatnonzero(kept).astype(np.int32)
+        rest, common = moved[rest2], common2
+        place = moved[place]
         place[live] = fresh
-    offset = lengths[owner] - length
-    before = np.zeros(len(owner), np.int32)
-    inner = offset > 0
-    before[inner] = text[starts[owner[inner]] + offset[inner] - 1].astype(np.int32) + 1
-    return owner, offset, common, before
+    owner, offset, before = np.empty(len(rest), np.int64), np.empty(len(rest), np.int64), np.zeros(len(rest), np.int32)
+    at, live = place.astype(np.int64), np.arange(m)
+    for o in range(int(lengths.max(initial=0)) + 1):
+        owner[at], offset[at] = live, o
+        if o:
+            before[at] = text[starts[live] + o - 1].astype(np.int32) + 1
+        more = lengths[live] > o
+        live, at = live[more], rest[at[more]].astype(np.int64)
+    return owner, offset, common.astype(np.int64), before
