@@ -71,5 +71,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is in ``ids`` (a column doc_id; null matches null), whatever other columns are called."""
+    name = "kept_id"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    wanted = ids.select(F.col("doc_id").cast("long").alias(name)).distinct()
+    return docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(F.col(name)), "left_semi")
+
+
+def carry(names: list[str] | tuple[str, ...]) -> Column:
+    """Further columns as one struct named ``carried``, so that their names meet no others."""
+    return (F.struct(*names) if names else F.lit(None).cast("string")).alias("carried")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

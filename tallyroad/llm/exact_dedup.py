@@ -167,9 +167,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; one row per doc_id."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The documents that stay, with all their columns."""
+    return common.keep_ids(docs, exact_dedup(docs).where("kept"))
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

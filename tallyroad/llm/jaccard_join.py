@@ -314,8 +314,7 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
 def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents that stay: of each component the smallest doc_id, with all columns."""
     found = jaccard_components(docs, width, num, den)
-    kept = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    return common.keep_ids(docs, found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))))
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:

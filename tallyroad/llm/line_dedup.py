@@ -56,15 +56,15 @@ def _runs(dropped: Column, n_lines: Column) -> Column:
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, other: tuple[str, ...] = ()) -> DataFrame:
     """Drop lines that many documents share, except in the largest doc_id that holds them.
 
-    ``docs`` needs ``doc_id`` and ``text``; columns named in ``other`` are carried along. A line's key is
+    ``docs`` needs ``doc_id`` and ``text``; columns named in ``other`` come along in a struct ``carried``. A line's key is
     the line stripped of white space at both ends with A-Z lower-cased. Keys of at least ``min_chars``
     code points that at least ``min_docs`` documents hold lose all lines elsewhere than in the largest
     doc_id. Returns doc_id, n_lines, n_dropped, ``keep_runs`` (run-length bitmap of kept lines: start,
-    length), ``text`` (kept lines, joined by newlines) and the other columns. A null or empty text is one
+    length), ``text`` (kept lines, joined by newlines) and carried. A null or empty text is one
     empty line; rows that repeat a doc_id are one document to the count and lose the same positions; rows with a null
     doc_id take no part and keep all their lines; an empty table gives an empty table.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"), *other)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"), common.carry(other))
     drops = _drops(base.select("doc_id", "text").where(F.col("doc_id").isNotNull()), min_chars, min_docs)
     joined = base.join(drops.withColumn("dropped", F.array_distinct("dropped")), "doc_id", "left")
     lines, dropped = lines_of(F.col("text")), F.coalesce("dropped", F.array().cast("array<int>"))
@@ -75,7 +75,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         .withColumn("n_dropped", F.size(dropped).cast("long"))
         .withColumn("keep_runs", _runs(dropped, F.col("n_lines")))
         .withColumn("text", F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .select("doc_id", "n_lines", "n_dropped", "keep_runs", "text", *other)
+        .select("doc_id", "n_lines", "n_dropped", "keep_runs", "text", "carried")
     )
 
 

@@ -64,12 +64,12 @@ def even_targets(cells: DataFrame, margin: str, evenness: float = EVENNESS) -> D
     return sums.select(margin, (F.col("raised") / F.lit(total)).alias("target"))
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, carried: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, other: tuple[str, ...] = ()) -> DataFrame:
     """Sampling probability and decision of every document.
 
     ``docs`` needs doc_id, text, source and lang, and may have topic (else made by ``topic_of``). Tokens are
-    runs free of white space. Returns doc_id, source, lang, topic, tokens, probability, selected and the
-    ``carried`` columns. Null sources, languages and topics count as the value ''; documents without tokens
+    runs free of white space. Returns doc_id, source, lang, topic, tokens, probability, selected and
+    ``carried``, a struct of the columns named in ``other``. Null sources, languages and topics count as the value ''; documents without tokens
     belong to cells like any other and weigh nothing; a cell without tokens has probability 1; repeated
     rows share a decision; values that ``targets`` do not name get probability 0; an empty table gives an
     empty table.
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: in
         topic.alias("topic"),
         # a token begins where a character that is no white space follows white space or the start
         F.size(F.filter(F.split(F.translate(text, common.SPACE, " " * len(common.SPACE)), " "), lambda w: w != "")).cast("long").alias("tokens"),
-        *carried,
+        common.carry(other),
     )
     cells = common.materialize(base.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")), "cells")
     some = cells.where("tokens > 0")
@@ -98,11 +98,11 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: in
         .coalesce(1),
         "probabilities",
     )
-    return base.join(rated, list(MARGINS)).select("doc_id", *MARGINS, "tokens", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("selected"), *carried)
+    return base.join(rated, list(MARGINS)).select("doc_id", *MARGINS, "tokens", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("selected"), "carried")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(common.read(spark, sf_dir, "documents"))
+    return mix(common.read(spark, sf_dir, "documents")).drop("carried")
 
 
 def _sql() -> str:
