@@ -397,9 +397,9 @@ def _structures(docs: DataFrame):
     info = common.materialize(told.join(common.materialize(firsts, "firsts"), "sha"), "texts")
     alone = info.where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select("doc_id", "mark").distinct()
     join = lambda other: base.join(other, ["doc_id", "mark"])
-    keys = join(alone).select("doc_id", "mark", "text").mapInArrow(_send_keys(buckets), "bucket int, packet binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    keys = join(alone).select("doc_id", "mark", "text").mapInArrow(_send_keys(buckets), "bucket int, packet binary").repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     shared = keys.mapInArrow(_repeated_keys, "doc_id long, mark long, keys binary").groupBy("doc_id", "mark").agg(F.collect_list("keys").alias("keys"))
-    segments = join(shared).select("doc_id", "mark", "text", "keys").mapInArrow(_send_segments(buckets), "bucket int, packet binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    segments = join(shared).select("doc_id", "mark", "text", "keys").mapInArrow(_send_segments(buckets), "bucket int, packet binary").repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     removed = segments.mapInArrow(_removals, "doc_id long, mark long, ranges binary").groupBy("doc_id", "mark").agg(F.collect_list("ranges").alias("ranges"))
     cut = join(removed).select("doc_id", "mark", "text", "ranges").mapInArrow(_cut, "doc_id long, mark long, n_removed long, n_spans long, kept binary")
     return info, cut
