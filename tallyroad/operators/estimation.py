@@ -36,7 +36,7 @@ def complete(km: str = "km_obs", instrumented: bool = True) -> Column:
 
 def rate_of(km: str = "km_obs") -> Column:
     """Distance to a km of network, to RATE_DIGITS digits, so that equal rates compare equal whatever the order of sums."""
-    return F.round(F.col(km) / F.col("length_km"), RATE_DIGITS)
+    return F.round(F.try_divide(km, F.col("length_km")), RATE_DIGITS)
 
 
 def trims() -> Column:

@@ -56,9 +56,9 @@ def unit_norm(values: Column) -> Column:
 
 def standardised(df: DataFrame, columns: list[str], eps: float = 1e-12) -> DataFrame:
     """Columns less their mean over their population deviation; constant columns become 0."""
-    stats = df.agg(*[x for c in columns for x in (F.avg(c).alias(f"__m_{c}"), F.stddev_pop(c).alias(f"__s_{c}"))])
-    wide = df.join(F.broadcast(stats))  # one row of two numbers a column
-    return wide.select(*[c for c in df.columns if c not in columns], *[((F.col(c) - F.col(f"__m_{c}")) / F.when(F.col(f"__s_{c}") > eps, F.col(f"__s_{c}")).otherwise(1.0)).alias(c) for c in columns])
+    stats = df.agg(*[x for c in columns for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
+    scale = {c: stats[f"s_{c}"] if stats[f"s_{c}"] and stats[f"s_{c}"] > eps else 1.0 for c in columns}
+    return df.select(*[c for c in df.columns if c not in columns], *[((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(scale[c])).alias(c) for c in columns])
 
 
 def spectral_features(values: np.ndarray) -> list[float]:

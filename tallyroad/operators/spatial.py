@@ -79,23 +79,29 @@ def nearest(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
 
 
 def nearest_on_sphere(points: DataFrame, sites: DataFrame, degrees: float = 2.0) -> DataFrame:
-    """Nearest site by great-circle distance: cells of latitude and longitude, neighbours first, then all sites' cells for what is left.
+    """Nearest site by great-circle distance, the smaller id of equals, for longitudes away from the antimeridian.
 
-    ``points``: id, lat, lon; ``sites``: site, slat, slon. Exact for any distance: the hit in the neighbouring cells
-    counts only if it is nearer than the cells' border, the other points meet every occupied cell's bounded box.
+    ``points``: id, lat, lon; ``sites``: site, slat, slon. Each round is one equi-join on cells of latitude and
+    longitude and their neighbours; a hit counts if it is nearer than the neighbours' border, and only the other
+    points go on to cells eight times as wide, until one cell covers the globe.
     """
-    cell = lambda a, b: F.struct(F.floor(F.col(a) / degrees).cast("int").alias("i"), F.floor(F.col(b) / degrees).cast("int").alias("j"))
-    ring = F.array(*[F.struct((F.floor(F.col("lat") / degrees).cast("int") + i).alias("i"), (F.floor(F.col("lon") / degrees).cast("int") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    placed = sites.withColumn("cell", cell("slat", "slon"))
-    pick = lambda df: df.groupBy("id").agg(F.min(F.struct(F.round(haversine_m(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon")), 6).alias("metres"), "site")).alias("best")).select("id", "best.site", "best.metres")
-    first = pick(points.select("*", F.explode(ring).alias("cell")).join(placed, "cell"))
-    # the border of the neighbouring cells is at least this far away
-    border = F.col("cos_lat") * F.lit(degrees * 111_000.0)
-    checked = points.join(first, "id", "left").withColumn("cos_lat", F.cos(F.radians(F.least(F.abs("lat") + degrees, F.lit(89.9)))))
-    sure = checked.where(F.col("metres") <= border).select("id", "site", "metres")
-    rest = checked.where(F.col("metres").isNull() | (F.col("metres") > border)).select("id", "lat", "lon")
-    wide = pick(rest.select("*", F.lit(1).alias("all")).join(sites.withColumn("all", F.lit(1)), "all"))
-    return sure.unionByName(wide)
+    left, done, width = points, None, degrees
+    while True:
+        last = width >= 360
+        at = lambda c, w=width: F.floor((F.col(c) + 180) / w).cast("int")
+        ring = F.array(*[F.struct((at("lat") + i).alias("i"), (at("lon") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        placed = sites.withColumn("cell", F.struct(at("slat").alias("i"), at("slon").alias("j")))
+        metres = F.round(haversine_m(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon")), 6)
+        near = left.select("*", F.explode(ring).alias("cell")).join(placed, "cell")
+        best = near.groupBy("id", "lat").agg(F.min(F.struct(metres.alias("metres"), "site")).alias("best")).select("id", "lat", "best.site", "best.metres")
+        # what lies beyond the neighbouring cells is at least this far away
+        border = F.lit(width * 111_000.0) * F.cos(F.radians(F.least(F.abs("lat") + width, F.lit(89.999))))
+        sure = (best if last else best.where(F.col("metres") <= border)).select("id", "site", "metres")
+        done = sure if done is None else done.unionByName(sure)
+        if last:
+            return done
+        left = left.join(sure.select("id"), "id", "left_anti")
+        width *= 8
 
 
 def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:

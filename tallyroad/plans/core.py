@@ -18,7 +18,7 @@ THRESHOLD, PANEL_THRESHOLD, DRAWS = 100, 20, 60
 
 
 def rounded(df: DataFrame, digits: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Doubles rounded half-even, so that sums of different order agree."""
+    """Doubles rounded, so that sums of different order agree."""
     return df.select(*[F.round(c, digits).alias(c) if t == "double" and c not in keep else F.col(c) for c, t in df.dtypes])
 
 

@@ -55,8 +55,8 @@ def inclusion_model(spark: SparkSession, sf: str) -> DataFrame:
     parts = _parts(spark, sf)
     model = L.fit_inclusion(parts.where("fold >= 2"), ["size", "price"], "large")
     scored = model.transform(parts).withColumn("p", vector_to_array("probability")[1])
-    threshold = L.best_threshold(scored.where("fold = 1"), "large", "p").select("threshold")
-    return scored.join(F.broadcast(threshold)).select("p_partkey", "p", (F.col("p") >= 0.02).alias("candidate"), (F.col("p") >= F.col("threshold")).alias("included"))
+    best = L.best_threshold(scored.where("fold = 1"), "large", "p").first()
+    return scored.select("p_partkey", "p", (F.col("p") >= 0.02).alias("candidate"), (F.col("p") >= F.lit(best["threshold"] if best else 0.5)).alias("included"))
 
 
 def attribute_models(spark: SparkSession, sf: str) -> DataFrame:
