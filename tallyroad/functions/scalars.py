@@ -232,3 +232,9 @@ def trimmed_mean(values: Column, trim: Column, least: int = 5) -> Column:
 
     one = F.transform(F.array(ordered), lambda s: F.when(F.size(s) == 0, 0.0).when(F.size(s) < least, quantile(s, F.lit(0.5))).otherwise(mean(s)))
     return one[0]
+
+
+def water_kind(tags: Column) -> Column:
+    """Kind of a water line from a map of tags: canal, river, coast, or null."""
+    way = F.element_at(tags, F.lit("waterway"))
+    return F.when(way == "canal", "canal").when(way.isin("river", "stream"), "river").when(F.element_at(tags, F.lit("natural")) == "coastline", "coast")

@@ -93,3 +93,26 @@ def assembled_zones(zones: DataFrame, lengths: DataFrame, clusters: DataFrame, i
 def share_of_group(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Share of a value in its group's total."""
     return df.withColumn("share", F.try_divide(value, F.sum(value).over(Window.partitionBy(*keys))))
+
+
+def mainland(df: DataFrame, department: str = "department") -> DataFrame:
+    """Rows of the mainland departments, 01 to 95 as text."""
+    return df.where(F.col(department).isin([f"{i:02d}" for i in range(1, 96)]))
+
+
+def fill_counts(df: DataFrame, prefixes: tuple[str, ...], not_counts: tuple[str, ...] = ("taux", "voirie", "rate", "length")) -> DataFrame:
+    """Missing counts become 0 in columns of the given prefixes; rates and lengths, told by their names, stay missing."""
+    names = [c for c in df.columns if c.startswith(prefixes) and not any(w in c for w in not_counts)]
+    return df.fillna(0, subset=names) if names else df
+
+
+def override(df: DataFrame, key: str, keys: list[str], values: dict[str, str]) -> DataFrame:
+    """Constant values for the rows of some keys."""
+    return df.withColumns({c: F.when(F.col(key).isin(keys), F.lit(v)).otherwise(F.col(c)) for c, v in values.items()})
+
+
+def wide_zones(zones: DataFrame, parts: list[DataFrame], key: str = "zone") -> DataFrame:
+    """Zones with the columns of every part, left-joined on the key in turn."""
+    for part in parts:
+        zones = zones.join(part, key, "left")
+    return zones

@@ -46,3 +46,9 @@ INTEGRITY_SQL = " UNION ALL ".join(
     [f"SELECT '{t}' AS \"table\", '{n}' AS \"constraint\", count(*) AS n_rows, count(*) FILTER (WHERE NOT coalesce({c}, false)) AS n_bad FROM {t}" for t, cs in CONSTRAINTS.items() for n, c in cs]
     + [f"SELECT '{t}', 'unique', count(*), count(*) - count(DISTINCT {k}) FROM {t}" for t, k in KEYS.items()]
 )
+
+
+def differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that only one of two tables has, and which one."""
+    only = lambda x, y, side: x.select(*keys).distinct().join(y.select(*keys).distinct(), keys, "left_anti").withColumn("only_in", F.lit(side))
+    return only(a, b, "a").unionByName(only(b, a, "b"))

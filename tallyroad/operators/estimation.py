@@ -12,7 +12,7 @@ TRIMS = {0: 0.34, 1: 0.46, 2: 0.48, 3: 0.40}
 LEAST, RATE_DIGITS = 5, 6
 
 
-def observed_km(zones: DataFrame, detail: DataFrame, scenario: str = "FOB") -> DataFrame:
+def observed_km(zones: DataFrame, detail: DataFrame, scenario: str = "ALL") -> DataFrame:
     """(year, zone, cluster) rows: length attributed by traffic, mean annualised traffic and observed distance.
 
     A zone without active labelled sensors in a year has one row with its whole length on its own cluster.

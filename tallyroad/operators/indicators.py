@@ -51,3 +51,15 @@ def all_indicators(observed: DataFrame, detail: DataFrame, population: DataFrame
     for part in (sensors, n_panel, lengths, standard, mini_obs, mini_ext):
         out = out.join(part, "year", "left")
     return out
+
+
+def with_total(wide: DataFrame, total: DataFrame | None = None) -> DataFrame:
+    """A pivot with a total column: the sum of the clusters, or a supplied (year, total)."""
+    if total is None:
+        return wide.withColumn("total", sum((F.coalesce(F.col(f"cluster_{c}"), F.lit(0)) for c in CLUSTERS[1:]), F.coalesce(F.col(f"cluster_{CLUSTERS[0]}"), F.lit(0))))
+    return wide.join(total, "year", "left")
+
+
+def growth_table(by_cluster: DataFrame, total: DataFrame) -> DataFrame:
+    """Growth ratios of all clusters and of the whole as rows of one table."""
+    return by_cluster.select("transition", F.col("cluster").cast("string").alias("part"), "ratio_median", "low_95", "high_95").unionByName(total.select("transition", F.lit("all").alias("part"), "ratio_median", "low_95", "high_95"))

@@ -7,8 +7,10 @@ whose size does not depend on the number of rows; the small steps run on those.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -355,3 +357,26 @@ def score_attributes(models: dict, df: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, *[c for n in models for c in (f"pred_{n}", f"conf_{n}")])
 
 
+# ---- persistence
+
+
+def save_mixture(mixture: Mixture, folder: str, name: str) -> Path:
+    """Parameters and criteria as one JSON file in a directory of its own."""
+    path = Path(folder, name)
+    path.mkdir(parents=True, exist_ok=True)
+    plain = {k: v.tolist() if isinstance(v, np.ndarray) else [x.tolist() for x in v] if isinstance(v, list) else v if isinstance(v, str) else float(v) for k, v in vars(mixture).items()}
+    (path / "model.json").write_text(json.dumps(plain), encoding="utf-8")
+    return path
+
+
+def load_mixture(path: str | Path) -> Mixture:
+    raw = json.loads(Path(path, "model.json").read_text(encoding="utf-8"))
+    return Mixture(raw["model"], np.array(raw["means"]), np.array(raw["shares"]), np.array(raw["basis"]), [np.array(x) for x in raw["inner"]], np.array(raw["noise"]), raw["loglik"], raw["bic"], raw["aic"], raw["icl"])
+
+
+def latest_model(folder: str, prefix: str = "01_") -> Path:
+    """The last model directory by name."""
+    found = sorted(p for p in Path(folder).iterdir() if p.is_dir() and p.name.startswith(prefix))
+    if not found:
+        raise FileNotFoundError(f"no model {prefix}* in {folder}")
+    return found[-1]

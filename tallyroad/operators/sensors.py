@@ -68,3 +68,16 @@ def top_n(df: DataFrame, order: list, n: int) -> DataFrame:
 def inverse_frequency(df: DataFrame, key: str) -> DataFrame:
     """Weight 1 / size of the key's group."""
     return df.withColumn("weight", 1.0 / F.count(F.lit(1)).over(Window.partitionBy(key)))
+
+
+def densest_member(members: DataFrame) -> DataFrame:
+    """Member of each group with the greatest density, core members before others, the smaller code of equals. ``members``: grp, code, core, density."""
+    return members.groupBy("grp").agg(F.min_by("code", F.struct((~F.col("core")).alias("outside"), (-F.col("density")).alias("d"), "code")).alias("code"))
+
+
+def nested_records(series: DataFrame) -> DataFrame:
+    """One record a site: a map from year to its hourly values in order, and one to its flows. ``series``: site, flow, year, hour_idx, value."""
+    hours = series.groupBy("site", "year", "hour_idx").agg(F.when(F.count("value") == F.count(F.lit(1)), F.sum("value")).alias("value"))
+    years = hours.groupBy("site", "year").agg(F.transform(F.array_sort(F.collect_list(F.struct("hour_idx", "value"))), lambda x: x["value"]).alias("values"))
+    flows = series.groupBy("site", "year").agg(F.array_sort(F.collect_set("flow")).alias("flows"))
+    return years.join(flows, ["site", "year"]).groupBy("site").agg(F.map_from_entries(F.collect_list(F.struct("year", "values"))).alias("values"), F.map_from_entries(F.collect_list(F.struct("year", "flows"))).alias("flows"))

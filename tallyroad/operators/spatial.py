@@ -222,3 +222,57 @@ def propagate_status(roads: DataFrame, size: float, rounds: int = 2) -> DataFram
         found = todo.join(sure, ["name", "cell"]).where("x0 <= sx1 and sx0 <= x1 and y0 <= sy1 and sy0 <= y1").groupBy("id").agg(F.max(F.when(F.col("s") == "likely", 2).otherwise(1)).alias("rank"))
         out = out.join(found, "id", "left").withColumn("status", F.when(F.col("rank") == 2, "likely").when(F.col("rank") == 1, "legal").otherwise(F.col("status"))).drop("rank")
     return out.select(*roads.columns)
+
+
+def line_distances(points: DataFrame, segments: DataFrame, kinds: list[str], reach: float) -> DataFrame:
+    """Distance of each point to the nearest line of each kind within ``reach``, one column a kind, null beyond.
+
+    ``points``: id, x, y; ``segments``: kind, ax, ay, bx, by. Segments are entered in the cells of their box, points
+    look into the cells around them, so both sides meet by cell.
+    """
+    at = lambda c: F.floor(c / reach).cast("int")
+    box = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
+    lines = segments.withColumn("box", box).select("kind", "ax", "ay", "bx", "by", F.explode(cells_of("box", reach)).alias("cell"))
+    ring = F.array(*[F.struct((at(F.col("x")) + i).alias("i"), (at(F.col("y")) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    met = points.select("id", "x", "y", F.explode(ring).alias("cell")).join(lines, "cell")
+    d = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
+    near = met.withColumn("d", d).where(F.col("d") <= reach).groupBy("id").agg(*[F.min(F.when(F.col("kind") == k, F.col("d"))).alias(f"dist_{k}") for k in kinds])
+    return points.join(near, "id", "left").select("id", *[f"dist_{k}" for k in kinds])
+
+
+def sample_cells(points: DataFrame, grid: DataFrame, size: float, nodata: float = -9999.0) -> DataFrame:
+    """Value of the grid cell under each point; no-data cells are null. ``grid``: i, j, value with cells of ``size``."""
+    placed = points.withColumn("i", F.floor(F.col("x") / size).cast("int")).withColumn("j", F.floor(F.col("y") / size).cast("int"))
+    return placed.join(grid, ["i", "j"], "left").select(*points.columns, F.when(F.col("value") != nodata, F.col("value")).alias("value"))
+
+
+def _simplified(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
+    keep, todo = {0, len(points) - 1}, [(0, len(points) - 1)]
+    xy = np.array(points, float).reshape(-1, 2)
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        d = xy[b] - xy[a]
+        rel = xy[a + 1 : b] - xy[a]
+        length = np.hypot(*d)
+        far = np.abs(d[0] * rel[:, 1] - d[1] * rel[:, 0]) / length if length else np.hypot(rel[:, 0], rel[:, 1])
+        k = int(far.argmax())
+        if far[k] > tolerance:
+            keep.add(a + 1 + k)
+            todo += [(a, a + 1 + k), (a + 1 + k, b)]
+    return [points[i] for i in sorted(keep)]
+
+
+def simplify(df: DataFrame, column: str, tolerance: float) -> DataFrame:
+    """Lines of (x, y) structs without points nearer than ``tolerance`` to the line that is left, for drawing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.names.index(column)
+            lines = [None if v is None else [{"x": x, "y": y} for x, y in (_simplified([(p["x"], p["y"]) for p in v], tolerance) if len(v) > 2 else [(p["x"], p["y"]) for p in v])] for v in batch.column(at).to_pylist()]
+            columns = list(batch.columns)
+            columns[at] = pa.array(lines, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)

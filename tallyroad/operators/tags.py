@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroad.functions.scalars import direction_factor, principal_type, recode
+from tallyroad.functions.scalars import count_present, direction_factor, principal_type, recode, tag_number
 
 LEAST_USES, MOST_VALUES = 20, 250
 #: Infrastructure types from best to least, those that are not dedicated, ranks of route networks.
@@ -94,3 +94,11 @@ def confusion(df: DataFrame, truth: Column, guess: Column) -> DataFrame:
     p = F.col("tp") / F.greatest(F.col("tp") + F.col("fp"), F.lit(1))
     r = F.col("tp") / F.greatest(F.col("tp") + F.col("fn"), F.lit(1))
     return c.select("*", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"))
+
+
+def feature_row(df: DataFrame, keys: list[str], vocab: dict[str, list[str]], numeric: tuple[str, ...] = ("maxspeed", "width", "lanes")) -> DataFrame:
+    """Features from a map column ``tags``: every key recoded to its vocabulary, numbers of the numeric keys, and how many keys are set."""
+    values = {k: F.element_at("tags", F.lit(k)) for k in keys}
+    coded = [recode(v, vocab.get(k, [])).alias(k.replace(":", "__")) for k, v in values.items()]
+    numbers = [tag_number(values[k]).alias(f"{k}_number") for k in numeric if k in values]
+    return df.select(*[c for c in df.columns if c != "tags"], *coded, *numbers, count_present(*values.values()).alias("n_tags"))

@@ -79,8 +79,8 @@ def _indicators(spark, sf):
 def _totals(spark, sf):
     long = assembly.unpivot_lengths(X.lengths_wide(spark, sf))
     wide = long.groupBy("year").pivot("scenario", list(X.SCENARIOS)).agg(F.sum(F.col("len_d") + F.col("len_g")))
-    gap = F.col("FOB") - F.col("GV")
-    return rounded(wide.select("year", *[F.col(s).alias(f"total_{s}") for s in X.SCENARIOS], gap.alias("gap"), (100 * F.try_divide(gap, F.col("GV"))).alias("gap_pct")))
+    gap = F.col("ALL") - F.col("PARTIAL")
+    return rounded(wide.select("year", *[F.col(s).alias(f"total_{s}") for s in X.SCENARIOS], gap.alias("gap"), (100 * F.try_divide(gap, F.col("PARTIAL"))).alias("gap_pct")))
 
 
 def _growth(spark, sf):
@@ -153,7 +153,7 @@ def _select(body: str, threshold: int = THRESHOLD, more: str = "") -> str:
 
 
 def oracle_sql():
-    lengths = "len_d_GV, len_d_FOB, len_d_FOB_AM, len_g_GV, len_g_FOB, len_g_FOB_AM".split(", ")
+    lengths = "len_d_PARTIAL, len_d_ALL, len_d_DEDICATED, len_g_PARTIAL, len_g_ALL, len_g_DEDICATED".split(", ")
     pivot = lambda agg: ", ".join(f"{agg.format(c=c)} AS cluster_{c}" for c in range(4))
     growth = lambda by: _select(f"SELECT transition{', cluster' if by else ''}, round(quantile_cont(ratio, 0.5), 8) AS ratio_median, round(quantile_cont(ratio, 0.025), 8) AS low_95, round(quantile_cont(ratio, 0.975), 8) AS high_95, round(avg((ratio <= 1)::INTEGER), 8) AS p_value, CASE WHEN avg((ratio <= 1)::INTEGER) < 0.05 THEN 'yes' ELSE 'no' END AS significant FROM (SELECT transition{', cluster' if by else ''}, draw, sum(ext_cmp) / nullif(sum(ext_ref), 0) AS ratio FROM growth_draws GROUP BY ALL) GROUP BY ALL", more=_growth_sql(20))
     return {
@@ -162,8 +162,8 @@ def oracle_sql():
         "sensor_detail_labelled": _select("SELECT * REPLACE (round(annual_flow, 6) AS annual_flow, round(qta, 6) AS qta) FROM detail"),
         "zone_cluster_vote": _select("SELECT * FROM clusters"),
         "assembled_zones": _select("SELECT year, zone, department, cluster, instrumented, " + ", ".join(f"round({n}, 6) AS {n}" for n in lengths) + " FROM assembled"),
-        "network_long": _select("SELECT year, zone, v.scenario, round(v.d, 6) AS len_d, round(v.g, 6) AS len_g FROM lengths, LATERAL (VALUES ('GV', len_d_GV, len_g_GV), ('FOB', len_d_FOB, len_g_FOB), ('FOB_AM', len_d_FOB_AM, len_g_FOB_AM)) AS v(scenario, d, g)"),
-        "network_totals_by_scenario": _select("SELECT year, " + ", ".join(f"round(sum(len_d_{s} + len_g_{s}), 4) AS total_{s}" for s in X.SCENARIOS) + ", round(sum(len_d_FOB + len_g_FOB) - sum(len_d_GV + len_g_GV), 4) AS gap, round(100 * (sum(len_d_FOB + len_g_FOB) - sum(len_d_GV + len_g_GV)) / nullif(sum(len_d_GV + len_g_GV), 0), 4) AS gap_pct FROM lengths GROUP BY year"),
+        "network_long": _select("SELECT year, zone, v.scenario, round(v.d, 6) AS len_d, round(v.g, 6) AS len_g FROM lengths, LATERAL (VALUES ('PARTIAL', len_d_PARTIAL, len_g_PARTIAL), ('ALL', len_d_ALL, len_g_ALL), ('DEDICATED', len_d_DEDICATED, len_g_DEDICATED)) AS v(scenario, d, g)"),
+        "network_totals_by_scenario": _select("SELECT year, " + ", ".join(f"round(sum(len_d_{s} + len_g_{s}), 4) AS total_{s}" for s in X.SCENARIOS) + ", round(sum(len_d_ALL + len_g_ALL) - sum(len_d_PARTIAL + len_g_PARTIAL), 4) AS gap, round(100 * (sum(len_d_ALL + len_g_ALL) - sum(len_d_PARTIAL + len_g_PARTIAL)) / nullif(sum(len_d_PARTIAL + len_g_PARTIAL), 0), 4) AS gap_pct FROM lengths GROUP BY year"),
         "population_vintage": _select("SELECT year, vintage, rule, population, n_areas FROM population_used"),
         "observed_km": _select("SELECT year, zone, department, instrumented, cluster, round(total_length_km, 3) AS total_length_km, round(share, 3) AS share, round(length_km, 3) AS length_km, n_sensors, round(qta_mean, 3) AS qta_mean, round(km_obs, 3) AS km_obs FROM observed"),
         "extrapolated_detail": _select("SELECT year, cluster, cluster_name, n_active, " + ", ".join(f"round({c}, 3) AS {c}" for c in ("l_obs", "l_total", "km_obs", "rate", "km_ext")) + " FROM extrapolated"),

@@ -7,7 +7,7 @@ from tallyroad.sources.fixtures import SCENARIOS, VINTAGES, YEARS
 
 ZONE = "p_brand || '/' || lpad(p_size::VARCHAR, 2, '0')"
 _KIND = "CASE split_part(p_type, ' ', 1) WHEN 'ECONOMY' THEN 0 WHEN 'SMALL' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'PROMO' THEN 3 END"
-_CUT = {"GV": "l_returnflag = 'N'", "FOB": "true", "FOB_AM": "l_returnflag IN ('A', 'R')"}
+_CUT = {"PARTIAL": "l_returnflag = 'N'", "ALL": "true", "DEDICATED": "l_returnflag IN ('A', 'R')"}
 _SUMS = ", ".join(f"sum(CASE WHEN {_CUT[s]} AND l_linestatus = '{status}' THEN l_extendedprice::DECIMAL(18,2) ELSE 0 END)::DOUBLE / 10000.0 AS len_{side}_{s}" for side, status in (("d", "F"), ("g", "O")) for s in SCENARIOS)
 _NAMES = [f"len_{side}_{s}" for side in "dg" for s in SCENARIOS]
 _TRIM = "CASE cluster " + " ".join(f"WHEN {c} THEN {t}" for c, t in TRIMS.items()) + " END"
@@ -39,7 +39,7 @@ assembled AS (
   SELECT year, z.zone, department, c.cluster, (z.zone IN (SELECT zone FROM flagged WHERE active))::INTEGER AS instrumented, {', '.join(_NAMES)}
   FROM zones z CROSS JOIN years JOIN lengths USING (year, zone) JOIN clusters c USING (year, zone)
   WHERE {' + '.join(_NAMES)} > 0),
-base AS (SELECT year, zone, department, instrumented, cluster AS own_cluster, len_d_FOB + len_g_FOB AS total_length_km FROM assembled),
+base AS (SELECT year, zone, department, instrumented, cluster AS own_cluster, len_d_ALL + len_g_ALL AS total_length_km FROM assembled),
 per AS (SELECT year, zone, cluster, avg(qta) AS qta_mean, count(DISTINCT id_site) AS n_sensors FROM detail WHERE cluster IS NOT NULL GROUP BY ALL),
 shared AS (SELECT *, qta_mean * n_sensors / sum(qta_mean * n_sensors) OVER (PARTITION BY year, zone) AS share FROM per),
 observed AS (

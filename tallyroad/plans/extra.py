@@ -150,6 +150,11 @@ def _families(spark, sf):
     return rounded(tags.family_shares(_pieces(spark, sf), F.col("type"), "km"))
 
 
+def _key_usage(spark, sf):
+    maps = _roads(spark, sf).select(F.map_filter(F.create_map(*[x for k in ("highway", "bicycle", "access", "cycleway") for x in (F.lit(k), F.col(k))]), lambda k, v: v.isNotNull()).alias("tags"))
+    return tags.key_usage(maps)
+
+
 def _fold(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", C.fold_of(F.col("o_orderkey")).alias("fold"))
 
@@ -319,6 +324,8 @@ def queries():
         "route_ranks": _routes,
         "way_totals": _way_totals,
         "family_shares": _families,
+        "run_statistics": lambda s, d: rounded(tags.run_statistics(_pieces(s, d)), 4),
+        "key_usage": _key_usage,
         "fold_hash": _fold,
         "haversine_nearest": _nearest,
         "bbox_and_chord": _box,
@@ -380,6 +387,8 @@ def oracle_sql():
         "route_ranks": "SELECT p_partkey AS way, coalesce(max(CASE l_linenumber % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 4 THEN 0 END), -1)::INTEGER AS rank, count(l_partkey) AS n_routes FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_quantity > 45 GROUP BY p_partkey",
         "way_totals": f"SELECT p_partkey AS way, round(coalesce(km, 0), 6) AS inside_km, coalesce(n, 0) AS n_zones, round(greatest(p_retailprice / 100 - coalesce(km, 0), 0), 6) AS outside_km FROM part LEFT JOIN (SELECT way, sum(km) AS km, count(DISTINCT zone) AS n FROM ({_PIECES_SQL}) GROUP BY way) ON way = p_partkey",
         "family_shares": f"SELECT type AS family, count(*) AS n, round(sum(km), 4) AS km, round(sum(km) / sum(sum(km)) OVER (), 4) AS share FROM ({_PIECES_SQL}) GROUP BY type",
+        "run_statistics": f"SELECT count(*) AS n_candidates, count(*) FILTER (WHERE km > 0) AS n_kept, round(sum(km), 4) AS km, count(DISTINCT zone) AS n_zones FROM ({_PIECES_SQL})",
+        "key_usage": f"WITH r AS ({_ROADS_SQL}) " + " UNION ALL ".join(f"SELECT '{k}' AS key, count({k}) AS n FROM r" for k in ("highway", "bicycle", "access", "cycleway")),
         "fold_hash": "SELECT o_orderkey, ((o_orderkey::HUGEINT * 2654435761 % 18446744073709551616) // 128 % 5)::INTEGER AS fold FROM orders",
         "haversine_nearest": f"SELECT id, site, round(metres, 3) AS metres FROM (SELECT c_custkey AS id, s_suppkey AS site, round({hav.format(a='42.0 + (c_custkey % 800) / 100.0', b='42.0 + (s_suppkey % 800) / 100.0', c='-4.0 + (c_custkey * 7 % 1100) / 100.0', d='-4.0 + (s_suppkey * 7 % 1100) / 100.0')}, 6) AS metres FROM customer CROSS JOIN supplier) QUALIFY row_number() OVER (PARTITION BY id ORDER BY metres, site) = 1",
         "bbox_and_chord": "SELECT s_suppkey, round(lat - 15 / 111.0, 6) AS south, round(lon - 15 / (111.0 * cos(radians(lat))), 6) AS west, round(lat + 15 / 111.0, 6) AS north, round(lon + 15 / (111.0 * cos(radians(lat))), 6) AS east, round(2 * 6371.0 * asin(least(1.0, sqrt(pow(cos(radians(lat)) * cos(radians(lon)) - cos(radians(46.0)) * cos(radians(2.0)), 2) + pow(cos(radians(lat)) * sin(radians(lon)) - cos(radians(46.0)) * sin(radians(2.0)), 2) + pow(sin(radians(lat)) - sin(radians(46.0)), 2)) / 2)), 6) AS km FROM (SELECT s_suppkey, 42.0 + (s_suppkey % 800) / 100.0 AS lat, -4.0 + (s_suppkey * 7 % 1100) / 100.0 AS lon FROM supplier)",

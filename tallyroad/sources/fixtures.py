@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 YEARS = tuple(range(1995, 2002))
 VINTAGES = tuple(range(1995, 2000))
-SCENARIOS = ("GV", "FOB", "FOB_AM")
+SCENARIOS = ("PARTIAL", "ALL", "DEDICATED")
 #: Cluster of a part type; other types have none.
 TYPE_CLUSTERS = {"ECONOMY": 0, "SMALL": 1, "MEDIUM": 2, "PROMO": 3}
 
@@ -54,7 +54,7 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lengths_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(year, zone) network lengths in km, right (d) and left (g) side, one column pair for each scenario."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    cut = {"GV": F.col("l_returnflag") == "N", "FOB": F.lit(True), "FOB_AM": F.col("l_returnflag").isin("A", "R")}
+    cut = {"PARTIAL": F.col("l_returnflag") == "N", "ALL": F.lit(True), "DEDICATED": F.col("l_returnflag").isin("A", "R")}
     # summed by part before the zones are joined
     sums = [F.sum(F.when(cut[s] & (F.col("l_linestatus") == status), price).otherwise(F.lit(0).cast("decimal(18,2)"))).alias(f"len_{side}_{s}") for side, status in (("d", "F"), ("g", "O")) for s in SCENARIOS]
     by_part = table(spark, sf_dir, "lineitem").groupBy("l_partkey", F.year("l_shipdate").alias("year")).agg(*sums)

@@ -198,7 +198,7 @@ def export(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"unknown export format: {path}")
 
 
-def lengths_with_fallback(fresh: DataFrame | None, reference: DataFrame, fresh_years: tuple[int, ...], always_reference: str = "GV") -> DataFrame:
+def lengths_with_fallback(fresh: DataFrame | None, reference: DataFrame, fresh_years: tuple[int, ...], always_reference: str = "PARTIAL") -> DataFrame:
     """Fresh rows for the years that have them, reference rows for all others and always for one scenario."""
     if fresh is None or not fresh_years:
         return reference

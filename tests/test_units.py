@@ -248,10 +248,10 @@ def test_step_is_skipped_when_done(spark, tmp_path):
 
 
 def test_lengths_fall_back_by_year(spark):
-    ref = spark.createDataFrame([(y, s, "z", 1.0) for y in (1, 2) for s in ("GV", "FOB")], "year int, scenario string, zone string, len double")
-    fresh = spark.createDataFrame([(2, "GV", "z", 9.0), (2, "FOB", "z", 9.0)], ref.schema)
+    ref = spark.createDataFrame([(y, s, "z", 1.0) for y in (1, 2) for s in ("PARTIAL", "ALL")], "year int, scenario string, zone string, len double")
+    fresh = spark.createDataFrame([(2, "PARTIAL", "z", 9.0), (2, "ALL", "z", 9.0)], ref.schema)
     got = {(r["year"], r["scenario"]): r["len"] for r in readers.lengths_with_fallback(fresh, ref, (2,)).collect()}
-    assert got == {(1, "GV"): 1.0, (1, "FOB"): 1.0, (2, "GV"): 1.0, (2, "FOB"): 9.0}
+    assert got == {(1, "PARTIAL"): 1.0, (1, "ALL"): 1.0, (2, "PARTIAL"): 1.0, (2, "ALL"): 9.0}
 
 
 def test_stream_of_events(spark, tmp_path):
@@ -277,3 +277,160 @@ def test_map_and_chart(spark, tmp_path):
     writers.map_html(writers.geojson_text(df, "ring", ["name"]), str(tmp_path / "m.html"), "Zones")
     assert "<path" in (tmp_path / "m.html").read_text()
     assert writers.bars_svg([("1", 2.0)], "t").count("<rect") == 1
+
+
+def test_csv_codes(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_bytes("\ufeffcode;n\n01004;3\n2A004;\n".encode())
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    df = readers.csv(spark, str(path), StructType([StructField("code", StringType()), StructField("n", IntegerType())]), ";")
+    assert [tuple(r) for r in df.collect()] == [("01004", 3), ("2A004", None)]
+    writers.csv(df, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
+
+
+def test_json_file(tmp_path):
+    writers.json_file({"a": [1, "é"]}, str(tmp_path / "x.json"))
+    assert readers.json_file(str(tmp_path / "x.json")) == {"a": [1, "é"]}
+
+
+def test_download_resumes(tmp_path):
+    source = tmp_path / "source.bin"
+    source.write_bytes(bytes(range(256)) * 20)
+    got = readers.download(source.as_uri(), str(tmp_path / "got.bin"))
+    assert got.read_bytes() == source.read_bytes() and not (tmp_path / "got.bin.part").exists()
+    assert readers.download("file:///nowhere", str(got)) == got  # already there
+    with pytest.raises(OSError):
+        readers.download((tmp_path / "none").as_uri(), str(tmp_path / "no.bin"), attempts=2)
+
+
+def test_mainland(spark):
+    df = spark.createDataFrame([("01",), ("95",), ("2A",), ("974",), (None,)], "department string")
+    assert [r[0] for r in assembly.mainland(df).collect()] == ["01", "95"]
+
+
+def test_fill_counts(spark):
+    df = spark.createDataFrame([(None, None, None)], "cyc_n int, cyc_taux double, other int")
+    assert tuple(assembly.fill_counts(df, ("cyc_",)).first()) == (0, None, None)
+
+
+def test_override(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, v string")
+    assert [r["v"] for r in assembly.override(df, "k", ["a"], {"v": "z"}).orderBy("k").collect()] == ["z", "y"]
+
+
+def test_wide_zones(spark):
+    zones = spark.createDataFrame([("a",), ("b",)], "zone string")
+    out = assembly.wide_zones(zones, [spark.createDataFrame([("a", 1)], "zone string, p int"), spark.createDataFrame([("b", 2)], "zone string, q int")])
+    assert {tuple(r) for r in out.collect()} == {("a", 1, None), ("b", None, 2)}
+
+
+def test_nested_records(spark):
+    rows = [(1, 5, 2020, 1, 2.0), (1, 5, 2020, 0, 1.0), (1, 6, 2020, 0, 4.0), (1, 6, 2020, 1, None), (1, 5, 2021, 0, 3.0)]
+    r = S.nested_records(spark.createDataFrame(rows, "site long, flow long, year int, hour_idx int, value double")).first()
+    assert r["values"] == {2020: [5.0, None], 2021: [3.0]} and r["flows"] == {2020: [5, 6], 2021: [5]}
+
+
+def test_densest_member(spark):
+    rows = [(1, "a", False, 9.0), (1, "b", True, 2.0), (1, "c", True, 2.0), (2, "d", False, 1.0)]
+    got = {r["grp"]: r["code"] for r in S.densest_member(spark.createDataFrame(rows, "grp int, code string, core boolean, density double")).collect()}
+    assert got == {1: "b", 2: "d"}
+
+
+def test_bottom_n(spark):
+    assert [r[0] for r in S.top_n(spark.createDataFrame([(3,), (1,), (2,)], "v int"), [F.asc("v")], 2).collect()] == [1, 2]
+
+
+def test_differences(spark):
+    a, b = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
+    assert {tuple(r) for r in checks.differences(a, b, ["k"]).collect()} == {(1, "a"), (3, "b")}
+
+
+def test_feature_row(spark):
+    df = spark.createDataFrame([(1, {"highway": "path", "maxspeed": "20 mph", "cycleway:left": "lane"}), (2, {"highway": "odd"})], "way int, tags map<string,string>")
+    a, b = tags.feature_row(df, ["highway", "maxspeed", "cycleway:left"], {"highway": ["path"], "cycleway:left": ["lane"]}).orderBy("way").collect()
+    assert (a["highway"], a["cycleway__left"], round(a["maxspeed_number"], 2), a["n_tags"]) == ("path", "lane", 32.18, 3)
+    assert (b["highway"], b["maxspeed"], b["n_tags"]) == ("(other)", None, 1)
+
+
+def test_water_distances(spark):
+    kinds = spark.createDataFrame([({"waterway": "canal"},), ({"waterway": "stream"},), ({"natural": "coastline"},), ({"a": "b"},)], "t map<string,string>")
+    assert [r[0] for r in kinds.select(C.water_kind(F.col("t"))).collect()] == ["canal", "river", "coast", None]
+    points = spark.createDataFrame([(1, 0.0, 5.0), (2, 100.0, 100.0)], "id long, x double, y double")
+    segments = spark.createDataFrame([("river", -10.0, 0.0, 10.0, 0.0), ("canal", 0.0, 8.0, 0.0, 30.0)], "kind string, ax double, ay double, bx double, by double")
+    got = {r["id"]: (r["dist_river"], r["dist_canal"]) for r in spatial.line_distances(points, segments, ["river", "canal"], 20.0).collect()}
+    assert got == {1: (5.0, 3.0), 2: (None, None)}
+
+
+def test_isolated_centres(spark):
+    candidates = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 0.0), (3, 500.0, 0.0)], "id long, x double, y double")
+    bases = spark.createDataFrame([(9, 40.0, 0.0)], "polygon long, x double, y double")
+    edges = spark.createDataFrame([(1, 9)], "a long, b long")
+    assert [r["id"] for r in spatial.isolated(candidates, bases, edges, 100.0, 30.0).collect()] == [3]
+
+
+def test_sample_cells(spark):
+    points = spark.createDataFrame([(1, 5.0, 5.0), (2, 15.0, 5.0), (3, 99.0, 0.0)], "id long, x double, y double")
+    grid = spark.createDataFrame([(0, 0, 7.5), (1, 0, -9999.0)], "i int, j int, value double")
+    assert {r["id"]: r["value"] for r in spatial.sample_cells(points, grid, 10.0).collect()} == {1: 7.5, 2: None, 3: None}
+
+
+def test_simplify(spark):
+    line = [{"x": float(x), "y": y} for x, y in ((0, 0.0), (1, 0.01), (2, 0.0), (3, 5.0), (4, 0.0))]
+    got = spatial.simplify(spark.createDataFrame([(1, line)], "id int, line array<struct<x:double,y:double>>"), "line", 0.1).first()
+    assert [p["x"] for p in got["line"]] == [0.0, 2.0, 3.0, 4.0]
+
+
+def test_polygon_or_nearest(spark):
+    ring = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (10, 0), (10, 10), (0, 10))]
+    polygons = spark.createDataFrame([(7, ring)], "polygon long, ring array<struct<x:double,y:double>>")
+    centres = spark.createDataFrame([(7, 5.0, 5.0), (8, 100.0, 0.0)], "polygon long, x double, y double")
+    points = spark.createDataFrame([(1, 3.0, 3.0), (2, 80.0, 0.0)], "id long, x double, y double")
+    assert {r["id"]: r["polygon"] for r in spatial.polygon_or_nearest(points, polygons, centres, 6.0).collect()} == {1: 7, 2: 8}
+
+
+def test_mixture_is_saved(tmp_path):
+    m = learning.Mixture("AkBk", np.eye(2, 3), np.array([0.5, 0.5]), np.eye(3, 1), [np.eye(1), np.eye(1)], np.array([0.1, 0.2]), -1.0, -2.0, -3.0, -4.0)
+    learning.save_mixture(m, str(tmp_path), "01_a")
+    learning.save_mixture(m, str(tmp_path), "01_b")
+    again = learning.load_mixture(learning.latest_model(str(tmp_path)))
+    y = np.random.default_rng(1).random((4, 3))
+    assert np.allclose(again.log_densities(y), m.log_densities(y)) and again.icl == -4.0
+    assert learning.latest_model(str(tmp_path)).name == "01_b"
+
+
+def test_one_hot(spark):
+    df, names = learning.one_hot(spark.createDataFrame([("a",), ("z",), (None,)], "k string"), "k", ["a", "b"])
+    assert [tuple(r[n] for n in names) for r in df.collect()] == [(1.0, 0.0), (0.0, 0.0), (0.0, 0.0)]
+
+
+def test_report_workbook(spark, tmp_path):
+    from tallyroad.operators import indicators
+    from tallyroad.plans import report
+
+    wide = spark.createDataFrame([(1, 1.0, None, 2.0, 3.0)], "year int, cluster_0 double, cluster_1 double, cluster_2 double, cluster_3 double")
+    totals = indicators.with_total(wide)
+    assert totals.first()["total"] == 6.0
+    growth = spark.createDataFrame([("1 -> 2", 0, 1.1, 1.0, 1.2)], "transition string, cluster int, ratio_median double, low_95 double, high_95 double")
+    assert {r["part"] for r in indicators.growth_table(growth, growth.drop("cluster")).collect()} == {"0", "all"}
+    book = report.workbook({"By cluster": ("Flow by cluster", totals)}, {"sensors": 3}, ["A note"])
+    book.save(str(tmp_path / "r.xlsx"))
+    assert readers.excel(spark, str(tmp_path / "r.xlsx"), ["year", "total"], "By cluster", header=1).first()["total"] == "6.0"
+    assert report.quality_text({"b": {"f1": 0.5}, "a": {"f1": 1}}) == "a: f1 1.0000\nb: f1 0.5000"
+    assert report.missing_modules() == [] and report.missing_modules(("no_such_module",)) == ["no_such_module"]
+    order = []
+    done = report.run_steps(spark, str(tmp_path), [("a", lambda d: (order.append("a"), spark.range(2))[1]), ("b", lambda d: (order.append("b"), d["a"].selectExpr("id + 1 as id"))[1])])
+    assert order == ["a", "b"] and sorted(r[0] for r in done["b"].collect()) == [1, 2]
+
+
+def test_snapshot(spark):
+    from tallyroad.plans import report
+
+    ring = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (1000, 0), (1000, 1000), (0, 1000))]
+    polygons = spark.createDataFrame([(7, ring)], "polygon long, ring array<struct<x:double,y:double>>")
+    ways = spark.createDataFrame([(1, 0.9, "bidirectionnel", "PISTE CYCLABLE", 2.0), (2, 0.1, "one way", "AUTRE", 1.0), (3, 0.01, "one way", "AUTRE", 1.0)], "way long, p double, direction string, type string, km double")
+    segments = spark.createDataFrame([(1, -500.0, 5.0, 500.0, 5.0), (2, 0.0, 9.0, 9.0, 9.0)], "line long, ax double, ay double, bx double, by double")
+    lengths, record = report.snapshot(ways, segments, polygons, 600.0)
+    assert lengths.first()["len_d"] == pytest.approx(1.0) and lengths.first()["len_d_dedicated"] == pytest.approx(1.0)
+    assert (record["n_candidates"], record["n_kept"], record["n_zones"]) == (2, 1, 1) and record["km"] == pytest.approx(0.5)
