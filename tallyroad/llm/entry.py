@@ -14,7 +14,7 @@ from tallyroad.llm.line_dedup import OP10_SQL, op10_line_dedup
 from tallyroad.llm.lm_scoring import op6_lm_scoring
 from tallyroad.llm.mixing import OP7_SQL, op7_mixing
 from tallyroad.llm.sentencepiece_codec import op5_sentencepiece
-from tallyroad.llm.suffix_dedup import op9_suffix_dedup
+from tallyroad.llm.suffix_dedup import OP9_SQL, op9_suffix_dedup
 from tallyroad.llm.toxicity import op2_toxicity
 
 
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard_join": OP1_SQL, "op7_mixing": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_jaccard_join": OP1_SQL, "op7_mixing": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op9_suffix_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL}

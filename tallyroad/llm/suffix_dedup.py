@@ -428,3 +428,17 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(common.read(spark, sf_dir, "documents"))
+
+
+OP9_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 49, 0))) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT w.doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY w.doc_id ORDER BY i) + 50, -1) AS starts FROM w JOIN m USING (s) WHERE first_id < w.doc_id),
+g AS (SELECT doc_id, i, sum(starts::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM r),
+p AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, span),
+q AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+k AS (SELECT q.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM q JOIN d USING (doc_id) GROUP BY q.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
