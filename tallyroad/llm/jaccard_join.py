@@ -7,8 +7,8 @@ with enough shared hashes are partitioned into groups of similar sets, and the m
 group. A query set meets only groups that hold enough of its own first hashes; where it meets
 one, its overlap with the group's whole token union bounds its overlap with every member,
 and only groups whose bound reaches the threshold are opened and compared member by member.
-Groups are split into blocks of BLOCK members, so that no task holds more, and within a
-block sets that are connected already are not compared again: links make components, and
+Groups are split into blocks of BLOCK members and the queries of a block into shares of
+QUERIES, so that no task holds more, and within a block sets that are connected already are not compared again: links make components, and
 no link between different components is lost. Equal sets are collapsed before.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tallyroad.llm import common
 from tallyroad.llm.components import connected_components
 
-BLOCK = 1024
+BLOCK, QUERIES = 512, 512
 #: One set in so many hashes is asked for beyond the first shared one.
 LEVEL = 20
 SKETCH_BITS, SLICES = 22, 64
@@ -300,8 +300,13 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     matrix = placed.select("token", F.col("own").alias("block")).distinct()
     # one direction of each pair of blocks is enough; a set is a member of its own block
     met = common.materialize(placed.join(matrix, "token").where("own <= block").groupBy("rep", "own", "block", "need").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need or own = block"), "met")
-    busy = common.materialize(met.groupBy("block").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("block"), "busy")
-    asked = met.join(busy, "block").groupBy("rep").agg(F.collect_set(F.struct("block", F.when(F.col("block") == F.col("own"), 0).otherwise(1).alias("role"))).alias("own"))
+    counts = met.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("own") != F.col("block")).alias("queries")).where("sets > 1")
+    busy = common.materialize(counts.select("block", F.greatest(F.ceil(F.col("queries") / QUERIES), F.lit(1)).cast("int").alias("shares")), "busy")
+    # a block's members go with every share of its queries
+    member = F.col("own") == F.col("block")
+    share = F.explode(F.when(member, F.sequence(F.lit(0), F.col("shares") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int"))))
+    asked = met.join(busy, "block").select("rep", "block", F.when(member, 0).otherwise(1).alias("role"), share.alias("share"))
+    asked = asked.groupBy("rep").agg(F.collect_set(F.struct(F.xxhash64("block", "share").alias("block"), "role")).alias("own"))
     texts = base.join(asked, base["doc_id"] == asked["rep"]).select("rep", "text", F.to_json("own").alias("own"))
     opened = texts.mapInArrow(_sets(classes, width), "rep long, own string, tokens array<long>")
     rows = opened.select(F.explode(F.from_json("own", "array<struct<block:bigint,role:int>>")).alias("o"), "rep", "tokens").select("o.block", "o.role", "rep", "tokens")

@@ -120,6 +120,7 @@ def near_family(n=90):
 def test_jaccard_family(spark, monkeypatch, width, num):
     """Every link is found, also across blocks of a few members."""
     monkeypatch.setattr(J, "BLOCK", 7)
+    monkeypatch.setattr(J, "QUERIES", 5)
     texts = near_family()
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.jaccard_components(docs, width, num, 100).collect()}
