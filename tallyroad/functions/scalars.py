@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_M, EARTH_KM = 6371008.8, 6371.0
@@ -42,16 +43,17 @@ def decode_flow(code: Column) -> Column:
     return F.when(code != 65535, code / F.lit(100.0))
 
 
-#: Named speeds in km/h.
-NAMED_SPEEDS = {"walk": 5.0, "fr:urban": 50.0, "fr:rural": 80.0, "fr:motorway": 130.0, "fr:zone30": 30.0, "none": 130.0}
+#: Named speeds in km/h, and miles an hour in km/h.
+NAMED_SPEEDS = {"fr:urban": 50.0, "urban": 50.0, "fr:rural": 80.0, "rural": 80.0, "fr:motorway": 130.0, "walk": 7.0, "fr:walk": 7.0}
+MPH = 1.609
 
 
 def tag_number(value: Column) -> Column:
     """Number at the start of a tag: named speeds, decimal commas, miles an hour in km/h; null without a number."""
-    text = F.lower(F.trim(value))
-    number = F.regexp_extract(F.regexp_replace(text, ",", "."), r"^(-?\d+(?:\.\d+)?)", 1).try_cast("double")
-    named = reduce(lambda acc, kv: acc.when(text == kv[0], kv[1]), list(NAMED_SPEEDS.items())[1:], F.when(text == "walk", NAMED_SPEEDS["walk"]))
-    return named.otherwise(F.when(F.contains(text, F.lit("mph")), number * 1.609).otherwise(number))
+    text = F.lower(value)
+    number = F.regexp_replace(F.regexp_extract(value, r"^\s*(-?\d+(?:[.,]\d+)?)", 1), ",", ".").try_cast("double")
+    named = F.element_at(F.create_map(*[F.lit(x) for kv in NAMED_SPEEDS.items() for x in kv]), text)
+    return F.coalesce(named, F.when(F.contains(text, F.lit("mph")), number * MPH).otherwise(number))
 
 
 def first_digits(value: Column) -> Column:
@@ -59,38 +61,38 @@ def first_digits(value: Column) -> Column:
     return F.regexp_extract(value, r"(\d+)", 1).try_cast("int")
 
 
-#: Name kinds in the order tried, with the words that tell them.
+#: Kinds of names in the order tried, with the words that tell them; 6 for other names, 0 for none.
 NAME_KINDS = (
-    (1, r"(voie verte|green ?way)"),
-    (2, r"(piste|cycl)"),
-    (3, r"(chemin|sentier|path)"),
-    (4, r"(rue|avenue|boulevard|street)"),
-    (5, r"(route|road)"),
-    (6, r"(quai|pont|bridge)"),
+    (1, r"voie[ -]verte|greenway"),
+    (2, r"v[eé]lo\s*route|eurovelo|v[eé]loroute|tour de france"),
+    (3, r"v[eé]lo|cyclab|cycliste|cycle"),
+    (4, r"canal|halage|berge|digue|quai|rivi[eè]re|fleuve"),
+    (5, r"chemin|sentier|all[eé]e|passage|sente|piste|traverse"),
 )
+OTHER_NAME = 6
 
 
 def kind_of_name(name: Column, kinds: tuple[tuple[int, str], ...] = NAME_KINDS) -> Column:
-    """Code of the first kind whose words a name has; 0 for others and for no name."""
-    text = F.lower(F.coalesce(name, F.lit("")))
-    out = F.when(text.rlike(kinds[0][1]), kinds[0][0])
-    for code, pattern in kinds[1:]:
+    """Code of the first kind whose words a name has."""
+    text = F.lower(name)
+    out = F.when(F.coalesce(name, F.lit("")) == "", 0)
+    for code, pattern in kinds:
         out = out.when(text.rlike(pattern), code)
-    return out.otherwise(0)
+    return out.otherwise(OTHER_NAME)
 
 
 def kind_of_reference(ref: Column) -> Column:
-    """2 for references of long-distance cycle routes, 1 for others, 0 for none."""
-    return F.when(ref.isNull() | (F.trim(ref) == ""), 0).when(ref.rlike(r"(?i)^(eurovelo|ev|v)\s*\d+"), 2).otherwise(1)
+    """1 for references of cycle routes, 2 for others, 0 for none."""
+    return F.when(F.coalesce(ref, F.lit("")) == "", 0).when(F.trim(ref).rlike(r"(?i)^(eurovelo|ev|v)\s*\d+"), 1).otherwise(2)
 
 
 def street_name(name: Column) -> Column:
     """Lower case, without commas and full stops, single blanks; null if nothing is left."""
-    text = F.trim(F.regexp_replace(F.regexp_replace(F.lower(name), "[.,]", " "), r"\s+", " "))
+    text = F.trim(F.regexp_replace(F.regexp_replace(F.lower(name), "[,.]+", ""), r"\s+", " "))
     return F.when(text != "", text)
 
 
-def recode(value: Column, vocabulary: list[str], other: str = "(other)") -> Column:
+def recode(value: Column, vocabulary: list[str], other: str = "(autre)") -> Column:
     """Values outside a frozen vocabulary become ``other``; null stays null."""
     return F.when(value.isNull(), F.lit(None).cast("string")).when(value.isin(vocabulary), value).otherwise(other)
 
@@ -100,15 +102,19 @@ def count_present(*columns: Column) -> Column:
 
 
 def principal_type(right: Column, left: Column, hierarchy: list[str]) -> Column:
-    """The better of two sides' types by rank in a hierarchy; unknown and missing ones rank last."""
+    """The better of two sides' types by rank in a hierarchy; types it doesn't name rank as its last one."""
     levels = F.array(*[F.lit(h) for h in hierarchy])
-    rank = lambda c: F.coalesce(F.nullif(F.array_position(levels, c), F.lit(0)), F.lit(len(hierarchy) + 1))
+    rank = lambda c: F.coalesce(F.nullif(F.array_position(levels, c), F.lit(0)), F.lit(len(hierarchy)))
     return F.get(levels, (F.least(rank(right), rank(left)) - 1).cast("int"))
 
 
+#: Spellings of lanes open in both directions.
+BOTH_WAYS = ["bidirectionnel", "bidirectional", "bi-directionnel", "2 sens", "double sens"]
+
+
 def direction_factor(direction: Column, alpha: float = 2.0) -> Column:
     """``alpha`` for lanes open in both directions, however that is spelt, else 1."""
-    return F.when(F.lower(F.trim(direction)).isin("bidirectionnel", "bidirectional", "both", "double"), F.lit(alpha)).otherwise(F.lit(1.0))
+    return F.when(F.lower(F.trim(direction)).isin(BOTH_WAYS), F.lit(alpha)).otherwise(F.lit(1.0))
 
 
 def fold_of(key: Column, folds: int = 5) -> Column:
@@ -198,21 +204,38 @@ def middle_point(points: Column) -> Column:
     return F.when(F.size(points) >= 2, F.get(points, F.floor(F.size(points) / 2).cast("int")))
 
 
-#: Road rules, negative ones before positive ones, as (status, SQL condition on tags).
+#: Tag values and limits of the road rules.
+FAST = "('motorway', 'motorway_link', 'trunk', 'trunk_link')"
+PROTECTED = "('track', 'separate', 'opposite_track')"
+PAINTED = "('lane', 'shared_lane', 'advisory', 'exclusive', 'link', 'opposite_lane')"
+ROUGH = "('unpaved', 'gravel', 'dirt', 'ground', 'grass', 'sand', 'cobblestone', 'sett')"
+_OPEN = "bicycle in ('yes', 'designated')"
+NO, YES, UNCERTAIN = "non_cyclable", "cyclable", "incertain"
+#: Road rules in order, negative ones first, as (status, SQL condition on cleaned tags and the number ``speed``).
 ROAD_RULES = (
-    ("no", "highway in ('motorway', 'motorway_link', 'trunk', 'construction', 'proposed', 'steps')"),
-    ("no", "bicycle in ('no', 'private', 'dismount')"),
-    ("no", "access in ('no', 'private') and coalesce(bicycle, '') not in ('yes', 'designated', 'permissive')"),
-    ("likely", "highway = 'cycleway' or bicycle = 'designated'"),
-    ("likely", "cycleway in ('lane', 'track', 'shared_lane', 'opposite_lane')"),
-    ("legal", "highway in ('residential', 'living_street', 'unclassified', 'service', 'tertiary')"),
-    ("legal", "bicycle in ('yes', 'permissive')"),
+    (NO, "bicycle = 'no'"),
+    (NO, "access = 'no' and bicycle not in ('yes', 'designated', 'permissive')"),
+    (NO, f"highway in {FAST} and cycleway not in {PROTECTED} and not {_OPEN}"),
+    (NO, f"speed > 50 and cycleway not in {PROTECTED} and cycleway <> 'lane' and not {_OPEN}"),
+    (NO, f"surface in {ROUGH} and cycleway not in {PROTECTED} and not {_OPEN}"),
+    (NO, f"cycleway in {PAINTED} and speed > 70"),
+    (YES, "highway in ('cycleway', 'living_street')"),
+    (YES, f"highway in ('pedestrian', 'path') and {_OPEN}"),
+    (YES, f"cycleway in {PROTECTED} and coalesce(speed, 0) <= 50"),
+    (YES, f"cycleway in {PAINTED} and speed <= 30"),
+    (YES, f"cycleway in {PAINTED} and speed <= 50 and surface in ('asphalt', 'concrete', 'paved')"),
+    (YES, f"cycleway in {PAINTED} and speed is null and highway in ('residential', 'service', 'unclassified')"),
+    (YES, "bicycle = 'designated'"),
 )
+_TAGS = ("highway", "cycleway", "bicycle", "access", "surface")
 
 
-def road_status(rules: tuple[tuple[str, str], ...] = ROAD_RULES) -> Column:
-    """Status of a tag row (columns highway, bicycle, access, cycleway): the first rule that holds, else ``uncertain``."""
-    return F.expr("case " + " ".join(f"when {condition} then '{status}'" for status, condition in rules) + " else 'uncertain' end")
+def road_status(roads: DataFrame, rules: tuple[tuple[str, str], ...] = ROAD_RULES) -> DataFrame:
+    """Add ``status`` to rows with the tags highway, cycleway, bicycle, access, surface and maxspeed: the first rule that holds, else uncertain."""
+    clean = F.struct(*[F.lower(F.trim(F.coalesce(c, F.lit("")))).alias(c) for c in _TAGS], first_digits(F.col("maxspeed")).alias("speed"))
+    names = re.compile(rf"\b({'|'.join(_TAGS)}|speed)\b(?!')")
+    case = " ".join(f"when {names.sub(r'clean_tags.\1', condition)} then '{status}'" for status, condition in rules)
+    return roads.withColumn("clean_tags", clean).withColumn("status", F.expr(f"case {case} else '{UNCERTAIN}' end")).drop("clean_tags")
 
 
 def trimmed_mean(values: Column, trim: Column, least: int = 5) -> Column:
@@ -235,6 +258,6 @@ def trimmed_mean(values: Column, trim: Column, least: int = 5) -> Column:
 
 
 def water_kind(tags: Column) -> Column:
-    """Kind of a water line from a map of tags: canal, river, coast, or null."""
+    """Kind of a water line from a map of tags: river or canal by its waterway, else coastline."""
     way = F.element_at(tags, F.lit("waterway"))
-    return F.when(way == "canal", "canal").when(way.isin("river", "stream"), "river").when(F.element_at(tags, F.lit("natural")) == "coastline", "coast")
+    return F.when(way.isin("river", "canal"), way).otherwise("coastline")

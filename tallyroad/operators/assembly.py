@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyroad.sources.fixtures import SCENARIOS
 
-EXACT, LATER, EARLIER = "same year", "nearest later", "nearest earlier"
+#: Names of the vintage rules.
+EXACT, LATER, EARLIER = "année", "plus proche après", "plus proche avant (aucun millésime plus récent n'existe)"
 
 
 def cluster_votes(detail: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def mainland(df: DataFrame, department: str = "department") -> DataFrame:
     return df.where(F.col(department).isin([f"{i:02d}" for i in range(1, 96)]))
 
 
-def fill_counts(df: DataFrame, prefixes: tuple[str, ...], not_counts: tuple[str, ...] = ("taux", "voirie", "rate", "length")) -> DataFrame:
+def fill_counts(df: DataFrame, prefixes: tuple[str, ...], not_counts: tuple[str, ...] = ("taux", "voirie")) -> DataFrame:
     """Missing counts become 0 in columns of the given prefixes; rates and lengths, told by their names, stay missing."""
     names = [c for c in df.columns if c.startswith(prefixes) and not any(w in c for w in not_counts)]
     return df.fillna(0, subset=names) if names else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 CLUSTERS = (0, 1, 2, 3)
 #: Names of the usage clusters and share trimmed at each end of their rates.
-CLUSTER_NAMES = {0: "peri-urban leisure", 1: "commuting", 2: "developed tourism", 3: "rural tourism"}
+CLUSTER_NAMES = {0: "Péri-urbain loisirs", 1: "Domicile travail", 2: "Tourisme aménagé", 3: "Tourisme rural"}
 TRIMS = {0: 0.34, 1: 0.46, 2: 0.48, 3: 0.40}
 LEAST, RATE_DIGITS = 5, 6
 

@@ -51,27 +51,24 @@ def as_array(means: DataFrame, size: int, name: str) -> DataFrame:
 def unit_norm(values: Column) -> Column:
     """Array divided by its Euclidean norm; an array of zeros stays."""
     norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(values, lambda x: x / F.when(norm > 1e-12, norm).otherwise(1.0))
+    return F.transform(values, lambda x: x / F.when(norm != 0, norm).otherwise(1.0))
 
 
 def standardised(df: DataFrame, columns: list[str], eps: float = 1e-12) -> DataFrame:
     """Columns less their mean over their population deviation; constant columns become 0."""
     stats = df.agg(*[x for c in columns for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
-    scale = {c: stats[f"s_{c}"] if stats[f"s_{c}"] and stats[f"s_{c}"] > eps else 1.0 for c in columns}
+    scale = {c: max(stats[f"s_{c}"] or 0.0, eps) for c in columns}
     return df.select(*[c for c in df.columns if c not in columns], *[((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(scale[c])).alias(c) for c in columns])
 
 
 def spectral_features(values: np.ndarray) -> list[float]:
-    """Energy shares nearest to the PERIODS, and the entropy of the spectrum over its largest possible value."""
+    """Energy shares of the frequencies nearest to the PERIODS, and the entropy of the spectrum; missing hours are zero."""
     x = np.nan_to_num(np.asarray(values, float))
-    energy = np.abs(np.fft.rfft(x - x.mean()))[1:] ** 2
-    total = energy.sum()
-    if total <= 0:
-        return [0.0] * (len(PERIODS) + 1)
-    freq = np.fft.rfftfreq(len(x))[1:]
-    share = energy / total
-    positive = share[share > 0]
-    return [float(share[np.argmin(np.abs(freq - 1 / p))]) for p in PERIODS] + [float(-(positive * np.log(positive)).sum() / np.log(max(2, len(share))))]
+    power = np.abs(np.fft.rfft(x - x.mean())) ** 2
+    frequencies = np.fft.rfftfreq(len(x))
+    share = power / (power.sum() + 1e-12)
+    nearest = [int(np.abs(frequencies - 1 / p).argmin()) for p in PERIODS]
+    return [*share[nearest].tolist(), float(-(share * np.log(share + 1e-12)).sum())]
 
 
 def spectral(series: DataFrame) -> DataFrame:

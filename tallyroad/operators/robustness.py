@@ -54,7 +54,7 @@ def interval(draws: DataFrame, value: str = "km_ext", keys: tuple[str, ...] = ("
 
 def transitions(years: tuple[int, ...]) -> list[tuple[int, int, str]]:
     """Consecutive years, and the first with the last."""
-    return [(a, b, f"{a} -> {b}") for a, b in zip(years[:-1], years[1:], strict=True)] + [(years[0], years[-1], f"{years[0]} -> {years[-1]} (cumulative)")]
+    return [(a, b, f"{a} -> {b}") for a, b in zip(years[:-1], years[1:], strict=True)] + [(years[0], years[-1], f"{years[0]} -> {years[-1]} (cumulé)")]
 
 
 def paired_frames(observed: DataFrame, years: tuple[int, ...]) -> DataFrame:
@@ -89,7 +89,7 @@ def growth_test(observed: DataFrame, years: tuple[int, ...], draws: int = DRAWS,
     ratio = growth_draws(observed, years, draws).groupBy(*keys, "draw").agg(F.try_divide(F.sum("ext_cmp"), F.sum("ext_ref")).alias("ratio"))
     q = F.percentile("ratio", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975)))
     out = ratio.groupBy(*keys).agg(q.alias("q"), F.avg((F.col("ratio") <= 1).cast("double")).alias("p_value"))
-    return out.select(*keys, F.col("q")[1].alias("ratio_median"), F.col("q")[0].alias("low_95"), F.col("q")[2].alias("high_95"), "p_value", F.when(F.col("p_value") < 0.05, "yes").otherwise("no").alias("significant"))
+    return out.select(*keys, F.col("q")[1].alias("ratio_median"), F.col("q")[0].alias("low_95"), F.col("q")[2].alias("high_95"), "p_value", F.when(F.col("p_value") < 0.05, "oui").otherwise("non").alias("significant"))
 
 
 def _loo_errors(rates: np.ndarray, trim: float) -> float:

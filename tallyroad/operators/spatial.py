@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroad.functions.scalars import haversine_m
+from tallyroad.functions.scalars import UNCERTAIN, YES, haversine_m, street_name
 
 
 def _ends(ring: str, axis: str) -> tuple[Column, Column]:
@@ -209,18 +209,26 @@ def zonal_statistics(cells: DataFrame) -> DataFrame:
     return cells.where(v.isNotNull()).groupBy("zone").agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"), F.stddev_pop(v).alias("std"), (F.max(v) - F.min(v)).alias("range"), F.count(v).alias("count"))
 
 
-def propagate_status(roads: DataFrame, size: float, rounds: int = 2) -> DataFrame:
-    """Uncertain roads take the best status of a road of the same name whose box overlaps theirs; each round sees the one before.
+#: Road kinds that may belong to one route.
+LOCAL_ROADS = "('residential', 'service', 'unclassified', 'living_street')"
+COLLECTOR_ROADS = "('tertiary', 'tertiary_link', 'secondary', 'secondary_link')"
+FAST_ROADS = ["motorway", "motorway_link", "trunk", "trunk_link"]
 
-    ``roads``: id, name, status, x0, x1, y0, y1. Rounds are synchronous.
+
+def propagate_status(roads: DataFrame, size: float, reach: float = 5.0, rounds: int = 2) -> DataFrame:
+    """Uncertain roads become cyclable beside a cyclable road of the same name and a kind that fits, whose box meets theirs widened by ``reach``.
+
+    ``roads``: id, name, highway, status, x0, x1, y0, y1. Rounds are synchronous; names are compared cleaned.
     """
-    out = roads
+    near = lambda grow: F.explode(F.flatten(F.transform(F.sequence(F.floor((F.col("x0") - grow) / size).cast("int"), F.floor((F.col("x1") + grow) / size).cast("int")), lambda i: F.transform(F.sequence(F.floor((F.col("y0") - grow) / size).cast("int"), F.floor((F.col("y1") + grow) / size).cast("int")), lambda j: F.struct(i.alias("i"), j.alias("j"))))))
+    out = roads.withColumn("street", street_name(F.col("name"))).withColumn("kind", F.lower(F.coalesce("highway", F.lit(""))))
+    fits = F.expr(f"kind = k or 'cycleway' in (kind, k) or (kind in {LOCAL_ROADS} or kind in {COLLECTOR_ROADS}) and (k in {LOCAL_ROADS} or k in {COLLECTOR_ROADS})")
     for _ in range(rounds):
-        cell = F.explode(F.flatten(F.transform(F.sequence(F.floor(F.col("x0") / size).cast("int"), F.floor(F.col("x1") / size).cast("int")), lambda i: F.transform(F.sequence(F.floor(F.col("y0") / size).cast("int"), F.floor(F.col("y1") / size).cast("int")), lambda j: F.struct(i.alias("i"), j.alias("j"))))))
-        todo = out.where("status = 'uncertain' and name is not null").select("id", "name", "x0", "x1", "y0", "y1", cell.alias("cell"))
-        sure = out.where("status in ('likely', 'legal') and name is not null").select("name", F.col("status").alias("s"), F.col("x0").alias("sx0"), F.col("x1").alias("sx1"), F.col("y0").alias("sy0"), F.col("y1").alias("sy1"), cell.alias("cell"))
-        found = todo.join(sure, ["name", "cell"]).where("x0 <= sx1 and sx0 <= x1 and y0 <= sy1 and sy0 <= y1").groupBy("id").agg(F.max(F.when(F.col("s") == "likely", 2).otherwise(1)).alias("rank"))
-        out = out.join(found, "id", "left").withColumn("status", F.when(F.col("rank") == 2, "likely").when(F.col("rank") == 1, "legal").otherwise(F.col("status"))).drop("rank")
+        todo = out.where((F.col("status") == UNCERTAIN) & F.col("street").isNotNull() & ~F.col("kind").isin(FAST_ROADS)).select("id", "street", "kind", "x0", "x1", "y0", "y1", near(reach).alias("cell"))
+        sure = out.where((F.col("status") == YES) & F.col("street").isNotNull()).select("street", F.col("kind").alias("k"), F.col("x0").alias("sx0"), F.col("x1").alias("sx1"), F.col("y0").alias("sy0"), F.col("y1").alias("sy1"), near(0.0).alias("cell"))
+        meets = (F.col("x0") - reach <= F.col("sx1")) & (F.col("sx0") <= F.col("x1") + reach) & (F.col("y0") - reach <= F.col("sy1")) & (F.col("sy0") <= F.col("y1") + reach)
+        found = todo.join(sure, ["street", "cell"]).where(meets & fits).select("id").distinct().withColumn("found", F.lit(True))
+        out = out.join(found, "id", "left").withColumn("status", F.when(F.col("found"), YES).otherwise(F.col("status"))).drop("found")
     return out.select(*roads.columns)
 
 

@@ -10,10 +10,50 @@ from pyspark.sql import functions as F
 from tallyroad.functions.scalars import count_present, direction_factor, principal_type, recode, tag_number
 
 LEAST_USES, MOST_VALUES = 20, 250
-#: Infrastructure types from best to least, those that are not dedicated, ranks of route networks.
-HIERARCHY = ["VOIE VERTE", "PISTE CYCLABLE", "BANDE CYCLABLE", "COULOIR BUS+VELO", "DOUBLE SENS CYCLABLE", "VELO RUE", "CHAUSSEE A VOIE CENTRALE BANALISEE", "ACCOTEMENT REVETU HORS CVCB", "AMENAGEMENT MIXTE PIETON VELO HORS VOIE VERTE", "RAMPE", "GOULOTTE", "LIMITE 30", "AUTRE", "NON_RENSEIGNE", "AUCUN"]
+#: Infrastructure types from best to least, those that are not dedicated, families, ranks of route networks.
+HIERARCHY = [
+    "VOIE VERTE",
+    "PISTE CYCLABLE",
+    "AMENAGEMENT MIXTE PIETON VELO HORS VOIE VERTE",
+    "GOULOTTE",
+    "BANDE CYCLABLE",
+    "COULOIR BUS+VELO",
+    "ACCOTEMENT REVETU HORS CVCB",
+    "CHAUSSEE A VOIE CENTRALE BANALISEE",
+    "DOUBLE SENS CYCLABLE PISTE",
+    "DOUBLE SENS CYCLABLE BANDE",
+    "DOUBLE SENS CYCLABLE NON MATERIALISE",
+    "VELO RUE",
+    "AUTRE",
+    "AUCUN",
+    "NON_RENSEIGNE",
+]
 NOT_DEDICATED = ["AUTRE", "AUCUN", "NON_RENSEIGNE"]
+FAMILIES = {
+    "PISTE CYCLABLE": "Piste cyclable",
+    "VOIE VERTE": "Voie verte",
+    "AMENAGEMENT MIXTE PIETON VELO HORS VOIE VERTE": "Aménagement mixte piéton-vélo",
+    "BANDE CYCLABLE": "Bande cyclable",
+    "COULOIR BUS+VELO": "Autre aménagement de chaussée",
+    "ACCOTEMENT REVETU HORS CVCB": "Autre aménagement de chaussée",
+    "CHAUSSEE A VOIE CENTRALE BANALISEE": "Autre aménagement de chaussée",
+    "GOULOTTE": "Autre aménagement de chaussée",
+    "DOUBLE SENS CYCLABLE PISTE": "Double sens cyclable / vélo-rue",
+    "DOUBLE SENS CYCLABLE BANDE": "Double sens cyclable / vélo-rue",
+    "DOUBLE SENS CYCLABLE NON MATERIALISE": "Double sens cyclable / vélo-rue",
+    "VELO RUE": "Double sens cyclable / vélo-rue",
+}
 NETWORK_RANKS = {"lcn": 1, "rcn": 2, "ncn": 3, "icn": 4}
+#: Tag keys that are read as numbers and under which name, and fallbacks of a side's tags.
+NUMERIC = {"maxspeed": "maxspeed_num", "lanes": "lanes_num", "width": "width_num", "cycleway:width": "cw_width_num"}
+SIDES = {
+    "cw_right_eff": ["cycleway:right", "cycleway:both", "cycleway"],
+    "cw_left_eff": ["cycleway:left", "cycleway:both", "cycleway"],
+    "cw_lane_right_eff": ["cycleway:right:lane", "cycleway:both:lane", "cycleway:lane"],
+    "cw_lane_left_eff": ["cycleway:left:lane", "cycleway:both:lane", "cycleway:lane"],
+}
+WIDTHS = ["cycleway:width", "cycleway:right:width", "cycleway:left:width", "cycleway:both:width"]
+CYCLE_PREFIXES = ("cycleway", "bicycle", "oneway:bicycle", "cyclestreet")
 
 
 def value_counts(tags: DataFrame) -> DataFrame:
@@ -70,9 +110,14 @@ def principal_types(df: DataFrame, right: str, left: str) -> DataFrame:
     return df.withColumn("principal", kind).withColumn("dedicated", F.coalesce(~F.col("principal").isin(NOT_DEDICATED), F.lit(False)))
 
 
+def family_of(kind: Column) -> Column:
+    """Family of a dedicated type; null for types that are not dedicated."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in FAMILIES.items() for x in kv]), kind)
+
+
 def family_shares(df: DataFrame, family: Column, length: str) -> DataFrame:
-    """Number, length and share of each family; families are a fixed few."""
-    sums = df.groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("km"))
+    """Number, length and share of each family; rows without one are left out, families are a fixed few."""
+    sums = df.withColumn("family", family).where("family is not null").groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("km"))
     return sums.withColumn("share", F.try_divide("km", F.sum("km").over(Window.partitionBy(F.lit(0)))))
 
 
@@ -96,9 +141,19 @@ def confusion(df: DataFrame, truth: Column, guess: Column) -> DataFrame:
     return c.select("*", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"))
 
 
-def feature_row(df: DataFrame, keys: list[str], vocab: dict[str, list[str]], numeric: tuple[str, ...] = ("maxspeed", "width", "lanes")) -> DataFrame:
-    """Features from a map column ``tags``: every key recoded to its vocabulary, numbers of the numeric keys, and how many keys are set."""
-    values = {k: F.element_at("tags", F.lit(k)) for k in keys}
-    coded = [recode(v, vocab.get(k, [])).alias(k.replace(":", "__")) for k, v in values.items()]
-    numbers = [tag_number(values[k]).alias(f"{k}_number") for k in numeric if k in values]
-    return df.select(*[c for c in df.columns if c != "tags"], *coded, *numbers, count_present(*values.values()).alias("n_tags"))
+def feature_row(df: DataFrame, keys: list[str], vocab: dict[str, list[str]]) -> DataFrame:
+    """Features from a map column ``tags``: every key recoded to its vocabulary, the numbers of some, the first present
+    tag of each side, the first present cycleway width, and how many cycle keys are set. Colons become two underscores."""
+    raw = {k: F.element_at("tags", F.lit(k)) for k in keys}
+    coded = {k: recode(v, vocab.get(k, [])) for k, v in raw.items()}
+    number = lambda k: tag_number(F.when(coded[k] != "(autre)", coded[k])) if k in coded else F.lit(None).cast("double")
+    first = lambda names: F.coalesce(*[coded[k] for k in names if k in coded], F.lit(None).cast("string"))
+    cycle = [raw[k] for k in keys if k.startswith(CYCLE_PREFIXES)]
+    return df.select(
+        *[c for c in df.columns if c != "tags"],
+        *[c.alias(k.replace(":", "__")) for k, c in coded.items()],
+        *[number(k).alias(n) for k, n in NUMERIC.items()],
+        *[first(names).alias(n) for n, names in SIDES.items()],
+        F.coalesce(*[number(k) for k in WIDTHS]).alias("cw_width_eff"),
+        (count_present(*cycle) if cycle else F.lit(0)).alias("n_cycle_keys"),
+    )

@@ -114,7 +114,7 @@ def _loocv_best(spark, sf):
 
 def _coverage(spark, sf):
     seen = observed(spark, sf).groupBy("zone").agg(F.max("instrumented").alias("i"), F.max(F.coalesce("length_km", F.lit(0.0))).alias("l"))
-    label = F.when(F.col("i") == 1, "instrumented").when(F.col("l") > 0, "network only").otherwise("nothing")
+    label = F.when(F.col("i") == 1, "Instrumentée").when(F.col("l") > 0, "Linéaire seulement").otherwise("Sans rien")
     return X.zones(spark, sf).join(seen, "zone", "left").select("zone", label.alias("coverage"))
 
 
@@ -155,7 +155,7 @@ def _select(body: str, threshold: int = THRESHOLD, more: str = "") -> str:
 def oracle_sql():
     lengths = "len_d_PARTIAL, len_d_ALL, len_d_DEDICATED, len_g_PARTIAL, len_g_ALL, len_g_DEDICATED".split(", ")
     pivot = lambda agg: ", ".join(f"{agg.format(c=c)} AS cluster_{c}" for c in range(4))
-    growth = lambda by: _select(f"SELECT transition{', cluster' if by else ''}, round(quantile_cont(ratio, 0.5), 8) AS ratio_median, round(quantile_cont(ratio, 0.025), 8) AS low_95, round(quantile_cont(ratio, 0.975), 8) AS high_95, round(avg((ratio <= 1)::INTEGER), 8) AS p_value, CASE WHEN avg((ratio <= 1)::INTEGER) < 0.05 THEN 'yes' ELSE 'no' END AS significant FROM (SELECT transition{', cluster' if by else ''}, draw, sum(ext_cmp) / nullif(sum(ext_ref), 0) AS ratio FROM growth_draws GROUP BY ALL) GROUP BY ALL", more=_growth_sql(20))
+    growth = lambda by: _select(f"SELECT transition{', cluster' if by else ''}, round(quantile_cont(ratio, 0.5), 8) AS ratio_median, round(quantile_cont(ratio, 0.025), 8) AS low_95, round(quantile_cont(ratio, 0.975), 8) AS high_95, round(avg((ratio <= 1)::INTEGER), 8) AS p_value, CASE WHEN avg((ratio <= 1)::INTEGER) < 0.05 THEN 'oui' ELSE 'non' END AS significant FROM (SELECT transition{', cluster' if by else ''}, draw, sum(ext_cmp) / nullif(sum(ext_ref), 0) AS ratio FROM growth_draws GROUP BY ALL) GROUP BY ALL", more=_growth_sql(20))
     return {
         "national_km": _select("SELECT year, round(km_obs_bn, 9) AS km_obs_bn, round(km_ext_bn, 9) AS km_ext_bn FROM national"),
         "sensor_years": _select("SELECT id_site, site_name, zone, department, cluster, year, round(annual_flow, 6) AS annual_flow, n_valid_h, round(qta, 6) AS qta, round(activity_share, 6) AS activity_share, valid, active FROM flagged"),
@@ -188,7 +188,7 @@ LEFT JOIN std e USING (year) LEFT JOIN (SELECT year, sum(km_panel) / 1e9 AS km_p
         "bootstrap_ci": _select("SELECT year, round(quantile_cont(km_ext, 0.5), 3) AS median, round(quantile_cont(km_ext, 0.025), 3) AS low_95, round(quantile_cont(km_ext, 0.975), 3) AS high_95, round(100 * (quantile_cont(km_ext, 0.975) - quantile_cont(km_ext, 0.025)) / quantile_cont(km_ext, 0.5), 3) AS relative_width_pct FROM boot GROUP BY year", more=arrays_sql(DRAWS)),
         "growth_test": growth(False),
         "growth_test_by_cluster": growth(True),
-        "coverage_category": _select("SELECT z.zone, CASE WHEN max(instrumented) = 1 THEN 'instrumented' WHEN max(coalesce(length_km, 0)) > 0 THEN 'network only' ELSE 'nothing' END AS coverage FROM zones z LEFT JOIN observed o USING (zone) GROUP BY z.zone"),
+        "coverage_category": _select("SELECT z.zone, CASE WHEN max(instrumented) = 1 THEN 'Instrumentée' WHEN max(coalesce(length_km, 0)) > 0 THEN 'Linéaire seulement' ELSE 'Sans rien' END AS coverage FROM zones z LEFT JOIN observed o USING (zone) GROUP BY z.zone"),
     }
 
 

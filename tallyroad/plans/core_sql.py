@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyroad.operators.assembly import EARLIER, EXACT, LATER
 from tallyroad.operators.estimation import CLUSTER_NAMES, LEAST, TRIMS
 from tallyroad.sources.fixtures import SCENARIOS, VINTAGES, YEARS
 
@@ -15,7 +16,7 @@ _TRIM = "CASE cluster " + " ".join(f"WHEN {c} THEN {t}" for c, t in TRIMS.items(
 
 def _rule(y: int) -> tuple[int, str]:
     later, earlier = [v for v in VINTAGES if v > y], [v for v in VINTAGES if v < y]
-    return (y, "same year") if y in VINTAGES else (min(later), "nearest later") if later else (max(earlier), "nearest earlier")
+    return (y, EXACT) if y in VINTAGES else (min(later), LATER) if later else (max(earlier), EARLIER.replace("'", "''"))
 
 
 def chain(threshold: int = 100) -> str:

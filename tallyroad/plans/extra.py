@@ -86,10 +86,11 @@ def _roads(spark, sf):
     """Tag rows made from parts."""
     n = F.col("p_partkey")
     pick = lambda *v: F.get(F.array(*[F.lit(x).cast("string") for x in v]), F.pmod(n, F.lit(len(v))).cast("int"))
-    return table(spark, sf, "part").select(n.alias("id"), pick("residential", "motorway", "cycleway", "tertiary", "track", "primary", None).alias("highway"), pick(None, "no", "yes", "designated", None).alias("bicycle"), pick(None, "private", None).alias("access"), pick(None, None, "lane", "track").alias("cycleway"))
+    return table(spark, sf, "part").select(n.alias("id"), pick("residential", "motorway", "cycleway", "tertiary", "track", "primary", None).alias("highway"), pick(None, "no", "yes", "designated", None).alias("bicycle"), pick(None, "private", None).alias("access"), pick(None, None, "lane", "track").alias("cycleway"), pick("asphalt", None, "gravel", None, "paved", None, None, None, None, None, None).alias("surface"), pick(None, "30", "50 ", "70", "80", None, "90", None, None, "20 mph", None, None, None).alias("maxspeed"))
 
 
-_ROADS_SQL = "SELECT p_partkey AS id, ['residential','motorway','cycleway','tertiary','track','primary',NULL][1 + p_partkey % 7] AS highway, [NULL,'no','yes','designated',NULL][1 + p_partkey % 5] AS bicycle, [NULL,'private',NULL][1 + p_partkey % 3] AS access, [NULL,NULL,'lane','track'][1 + p_partkey % 4] AS cycleway FROM part"
+_ROADS_SQL = "SELECT p_partkey AS id, ['residential','motorway','cycleway','tertiary','track','primary',NULL][1 + p_partkey % 7] AS highway, [NULL,'no','yes','designated',NULL][1 + p_partkey % 5] AS bicycle, [NULL,'private',NULL][1 + p_partkey % 3] AS access, [NULL,NULL,'lane','track'][1 + p_partkey % 4] AS cycleway, ['asphalt',NULL,'gravel',NULL,'paved',NULL,NULL,NULL,NULL,NULL,NULL][1 + p_partkey % 11] AS surface, [NULL,'30','50 ','70','80',NULL,'90',NULL,NULL,'20 mph',NULL,NULL,NULL][1 + p_partkey % 13] AS maxspeed FROM part"
+_CLEAN_SQL = f"SELECT id, coalesce(highway, '') AS highway, coalesce(bicycle, '') AS bicycle, coalesce(access, '') AS access, coalesce(cycleway, '') AS cycleway, coalesce(surface, '') AS surface, try_cast(nullif(regexp_extract(maxspeed, '([0-9]+)', 1), '') AS INTEGER) AS speed FROM ({_ROADS_SQL})"
 
 
 def _long_tags(spark, sf):
@@ -102,7 +103,7 @@ def _recode(spark, sf):
     return tags.recoded(table(spark, sf, "part").select("p_partkey", "p_type", "p_brand"), vocab)
 
 
-_H = {k: v for k, v in zip(["ECONOMY", "SMALL", "MEDIUM", "PROMO", "STANDARD", "LARGE"], ["VOIE VERTE", "PISTE CYCLABLE", "BANDE CYCLABLE", "LIMITE 30", "AUTRE", "AUCUN"], strict=True)}
+_H = {k: v for k, v in zip(["ECONOMY", "SMALL", "MEDIUM", "PROMO", "STANDARD", "LARGE"], ["VOIE VERTE", "PISTE CYCLABLE", "BANDE CYCLABLE", "VELO RUE", "AUTRE", "AUCUN"], strict=True)}
 
 
 def _kind_name(col):
@@ -113,7 +114,7 @@ def _kind_name(col):
 
 
 def _principal(spark, sf):
-    part = table(spark, sf, "part").withColumn("right", _kind_name(kind())).withColumn("left", F.when(F.col("p_size") % 3 == 0, "LIMITE 30").when(F.col("p_size") % 3 == 1, "PISTE CYCLABLE"))
+    part = table(spark, sf, "part").withColumn("right", _kind_name(kind())).withColumn("left", F.when(F.col("p_size") % 3 == 0, "GOULOTTE").when(F.col("p_size") % 3 == 1, "PISTE CYCLABLE"))
     return tags.principal_types(part.select("p_partkey", "right", "left"), "right", "left").select("p_partkey", "principal", "dedicated")
 
 
@@ -147,7 +148,7 @@ def _way_totals(spark, sf):
 
 
 def _families(spark, sf):
-    return rounded(tags.family_shares(_pieces(spark, sf), F.col("type"), "km"))
+    return rounded(tags.family_shares(_pieces(spark, sf), tags.family_of(F.col("type")), "km"))
 
 
 def _key_usage(spark, sf):
@@ -196,7 +197,7 @@ def _clip(spark, sf):
     return rounded(spatial.clip_lengths(segments, _squares(spark, sf), 1500.0), 4)
 
 
-_CLIP_SQL = """SELECT line, polygon, round(length_m, 4) AS length_m, round(length_m / nullif(abs(bx - ax), 0), 4) AS part FROM (
+_CLIP_SQL = """SELECT line, polygon, round(length_m::DOUBLE, 4) AS length_m, round(length_m / nullif(abs(bx - ax), 0), 4) AS part FROM (
  SELECT s_suppkey AS line, n_nationkey::BIGINT AS polygon, ax, bx, greatest(0, least(greatest(ax, bx), (n_nationkey % 5 + 1) * 1000.0) - greatest(least(ax, bx), (n_nationkey % 5) * 1000.0)) AS length_m
  FROM (SELECT s_suppkey, (s_suppkey * 37) % 5000 + 0.5 AS ax, (s_suppkey * 53) % 5000 + 0.5 AS bx, (s_suppkey * 91) % 5000 + 0.25 AS y FROM supplier) JOIN nation ON n_nationkey // 5 = floor(y / 1000)) WHERE length_m > 0.01"""
 
@@ -297,7 +298,7 @@ def _standard(spark, sf):
 def _road_spread(spark, sf):
     k = F.col("id")
     at = ((k * 37) % 3000).cast("double")
-    roads = _roads(spark, sf).select(k, F.concat(F.lit("street "), (k % 40).cast("string")).alias("name"), C.road_status().alias("status"), at.alias("x0"), (at + 20).alias("x1"), at.alias("y0"), (at + 20).alias("y1"))
+    roads = C.road_status(_roads(spark, sf)).select(k, F.concat(F.lit("Street, "), (k % 40).cast("string")).alias("name"), "highway", "status", at.alias("x0"), (at + 20).alias("x1"), at.alias("y0"), (at + 20).alias("y1"))
     return spatial.propagate_status(roads, 100.0).select("id", "name", "status")
 
 
@@ -314,7 +315,7 @@ def queries():
         "code_normalise": _codes,
         "tag_number": _tag_literals,
         "name_kind": _names,
-        "rule_filter": lambda s, d: _roads(s, d).select("id", C.road_status().alias("status")),
+        "rule_filter": lambda s, d: C.road_status(_roads(s, d)).select("id", "status"),
         "road_status_spread": _road_spread,
         "vocab_spec": lambda s, d: tags.vocabulary(_long_tags(s, d)),
         "vocab_recode": _recode,
@@ -365,6 +366,9 @@ def oracle_sql():
     best = lambda order: f"SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate {order}, o_orderkey {order}) = 1"
     kinds = " ".join(f"WHEN regexp_matches(lower(n), '{p}') THEN {k}" for k, p in C.NAME_KINDS)
     rules = " ".join(f"WHEN {c} THEN '{s}'" for s, c in C.ROAD_RULES)
+    some = f"({spatial.LOCAL_ROADS[1:-1]}, {spatial.COLLECTOR_ROADS[1:-1]})"
+    fits = f"q.highway = r.highway OR 'cycleway' IN (q.highway, r.highway) OR q.highway IN {some} AND r.highway IN {some}"
+    families = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in tags.FAMILIES.items())
     return {
         "hourly_site_sum": f"WITH {_FLOWS} SELECT site, hour_idx, value FROM series WHERE value IS NULL OR value > 0",
         "profile_daily": means("hour(ts)::INTEGER", 24),
@@ -373,20 +377,20 @@ def oracle_sql():
         "profile_norm_curve": f"WITH {_FLOWS}, means AS (SELECT site, hour(ts)::INTEGER AS pos, sum(coalesce(value, 0)) / count(*) AS mean FROM series GROUP BY ALL), normed AS (SELECT site, pos, mean / CASE WHEN sqrt(sum(mean * mean) OVER (PARTITION BY site)) > 1e-12 THEN sqrt(sum(mean * mean) OVER (PARTITION BY site)) ELSE 1.0 END AS value FROM means) SELECT (site % 4)::INTEGER AS cluster, pos, round(avg(value), 9) AS mean, round(stddev_pop(value), 9) AS deviation FROM normed GROUP BY ALL",
         "encode_decode_flow": "SELECT event_id, CASE WHEN event_type = 'error' OR value IS NULL THEN 65535 ELSE round_even(round_even(value, 2) * 100, 0)::INTEGER END AS code, CASE WHEN event_type = 'error' OR value IS NULL THEN NULL ELSE round_even(round_even(value, 2) * 100, 0)::INTEGER / 100.0 END AS decoded FROM events",
         "code_normalise": "SELECT c_custkey, lpad(c_nationkey::VARCHAR, 2, '0') AS department, CASE WHEN length(c_custkey::VARCHAR) >= 5 THEN c_custkey::VARCHAR ELSE lpad(c_custkey::VARCHAR, 5, '0') END AS code, trunc(c_acctbal)::BIGINT AS whole, c_mktsegment || '|' || c_nationkey AS parts FROM customer",
-        "tag_number": f"SELECT p_partkey, round(CASE raw WHEN 'walk' THEN 5.0 WHEN 'fr:urban' THEN 50.0 ELSE try_cast(nullif(regexp_extract(replace(raw, ',', '.'), '^(-?[0-9]+(\\.[0-9]+)?)', 1), '') AS DOUBLE) * CASE WHEN contains(raw, 'mph') THEN 1.609 ELSE 1 END END, 6) AS number, try_cast(nullif(regexp_extract(raw, '([0-9]+)', 1), '') AS INTEGER) AS digits FROM (SELECT p_partkey, {raw} AS raw FROM part)",
-        "name_kind": f"SELECT p_partkey, CASE {kinds} ELSE 0 END AS name_kind, CASE WHEN ref IS NULL THEN 0 WHEN regexp_matches(ref, '(?i)^(eurovelo|ev|v)\\s*[0-9]+') THEN 2 ELSE 1 END AS ref_kind, trim(regexp_replace(regexp_replace(lower(n), '[.,]', ' ', 'g'), '\\s+', ' ', 'g')) AS street, coalesce(ref, n) AS first_present, (ref IS NOT NULL)::INTEGER + 1 + (p_brand IS NOT NULL)::INTEGER AS n_present FROM (SELECT p_partkey, p_brand, {_NAME_SQL} AS n, CASE p_partkey % 3 WHEN 0 THEN 'EV ' || p_size WHEN 1 THEN 'D' || p_size END AS ref FROM part)",
-        "rule_filter": f"SELECT id, CASE {rules} ELSE 'uncertain' END AS status FROM ({_ROADS_SQL})",
-        "road_status_spread": f"WITH r0 AS (SELECT id, 'street ' || id % 40 AS name, CASE {rules} ELSE 'uncertain' END AS status, ((id * 37) % 3000)::DOUBLE AS x0 FROM ({_ROADS_SQL})), "
-        + ", ".join(f"r{k} AS (SELECT r.id, r.name, CASE WHEN r.status <> 'uncertain' THEN r.status ELSE coalesce((SELECT CASE WHEN max(CASE q.status WHEN 'likely' THEN 2 ELSE 1 END) = 2 THEN 'likely' WHEN max(1) = 1 THEN 'legal' END FROM r{k - 1} q WHERE q.name = r.name AND q.status IN ('likely', 'legal') AND abs(q.x0 - r.x0) <= 20), r.status) END AS status, r.x0 FROM r{k - 1} r)" for k in (1, 2))
+        "tag_number": f"SELECT p_partkey, round(CASE raw WHEN 'walk' THEN 7.0 WHEN 'fr:urban' THEN 50.0 ELSE try_cast(nullif(regexp_extract(replace(raw, ',', '.'), '^(-?[0-9]+(\\.[0-9]+)?)', 1), '') AS DOUBLE) * CASE WHEN contains(raw, 'mph') THEN 1.609 ELSE 1 END END, 6) AS number, try_cast(nullif(regexp_extract(raw, '([0-9]+)', 1), '') AS INTEGER) AS digits FROM (SELECT p_partkey, {raw} AS raw FROM part)",
+        "name_kind": f"SELECT p_partkey, CASE WHEN coalesce(n, '') = '' THEN 0 {kinds} ELSE 6 END AS name_kind, CASE WHEN ref IS NULL THEN 0 WHEN regexp_matches(ref, '(?i)^(eurovelo|ev|v)\\s*[0-9]+') THEN 1 ELSE 2 END AS ref_kind, trim(regexp_replace(regexp_replace(lower(n), '[,.]+', '', 'g'), '\\s+', ' ', 'g')) AS street, coalesce(ref, n) AS first_present, (ref IS NOT NULL)::INTEGER + 1 + (p_brand IS NOT NULL)::INTEGER AS n_present FROM (SELECT p_partkey, p_brand, {_NAME_SQL} AS n, CASE p_partkey % 3 WHEN 0 THEN 'EV ' || p_size WHEN 1 THEN 'D' || p_size END AS ref FROM part)",
+        "rule_filter": f"SELECT id, CASE {rules} ELSE '{C.UNCERTAIN}' END AS status FROM ({_CLEAN_SQL})",
+        "road_status_spread": f"WITH r0 AS (SELECT id, 'Street, ' || id % 40 AS name, highway, CASE {rules} ELSE '{C.UNCERTAIN}' END AS status, ((id * 37) % 3000)::DOUBLE AS x0 FROM ({_CLEAN_SQL})), "
+        + ", ".join(f"r{k} AS (SELECT r.id, r.name, r.highway, CASE WHEN r.status = '{C.UNCERTAIN}' AND r.highway NOT IN {C.FAST} AND EXISTS (SELECT 1 FROM r{k - 1} q WHERE q.name = r.name AND q.status = '{C.YES}' AND abs(q.x0 - r.x0) <= 25 AND ({fits})) THEN '{C.YES}' ELSE r.status END AS status, r.x0 FROM r{k - 1} r)" for k in (1, 2))
         + " SELECT id, name, status FROM r2",
         "vocab_spec": "SELECT key, value, n, rank FROM (SELECT key, value, count(*) AS n, row_number() OVER (PARTITION BY key ORDER BY count(*) DESC, value)::INTEGER AS rank FROM (SELECT 'brand' AS key, p_brand AS value FROM part UNION ALL SELECT 'type', p_type FROM part UNION ALL SELECT 'size', p_size::VARCHAR FROM part) GROUP BY key, value HAVING count(*) >= 20) WHERE rank <= 250",
-        "vocab_recode": "SELECT p_partkey, CASE WHEN p_type IN ('ECONOMY', 'SMALL', 'PROMO') THEN p_type WHEN p_type IS NOT NULL THEN '(other)' END AS p_type, CASE WHEN p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') THEN p_brand WHEN p_brand IS NOT NULL THEN '(other)' END AS p_brand FROM part",
-        "principal_type": f"SELECT p_partkey, principal, principal NOT IN ('AUTRE', 'AUCUN', 'NON_RENSEIGNE') AS dedicated FROM (SELECT p_partkey, CASE WHEN CASE r {rank} END <= coalesce(CASE l {rank} END, 99) THEN r ELSE l END AS principal FROM (SELECT p_partkey, CASE {part_kind} {' '.join(chr(87) + f'HEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in _H.items())} END AS r, CASE p_size % 3 WHEN 0 THEN 'LIMITE 30' WHEN 1 THEN 'PISTE CYCLABLE' END AS l FROM part))",
+        "vocab_recode": "SELECT p_partkey, CASE WHEN p_type IN ('ECONOMY', 'SMALL', 'PROMO') THEN p_type WHEN p_type IS NOT NULL THEN '(autre)' END AS p_type, CASE WHEN p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') THEN p_brand WHEN p_brand IS NOT NULL THEN '(autre)' END AS p_brand FROM part",
+        "principal_type": f"SELECT p_partkey, principal, principal NOT IN ('AUTRE', 'AUCUN', 'NON_RENSEIGNE') AS dedicated FROM (SELECT p_partkey, CASE WHEN CASE r {rank} END <= coalesce(CASE l {rank} END, 15) THEN r ELSE coalesce(l, 'NON_RENSEIGNE') END AS principal FROM (SELECT p_partkey, CASE {part_kind} {' '.join(chr(87) + f'HEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in _H.items())} END AS r, CASE p_size % 3 WHEN 0 THEN 'GOULOTTE' WHEN 1 THEN 'PISTE CYCLABLE' END AS l FROM part))",
         "effective_length": f"SELECT zone, {', '.join('round(' + eff.format(c=c) + ', 6) AS ' + n for c, n in (('side = ' + chr(39) + 'd' + chr(39), 'len_d'), ('side = ' + chr(39) + 'g' + chr(39), 'len_g'), ('side = ' + chr(39) + 'd' + chr(39) + ' AND type NOT IN (' + chr(39) + 'AUTRE' + chr(39) + ',' + chr(39) + 'AUCUN' + chr(39) + ')', 'len_d_dedicated'), ('side = ' + chr(39) + 'g' + chr(39) + ' AND type NOT IN (' + chr(39) + 'AUTRE' + chr(39) + ',' + chr(39) + 'AUCUN' + chr(39) + ')', 'len_g_dedicated')))} FROM ({_PIECES_SQL}) GROUP BY zone",
         "two_sided_lengths": "SELECT zone, sum(d) AS len_d, sum(g) AS len_g FROM (SELECT l_partkey % 50 AS zone, l_quantity AS d, 0.0 AS g FROM lineitem UNION ALL SELECT l_suppkey % 50, 0.0, l_quantity * 2 FROM lineitem) GROUP BY zone",
         "route_ranks": "SELECT p_partkey AS way, coalesce(max(CASE l_linenumber % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 4 THEN 0 END), -1)::INTEGER AS rank, count(l_partkey) AS n_routes FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_quantity > 45 GROUP BY p_partkey",
         "way_totals": f"SELECT p_partkey AS way, round(coalesce(km, 0), 6) AS inside_km, coalesce(n, 0) AS n_zones, round(greatest(p_retailprice / 100 - coalesce(km, 0), 0), 6) AS outside_km FROM part LEFT JOIN (SELECT way, sum(km) AS km, count(DISTINCT zone) AS n FROM ({_PIECES_SQL}) GROUP BY way) ON way = p_partkey",
-        "family_shares": f"SELECT type AS family, count(*) AS n, round(sum(km), 4) AS km, round(sum(km) / sum(sum(km)) OVER (), 4) AS share FROM ({_PIECES_SQL}) GROUP BY type",
+        "family_shares": f"SELECT family, count(*) AS n, round(sum(km), 4) AS km, round(sum(km) / sum(sum(km)) OVER (), 4) AS share FROM (SELECT *, CASE type {families} END AS family FROM ({_PIECES_SQL})) WHERE family IS NOT NULL GROUP BY family",
         "run_statistics": f"SELECT count(*) AS n_candidates, count(*) FILTER (WHERE km > 0) AS n_kept, round(sum(km), 4) AS km, count(DISTINCT zone) AS n_zones FROM ({_PIECES_SQL})",
         "key_usage": f"WITH r AS ({_ROADS_SQL}) " + " UNION ALL ".join(f"SELECT '{k}' AS key, count({k}) AS n FROM r" for k in ("highway", "bicycle", "access", "cycleway")),
         "fold_hash": "SELECT o_orderkey, ((o_orderkey::HUGEINT * 2654435761 % 18446744073709551616) // 128 % 5)::INTEGER AS fold FROM orders",
