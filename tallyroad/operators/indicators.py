@@ -9,6 +9,7 @@ from tallyroad.functions.scalars import ratio
 from tallyroad.operators.estimation import CLUSTERS, complete, extrapolated_detail, national
 from tallyroad.operators.robustness import panel_km
 from tallyroad.operators.sensors import balanced_panel
+from tallyroad.sources.scratch import materialize
 
 
 def pivot_by_cluster(df: DataFrame, value: str, how: str = "sum") -> DataFrame:
@@ -39,7 +40,7 @@ def ratio_by_cluster(a: DataFrame, b: DataFrame) -> DataFrame:
 def all_indicators(observed: DataFrame, detail: DataFrame, population: DataFrame, years: tuple[int, ...]) -> DataFrame:
     """One row a year: population, sensors, network length, flow, observed and extrapolated distance, also of the balanced panel."""
     panel = balanced_panel(detail, years)
-    mini = panel_km(observed, detail, panel)
+    mini = materialize(panel_km(observed, detail, panel), "panel")
     sensors = detail.groupBy("year").agg(F.countDistinct("id_site").alias("n_sensors"), F.sum("annual_flow").alias("total_flow"))
     lengths = observed.groupBy("year").agg(F.sum("length_km").alias("length_km"), (F.sum(F.when(complete(), F.col("km_obs"))) / 1e9).alias("km_obs_bn"))
     standard = national(extrapolated_detail(observed, years, instrumented=False)).select("year", "km_ext_bn")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from tallyroad.operators import sensors as S
 from tallyroad.plans.core_sql import arrays_sql, chain, generic_extrapolation
 from tallyroad.sources import fixtures as X
 from tallyroad.sources.fixtures import YEARS
+from tallyroad.sources.scratch import materialize
 
 #: Least annual flow of an active sensor: of the flagship chain and of balanced-panel queries.
 THRESHOLD, PANEL_THRESHOLD, DRAWS = 100, 20, 60
@@ -22,28 +23,64 @@ def rounded(df: DataFrame, digits: int = 4, keep: tuple[str, ...] = ()) -> DataF
     return df.select(*[F.round(c, digits).alias(c) if t == "double" and c not in keep else F.col(c) for c, t in df.dtypes])
 
 
-def sensor_years(spark: SparkSession, sf: str, threshold: int = THRESHOLD) -> DataFrame:
-    return S.sensor_years(X.flows(spark, sf), X.sensors(spark, sf), threshold)
+class Chain:
+    """Tables of the core chain for one query. Facts are scanned once: sensor-years and lengths, and what is observed, are written where several steps read them."""
+
+    def __init__(self, spark: SparkSession, sf: str, threshold: int = THRESHOLD):
+        self.spark, self.sf, self.threshold = spark, sf, threshold
+
+    @cached_property
+    def years(self) -> DataFrame:
+        return materialize(sensor_years(self.spark, self.sf, self.threshold), "sensor-years")
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        return S.active_detail(self.years)
+
+    @cached_property
+    def zones(self) -> DataFrame:
+        return X.zones(self.spark, self.sf)
+
+    @cached_property
+    def clusters(self) -> DataFrame:
+        return assembly.resolve_clusters(self.detail, self.zones, YEARS)
 
+    @cached_property
+    def assembled(self) -> DataFrame:
+        return assembly.assembled_zones(self.zones, X.lengths_wide(self.spark, self.sf), self.clusters, assembly.instrumented_zones(self.years), YEARS)
 
-def detail(spark: SparkSession, sf: str, threshold: int = THRESHOLD) -> DataFrame:
-    return S.active_detail(sensor_years(spark, sf, threshold))
+    @cached_property
+    def observed_once(self) -> DataFrame:
+        """Observed distance for a single reader; the assembled zones are read twice and written first."""
+        return estimation.observed_km(materialize(self.assembled, "assembled"), self.detail)
+
+    @cached_property
+    def observed(self) -> DataFrame:
+        return materialize(self.observed_once, "observed")
+
+    @cached_property
+    def extrapolated(self) -> DataFrame:
+        return estimation.extrapolated_detail(self.observed, YEARS)
+
+
+def sensor_years(spark: SparkSession, sf: str, threshold: int = THRESHOLD) -> DataFrame:
+    return S.sensor_years(X.flows(spark, sf), X.sensors(spark, sf), threshold)
 
 
-def clusters(spark: SparkSession, sf: str, threshold: int = THRESHOLD) -> DataFrame:
-    return assembly.resolve_clusters(detail(spark, sf, threshold), X.zones(spark, sf), YEARS)
+def detail(spark: SparkSession, sf: str) -> DataFrame:
+    return S.active_detail(sensor_years(spark, sf))
 
 
-def assembled(spark: SparkSession, sf: str, threshold: int = THRESHOLD) -> DataFrame:
-    return assembly.assembled_zones(X.zones(spark, sf), X.lengths_wide(spark, sf), clusters(spark, sf, threshold), assembly.instrumented_zones(sensor_years(spark, sf, threshold)), YEARS)
+def clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return Chain(spark, sf).clusters
 
 
-def observed(spark: SparkSession, sf: str, threshold: int = THRESHOLD) -> DataFrame:
-    return estimation.observed_km(assembled(spark, sf, threshold), detail(spark, sf, threshold))
+def observed(spark: SparkSession, sf: str) -> DataFrame:
+    return Chain(spark, sf).observed
 
 
 def extrapolated(spark: SparkSession, sf: str) -> DataFrame:
-    return estimation.extrapolated_detail(observed(spark, sf), YEARS)
+    return Chain(spark, sf).extrapolated
 
 
 def national_km(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,18 +98,18 @@ def _trimmed(spark, sf):
 
 
 def _panel(spark, sf):
-    d = detail(spark, sf, PANEL_THRESHOLD)
-    return S.balanced_panel(d, YEARS)
+    return S.balanced_panel(S.active_detail(sensor_years(spark, sf, PANEL_THRESHOLD)), YEARS)
 
 
 def _mini(spark, sf):
-    d = detail(spark, sf, PANEL_THRESHOLD)
-    mini = robustness.panel_km(observed(spark, sf, PANEL_THRESHOLD), d, S.balanced_panel(d, YEARS))
+    c = Chain(spark, sf, PANEL_THRESHOLD)
+    mini = robustness.panel_km(c.observed_once, c.detail, S.balanced_panel(c.detail, YEARS))
     return rounded(mini.groupBy("year", "cluster").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("km_panel") > 0).alias("n_panel_zones"), F.sum("km_panel").alias("km_panel")).where("cluster is not null"), 3)
 
 
 def _indicators(spark, sf):
-    out = indicators.all_indicators(observed(spark, sf, PANEL_THRESHOLD), detail(spark, sf, PANEL_THRESHOLD), _population(spark, sf), YEARS)
+    c = Chain(spark, sf, PANEL_THRESHOLD)
+    out = indicators.all_indicators(c.observed, c.detail, _population(spark, sf), YEARS)
     return rounded(out, 6)
 
 
@@ -92,7 +129,7 @@ def _index(spark, sf):
 
 
 def _flow_ratio(spark, sf):
-    d = detail(spark, sf)
+    d = Chain(spark, sf).detail
     return rounded(indicators.ratio_by_cluster(indicators.pivot_by_cluster(d, "annual_flow"), indicators.pivot_by_cluster(d, "id_site", "distinct")), 6)
 
 
@@ -124,11 +161,11 @@ def queries():
         "sensor_years": lambda s, d: rounded(sensor_years(s, d), 6),
         "sensor_detail_labelled": lambda s, d: rounded(detail(s, d), 6),
         "zone_cluster_vote": clusters,
-        "assembled_zones": lambda s, d: rounded(assembled(s, d), 6),
+        "assembled_zones": lambda s, d: rounded(Chain(s, d).assembled, 6),
         "network_long": lambda s, d: rounded(assembly.unpivot_lengths(X.lengths_wide(s, d)), 6),
         "network_totals_by_scenario": _totals,
         "population_vintage": _population,
-        "observed_km": lambda s, d: rounded(observed(s, d), 3),
+        "observed_km": lambda s, d: rounded(Chain(s, d).observed_once, 3),
         "extrapolated_detail": lambda s, d: rounded(extrapolated(s, d), 3),
         "trimmed_rate": _trimmed,
         "loocv_error": _loocv,
