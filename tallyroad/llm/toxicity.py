@@ -2,7 +2,7 @@
 
 A word is the sum of hashed embeddings of the whole word and its prefixes. Filters of
 widths 1, 2 and 3 slide over a text's words, each filter keeps its maximum over the whole
-text, and a logistic layer scores the maxima. The model is fitted on the driver to a
+text, and a logistic layer scores the maxima. The model is fitted in one task to a
 bounded sample of labelled rows (TRAIN_ROWS a class) and broadcast; its size is fixed.
 Decision thresholds are calibrated by language on a part of the sample held back from
 fitting. Scores themselves never see language, source, labels or ids.
@@ -10,6 +10,7 @@ fitting. Scores themselves never see language, source, labels or ids.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -148,12 +149,13 @@ def fit(rows: list[tuple[str | None, int, str | None]], seed: int = 7) -> Model:
         held[:] = False
     train = np.flatnonzero(~held)
     index: dict[str, int] = {}
-    docs = [np.array([index.setdefault(w, len(index)) for w in words(rows[i][0])], np.int64) for i in range(len(rows))]
-    table = [slots(w) for w in index] or [[0]]
-    most = len(PREFIXES) + 1
-    padded = np.full((len(table) + 1, most), SLOTS, np.int64)  # the last row is the padding word, slot SLOTS stays zero
-    for k, s in enumerate(table):
+    docs = [np.array([index.setdefault(w, len(index)) for w in words(rows[i][0])], np.int32) for i in range(len(rows))]
+    most, pad_row = len(PREFIXES) + 1, len(index)
+    padded = np.full((len(index) + 1, most), SLOTS, np.int32)  # the last row is the padding word, slot SLOTS stays zero
+    for k, w in enumerate(index):
+        s = slots(w)
         padded[k, : len(s)] = s
+    del index
     # The first dimension starts from the slots' log odds over documents, the rest at random.
     seen = np.ones((2, SLOTS + 1))
     for i in train:
@@ -171,7 +173,6 @@ def fit(rows: list[tuple[str | None, int, str | None]], seed: int = 7) -> Model:
     sizes = [n for _, n in FILTERS]
     owner_of = np.repeat(np.arange(len(FILTERS)), sizes)
     weight = np.where(labels == 1, len(train) / (2 * (n1 - 2)), len(train) / (2 * (n0 - 2)))
-    pad_row = len(table)
 
     def forward(batch):
         parts = [np.concatenate([docs[i] if len(docs[i]) else [pad_row], [pad_row, pad_row]]) for i in batch]
@@ -244,14 +245,27 @@ def _thresholds(model: Model, rows: list[tuple[str | None, int, str | None]]) ->
     return out
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str | None, int, str | None]]:
-    """At most ``rows`` labelled documents of each class whose crc32(doc_id as text) mod 3 is not 1."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """(text, toxic, lang) of at most ``rows`` labelled documents of each class whose crc32(doc_id as text) mod 3 is not 1."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("__o", F.xxhash64("doc_id"))
     chosen = known.where("toxic = 1").orderBy("__o", "doc_id").limit(rows).unionAll(known.where("toxic = 0").orderBy("__o", "doc_id").limit(rows))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang")).join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
-    return [(r.text, r.toxic, r.lang) for r in found.select("doc_id", "text", "toxic", "lang").dropDuplicates(["doc_id"]).sort("doc_id").toLocalIterator()]
+    # one text for a doc_id that repeats: the greatest
+    return found.groupBy("doc_id").agg(F.max(F.struct("text", "toxic", "lang")).alias("r")).select("doc_id", "r.text", "r.toxic", "r.lang")
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(rows))], pa.binary())})
+
+
+def fitted(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+    """Fit in one task on the bounded sample, in order of doc_id, so that the driver only gets the model."""
+    sample = training_rows(docs, labels, rows).repartition(1).sortWithinPartitions("doc_id").select("text", "toxic", "lang")
+    found = sample.mapInArrow(_fit, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit([])  # noqa: S301  made by the task above
 
 
 def _score(shared):
@@ -276,7 +290,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     the larger counts; without labels of both classes the score is constant; empty tables give empty tables.
     """
     spark = docs.sparkSession
-    model = fit(training_rows(docs, labels, rows))
+    model = fitted(docs, labels, rows)
     shared = spark.sparkContext.broadcast(model)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), "text")
