@@ -99,19 +99,25 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.uint64)
             total[k] = total[k] + part if k in total else part
     for k, counts in total.items():
-        yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
+        capped = np.minimum(counts, np.uint64(0xFFFFFFFF)).astype(np.uint32)  # beyond that all are common
+        yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "counts": pa.array([zlib.compress(capped.tobytes(), 1)], pa.binary())})
 
 
 def rarity_classes(texts: DataFrame, width: int) -> np.ndarray:
     """Class of each sketch cell: 0 within noise, else the logarithm of what it holds beyond the median. Fixed size."""
-    parts = texts.mapInArrow(_sketch(width), "slice int, counts binary").repartition(min(SLICES, common.shuffle_partitions(texts.sparkSession)), "slice").mapInArrow(_add, "slice int, counts binary").collect()
-    counts = np.zeros(1 << SKETCH_BITS, np.float64)
-    each = len(counts) // SLICES
-    for r in parts:  # SLICES rows
-        counts[r["slice"] * each : (r["slice"] + 1) * each] = np.frombuffer(r["counts"], np.uint64)
-    usual = np.median(counts)
-    beyond = counts - usual
-    return np.where(beyond <= 4 * np.sqrt(usual) + 2, 0, 1 + np.floor(np.log2(np.maximum(beyond, 1)))).astype(np.uint8)
+    parts = texts.mapInArrow(_sketch(width), "slice int, counts binary").repartition(min(SLICES, common.shuffle_partitions(texts.sparkSession)), "slice").mapInArrow(_add, "slice int, counts binary")
+    each = (1 << SKETCH_BITS) // SLICES
+    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+    for r in parts.toLocalIterator():  # SLICES rows of compressed counts
+        counts[r["slice"] * each : (r["slice"] + 1) * each] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
+    usual = float(np.median(counts))
+    # no more classes than a count has bits
+    steps = np.concatenate([[usual + 4 * np.sqrt(usual) + 2], usual + 2.0 ** np.arange(1, 32)])
+    steps = np.unique(steps[steps >= steps[0]])
+    classes = np.empty(len(counts), np.uint8)
+    for low in range(0, len(counts), each):
+        classes[low : low + each] = np.searchsorted(steps, counts[low : low + each])
+    return classes
 
 
 def least_overlap(n: int, num: int, den: int) -> int:
