@@ -25,7 +25,7 @@ MARK = "▁"
 #: What an uncovered character costs below the worst piece.
 UNKNOWN = 10.0
 #: Distinct words that a worker keeps with their pieces, and characters of texts taken together.
-KEPT_WORDS, BLOCK_CHARS = 200_000, 8_000_000
+KEPT_WORDS, BLOCK_CHARS = 200_000, 2_000_000
 
 
 @dataclass
