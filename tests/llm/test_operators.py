@@ -431,6 +431,15 @@ def test_lm_awkward(spark):
     assert LM.lm_scores(empty(spark)).count() == 0
 
 
+def test_lm_equal_chunks(spark):
+    """Equal input partitions make equal chunks: each gets its own replies."""
+    train = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10)
+    alike = spark.sparkContext.parallelize([(train, "one two three two one")] * 3, 3)
+    got = LM.lm_scores(spark.createDataFrame(alike, "doc_id long, text string")).collect()
+    assert len(got) == 3 and len({(r["score"], r["base_score"]) for r in got}) == 1
+    assert {(r["doc_id"], r["n_tokens"], r["train_tokens"]) for r in got} == {(train, 6, 18)}
+
+
 def test_mixing_meets_targets(spark):
     rng = np.random.default_rng(10)
     rows = [(i, "w " * int(rng.integers(1, 60)), str(rng.choice(["a", "b", "c"], p=[0.7, 0.2, 0.1])), str(rng.choice(["x", "y"], p=[0.8, 0.2])), str(rng.choice(["t", "u"]))) for i in range(4000)]
