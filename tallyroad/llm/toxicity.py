@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tallyroad.llm import common
 
@@ -268,21 +269,21 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return pickle.loads(found[0]["model"]) if found else fit([])  # noqa: S301  made by the task above
 
 
-def _score(shared):
+def _score(shared, keep_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         encoder = _Encoder(model)
         for batch in batches:
             at = batch.schema.names.index("text")
             scores = score_texts(model, batch.column(at).to_pylist(), encoder)
-            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "text"]
+            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if keep_text or n != "text"]
             yield pa.RecordBatch.from_arrays([c for _, c in rest] + [pa.array(scores)], names=[n for n, _ in rest] + ["score"])
 
     return run
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """Score every whole text: doc_id, held_out, score, predicted, threshold and rejected.
+def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, other: tuple[str, ...] | None = None) -> DataFrame:
+    """Score every whole text: doc_id, held_out, score, predicted, threshold and rejected; with ``other``, text and carried (a struct of the columns it names) too.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and toxic; a ``lang`` column in docs only chooses the
     calibrated ``threshold`` behind ``rejected``. Null and empty texts get the score of a text without
@@ -294,11 +295,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     shared = spark.sparkContext.broadcast(model)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), "text")
-    scored = base.mapInArrow(_score(shared), "doc_id long, lang string, score double")
+    made = StructType([StructField("doc_id", LongType()), StructField("lang", StringType())])
+    if other is not None:
+        base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), "text", common.carry(other))
+        made = StructType([*made, base.schema["text"], base.schema["carried"]])
+    scored = base.mapInArrow(_score(shared, other is not None), StructType([*made, StructField("score", DoubleType())]))
     limit = F.lit(PREDICT)
     for name, value in model.thresholds.items():  # one a language seen in the bounded sample
         limit = F.when(F.col("lang") == name, value).otherwise(limit)
-    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"), limit.alias("threshold"), (F.col("score") >= limit).alias("rejected"))
+    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"), limit.alias("threshold"), (F.col("score") >= limit).alias("rejected"), *(["text", "carried"] if other is not None else []))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

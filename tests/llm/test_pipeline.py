@@ -44,6 +44,17 @@ def test_stages_and_run(spark, tmp_path):
     assert sorted(map(str, P.run(spark, SF).collect())) == sorted(map(str, docs.collect()))
 
 
+def test_toxic_rows_go_one_by_one(spark):
+    """A clean row with the same doc_id, or with none as well, doesn't save a toxic one."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    scores = T.toxicity_scores(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    first = lambda which: docs.join(scores.where(which).orderBy("doc_id").limit(1).select("doc_id"), "doc_id").select(COLUMNS).first()
+    toxic, clean = first("rejected"), first("not rejected and held_out")
+    more = [(i, r["text"], r["lang"], r["source"], r["n_chars"]) for i in (None, 10**12) for r in (toxic, clean)]
+    out = P.toxicity(spark, docs.unionByName(spark.createDataFrame(more, docs.schema)), SF)
+    assert [tuple(r) for r in out.where(f"doc_id is null or doc_id = {10**12}").orderBy("doc_id").collect()] == [more[1], more[3]]
+
+
 def test_stages_on_awkward_tables(spark):
     for make in (awkward, empty):
         docs = make(spark)
