@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroad.functions.scalars import UNCERTAIN, YES, haversine_m, street_name
+from tallyroad.sources.scratch import materialize
 
 
 def _ends(ring: str, axis: str) -> tuple[Column, Column]:
@@ -232,19 +233,37 @@ def propagate_status(roads: DataFrame, size: float, reach: float = 5.0, rounds:
     return out.select(*roads.columns)
 
 
-def line_distances(points: DataFrame, segments: DataFrame, kinds: list[str], reach: float) -> DataFrame:
-    """Distance of each point to the nearest line of each kind within ``reach``, one column a kind, null beyond.
+def line_distances(points: DataFrame, segments: DataFrame, kinds: list[str], reach: float | None = None, size: float = 1000.0) -> DataFrame:
+    """Distance of each point to the nearest line of each kind, one column a kind; null for a kind without lines and, where ``reach`` is given, beyond it.
 
     ``points``: id, x, y; ``segments``: kind, ax, ay, bx, by. Segments are entered in the cells of their box, points
-    look into the cells around them, so both sides meet by cell.
+    look into the cells around them, so both sides meet by cell. Cells of ``size`` are widened eightfold for the
+    points and kinds without a certain hit.
     """
-    at = lambda c: F.floor(c / reach).cast("int")
     box = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
-    lines = segments.withColumn("box", box).select("kind", "ax", "ay", "bx", "by", F.explode(cells_of("box", reach)).alias("cell"))
-    ring = F.array(*[F.struct((at(F.col("x")) + i).alias("i"), (at(F.col("y")) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    met = points.select("id", "x", "y", F.explode(ring).alias("cell")).join(lines, "cell")
+    lines = segments.where(F.col("kind").isin(kinds)).withColumn("box", box)
     d = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
-    near = met.withColumn("d", d).where(F.col("d") <= reach).groupBy("id").agg(*[F.min(F.when(F.col("kind") == k, F.col("d"))).alias(f"dist_{k}") for k in kinds])
+    present = [r["kind"] for r in lines.select("kind").distinct().collect()]
+    if not present:
+        return points.select("id", *[F.lit(None).cast("double").alias(f"dist_{k}") for k in kinds])
+    ends = lines.agg(F.max(F.greatest(*[F.abs(c) for c in ("ax", "ay", "bx", "by")]))).first()[0]
+    farthest = max(float(ends or 0.0), float(points.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0] or 0.0))
+    left = points.select("id", "x", "y", F.explode(F.array(*map(F.lit, present))).alias("kind"))
+    done, width = None, reach or size
+    while True:
+        last = width > 2 * farthest
+        at = lambda c, w=width: F.floor(c / w).cast("int")
+        ring = F.array(*[F.struct((at(F.col("x")) + i).alias("i"), (at(F.col("y")) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        met = left.select("id", "x", "y", "kind", F.explode(ring).alias("cell")).join(lines.select("kind", "ax", "ay", "bx", "by", F.explode(cells_of("box", width)).alias("cell")), ["kind", "cell"])
+        best = met.groupBy("id", "kind").agg(F.min(d).alias("d"))
+        sure = best if last and reach is None else best.where(F.col("d") <= width)
+        sure = sure if last or reach is not None else materialize(sure, "line-distances")
+        done = sure if done is None else done.unionByName(sure)
+        if last or reach is not None:
+            break
+        left = left.join(sure.select("id", "kind"), ["id", "kind"], "left_anti")
+        width *= 8
+    near = done.groupBy("id").agg(*[F.min(F.when(F.col("kind") == k, F.col("d"))).alias(f"dist_{k}") for k in kinds])
     return points.join(near, "id", "left").select("id", *[f"dist_{k}" for k in kinds])
 
 

@@ -257,8 +257,7 @@ def test_lengths_fall_back_by_year(spark):
 
 def test_stream_of_events(spark, tmp_path):
     from tallyroad.streaming import hourly
-    from tests_env import SF
-
+    
     src = str(tmp_path / "in")
     spark.read.parquet(f"{SF}/events.parquet").repartition(2).write.parquet(src)
     query = hourly.append_hours(hourly.hourly_counts(hourly.read_events(spark, src, 10)), str(tmp_path / "out"), str(tmp_path / "ck"))
@@ -385,6 +384,21 @@ def test_water_distances(spark):
     assert got == {1: (5.0, 3.0), 2: (None, None)}
 
 
+def test_water_distances_without_limit(spark):
+    rng = np.random.default_rng(4)
+    p, s = rng.random((30, 2)) * 100, rng.random((6, 4)) * 100
+    s[5] = [4000.0, 4000.0, 4100.0, 4300.0]
+    kinds = ["river", "river", "river", "canal", "canal", "coast"]
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(p)], "id long, x double, y double")
+    segments = spark.createDataFrame([(k, *map(float, r)) for k, r in zip(kinds, s, strict=True)], "kind string, ax double, ay double, bx double, by double")
+    a, b = s[None, :, :2], s[None, :, 2:]
+    t = np.clip(((p[:, None] - a) * (b - a)).sum(axis=2) / ((b - a) ** 2).sum(axis=2), 0, 1)
+    d = np.sqrt(((p[:, None] - a - t[..., None] * (b - a)) ** 2).sum(axis=2))
+    for r in spatial.line_distances(points, segments, ["river", "canal", "coast", "lake"], size=3.0).collect():
+        assert [r["dist_river"], r["dist_canal"], r["dist_coast"]] == pytest.approx([d[r["id"], :3].min(), d[r["id"], 3:5].min(), d[r["id"], 5]])
+        assert r["dist_lake"] is None
+
+
 def test_isolated_centres(spark):
     candidates = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 0.0), (3, 500.0, 0.0)], "id long, x double, y double")
     bases = spark.createDataFrame([(9, 40.0, 0.0)], "polygon long, x double, y double")
