@@ -62,7 +62,7 @@ def inclusion_model(spark: SparkSession, sf: str) -> DataFrame:
 def attribute_models(spark: SparkSession, sf: str) -> DataFrame:
     parts = _parts(spark, sf)
     models = {t: L.fit_forest(parts.where("fold >= 1"), ["size", "price"], c, "weight", trees=5) for t, c in (("type", "p_type"), ("brand", "p_brand"))}
-    return L.score_attributes(models, parts.where("fold = 0"), ["p_partkey"])
+    return L.score_attributes(models, parts, ["p_partkey", "fold"])
 
 
 def queries():

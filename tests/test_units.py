@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tallyroad.functions import scalars as C
 from tallyroad.operators import assembly, checks, estimation, learning, profiles, robustness, spatial, tags
 from tallyroad.operators import sensors as S
+from tallyroad.plans import models
 from tallyroad.sources import readers, writers
+from tests_env import SF
 
 
 def one(spark, column, schema="x string", *values):
@@ -257,7 +259,8 @@ def test_lengths_fall_back_by_year(spark):
 
 def test_stream_of_events(spark, tmp_path):
     from tallyroad.streaming import hourly
-    
+    from tests_env import SF
+
     src = str(tmp_path / "in")
     spark.read.parquet(f"{SF}/events.parquet").repartition(2).write.parquet(src)
     query = hourly.append_hours(hourly.hourly_counts(hourly.read_events(spark, src, 10)), str(tmp_path / "out"), str(tmp_path / "ck"))
@@ -470,3 +473,10 @@ def test_snapshot(spark):
     lengths, record = report.snapshot(ways, segments, polygons, 600.0)
     assert lengths.first()["len_d"] == pytest.approx(1.0) and lengths.first()["len_d_dedicated"] == pytest.approx(1.0)
     assert (record["n_candidates"], record["n_kept"], record["n_zones"]) == (2, 1, 1) and record["km"] == pytest.approx(0.5)
+
+
+def test_models_cover_all_rows(spark):
+    """Every part gets its attributes."""
+    parts = {r[0] for r in models.table(spark, SF, "part").select("p_partkey").collect()}
+    got = models.attribute_models(spark, SF).collect()
+    assert sorted(r["p_partkey"] for r in got) == sorted(parts) and {r["fold"] for r in got} == set(range(5))
