@@ -476,7 +476,10 @@ def test_snapshot(spark):
 
 
 def test_models_cover_all_rows(spark):
-    """Every part gets its attributes."""
+    """Every part gets its attributes; every customer a class by the model of all rows and one by a model that hasn't seen its nation."""
     parts = {r[0] for r in models.table(spark, SF, "part").select("p_partkey").collect()}
     got = models.attribute_models(spark, SF).collect()
     assert sorted(r["p_partkey"] for r in got) == sorted(parts) and {r["fold"] for r in got} == set(range(5))
+    customers = models.forest_predict(spark, SF).collect()
+    assert len(customers) == models.table(spark, SF, "customer").count() == len({r["c_custkey"] for r in customers})
+    assert {r["extrapolated"] for r in customers} == {0} and all(r["out_of_fold"] for r in customers)
