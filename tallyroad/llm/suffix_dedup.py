@@ -7,14 +7,16 @@ segment of at most SPAN strings. Keys that one document alone has can't repeat,
 out. The segments of the other keys go to their key's block, where the transform and the
 common prefixes of all distinct segments are built column by column (see ``bcr``): strings
 that share 50 bytes or more lie next to each other, so a run of common prefixes of 50 or
-more is one repeated string, and the smallest doc_id of its segments decides. Documents
-that are equal as a whole are collapsed before, segments that are equal within a batch of
-documents before they are sent.
+more is one repeated string, and the smallest doc_id of its segments decides. A key with
+more segments than a collection holds is split by the first symbols of its strings, so
+every collection is built the same way and has a bounded size. Documents that are equal as
+a whole are collapsed before, segments that are equal within a batch of documents before
+they are sent. What a block finds goes back in packets to the partition of the document,
+where it is merged, so that what is sent follows the removed bytes and not the blocks.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,8 @@ from tallyroad.llm import bcr, common
 
 LENGTH, PIECE = 50, 20
 SPAN = LENGTH - PIECE + 1
-#: Bytes of texts whose keys are found together, and segments of a collection (one key stays whole up to LARGE).
-CHUNK, COLLECTION, LARGE = 2 << 20, 4096, 16384
+#: Bytes of texts whose keys are found together, and segments of a collection.
+CHUNK, COLLECTION = 2 << 20, 4096
 #: Bytes of segments that a task gathers before it sends them.
 BATCH = 8 << 20
 _RNG = np.random.default_rng(5)
@@ -176,12 +178,36 @@ def _send_keys(buckets: int):
     return run
 
 
-def _rows_by_document(ids: np.ndarray, marks: np.ndarray, *values: np.ndarray) -> tuple[list, list, list]:
-    order = np.lexsort((marks, ids))
-    ids, marks = ids[order], marks[order]
-    cuts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]))) if len(ids) else np.zeros(0, np.int64)
-    stacked = np.stack([v[order] for v in values], axis=1)
-    return ids[cuts].tolist(), marks[cuts].tolist(), [stacked[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+def _deal(ids: np.ndarray, marks: np.ndarray, values: list[np.ndarray], targets: int) -> pa.RecordBatch:
+    """One packet for each target partition of documents: documents, how many values each has, and the values by document."""
+    target = marks.view(np.uint64) % np.uint64(targets)
+    order = np.lexsort((values[0], ids, marks, target))
+    target, ids, marks, values = target[order].astype(np.int64), ids[order], marks[order], [v[order] for v in values]
+    cuts = np.flatnonzero(np.diff(target, prepend=-1))
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(target)], strict=True):
+        i, m = ids[a:b], marks[a:b]
+        docs = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (m[1:] != m[:-1])))
+        counts = np.diff(np.append(docs, b - a)).astype(np.uint32)
+        # differences compress, and a value never changes by them: sums wrap as they did
+        out.append(_pack(i[docs], m[docs], counts, *[np.diff(v[a:b], prepend=v.dtype.type(0)) for v in values]))
+    return pa.RecordBatch.from_arrays([pa.array(target[cuts], pa.int32()), pa.array(out, pa.binary())], names=["target", "packet"])
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packets of a target partition -> a row for each document with all its values."""
+    for _, packets in _gathered(batches):
+        ids, marks, rows = [], [], []
+        for doc_ids, doc_marks, counts, *values in map(_unpack, packets):
+            ids.append(np.repeat(doc_ids, counts))
+            marks.append(np.repeat(doc_marks, counts))
+            rows.append(np.stack([np.cumsum(v, dtype=v.dtype) for v in values], axis=1))
+        i, m, stacked = np.concatenate(ids), np.concatenate(marks), np.concatenate(rows)
+        order = np.lexsort((m, i))
+        i, m, stacked = i[order], m[order], stacked[order]
+        cuts = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (m[1:] != m[:-1])))
+        held = [stacked[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(i)], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(i[cuts], pa.int64()), pa.array(m[cuts], pa.int64()), pa.array(held, pa.binary())], names=["doc_id", "mark", "found"])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
@@ -198,25 +224,28 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byt
         yield at, held
 
 
-def _repeated_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys that documents share: a row for each document of a bucket, with its shared keys."""
-    for bucket, packets in _gathered(batches):
-        parts = [_unpack(p) for p in packets]
-        lone = np.concatenate([p[2] for p in parts])
-        several = np.concatenate([p[4] for p in parts])
-        everything = np.sort(np.concatenate([lone, several]))
-        twice = np.unique(everything[1:][everything[1:] == everything[:-1]])
-        ids, marks, keys = [], [], []
-        for doc_ids, doc_marks, alone, who, _, known, whose in parts:
-            at = np.searchsorted(twice, alone)
-            at[at == len(twice)] = 0
-            hit = twice[at] == alone if len(twice) else np.zeros(len(alone), bool)
-            k, n = np.concatenate([alone[hit], known]), np.concatenate([who[hit], whose])
-            ids.append(doc_ids[n])
-            marks.append(doc_marks[n])
-            keys.append(k.astype(np.uint64) | (np.uint64(bucket) << np.uint64(32)))
-        a, b, c = _rows_by_document(np.concatenate(ids), np.concatenate(marks), np.concatenate(keys))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], names=["doc_id", "mark", "keys"])
+def _repeated_keys(targets: int):
+    """Packets of keys -> packets of the keys that documents share, for the partitions of the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, packets in _gathered(batches):
+            parts = [_unpack(p) for p in packets]
+            lone = np.concatenate([p[2] for p in parts])
+            several = np.concatenate([p[4] for p in parts])
+            everything = np.sort(np.concatenate([lone, several]))
+            twice = np.unique(everything[1:][everything[1:] == everything[:-1]])
+            ids, marks, keys = [], [], []
+            for doc_ids, doc_marks, alone, who, _, known, whose in parts:
+                at = np.searchsorted(twice, alone)
+                at[at == len(twice)] = 0
+                hit = twice[at] == alone if len(twice) else np.zeros(len(alone), bool)
+                k, n = np.concatenate([alone[hit], known]), np.concatenate([who[hit], whose])
+                ids.append(doc_ids[n])
+                marks.append(doc_marks[n])
+                keys.append(k.astype(np.uint64) | (np.uint64(bucket) << np.uint64(32)))
+            yield _deal(np.concatenate(ids), np.concatenate(marks), [np.concatenate(keys)], targets)
+
+    return run
 
 
 def _send_segments(buckets: int):
@@ -231,15 +260,14 @@ def _send_segments(buckets: int):
         sorted_content = occ[of_content, 0]
         gone = np.array(local, np.int64).reshape(-1, 4)  # doc_id, mark, start, end
         out_b, out_p = [], []
-        turn = 0
-        for b, rows in _by_bucket(key):
+        blocks = list(_by_bucket(key))
+        for turn, (b, rows) in enumerate(blocks):
             renumber = np.full(len(contents), -1, np.int64)
             renumber[rows] = np.arange(len(rows))
             lo, hi = np.searchsorted(sorted_content, rows), np.searchsorted(sorted_content, rows, side="right")
             mine = of_content[np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())]
             text = b"".join(contents[r] for r in rows)
-            g = gone if turn == 0 else gone[:0]
-            turn += 1
+            g = gone[turn :: len(blocks)]  # what is removed already travels in equal shares
             out_b.append(b)
             out_p.append(
                 _pack(
@@ -257,7 +285,7 @@ def _send_segments(buckets: int):
         size = 0
         for batch in batches:
             for doc_id, mark, text, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                wanted = np.unique(np.frombuffer(b"".join(keys), np.uint64))
+                wanted = np.unique(np.frombuffer(keys, np.uint64))
                 for piece in _pieces(0, text):
                     _, start, strings, key = _segments([piece], buckets)
                     at = np.searchsorted(wanted, key)
@@ -300,85 +328,124 @@ def _least_of_strings(contents: list[bytes], least: np.ndarray) -> list[np.ndarr
     return np.split(out, bases[1:])
 
 
-def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packets of segments -> a row for each document of a bucket, with removed ranges."""
-    for _, packets in _gathered(batches):
-        number: dict[tuple[int, bytes], int] = {}
-        occ: list[np.ndarray] = []
-        gone: list[np.ndarray] = []
-        for p in packets:
-            key, length, text, content, doc, mark, start, *local = _unpack(p)
-            raw, ends = text.tobytes(), np.cumsum(length.astype(np.int64))
-            mapped = np.fromiter((number.setdefault((k, raw[e - n : e]), len(number)) for k, e, n in zip(key.tolist(), ends.tolist(), length.tolist(), strict=True)), np.int64, len(key))
-            occ.append(np.stack([mapped[content], doc, mark, start], axis=1))
-            gone.append(np.stack(local, axis=1))
-        contents = [c for _, c in number]
-        keys = np.fromiter((k for k, _ in number), np.int64, len(number))
-        every = np.concatenate(occ)
-        least = np.full(len(contents), np.iinfo(np.int64).max)
-        np.minimum.at(least, every[:, 0], every[:, 1])
-        # a key with one content decides by documents alone; the others by suffix structures of several keys each
-        order = np.argsort(keys, kind="stable")
-        cuts = np.flatnonzero(np.diff(keys[order], prepend=-1))
-        sizes = np.diff(np.append(cuts, len(order)))
-        strings: dict[int, np.ndarray] = {}
-        block: list[int] = []
-        for a, n in zip(cuts.tolist(), sizes.tolist(), strict=True):
-            if n == 1:
-                continue
-            if n > LARGE:
-                strings |= _large(contents, least, order[a : a + n])
-                continue
-            block += order[a : a + n].tolist()
-            if len(block) >= COLLECTION:
-                strings |= dict(zip(block, _least_of_strings([contents[i] for i in block], least[block]), strict=True))
-                block = []
-        if block:
-            strings |= dict(zip(block, _least_of_strings([contents[i] for i in block], least[block]), strict=True))
-        rows: list[tuple[int, int, int, int]] = []
-        plain = np.fromiter((i not in strings for i in range(len(contents))), bool, len(contents))
-        simple = every[plain[every[:, 0]]]
-        simple = simple[least[simple[:, 0]] < simple[:, 1]]
-        lengths = np.fromiter(map(len, contents), np.int64, len(contents))
-        gone.append(np.stack([simple[:, 1], simple[:, 2], simple[:, 3], simple[:, 3] + lengths[simple[:, 0]]], axis=1))
-        for c, doc, mark, start in every[~plain[every[:, 0]]].tolist():
-            cut = strings[c] < doc
-            if cut.all():
-                rows.append((doc, mark, start, start + len(cut) + LENGTH - 1))
-            elif cut.any():
-                step = np.flatnonzero(np.diff(np.concatenate([[0], cut.view(np.int8), [0]])))
-                rows += [(doc, mark, start + a, start + b + LENGTH - 1) for a, b in step.reshape(-1, 2).tolist()]
-        found = np.concatenate([*gone, np.array(rows, np.int64).reshape(-1, 4)])
-        a, b, c = _rows_by_document(found[:, 0], found[:, 1], found[:, 2], found[:, 3])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], names=["doc_id", "mark", "ranges"])
-
-
-def _large(contents: list[bytes], least: np.ndarray, rows: np.ndarray) -> dict[int, np.ndarray]:
-    """One key with very many contents: its strings are dealt by a hash of their own into collections."""
-    parts = -(-len(rows) * SPAN // LARGE)
-    out = {int(i): np.zeros(len(contents[i]) - LENGTH + 1, np.int64) for i in rows}
-    dealt: list[dict[bytes, list[tuple[int, int]]]] = [{} for _ in range(parts)]
-    for i in out:
-        for o in range(len(out[i])):
-            s = contents[i][o : o + LENGTH]
-            dealt[int.from_bytes(hashlib.blake2b(s, digest_size=4).digest()) % parts].setdefault(s, []).append((i, o))
-    for held in dealt:
-        if held:
-            lows = np.array([min(least[i] for i, _ in places) for places in held.values()])
-            for value, places in zip(_least_of_strings(list(held), lows), held.values(), strict=True):
-                for i, o in places:
-                    out[i][o] = value[0]
-    return out
+def _by_first_symbols(flat: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
+    """Strings of LENGTH at ``starts`` in groups of at most COLLECTION that no equal string is outside of; larger ones hold one string only."""
+    waiting = [(np.arange(len(starts)), 0)]
+    while waiting:
+        rows, depth = waiting.pop()
+        if len(rows) <= COLLECTION or depth == LENGTH:
+            yield rows
+            continue
+        symbol = flat[starts[rows] + depth].astype(np.int64)
+        order = np.argsort(symbol, kind="stable")
+        waiting += [(part, depth + 1) for part in np.split(rows[order], np.flatnonzero(np.diff(symbol[order])) + 1)]
+
+
+def _split_key(contents: list[bytes], least: np.ndarray) -> list[np.ndarray]:
+    """As _least_of_strings, for a key with more contents than a collection holds."""
+    counts = np.fromiter((len(c) - LENGTH + 1 for c in contents), np.int64, len(contents))
+    flat = np.frombuffer(b"".join(contents), np.uint8)
+    owner = np.repeat(np.arange(len(contents)), counts)
+    begins = np.cumsum(counts + LENGTH - 1) - (counts + LENGTH - 1)
+    firsts = np.cumsum(counts) - counts
+    starts = begins[owner] + np.arange(len(owner)) - firsts[owner]
+    out = np.empty(len(owner), np.int64)
+    block: list[np.ndarray] = []
+
+    def build() -> None:
+        rows = np.concatenate(block)
+        found = _least_of_strings([flat[s : s + LENGTH].tobytes() for s in starts[rows].tolist()], least[owner[rows]])
+        out[rows] = np.concatenate(found)
+        block.clear()
+
+    for rows in _by_first_symbols(flat, starts):
+        if len(rows) > COLLECTION:  # equal strings: one of them stands for all
+            out[rows] = least[owner[rows]].min()
+            continue
+        block.append(rows)
+        if sum(map(len, block)) >= COLLECTION:
+            build()
+    if block:
+        build()
+    return np.split(out, firsts[1:])
+
+
+def _joined(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(doc_id, mark, [start, length]) of (doc_id, mark, start, end) ranges, with those of a document that meet made one."""
+    found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
+    other = np.append(True, (found[1:, 0] != found[:-1, 0]) | (found[1:, 1] != found[:-1, 1]))[: len(found)]
+    shift = np.cumsum(other) << 40  # no text has as many bytes, so a document's ranges end before the next one's
+    reach = np.maximum.accumulate(found[:, 3] + shift)
+    new = np.flatnonzero(np.append(True, found[1:, 2] + shift[1:] > reach[:-1])[: len(found)])
+    ends = (reach - shift)[np.append(new[1:], len(found)) - 1]
+    return found[new, 0], found[new, 1], [found[new, 2], ends - found[new, 2]]
+
+
+def _removals(targets: int):
+    """Packets of segments -> packets of removed ranges, for the partitions of the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, packets in _gathered(batches):
+            number: dict[tuple[int, bytes], int] = {}
+            occ: list[np.ndarray] = []
+            gone: list[np.ndarray] = []
+            for p in packets:
+                key, length, text, content, doc, mark, start, *local = _unpack(p)
+                raw, ends = text.tobytes(), np.cumsum(length.astype(np.int64))
+                mapped = np.fromiter((number.setdefault((k, raw[e - n : e]), len(number)) for k, e, n in zip(key.tolist(), ends.tolist(), length.tolist(), strict=True)), np.int64, len(key))
+                occ.append(np.stack([mapped[content], doc, mark, start], axis=1))
+                gone.append(np.stack(local, axis=1))
+            contents = [c for _, c in number]
+            keys = np.fromiter((k for k, _ in number), np.int64, len(number))
+            every = np.concatenate(occ)
+            least = np.full(len(contents), np.iinfo(np.int64).max)
+            np.minimum.at(least, every[:, 0], every[:, 1])
+            order = np.argsort(keys, kind="stable")
+            cuts = np.flatnonzero(np.diff(keys[order], prepend=-1))
+            sizes = np.diff(np.append(cuts, len(order)))
+            strings: list[np.ndarray] = [np.zeros(0, np.int64)] * len(contents)
+            block: list[int] = []
+
+            def build(rows: list[int], how) -> None:
+                for i, found in zip(rows, how([contents[i] for i in rows], least[rows]), strict=True):
+                    strings[i] = found
+
+            for a, n in zip(cuts.tolist(), sizes.tolist(), strict=True):
+                rows = order[a : a + n].tolist()
+                if n > COLLECTION:
+                    build(rows, _split_key)
+                    continue
+                if len(block) + n > COLLECTION:
+                    build(block, _least_of_strings)
+                    block = []
+                block += rows
+            if block:
+                build(block, _least_of_strings)
+            # the strings of every occurrence that a smaller document has, as ranges
+            counts = np.fromiter(map(len, strings), np.int64, len(strings))
+            bases, flat = np.cumsum(counts) - counts, np.concatenate(strings)
+            n = counts[every[:, 0]]
+            owner = np.repeat(np.arange(len(every)), n)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+            cut = flat[bases[every[owner, 0]] + nth] < every[owner, 1]
+            first = cut & np.append(True, ~cut[:-1] | (owner[1:] != owner[:-1]))[: len(cut)]
+            last = cut & np.append(~cut[1:] | (owner[1:] != owner[:-1]), True)[: len(cut)]
+            who = every[owner[first]]
+            begin, end = who[:, 3] + nth[first], who[:, 3] + nth[last] + LENGTH
+            gone.append(np.stack([who[:, 1], who[:, 2], begin, end], axis=1))
+            yield _deal(*_joined(np.concatenate(gone)), targets)
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: dict[str, list] = {"doc_id": [], "mark": [], "n_removed": [], "n_spans": [], "kept": []}
         for doc_id, mark, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            pairs = np.frombuffer(b"".join(ranges), np.int64).reshape(-1, 2)
+            pairs = np.frombuffer(ranges, np.int64).reshape(-1, 2)
             edge = np.zeros(len(text) + 1, np.int64)
             np.add.at(edge, pairs[:, 0], 1)
-            np.add.at(edge, pairs[:, 1], -1)
+            np.add.at(edge, pairs.sum(axis=1), -1)
             removed = np.cumsum(edge)[:-1] > 0
             out["doc_id"].append(doc_id)
             out["mark"].append(mark)
@@ -397,11 +464,12 @@ def _structures(docs: DataFrame):
     info = common.materialize(told.join(common.materialize(firsts, "firsts"), "sha"), "texts")
     alone = info.where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select("doc_id", "mark").distinct()
     join = lambda other: base.join(other, ["doc_id", "mark"])
-    keys = join(alone).select("doc_id", "mark", "text").mapInArrow(_send_keys(buckets), "bucket int, packet binary").repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
-    shared = keys.mapInArrow(_repeated_keys, "doc_id long, mark long, keys binary").groupBy("doc_id", "mark").agg(F.collect_list("keys").alias("keys"))
-    segments = join(shared).select("doc_id", "mark", "text", "keys").mapInArrow(_send_segments(buckets), "bucket int, packet binary").repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
-    removed = segments.mapInArrow(_removals, "doc_id long, mark long, ranges binary").groupBy("doc_id", "mark").agg(F.collect_list("ranges").alias("ranges"))
-    cut = join(removed).select("doc_id", "mark", "text", "ranges").mapInArrow(_cut, "doc_id long, mark long, n_removed long, n_spans long, kept binary")
+    gathered = lambda df, key: df.repartitionById(buckets, key).sortWithinPartitions(key)
+    keys = gathered(join(alone).select("doc_id", "mark", "text").mapInArrow(_send_keys(buckets), "bucket int, packet binary"), "bucket")
+    shared = gathered(keys.mapInArrow(_repeated_keys(buckets), "target int, packet binary"), "target").mapInArrow(_by_document, "doc_id long, mark long, found binary")
+    segments = gathered(join(shared).select("doc_id", "mark", "text", "found").mapInArrow(_send_segments(buckets), "bucket int, packet binary"), "bucket")
+    removed = gathered(segments.mapInArrow(_removals(buckets), "target int, packet binary"), "target").mapInArrow(_by_document, "doc_id long, mark long, found binary")
+    cut = join(removed).select("doc_id", "mark", "text", "found").mapInArrow(_cut, "doc_id long, mark long, n_removed long, n_spans long, kept binary")
     return info, cut
 
 

@@ -197,12 +197,11 @@ def test_suffix_dedup_documents(spark):
     assert removed(SD.op9_suffix_dedup(spark, SF)) == removal_truth(documents())
 
 
-@pytest.mark.parametrize("large", [16384, 3])
-def test_suffix_dedup_periods_and_pieces(spark, monkeypatch, large):
-    """Periodic texts, families of near copies, pieces of a few bytes and keys with very many contents."""
+@pytest.mark.parametrize("collection", [4096, 16, 3])
+def test_suffix_dedup_periods_and_pieces(spark, monkeypatch, collection):
+    """Periodic texts, families of near copies, pieces of a few bytes and keys with more segments than a collection."""
     monkeypatch.setattr(SD, "CHUNK", 300)
-    monkeypatch.setattr(SD, "COLLECTION", 16)
-    monkeypatch.setattr(SD, "LARGE", large)
+    monkeypatch.setattr(SD, "COLLECTION", collection)
     rng = np.random.default_rng(6)
     base = "".join(rng.choice(list("abcd "), 900))
     texts = {}
@@ -227,6 +226,24 @@ def test_suffix_dedup_awkward(spark):
     assert SD.suffix_dedup(empty(spark)).count() == 0
 
 
+def test_split_key_finds_the_same(monkeypatch):
+    """Collections split by the first symbols decide as one collection does, also where one string is very common."""
+    rng = np.random.default_rng(12)
+    common = bytes(rng.choice([97, 98], 60).astype(np.uint8))
+    contents = [bytes(rng.choice([97, 98], rng.integers(0, 9)).astype(np.uint8)) + common + bytes(rng.choice([97, 98], rng.integers(0, 9)).astype(np.uint8)) for _ in range(40)]
+    least = rng.integers(0, 1000, len(contents))
+    want = SD._least_of_strings(contents, least)
+    monkeypatch.setattr(SD, "COLLECTION", 5)
+    got = SD._split_key(contents, least)
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+
+
+def test_ranges_are_joined():
+    found = np.array([[1, 7, 0, 60], [1, 7, 50, 55], [1, 7, 60, 70], [1, 7, 90, 95], [1, 8, 3, 9], [2, 7, 3, 9]])
+    ids, marks, (start, length) = SD._joined(found[::-1])
+    assert list(zip(ids.tolist(), marks.tolist(), start.tolist(), length.tolist(), strict=True)) == [(1, 7, 0, 70), (1, 7, 90, 5), (1, 8, 3, 6), (2, 7, 3, 6)]
+
+
 def test_suffix_structure():
     rng = np.random.default_rng(7)
     for _ in range(40):
