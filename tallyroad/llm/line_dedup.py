@@ -2,14 +2,15 @@
 
 Each line's key is hashed to 128 bits. The hashes are range-partitioned with a secondary
 sort by document and position, so that a key of any frequency spreads over several
-partitions and each partition streams the first occurrence of a key in a document. Those
-are counted per key with map-side combination, and the decision comes back to the
-documents as a run-length compressed bitmap of the lines that stay, not as text.
+partitions, and each partition streams through its rows and passes on the first occurrence
+of a key in a document. Those are counted per key with map-side combination, and the
+decision comes back to the documents as a run-length compressed bitmap of the lines that
+stay, not as text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroad.llm import common
@@ -25,32 +26,43 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _drops(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """(doc_id, dropped): sorted positions of the lines each document loses; documents that lose none are absent."""
-    spark = docs.sparkSession
+def _runs(dropped: Column, n_lines: Column) -> Column:
+    """Kept runs as (start, length) structs, from sorted dropped positions."""
+    before = F.concat(F.array(F.lit(-1)), dropped)
+    after = F.concat(dropped, F.array(n_lines))
+    gaps = F.zip_with(before, after, lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("length")))
+    return F.filter(gaps, lambda r: r["length"] > 0)
+
+
+def first_occurrences(occurrences: DataFrame, partitions: int) -> DataFrame:
+    """Rows (h1, h2, doc_id, mark, pos) that are the first of their key and document, streamed from sorted ranges of hashes."""
+    ordered = occurrences.repartitionByRange(partitions, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "mark", "pos")
+    # the ranges keep a key's rows of one document together and in order: the window needs no further shuffle or sort
+    return ordered.withColumn("nth", F.row_number().over(Window.partitionBy("h1", "h2", "doc_id").orderBy("mark", "pos"))).where("nth = 1").drop("nth")
+
+
+def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(doc_id, mark, n_dropped, keep_runs) of the texts that lose lines: their kept lines as a run-length bitmap.
+
+    ``docs`` has doc_id (not null), mark (a hash of the text, which tells rows of one doc_id apart) and text.
+    """
     key = line_key(F.col("line"))
+    lines = lines_of(F.col("text"))
     occurrences = common.materialize(
-        docs.select("doc_id", F.posexplode(lines_of(common.text_of())).alias("pos", "line"))
+        docs.select("doc_id", "mark", F.size(lines).alias("n_lines"), F.posexplode(lines).alias("pos", "line"))
         .withColumn("key", key)
         .where(F.char_length("key") >= min_chars)
-        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "pos"),
+        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "mark", "n_lines", "pos"),
         "lines",
     )
-    ordered = occurrences.repartitionByRange(common.shuffle_partitions(spark), "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "pos")
-    firsts = ordered.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("first"))  # clustered already: no shuffle
+    firsts = first_occurrences(occurrences.drop("n_lines"), common.shuffle_partitions(docs.sparkSession))
     repeated = common.materialize(
         firsts.groupBy("h1", "h2").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keep_id")).where(F.col("n_docs") >= min_docs).select("h1", "h2", "keep_id"),
         "line-keys",
     )
-    return occurrences.join(repeated, ["h1", "h2"]).where(F.col("doc_id") != F.col("keep_id")).groupBy("doc_id").agg(F.array_sort(F.collect_list("pos")).alias("dropped"))
-
-
-def _runs(dropped: Column, n_lines: Column) -> Column:
-    """Kept runs as (start, length) structs, from sorted dropped positions."""
-    before = F.concat(F.array(F.lit(-1)), dropped)
-    after = F.concat(dropped, F.array(n_lines.cast("int")))
-    gaps = F.zip_with(before, after, lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("length")))
-    return F.filter(gaps, lambda r: r["length"] > 0)
+    dropped = occurrences.join(repeated, ["h1", "h2"]).where(F.col("doc_id") != F.col("keep_id"))
+    positions = dropped.groupBy("doc_id", "mark").agg(F.max("n_lines").alias("n_lines"), F.array_sort(F.collect_set("pos")).alias("dropped"))
+    return positions.select("doc_id", "mark", F.size("dropped").cast("long").alias("n_dropped"), _runs(F.col("dropped"), F.col("n_lines")).alias("keep_runs"))
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, other: tuple[str, ...] = ()) -> DataFrame:
@@ -61,21 +73,20 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     code points that at least ``min_docs`` documents hold lose all lines elsewhere than in the largest
     doc_id. Returns doc_id, n_lines, n_dropped, ``keep_runs`` (run-length bitmap of kept lines: start,
     length), ``text`` (kept lines, joined by newlines) and carried. A null or empty text is one
-    empty line; rows that repeat a doc_id are one document to the count and lose the same positions; rows with a null
-    doc_id take no part and keep all their lines; an empty table gives an empty table.
+    empty line; rows that repeat a doc_id are one document to the count, and each loses the lines of its
+    own text; rows with a null doc_id take no part and keep all their lines; an empty table gives an empty table.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"), common.carry(other))
-    drops = _drops(base.select("doc_id", "text").where(F.col("doc_id").isNotNull()), min_chars, min_docs)
-    joined = base.join(drops.withColumn("dropped", F.array_distinct("dropped")), "doc_id", "left")
-    lines, dropped = lines_of(F.col("text")), F.coalesce("dropped", F.array().cast("array<int>"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"), common.carry(other)).withColumn("mark", F.xxhash64("text"))
+    bitmaps = keep_bitmaps(base.select("doc_id", "mark", "text").where(F.col("doc_id").isNotNull()), min_chars, min_docs)
+    joined = base.join(bitmaps, ["doc_id", "mark"], "left")
+    lines = lines_of(F.col("text"))
     # bound as a lambda variable, the split text is made once and not once a run
     kept = F.transform(F.array(lines), lambda whole: F.flatten(F.transform("keep_runs", lambda r: F.slice(whole, r["start"] + 1, r["length"]))))[0]
     return (
         joined.withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("n_dropped", F.size(dropped).cast("long"))
-        .withColumn("keep_runs", _runs(dropped, F.col("n_lines")))
-        .withColumn("text", F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .select("doc_id", "n_lines", "n_dropped", "keep_runs", "text", "carried")
+        .withColumn("text", F.when(F.col("keep_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
+        .withColumn("keep_runs", F.coalesce("keep_runs", F.array(F.struct(F.lit(0).alias("start"), F.col("n_lines").cast("int").alias("length")))))
+        .select("doc_id", "n_lines", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_runs", "text", "carried")
     )
 
 

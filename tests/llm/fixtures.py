@@ -32,6 +32,8 @@ AWKWARD = [
     (None, "no id here at all, but words"),
     (None, None),
     (-5, BASE),
+    (14, f"{LINE}\nan other text\n{LINE}\nunder one id"),
+    (13, "keep me first\nkeep me second"),
     (2**62, "Released under the MIT License."),
 ]
 

@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from llm.fixtures import AWKWARD, BASE, LONG, awkward, empty
+from llm.fixtures import AWKWARD, BASE, LINE, LONG, awkward, empty
 from oracle import compare
 from tallyroad.llm import bcr, entry
 from tallyroad.llm import exact_dedup as E
@@ -72,11 +72,31 @@ def test_bloom_rounds_lose_nothing(spark, monkeypatch):
 
 
 def test_lines_awkward(spark):
-    got = {(r["doc_id"], r["n_lines"]): r for r in LD.line_dedup(awkward(spark)).collect()}
-    assert got[12, 3]["text"] == "first" and got[12, 3]["n_dropped"] == 2 and [tuple(x) for x in got[12, 3]["keep_runs"]] == [(1, 1)]
-    assert got[13, 2]["text"] == "second" and got[14, 2]["n_dropped"] == 0
-    assert got[4, 1]["text"] == "" and LD.line_dedup(empty(spark)).count() == 0
-    assert sum(r["doc_id"] is None for r in LD.line_dedup(awkward(spark)).collect()) == 2
+    rows = LD.line_dedup(awkward(spark)).collect()
+    assert len(rows) == len(AWKWARD)
+    got = {(r["doc_id"], r["n_lines"], r["text"]): r for r in rows}
+    assert got[12, 3, "first"]["n_dropped"] == 2 and [tuple(x) for x in got[12, 3, "first"]["keep_runs"]] == [(1, 1)]
+    assert got[13, 2, "second"]["n_dropped"] == 1
+    # rows of one doc_id with different texts keep and lose their own lines
+    assert [tuple(x) for x in got[13, 2, "keep me first\nkeep me second"]["keep_runs"]] == [(0, 2)]
+    assert got[14, 2, f"{LINE}\nthird"]["n_dropped"] == 0 and got[14, 4, f"{LINE}\nan other text\n{LINE}\nunder one id"]["n_dropped"] == 0
+    assert got[4, 1, ""]["n_dropped"] == 0 and LD.line_dedup(empty(spark)).count() == 0
+    assert sum(r["doc_id"] is None for r in rows) == 2
+
+
+def test_lines_of_one_id_with_two_texts(spark):
+    docs = spark.createDataFrame([(1, f"{LINE}\nkeep me first"), (1, f"keep me too\n{LINE}"), (2, LINE), (3, LINE)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"], r["n_dropped"]) for r in LD.line_dedup(docs).collect())
+    assert got == [(1, "keep me first", 1), (1, "keep me too", 1), (2, "", 1), (3, LINE, 0)]
+
+
+def test_first_occurrences_are_streamed_from_sorted_ranges(spark):
+    """The plan keeps the ranges and the secondary sort and adds neither shuffle nor sort for the window."""
+    rows = [(k % 3, 0, d, 0, p) for k in range(4) for d in range(5) for p in range(3)]
+    firsts = LD.first_occurrences(spark.createDataFrame(rows, "h1 long, h2 long, doc_id long, mark long, pos int"), 8)
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == plan.count("Exchange ") == 1 and plan.count("Sort [h1") == 1 and plan.index("Window") < plan.index("Sort [h1")
+    assert sorted((r["h1"], r["doc_id"], r["pos"]) for r in firsts.collect()) == [(k, d, 0) for k in range(3) for d in range(5)]
 
 
 # ---- similarity
