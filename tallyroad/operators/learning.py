@@ -2,7 +2,8 @@
 
 The mixture is fitted by EM on distributed moments: each pass over the rows returns, for
 each cluster, the weight, the weighted sum and the weighted cross products of the vectors,
-whose size does not depend on the number of rows; the small steps run on those.
+whose size does not depend on the number of rows; the small steps run on those. One pass
+serves all starts, models and seeds that are being fitted.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -23,11 +25,15 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyroad.sources.scratch import materialize
+
 #: Spline functions and weights of the profile blocks (day, week, year), and the weight of spectral features.
 BASES = {"day": (24, 12, 1.25), "week": (168, 18, 2.5), "year": (52, 6, 1.5)}
 SPECTRAL_WEIGHT = 0.75
-#: Rows that are fitted on the driver; a mixture of more is fitted on the executors with the same steps.
-LOCAL_ROWS = 20_000
+#: Rows that a partial sum covers, most partial sums of a pass, and rows (of least hash) that starts are chosen from.
+BLOCK_ROWS, MOST_BLOCKS, START_ROWS = 4096, 4096, 2000
+#: Starts of each fit; the likeliest end counts.
+STARTS = 3
 MODELS = ("DkBk", "DkB", "DBk", "DB", "AkjBk", "AkjB", "AkBk", "AkB", "AjBk", "AjB", "ABk", "AB")
 
 
@@ -148,35 +154,57 @@ def n_parameters(model: str, k: int, p: int) -> float:
     return common + (k if model == "ABk" else inner[head]) + (1 if model == "ABk" else noise)
 
 
-def _local(rows: DataFrame) -> DataFrame | list:
-    """Up to LOCAL_ROWS rows as one list of batches on the driver, where a pass costs no job; more stay distributed."""
-    head = rows.limit(LOCAL_ROWS + 1).toArrow()
-    return rows if head.num_rows > LOCAL_ROWS else head.combine_chunks().to_batches()
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(block, site, coefs) written in blocks of about BLOCK_ROWS by a hash of the site, in order of site: sums never depend on the machine's cores."""
+    flat = materialize(rows.select("site", "coefs"), "mixture-rows")
+    blocks = max(1, min(MOST_BLOCKS, -(-flat.count() // BLOCK_ROWS)))
+    placed = flat.select(F.pmod(F.xxhash64("site"), F.lit(blocks)).cast("int").alias("block"), "site", "coefs")
+    return materialize(placed.repartition(blocks, "block").sortWithinPartitions("block", "site"), "mixture-blocks")
 
 
-def _moments(rows: DataFrame | list, weigh, k: int, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float]:
-    """(weights, sums, cross products, log-likelihood, entropy) over all rows; one row of k * p * p numbers a partition."""
+def _moments(table: DataFrame, weighers: list, sizes: list[int], p: int) -> list[tuple]:
+    """(weights, sums, cross products, log-likelihood, entropy) over all rows for each weigher; a row of numbers for each block, added in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s1, s2, total, entropy = np.zeros(k), np.zeros((k, p)), np.zeros((k, p, p)), 0.0, 0.0
         for batch in batches:
-            if batch.num_rows:
-                y = np.array(batch.column(1).to_pylist(), float)
-                t, ll = weigh(batch.column(0).to_pylist(), y)
-                n += t.sum(axis=0)
-                s1 += t.T @ y
-                s2 += np.einsum("nk,ni,nj->kij", t, y, y)
-                total += ll
-                entropy -= float((t * np.log(np.clip(t, 1e-6, None))).sum())
-        yield pa.RecordBatch.from_pydict({"v": pa.array([np.concatenate([n, s1.ravel(), s2.ravel(), [total, entropy]]).tolist()], pa.list_(pa.float64()))})
-
-    flat = np.zeros(k + k * p + k * p * p + 2)
-    if isinstance(rows, list):
-        flat += np.array(next(run(iter(rows))).column(0)[0].as_py())
-    else:
-        for r in rows.mapInArrow(run, "v array<double>").toLocalIterator():
-            flat += np.array(r["v"])
-    return flat[:k], flat[k : k + k * p].reshape(k, p), flat[k + k * p : -2].reshape(k, p, p), flat[-2], flat[-1]
+            if not batch.num_rows:
+                continue
+            block, site, y = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), np.array(batch.column(2).to_pylist(), float)
+            cuts = np.flatnonzero(np.diff(block, prepend=-1))
+            for a, b in zip(cuts, [*cuts[1:], len(block)], strict=True):
+                part, values = y[a:b], []
+                for weigh in weighers:
+                    t, loglik = weigh(part)
+                    values += [t.sum(axis=0), (t.T @ part).ravel(), np.einsum("nk,ni,nj->kij", t, part, part).ravel(), [loglik, -float((t * np.log(np.clip(t, 1e-6, None))).sum())]]
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block[a]], pa.int32()), "first": pa.array([int(site[a])], pa.int64()), "v": pa.array([np.concatenate(values).tolist()], pa.list_(pa.float64()))})
+
+    flat = np.zeros(sum(k + k * p + k * p * p + 2 for k in sizes))
+    for r in table.mapInArrow(run, "block int, first long, v array<double>").orderBy("block", "first").toLocalIterator():
+        flat += np.array(r["v"])
+    out, at = [], 0
+    for k in sizes:
+        n, s1, s2, rest = np.split(flat[at : at + k + k * p + k * p * p + 2], np.cumsum([k, k * p, k * p * p]))
+        out.append((n, s1.reshape(k, p), s2.reshape(k, p, p), float(rest[0]), float(rest[1])))
+        at += k + k * p + k * p * p + 2
+    return out
+
+
+def start_centres(y: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray:
+    """k centres: spread first choices (each by its squared distance to those before) and Lloyd rounds; a cluster that empties moves to the farthest row."""
+    rng = np.random.default_rng(seed)
+    centres = y[[rng.integers(len(y))]]
+    while len(centres) < k:
+        gap = ((y[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1)
+        total = gap.sum()
+        centres = np.vstack([centres, y[min(int(np.searchsorted(np.cumsum(gap), rng.random() * total, "right")), len(y) - 1) if total > 0 else rng.integers(len(y))]])
+    for _ in range(rounds):
+        gap = ((y[:, None] - centres[None]) ** 2).sum(axis=2)
+        own = gap.argmin(axis=1)
+        for c in range(k):
+            if not (own == c).any():
+                own[gap.min(axis=1).argmax()] = c
+        centres = np.stack([y[own == c].mean(axis=0) if (own == c).any() else centres[c] for c in range(k)])
+    return centres
 
 
 def _steps(n: np.ndarray, s1: np.ndarray, s2: np.ndarray, metric: np.ndarray, model: str) -> Mixture:
@@ -220,46 +248,68 @@ def _posterior(mixture: Mixture, y: np.ndarray) -> tuple[np.ndarray, float]:
     return e / e.sum(axis=1, keepdims=True), float((np.log(e.sum(axis=1)) + top[:, 0]).sum())
 
 
-def fit_mixture(rows: DataFrame, metric: np.ndarray, k: int, model: str = "AkBk", seed: int = 42, maxit: int = 50, eps: float = 1e-6, retries: int = 5) -> Mixture:
-    """EM from a random partition by a hash of the site; an almost empty cluster restarts with the next seed."""
-    if model not in MODELS or k < 2:
+def _nearest(centres: np.ndarray):
+    def weigh(y: np.ndarray) -> tuple[np.ndarray, float]:
+        t = np.zeros((len(y), len(centres)))
+        t[np.arange(len(y)), ((y[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)] = 1.0
+        return t, 0.0
+
+    return weigh
+
+
+def _filled(n: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Moments of a first partition, mixed with the even one as far as a cluster of less than two rows needs it."""
+    k, total = len(n), n.sum()
+    lack = max(0.0, 2.0 - n.min())
+    e = min(1.0, lack / max(total / k - n.min(), 1e-9)) if lack else 0.0
+    return (1 - e) * n + e * total / k, (1 - e) * s1 + e * s1.sum(axis=0) / k, (1 - e) * s2 + e * s2.sum(axis=0) / k
+
+
+def fit_mixtures(rows: DataFrame, metric: np.ndarray, wanted: list[tuple[int, str, int]], maxit: int = 50, eps: float = 1e-6, starts: int = STARTS) -> list[Mixture]:
+    """EM for each (k, model, seed), all in the same passes over the rows; of a fit's starts the likeliest.
+
+    A start is a partition by the nearest of k centres that are chosen from START_ROWS rows. A step that would
+    leave a cluster almost empty (a weight of one row or less) ends its start at the step before. Fewer than
+    two rows a cluster are an error.
+    """
+    if any(model not in MODELS or k < 2 for k, model, _ in wanted):
         raise ValueError(f"model must be one of {MODELS} and k at least 2")
-    rows = rows.select("site", "coefs")
-    p, data = len(metric), _local(rows)
-    # first centres: rows of the k smallest hashes of the seed
-    for attempt in range(retries):
-        centres = np.array([r["coefs"] for r in rows.orderBy(F.xxhash64("site", F.lit(seed + attempt)), "site").limit(k).collect()])
-        if len(centres) < k:
-            raise ValueError("fewer rows than clusters")
-
-        def nearest(_, y, centres=centres):
-            t = np.zeros((len(y), k))
-            t[np.arange(len(y)), ((y[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)] = 1.0
-            return t, 0.0
-
-        try:
-            for _ in range(5):  # a few Lloyd rounds
-                n, s1, s2, _, _ = _moments(data, lambda s, y, f=nearest: f(s, y), k, p)
-                centres = np.where(n[:, None] > 0, s1 / np.maximum(n, 1)[:, None], centres)
-                nearest.__defaults__ = (centres,)
-            mixture = _steps(n, s1, s2, metric, model)
-            before, entropy = float("-inf"), 0.0
-            for _ in range(maxit):
-                n, s1, s2, loglik, entropy = _moments(data, lambda _, y, m=mixture: _posterior(m, y), k, p)
-                new = _steps(n, s1, s2, metric, model)
-                new.loglik = loglik
-                mixture = new
-                if abs(loglik - before) < eps * abs(loglik):
-                    break
-                before = loglik
-            q = n_parameters(model, k, p)
-            mixture.aic, mixture.bic = mixture.loglik - q, mixture.loglik - 0.5 * q * np.log(n.sum())
-            mixture.icl = mixture.bic - entropy
-            return mixture
-        except ValueError:
-            if attempt + 1 == retries:
-                raise
-    raise AssertionError
+    table, p = _blocks(rows), len(metric)
+    y = np.array([r["coefs"] for r in table.orderBy(F.xxhash64("site", F.lit(0)), "site").limit(START_ROWS).collect()], float)
+    if len(y) < 2 * max(k for k, _, _ in wanted):
+        raise ValueError("fewer than two rows a cluster")
+    tries = [(w, *one, start) for w, one in enumerate(wanted) for start in range(starts)]
+    # models of one k and seed begin alike
+    begun = {(k, seed, start): _nearest(start_centres(y, k, 1000 * seed + start)) for _, k, _, seed, start in tries}
+    first = dict(zip(begun, _moments(table, list(begun.values()), [k for k, _, _ in begun], p), strict=True))
+    fits = [_steps(*_filled(*first[k, seed, start][:3]), metric, model) for _, k, model, seed, start in tries]
+    entropy, before, live = [0.0] * len(tries), [float("-inf")] * len(tries), list(range(len(tries)))
+    for turn in range(maxit):
+        found = _moments(table, [partial(_posterior, fits[i]) for i in live], [tries[i][1] for i in live], p)
+        more = []
+        for i, (n, s1, s2, loglik, spread) in zip(live, found, strict=True):
+            if not np.isfinite(loglik):
+                continue
+            fits[i].loglik, entropy[i] = loglik, spread
+            if n.min() <= 1 or turn + 1 == maxit or abs(loglik - before[i]) < eps * abs(loglik):
+                continue
+            new = _steps(n, s1, s2, metric, tries[i][2])
+            new.loglik = loglik
+            fits[i], before[i] = new, loglik
+            more.append(i)
+        live = more
+        if not live:
+            break
+    total = table.count()
+    for (_, k, model, _, _), m, e in zip(tries, fits, entropy, strict=True):
+        q = n_parameters(model, k, p)
+        m.aic, m.bic = m.loglik - q, m.loglik - 0.5 * q * np.log(total)
+        m.icl = m.bic - e
+    return [max((m for t, m in zip(tries, fits, strict=True) if t[0] == w), key=lambda m: m.loglik) for w in range(len(wanted))]
+
+
+def fit_mixture(rows: DataFrame, metric: np.ndarray, k: int, model: str = "AkBk", seed: int = 42, maxit: int = 50, eps: float = 1e-6, starts: int = STARTS) -> Mixture:
+    return fit_mixtures(rows, metric, [(k, model, seed)], maxit, eps, starts)[0]
 
 
 def assign(rows: DataFrame, mixture: Mixture) -> DataFrame:
@@ -275,18 +325,16 @@ def assign(rows: DataFrame, mixture: Mixture) -> DataFrame:
     return rows.select("site", "coefs").mapInArrow(run, "site long, cluster int, probability double")
 
 
-def search(rows: DataFrame, metric: np.ndarray, ks: tuple[int, ...], models: tuple[str, ...], seeds: tuple[int, ...], criterion: str = "bic", maxit: int = 20) -> list[dict]:
-    """Every (k, model, seed) with its criteria, best first; fits that end with an almost empty cluster are left out."""
-    found = []
-    for k in ks:
-        for model in models:
-            for seed in seeds:
-                try:
-                    m = fit_mixture(rows, metric, k, model, seed, maxit)
-                except ValueError:
-                    continue
-                found.append({"k": k, "model": model, "seed": seed} | {c: float(getattr(m, c)) for c in ("loglik", "bic", "aic", "icl")})
-    return sorted(found, key=lambda x: (-x[criterion], x["k"], x["model"], x["seed"]))
+def search(rows: DataFrame, metric: np.ndarray, ks: tuple[int, ...], models: tuple[str, ...], seeds: tuple[int, ...], criterion: str = "bic", maxit: int = 20, refit: int = 0, refit_maxit: int = 50) -> list[dict]:
+    """Every (k, model, seed) with its criteria, best first; the best ``refit`` are fitted again with more steps before the last ranking."""
+    plain = lambda one, m: dict(zip(("k", "model", "seed"), one, strict=True)) | {c: float(getattr(m, c)) for c in ("loglik", "bic", "aic", "icl")}
+    rank = lambda found: sorted(found, key=lambda x: (-x[criterion], x["k"], x["model"], x["seed"]))
+    wanted = [(k, model, seed) for k in ks for model in models for seed in seeds]
+    found = rank([plain(one, m) for one, m in zip(wanted, fit_mixtures(rows, metric, wanted, maxit), strict=True)])
+    if refit:
+        best = [(x["k"], x["model"], x["seed"]) for x in found[:refit]]
+        found = rank([plain(one, m) for one, m in zip(best, fit_mixtures(rows, metric, best, refit_maxit), strict=True)] + found[refit:])
+    return found
 
 
 # ---- forests

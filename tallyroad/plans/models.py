@@ -12,22 +12,24 @@ from tallyroad.operators import learning as L
 from tallyroad.operators import profiles
 from tallyroad.plans.extra import site_series
 from tallyroad.sources.fixtures import table
+from tallyroad.sources.scratch import materialize
 
 
 def _weekly(spark: SparkSession, sf: str):
     arrays = profiles.as_array(profiles.weekly(site_series(spark, sf)), profiles.WEEK, "week")
-    return L.representation(arrays, ("week",))
+    rows, metric = L.representation(arrays, ("week",))
+    return materialize(rows, "weekly"), metric
 
 
 def funfem_assign(spark: SparkSession, sf: str) -> DataFrame:
     rows, metric = _weekly(spark, sf)
-    rows = rows.cache()
-    return L.assign(rows, L.fit_mixture(rows, metric, 2, "AkBk", 42, 15, retries=20))
+    return L.assign(rows, L.fit_mixture(rows, metric, 2, "AkBk", 42, 15))
 
 
 def seed_search(spark: SparkSession, sf: str) -> DataFrame:
+    """All twelve covariance models with two and three clusters and two seeds, the best three fitted to the end."""
     rows, metric = _weekly(spark, sf)
-    found = L.search(rows.cache(), metric, (2, 3), ("AkBk", "AB"), (1, 2), maxit=5)
+    found = L.search(rows, metric, (2, 3), L.MODELS, (1, 2), maxit=10, refit=3)
     return spark.createDataFrame([(i, *r.values()) for i, r in enumerate(found)], "rank int, k int, model string, seed int, loglik double, bic double, aic double, icl double")
 
 
