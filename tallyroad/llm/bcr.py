@@ -66,42 +66,42 @@ def build(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     # round 0: an empty suffix a string; pile c holds the suffixes that begin with symbol c
     piles = np.zeros(258, np.int64)
     piles[1:] = m
-    rest, common, place = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8), np.arange(m, dtype=np.int32)
+    rest, common, place = np.arange(m, dtype=np.int64), np.zeros(m, np.uint8), np.arange(m, dtype=np.int64)
     for j in range(1, int(lengths.max(initial=0)) + 1):
         live = np.flatnonzero(lengths >= j)
         symbol = text[starts[live] + lengths[live] - j].astype(np.int64) + 1
-        order = np.lexsort((place[live], symbol))
+        size = len(rest)
+        order = np.argsort(symbol * size + place[live])
         live, symbol = live[order], symbol[order]
         remainder = place[live]
-        size = len(rest)
         at = np.empty(len(live), np.int64)
         groups = np.flatnonzero(np.diff(symbol, prepend=-1))
-        for a, b in zip(groups, [*groups[1:], len(live)], strict=True):
-            low, high = piles[symbol[a]], piles[symbol[a] + 1]
-            at[a:b] = low + np.searchsorted(rest[low:high], remainder[a:b])
+        lows, highs = piles[symbol[groups]], piles[symbol[groups] + 1]
+        for a, b, low, high in zip(groups.tolist(), [*groups[1:].tolist(), len(live)], lows.tolist(), highs.tolist(), strict=True):
+            at[a:b] = rest[low:high].searchsorted(remainder[a:b]) + low
         fresh = at + np.arange(len(live))
-        total = size + len(live)
-        kept = np.ones(total, bool)
-        kept[fresh] = False
-        rest2, common2 = np.empty(total, np.int32), np.empty(total, np.uint8)
-        rest2[kept], rest2[fresh] = rest, remainder
-        common2[kept], common2[fresh] = common, 0
-        piles[1:] += np.searchsorted(symbol, np.arange(1, 258))
-        # a new suffix has a new common prefix, and so has the one behind it
-        touched = np.zeros(total + 1, bool)
-        touched[fresh] = touched[fresh + 1] = True
-        touched[piles[:-1]] = False  # the first of a pile shares nothing
-        touched = np.flatnonzero(touched[:total])
-        common2[fresh] = 0
-        common2[piles[:-1][piles[:-1] < total]] = 0
-        if len(touched):
-            shared = _RangeMin(common)(rest2[touched - 1].astype(np.int64) + 1, rest2[touched].astype(np.int64))
-            common2[touched] = np.minimum(shared, MOST - 1) + 1
+        # a new suffix has a new common prefix with the one before it, and so has the old one behind it
+        inner = np.ones(len(live), bool)
+        inner[groups] = at[groups] > lows  # the first of a pile shares nothing
+        follows = np.append(False, (at[1:] == at[:-1]) & (symbol[1:] == symbol[:-1]))  # the one before is new, too
+        inner = np.flatnonzero(inner)
+        before = np.where(follows[inner], remainder[inner - 1], rest[at[inner] - 1])
+        behind = np.flatnonzero(~np.append(follows[1:], False) & (at < np.repeat(highs, np.diff(np.append(groups, len(live))))))
+        first = np.concatenate([before, remainder[behind]]) + 1
+        last = np.concatenate([remainder[inner], rest[at[behind]]])
+        shared = np.minimum(_RangeMin(common)(first, last), MOST - 1) + 1 if len(first) else common[:0]
         # places move back by the suffixes inserted before them
-        moved = np.flatnonzero(kept).astype(np.int32)
-        rest, common = moved[rest2], common2
+        kept = np.ones(size + len(live), bool)
+        kept[fresh] = False
+        moved = np.flatnonzero(kept)
+        rest2, common2 = np.empty(size + len(live), np.int64), np.zeros(size + len(live), np.uint8)
+        rest2[kept], rest2[fresh] = moved.take(rest), moved[remainder]
+        common2[kept] = common
+        common2[fresh[inner]], common2[moved[at[behind]]] = shared[: len(inner)], shared[len(inner) :]
+        rest, common = rest2, common2
         place = moved[place]
         place[live] = fresh
+        piles[1:] += np.searchsorted(symbol, np.arange(1, 258))
     owner, offset, before = np.empty(len(rest), np.int64), np.empty(len(rest), np.int64), np.zeros(len(rest), np.int32)
     at, live = place.astype(np.int64), np.arange(m)
     for o in range(int(lengths.max(initial=0)) + 1):
@@ -109,5 +109,5 @@ def build(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         if o:
             before[at] = text[starts[live] + o - 1].astype(np.int32) + 1
         more = lengths[live] > o
-        live, at = live[more], rest[at[more]].astype(np.int64)
+        live, at = live[more], rest[at[more]]
     return owner, offset, common.astype(np.int64), before

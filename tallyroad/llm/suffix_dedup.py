@@ -282,45 +282,79 @@ def _send_segments(buckets: int):
         least: list[int] = []
         occurrences: list = []
         local: list = []
-        size = 0
+        docs: list[tuple[int, int, bytes]] = []
+        wanted: list[np.ndarray] = []
+        waiting: list = []
+        size = held = 0
+
+        def take() -> int:
+            """Enter the shared segments of the waiting pieces; bytes of new contents."""
+            number, start, strings, key = _segments(waiting, buckets)
+            own = np.unique(np.concatenate([_of_document(keys, np.full(len(keys), n)) for n, keys in enumerate(wanted)]))
+            mine = _of_document(key, number)
+            at = np.searchsorted(own, mine)
+            at[at == len(own)] = 0
+            hit = np.flatnonzero(own[at] == mine)
+            fresh = 0
+            for d, s, n, k in zip(number[hit].tolist(), start[hit].tolist(), strings[hit].tolist(), key[hit].tolist(), strict=True):
+                doc_id, mark, text = docs[d]
+                content = text[s : s + n + LENGTH - 1]
+                number_of = seen.setdefault((k, content), len(least))
+                if number_of == len(least):
+                    least.append(doc_id)
+                    fresh += len(content)
+                elif least[number_of] < doc_id:
+                    local.append((doc_id, mark, s, s + len(content)))
+                    continue
+                else:
+                    least[number_of] = doc_id
+                occurrences.append((number_of, doc_id, mark, s))
+            waiting.clear()
+            return fresh
+
         for batch in batches:
             for doc_id, mark, text, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                wanted = np.unique(np.frombuffer(keys, np.uint64))
-                for piece in _pieces(0, text):
-                    _, start, strings, key = _segments([piece], buckets)
-                    at = np.searchsorted(wanted, key)
-                    at[at == len(wanted)] = 0
-                    hit = np.flatnonzero(wanted[at] == key)
-                    for s, n, k in zip(start[hit].tolist(), strings[hit].tolist(), key[hit].tolist(), strict=True):
-                        content = text[s : s + n + LENGTH - 1]
-                        number = seen.setdefault((k, content), len(least))
-                        if number == len(least):
-                            least.append(doc_id)
-                            size += len(content)
-                        elif least[number] < doc_id:
-                            local.append((doc_id, mark, s, s + len(content)))
-                            continue
-                        else:
-                            least[number] = doc_id
-                        occurrences.append((number, doc_id, mark, s))
+                docs.append((doc_id, mark, text))
+                wanted.append(np.frombuffer(keys, np.uint64))
+                for piece in _pieces(len(docs) - 1, text):
+                    waiting.append(piece)
+                    held += len(piece[1])
+                    if held >= CHUNK:
+                        size += take()
+                        held = 0
+                if not waiting:
+                    docs, wanted = [], []
                 if size >= BATCH or len(local) + len(occurrences) >= 1_000_000:
+                    if waiting:
+                        size += take()
+                        held = 0
+                    docs, wanted = [], []
                     if (out := flush(occurrences, seen, local)) is not None:
                         yield out
                     seen, least, occurrences, local, size = {}, [], [], [], 0
+        if waiting:
+            take()
         if seen and (out := flush(occurrences, seen, local)) is not None:
             yield out
 
     return run
 
 
+def _of_document(keys: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """One number for a key in a document; two that agree by chance only send a segment that nobody shares."""
+    with np.errstate(over="ignore"):
+        x = (keys ^ (number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
 def _least_of_strings(contents: list[bytes], least: np.ndarray) -> list[np.ndarray]:
     """For each string of each segment: the smallest doc_id of a segment that holds it, from one suffix structure."""
     owner, offset, shared, _ = bcr.build(contents)
     lengths = np.fromiter(map(len, contents), np.int64, len(contents))
     run = np.cumsum(shared < LENGTH)
     full = np.flatnonzero(offset + LENGTH <= lengths[owner])
-    _, classes = np.unique(run[full], return_inverse=True)
-    value = np.full(classes.max(initial=-1) + 1, np.iinfo(np.int64).max)
+    classes = np.cumsum(np.diff(run[full], prepend=-1) != 0) - 1  # runs come in order
+    value = np.full(len(full), np.iinfo(np.int64).max)
     np.minimum.at(value, classes, least[owner[full]])
     bases = np.cumsum(lengths - LENGTH + 1) - (lengths - LENGTH + 1)
     out = np.empty(int((lengths - LENGTH + 1).sum()), np.int64)
