@@ -250,8 +250,10 @@ def trimmed_mean(values: Column, trim: Column, least: int = 5) -> Column:
         return a + (b - a) * (at - low)
 
     def mean(s: Column) -> Column:
-        kept = F.filter(s, lambda x: (x >= quantile(s, trim)) & (x <= quantile(s, 1 - trim)))
-        return F.coalesce(F.try_divide(F.aggregate(kept, F.lit(0.0), lambda a, b: a + b), F.size(kept)), F.lit(0.0))
+        # the bounds are bound to a variable, so that they are made once and not for every value
+        bounds = F.array(F.struct(quantile(s, trim).alias("low"), quantile(s, 1 - trim).alias("high")))
+        kept = F.transform(bounds, lambda b: F.filter(s, lambda x: (x >= b["low"]) & (x <= b["high"])))
+        return F.transform(kept, lambda k: F.coalesce(F.try_divide(F.aggregate(k, F.lit(0.0), lambda a, b: a + b), F.size(k)), F.lit(0.0)))[0]
 
     one = F.transform(F.array(ordered), lambda s: F.when(F.size(s) == 0, 0.0).when(F.size(s) < least, quantile(s, F.lit(0.5))).otherwise(mean(s)))
     return one[0]

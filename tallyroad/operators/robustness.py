@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroad.functions.scalars import trimmed_mean
 from tallyroad.operators.estimation import CLUSTERS, LEAST, complete, rate_of, trims
+from tallyroad.sources.scratch import materialize
 
 DRAWS = 3000
 GRID = tuple(round(0.02 * k, 2) for k in range(25))
+#: Digits that errors of trims are compared at, so that the order of sums can't choose one.
+ERROR_DIGITS = 3
+#: Draws that share one copy of a frame's rates.
+DRAWS_A_COPY = 100
+#: Prime modulus and multipliers of the draws, the same in any engine: no product exceeds 63 bits.
+PRIME, STEP_DRAW, STEP_SLOT, STEP_MIX = 2147483647, 16807, 69621, 39373
+
+
+def draw_base(frame: Column, draw: Column) -> Column:
+    """Number of a (frame, draw) that the slots' indexes are made from."""
+    x = (frame.cast("bigint") % PRIME * 48271 + draw.cast("bigint") * STEP_DRAW + 1) % PRIME
+    return (x * x + 5) % PRIME
+
+
+def draw_index(base: Column, slot: Column, n: Column) -> Column:
+    """Index in 0..n-1 of a slot of a draw."""
+    x = (base + slot.cast("bigint") * STEP_SLOT) % PRIME
+    mixed = lambda v: (v * STEP_MIX + 11) % PRIME
+    x = mixed((x * x + 7) % PRIME)
+    return F.floor((x * x + 13) % PRIME * n / F.lit(PRIME)).cast("int")
 
 
-def draw_index(seed: list[Column], n: Column) -> Column:
-    """Index in 0..n-1 from a hash of the draw's coordinates, the same in any engine."""
-    return F.pmod(F.conv(F.substring(F.md5(F.concat_ws("-", *[c.cast("string") for c in seed])), 1, 8), 16, 10).cast("bigint"), n).cast("int")
+def _spread(frames: DataFrame, draws: int, keys: list[str]) -> DataFrame:
+    """Frames with a row for each draw: a copy of a frame travels once for DRAWS_A_COPY draws, which are made where it arrives."""
+    copies = F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // DRAWS_A_COPY)))
+    dealt = frames.withColumn("copy", copies).repartition(*keys, "copy")
+    own = F.sequence(F.col("copy") * DRAWS_A_COPY, F.least((F.col("copy") + 1) * DRAWS_A_COPY, F.lit(draws)) - 1)
+    return dealt.withColumn("draw", F.explode(own)).drop("copy")
 
 
 def rate_arrays(observed: DataFrame, km: str = "km_obs", instrumented: bool = True) -> DataFrame:
@@ -38,12 +58,11 @@ def bootstrap_national(observed: DataFrame, draws: int = DRAWS, km: str = "km_ob
 
     A (year, cluster) frame is one row with at most one rate a zone; draws are rows of their own and spread.
     """
-    frames = rate_arrays(observed, km, instrumented)
-    drawn = frames.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    drawn = _spread(rate_arrays(observed, km, instrumented), draws, ["year", "cluster"]).withColumn("base", draw_base(F.col("year") * 10 + F.col("cluster"), F.col("draw")))
     n = F.size("rates")
-    sample = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.get(F.col("rates"), draw_index([F.col("year"), F.col("cluster"), F.col("draw"), j], n)))).otherwise(F.col("rates"))
+    sample = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.get(F.col("rates"), draw_index(F.col("base"), j, n)))).otherwise(F.col("rates"))
     value = F.col("km_obs") + trimmed_mean(sample, trims()) * F.greatest(F.col("l_total") - F.col("l_obs"), F.lit(0.0))
-    return drawn.repartition("year", "cluster", "draw").select("year", "draw", value.alias("km")).groupBy("year", "draw").agg(F.sum("km").alias("km_ext"))
+    return drawn.select("year", "draw", value.alias("km")).groupBy("year", "draw").agg(F.sum("km").alias("km_ext"))
 
 
 def interval(draws: DataFrame, value: str = "km_ext", keys: tuple[str, ...] = ("year",)) -> DataFrame:
@@ -75,9 +94,10 @@ def paired_frames(observed: DataFrame, years: tuple[int, ...]) -> DataFrame:
 
 def growth_draws(observed: DataFrame, years: tuple[int, ...], draws: int = DRAWS) -> DataFrame:
     """(transition, cluster, draw): both years' extrapolated distance under the same resampled zones."""
-    drawn = paired_frames(observed, years).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))).repartition("transition", "cluster", "draw")
+    frame = (F.col("year_ref").cast("bigint") * 10_000 + F.col("year_cmp")) * 10 + F.col("cluster")
+    drawn = _spread(paired_frames(observed, years), draws, ["transition", "cluster"]).withColumn("base", draw_base(frame, F.col("draw")))
     n = F.size("pairs")
-    picked = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.get(F.col("pairs"), draw_index([F.col("transition"), F.col("cluster"), F.col("draw"), j], n)))).otherwise(F.col("pairs"))
+    picked = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.get(F.col("pairs"), draw_index(F.col("base"), j, n)))).otherwise(F.col("pairs"))
     drawn = drawn.withColumn("picked", picked)
     rate = lambda s: trimmed_mean(F.transform("picked", lambda p: p[f"rate_{s}"]), trims())
     return drawn.select("transition", "cluster", "draw", *[(F.col(f"km_{s}") + rate(s) * F.col(f"gap_{s}")).alias(f"ext_{s}") for s in ("ref", "cmp")])
@@ -92,51 +112,58 @@ def growth_test(observed: DataFrame, years: tuple[int, ...], draws: int = DRAWS,
     return out.select(*keys, F.col("q")[1].alias("ratio_median"), F.col("q")[0].alias("low_95"), F.col("q")[2].alias("high_95"), "p_value", F.when(F.col("p_value") < 0.05, "oui").otherwise("non").alias("significant"))
 
 
-def _loo_errors(rates: np.ndarray, trim: float) -> float:
-    """Median absolute error of predicting each rate by the trimmed mean of the others, by prefix sums of the sorted rates."""
-    s = np.sort(rates)
-    n = len(s)
-    if n < 2:
-        return float("nan")
-    sums = np.concatenate([[0.0], np.cumsum(s)])
-    i = np.arange(n)
-    m = n - 1
-
-    def other(k: np.ndarray) -> np.ndarray:  # k-th smallest of the others
-        return s[np.where(k < i, k, np.minimum(k + 1, n - 1))]
-
-    def quantile(p: float) -> np.ndarray:
-        at = p * (m - 1)
-        low = int(np.floor(at))
-        a, b = other(np.full(n, low)), other(np.full(n, min(low + 1, m - 1)))
-        return a + (b - a) * (at - low)
-
-    low, high = (quantile(trim), quantile(1 - trim)) if m >= LEAST else (other(np.zeros(n, int)), other(np.full(n, m - 1)))
-    a, b = np.searchsorted(s, low, "left"), np.searchsorted(s, high, "right")
-    inside = (s >= low) & (s <= high)
-    count = b - a - inside
-    total = sums[b] - sums[a] - np.where(inside, s, 0.0)
-    mean = np.where(count > 0, total / np.maximum(count, 1), (sums[-1] - s) / m)
-    return float(np.median(np.abs(mean - s)))
+def _ranked(rates: DataFrame) -> DataFrame:
+    """Add ``rank`` (from 0) of each rate in its cluster: ranges of a sorted table are counted, and a row's place in its range is added."""
+    parts = int(rates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(rates.repartitionByRange(parts, "cluster", "rate", "year", "zone").withColumn("part", F.spark_partition_id()), "loo-rates")
+    counts = dealt.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("n"))  # a row a range
+    before = counts.select("cluster", "part", (F.sum("n").over(Window.partitionBy("cluster").orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("cluster", "part").orderBy("rate", "year", "zone"))
+    return dealt.withColumn("inside", inside).join(before, ["cluster", "part"]).select("cluster", "rate", (F.col("before") + F.col("inside") - 1).alias("rank"))
 
 
 def loocv_errors(observed: DataFrame, grid: tuple[float, ...] = GRID) -> DataFrame:
-    """(cluster, n, trim, error): leave-one-out error of each trim over all years' observed zones."""
+    """(cluster, n, trim, error): leave-one-out error of each trim over all years' observed zones.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cluster, trim, rates in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                e = _loo_errors(np.array(rates), trim)
-                yield pa.RecordBatch.from_pydict({"cluster": pa.array([cluster], pa.int32()), "n": pa.array([len(rates)], pa.int64()), "trim": pa.array([trim], pa.float64()), "error": pa.array([None if np.isnan(e) else e], pa.float64())})
-
-    rates = observed.where(complete()).where(F.col("cluster").isin(*CLUSTERS)).groupBy("cluster").agg(F.collect_list(rate_of()).alias("rates"))
-    points = rates.select("cluster", F.explode(F.array(*[F.lit(t) for t in grid])).alias("trim"), "rates").repartition("cluster", "trim")
-    return points.mapInArrow(run, "cluster int, n long, trim double, error double")
+    Without a rate v, the k-th smallest of the others is the k-th of all if that is less than v, else the one
+    behind it. So a bound of the trimmed mean takes one of three values, whatever rate is left out; sums and
+    counts between the few pairs of bounds are aggregates, and a left-out rate only looks its pair up.
+    """
+    rates = observed.where(complete()).where(F.col("cluster").isin(*CLUSTERS)).select("cluster", "year", "zone", rate_of().alias("rate"))
+    ranked = materialize(_ranked(rates), "loo-ranks")
+    totals = materialize(ranked.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("rate").alias("total")), "loo-totals")
+    few = F.col("n") - 1 < LEAST
+    at = lambda p: F.col(p) * (F.col("n") - 2)  # noqa: E731  place among the others
+    asked = totals.where("n > 1").withColumn("trim", F.explode(F.array(*[F.lit(float(t)) for t in grid])))
+    asked = asked.withColumn("low", F.when(few, 0.0).otherwise(F.col("trim"))).withColumn("high", F.when(few, 1.0).otherwise(1 - F.col("trim")))
+    asked = asked.select("cluster", "n", "total", "trim", F.posexplode(F.array(at("low"), at("high"))).alias("side", "at")).withColumn("k", F.floor("at"))
+    # the k-th, the next and the one behind that, of all rates
+    points = asked.withColumn("offset", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("rank", F.least(F.col("k") + F.col("offset"), F.col("n") - 1))
+    found = points.join(ranked, ["cluster", "rank"]).groupBy("cluster", "n", "total", "trim", "side", "at", "k").agg(*[F.max(F.when(F.col("offset") == o, F.col("rate"))).alias(f"s{o}") for o in range(3)])
+    # left out: above the next, equal to the next, or not above the k-th
+    value = lambda a, b: a + (b - a) * (F.col("at") - F.col("k"))
+    last = F.col("k") + 1 > F.col("n") - 2  # no other rate behind the k-th one
+    s0, s1, s2 = F.col("s0"), F.col("s1"), F.col("s2")
+    cases = F.array(value(s0, F.when(last, s0).otherwise(s1)), value(s0, F.when(last, s0).otherwise(s2)), value(s1, F.when(last, s1).otherwise(s2)))
+    sides = found.withColumn("cases", cases)
+    side = lambda k, name: sides.where(F.col("side") == k).select("cluster", "n", "total", "trim", F.col("s0").alias(f"{name}0"), F.col("s1").alias(f"{name}1"), F.posexplode("cases").alias(f"{name}_case", name))
+    bounds = materialize(side(0, "low").join(side(1, "high").drop("n", "total"), ["cluster", "trim"]), "loo-bounds")  # nine rows a trim and cluster
+    between = F.col("rate").between(F.col("low"), F.col("high"))
+    sums = ranked.join(F.broadcast(bounds.select("cluster", "trim", "low_case", "high_case", "low", "high")), "cluster").where(between).groupBy("cluster", "trim", "low_case", "high_case").agg(F.count(F.lit(1)).alias("count"), F.sum("rate").alias("sum"))
+    bounds = materialize(bounds.join(sums, ["cluster", "trim", "low_case", "high_case"], "left").fillna(0, subset=["count", "sum"]), "loo-sums")
+    case = lambda name: F.when(F.col(f"{name}1") < F.col("rate"), 0).when(F.col(f"{name}0") < F.col("rate"), 1).otherwise(2)
+    left = ranked.select("cluster", "rate").join(F.broadcast(bounds), "cluster").where((F.col("low_case") == case("low")) & (F.col("high_case") == case("high")))
+    own = F.when(between, 1).otherwise(0)
+    mean = F.coalesce(F.try_divide(F.col("sum") - own * F.col("rate"), F.col("count") - own), F.try_divide(F.col("total") - F.col("rate"), F.col("n") - 1))
+    errors = left.groupBy("cluster", "n", "trim").agg(F.percentile(F.abs(mean - F.col("rate")), F.lit(0.5)).alias("error"))
+    alone = totals.where("n <= 1").select("cluster", "n", F.explode(F.array(*[F.lit(float(t)) for t in grid])).alias("trim"), F.lit(None).cast("double").alias("error"))
+    return errors.unionByName(alone)
 
 
 def best_trim(errors: DataFrame) -> DataFrame:
     """Trim of least error for each cluster, the smaller one of equals."""
-    return errors.where("error is not null").groupBy("cluster").agg(F.first("n").alias("n"), F.min_by("trim", F.struct("error", "trim")).alias("best_trim"), F.min("error").alias("error"))
+    errors = errors.where("error is not null").withColumn("error", F.round("error", ERROR_DIGITS))
+    return errors.groupBy("cluster").agg(F.first("n").alias("n"), F.min_by("trim", F.struct("error", "trim")).alias("best_trim"), F.min("error").alias("error"))
 
 
 def panel_km(observed: DataFrame, detail: DataFrame, panel: DataFrame) -> DataFrame:

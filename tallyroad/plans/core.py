@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from tallyroad.operators import assembly, estimation, indicators, robustness
 from tallyroad.operators import sensors as S
-from tallyroad.plans.core_sql import arrays_sql, chain, generic_extrapolation
+from tallyroad.plans.core_sql import arrays_sql, chain, generic_extrapolation, index_sql
 from tallyroad.sources import fixtures as X
 from tallyroad.sources.fixtures import YEARS
 from tallyroad.sources.scratch import materialize
 
 #: Least annual flow of an active sensor: of the flagship chain and of balanced-panel queries.
-THRESHOLD, PANEL_THRESHOLD, DRAWS = 100, 20, 60
+THRESHOLD, PANEL_THRESHOLD = 100, 20
 
 
 def rounded(df: DataFrame, digits: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -134,15 +134,15 @@ def _flow_ratio(spark, sf):
 
 
 def _bootstrap(spark, sf):
-    return rounded(robustness.interval(robustness.bootstrap_national(observed(spark, sf), DRAWS)), 3)
+    return rounded(robustness.interval(robustness.bootstrap_national(observed(spark, sf))), 3)
 
 
 def _growth_test(spark, sf, by_cluster=False):
-    return rounded(robustness.growth_test(observed(spark, sf), YEARS, 20, by_cluster), 8)
+    return rounded(robustness.growth_test(observed(spark, sf), YEARS, by_cluster=by_cluster), 8)
 
 
 def _loocv(spark, sf):
-    return rounded(robustness.loocv_errors(observed(spark, sf), (0.0, 0.1, 0.2, 0.34)), 3)
+    return rounded(robustness.loocv_errors(observed(spark, sf)), 3)
 
 
 def _loocv_best(spark, sf):
@@ -192,7 +192,7 @@ def _select(body: str, threshold: int = THRESHOLD, more: str = "") -> str:
 def oracle_sql():
     lengths = "len_d_PARTIAL, len_d_ALL, len_d_DEDICATED, len_g_PARTIAL, len_g_ALL, len_g_DEDICATED".split(", ")
     pivot = lambda agg: ", ".join(f"{agg.format(c=c)} AS cluster_{c}" for c in range(4))
-    growth = lambda by: _select(f"SELECT transition{', cluster' if by else ''}, round(quantile_cont(ratio, 0.5), 8) AS ratio_median, round(quantile_cont(ratio, 0.025), 8) AS low_95, round(quantile_cont(ratio, 0.975), 8) AS high_95, round(avg((ratio <= 1)::INTEGER), 8) AS p_value, CASE WHEN avg((ratio <= 1)::INTEGER) < 0.05 THEN 'oui' ELSE 'non' END AS significant FROM (SELECT transition{', cluster' if by else ''}, draw, sum(ext_cmp) / nullif(sum(ext_ref), 0) AS ratio FROM growth_draws GROUP BY ALL) GROUP BY ALL", more=_growth_sql(20))
+    growth = lambda by: _select(f"SELECT transition{', cluster' if by else ''}, round(quantile_cont(ratio, 0.5), 8) AS ratio_median, round(quantile_cont(ratio, 0.025), 8) AS low_95, round(quantile_cont(ratio, 0.975), 8) AS high_95, round(avg((ratio <= 1)::INTEGER), 8) AS p_value, CASE WHEN avg((ratio <= 1)::INTEGER) < 0.05 THEN 'oui' ELSE 'non' END AS significant FROM (SELECT transition{', cluster' if by else ''}, draw, sum(ext_cmp) / nullif(sum(ext_ref), 0) AS ratio FROM growth_draws GROUP BY ALL) GROUP BY ALL", more=_growth_sql(robustness.DRAWS))
     return {
         "national_km": _select("SELECT year, round(km_obs_bn, 9) AS km_obs_bn, round(km_ext_bn, 9) AS km_ext_bn FROM national"),
         "sensor_years": _select("SELECT id_site, site_name, zone, department, cluster, year, round(annual_flow, 6) AS annual_flow, n_valid_h, round(qta, 6) AS qta, round(activity_share, 6) AS activity_share, valid, active FROM flagged"),
@@ -205,7 +205,8 @@ def oracle_sql():
         "observed_km": _select("SELECT year, zone, department, instrumented, cluster, round(total_length_km, 3) AS total_length_km, round(share, 3) AS share, round(length_km, 3) AS length_km, n_sensors, round(qta_mean, 3) AS qta_mean, round(km_obs, 3) AS km_obs FROM observed"),
         "extrapolated_detail": _select("SELECT year, cluster, cluster_name, n_active, " + ", ".join(f"round({c}, 3) AS {c}" for c in ("l_obs", "l_total", "km_obs", "rate", "km_ext")) + " FROM extrapolated"),
         "trimmed_rate": _select("SELECT year, cluster, n, round(rate, 4) AS rate FROM rates"),
-        "loocv_error": _select("SELECT cluster, n, trim, round(median(error), 3) AS error FROM loo_errors GROUP BY ALL", more=_loo_sql("(0.0), (0.1), (0.2), (0.34)")),
+        "loocv_error": _select("SELECT cluster, n, trim, round(median(error), 3) AS error FROM loo_errors GROUP BY ALL", more=_LOO),
+        "loocv_best_trim": _select("SELECT cluster, n, arg_min(trim, (error, trim)) AS best_trim, round(min(error), 3) AS error FROM (SELECT cluster, n, trim, round(median(error), LOO_DIGITS) AS error FROM loo_errors GROUP BY ALL) WHERE error IS NOT NULL GROUP BY ALL".replace("LOO_DIGITS", str(robustness.ERROR_DIGITS)), more=_LOO),
         "balanced_panel": _select("SELECT id_site FROM panel", PANEL_THRESHOLD),
         "mini_km": _select("SELECT year, cluster, count(*) AS n_rows, count(*) FILTER (WHERE km_panel > 0) AS n_panel_zones, round(sum(km_panel), 3) AS km_panel FROM mini WHERE cluster IS NOT NULL GROUP BY ALL", PANEL_THRESHOLD),
         "all_indicators": _select(
@@ -222,7 +223,7 @@ LEFT JOIN std e USING (year) LEFT JOIN (SELECT year, sum(km_panel) / 1e9 AS km_p
         "growth_factor": _select("SELECT year, round(km_obs_bn / lag(km_obs_bn) OVER (ORDER BY year), 8) AS km_obs_bn_growth, round(km_ext_bn / lag(km_ext_bn) OVER (ORDER BY year), 8) AS km_ext_bn_growth FROM national"),
         "index_base_100": _select("SELECT year, round(km_obs_bn * 100 / first_value(km_obs_bn) OVER (ORDER BY year), 6) AS km_obs_bn_index, round(km_ext_bn * 100 / first_value(km_ext_bn) OVER (ORDER BY year), 6) AS km_ext_bn_index FROM national"),
         "flow_per_sensor_ratio": _select(f"SELECT year, {pivot('round(coalesce(sum(annual_flow) FILTER (WHERE cluster = {c}) / nullif(count(DISTINCT id_site) FILTER (WHERE cluster = {c}), 0), 0), 6)')} FROM detail WHERE cluster IS NOT NULL GROUP BY year"),
-        "bootstrap_ci": _select("SELECT year, round(quantile_cont(km_ext, 0.5), 3) AS median, round(quantile_cont(km_ext, 0.025), 3) AS low_95, round(quantile_cont(km_ext, 0.975), 3) AS high_95, round(100 * (quantile_cont(km_ext, 0.975) - quantile_cont(km_ext, 0.025)) / quantile_cont(km_ext, 0.5), 3) AS relative_width_pct FROM boot GROUP BY year", more=arrays_sql(DRAWS)),
+        "bootstrap_ci": _select("SELECT year, round(quantile_cont(km_ext, 0.5), 3) AS median, round(quantile_cont(km_ext, 0.025), 3) AS low_95, round(quantile_cont(km_ext, 0.975), 3) AS high_95, round(100 * (quantile_cont(km_ext, 0.975) - quantile_cont(km_ext, 0.025)) / quantile_cont(km_ext, 0.5), 3) AS relative_width_pct FROM boot GROUP BY year", more=arrays_sql(robustness.DRAWS)),
         "growth_test": growth(False),
         "growth_test_by_cluster": growth(True),
         "coverage_category": _select("SELECT z.zone, CASE WHEN max(instrumented) = 1 THEN 'Instrumentée' WHEN max(coalesce(length_km, 0)) > 0 THEN 'Linéaire seulement' ELSE 'Sans rien' END AS coverage FROM zones z LEFT JOIN observed o USING (zone) GROUP BY z.zone"),
@@ -240,6 +241,9 @@ loo_bounds AS (SELECT *, s[1 + i] AS own, CASE WHEN n - 1 >= 5 THEN {q('trim')}
 loo_errors AS (SELECT cluster, n, trim, abs(coalesce((list_sum(list_filter(s, lambda x: x >= low AND x <= high)) - CASE WHEN own >= low AND own <= high THEN own ELSE 0 END) / nullif(len(list_filter(s, lambda x: x >= low AND x <= high)) - (own >= low AND own <= high)::INTEGER, 0), (list_sum(s) - own) / (n - 1)) - own) AS error FROM loo_bounds)"""
 
 
+_LOO = _loo_sql(", ".join(f"({t})" for t in robustness.GRID))
+
+
 def _growth_sql(draws: int) -> str:
     pairs = ", ".join(f"({a}, {b}, '{label}')" for a, b, label in robustness.transitions(YEARS))
     q = lambda s, p: f"(list_extract({s}, 1 + floor({p} * (len({s}) - 1))::INTEGER) + (list_extract({s}, 1 + least(floor({p} * (len({s}) - 1)) + 1, len({s}) - 1)::INTEGER) - list_extract({s}, 1 + floor({p} * (len({s}) - 1))::INTEGER)) * ({p} * (len({s}) - 1) - floor({p} * (len({s}) - 1))))"
@@ -249,7 +253,7 @@ def _growth_sql(draws: int) -> str:
 pairs AS (SELECT * FROM (VALUES {pairs}) AS v(year_ref, year_cmp, transition)),
 frame AS (SELECT year, cluster, coalesce(sum(length_km) FILTER (WHERE ok), 0) AS l_obs, sum(length_km) AS l_total, coalesce(sum(km_obs) FILTER (WHERE ok), 0) AS km FROM (SELECT *, coalesce(instrumented = 1 AND length_km > 0 AND km_obs > 0, false) AS ok FROM observed WHERE cluster IS NOT NULL) GROUP BY ALL),
 paired AS (SELECT transition, a.cluster, list(a.rate ORDER BY a.zone) AS r, list(b.rate ORDER BY a.zone) AS c FROM pairs JOIN complete a ON a.year = year_ref JOIN complete b ON b.year = year_cmp AND b.cluster = a.cluster AND b.zone = a.zone GROUP BY ALL),
-framed AS (SELECT transition, x.cluster, x.km AS km_ref, greatest(x.l_total - x.l_obs, 0) AS gap_ref, y.km AS km_cmp, greatest(y.l_total - y.l_obs, 0) AS gap_cmp FROM pairs JOIN frame x ON x.year = year_ref JOIN frame y ON y.year = year_cmp AND y.cluster = x.cluster),
-drawn AS (SELECT f.*, draw, {trim}::DOUBLE AS trim, coalesce(r, []) AS r, coalesce(c, []) AS c, list_transform(range(0, len(coalesce(r, []))), lambda j: 1 + ('0x' || substr(md5(concat_ws('-', transition, cluster, draw, j)), 1, 8))::BIGINT % len(r)) AS picks FROM framed f LEFT JOIN paired USING (transition, cluster), range(0, {draws}) AS g(draw)),
+framed AS (SELECT transition, year_ref, year_cmp, x.cluster, x.km AS km_ref, greatest(x.l_total - x.l_obs, 0) AS gap_ref, y.km AS km_cmp, greatest(y.l_total - y.l_obs, 0) AS gap_cmp FROM pairs JOIN frame x ON x.year = year_ref JOIN frame y ON y.year = year_cmp AND y.cluster = x.cluster),
+drawn AS (SELECT f.*, draw, {trim}::DOUBLE AS trim, coalesce(r, []) AS r, coalesce(c, []) AS c, list_transform(range(0, len(coalesce(r, []))), lambda j: 1 + {index_sql('(year_ref * 10000 + year_cmp) * 10 + f.cluster', 'draw', 'j', 'len(r)')}) AS picks FROM framed f LEFT JOIN paired USING (transition, cluster), range(0, {draws}) AS g(draw)),
 samples AS (SELECT * REPLACE (list_sort(list_transform(picks, lambda k: r[k])) AS r, list_sort(list_transform(picks, lambda k: c[k])) AS c) FROM drawn),
 growth_draws AS (SELECT transition, cluster, draw, km_ref + gap_ref * {rate('r')} AS ext_ref, km_cmp + gap_cmp * {rate('c')} AS ext_cmp FROM samples)"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyroad.operators.assembly import EARLIER, EXACT, LATER
 from tallyroad.operators.estimation import CLUSTER_NAMES, LEAST, TRIMS
+from tallyroad.operators.robustness import PRIME, STEP_DRAW, STEP_MIX, STEP_SLOT
 from tallyroad.sources.fixtures import SCENARIOS, VINTAGES, YEARS
 
 ZONE = "p_brand || '/' || lpad(p_size::VARCHAR, 2, '0')"
@@ -81,13 +82,21 @@ def generic_extrapolation(name: str, source: str, km: str) -> str:
 {name} AS (SELECT year, sum(coalesce(km, 0) + coalesce(rate, 0) * greatest(coalesce(l_total, 0) - coalesce(l_obs, 0), 0)) / 1e9 AS ext_bn FROM {name}_t LEFT JOIN {name}_r USING (year, cluster) GROUP BY year)"""
 
 
+def index_sql(frame: str, draw: str, slot: str, n: str) -> str:
+    """Index in 0..n-1 of a slot of a draw."""
+    base = f"((({frame})::BIGINT % {PRIME} * 48271 + {draw} * {STEP_DRAW} + 1) % {PRIME})"
+    first = f"((({base} * {base} + 5) % {PRIME} + {slot} * {STEP_SLOT}) % {PRIME})"
+    mixed = f"((({first} * {first} + 7) % {PRIME} * {STEP_MIX} + 11) % {PRIME})"
+    return f"floor(({mixed} * {mixed} + 13) % {PRIME} * {n} / {PRIME})::BIGINT"
+
+
 def arrays_sql(draws: int) -> str:
     """Bootstrap draws: rates in order of zone, resampled by hash, trimmed by array quantiles."""
     q = lambda s, p: f"list_extract({s}, 1 + floor({p} * (len({s}) - 1))::INTEGER) + (list_extract({s}, 1 + least(floor({p} * (len({s}) - 1)) + 1, len({s}) - 1)::INTEGER) - list_extract({s}, 1 + floor({p} * (len({s}) - 1))::INTEGER)) * ({p} * (len({s}) - 1) - floor({p} * (len({s}) - 1)))"
     return f"""
 boot_frames AS (SELECT year, cluster, coalesce(list(round(km_obs / length_km, 6) ORDER BY zone) FILTER (WHERE ok), []) AS rates, coalesce(sum(length_km) FILTER (WHERE ok), 0) AS l_obs, sum(length_km) AS l_total, coalesce(sum(km_obs) FILTER (WHERE ok), 0) AS km_obs
   FROM (SELECT *, coalesce(instrumented = 1 AND length_km > 0 AND km_obs > 0, false) AS ok FROM observed WHERE cluster IS NOT NULL) GROUP BY ALL),
-boot_draws AS (SELECT *, {_TRIM}::DOUBLE AS trim, list_sort(list_transform(range(0, len(rates)), lambda j: rates[1 + ('0x' || substr(md5(concat_ws('-', year, cluster, draw, j)), 1, 8))::BIGINT % len(rates)])) AS s
+boot_draws AS (SELECT *, {_TRIM}::DOUBLE AS trim, list_sort(list_transform(range(0, len(rates)), lambda j: rates[1 + {index_sql('year * 10 + cluster', 'draw', 'j', 'len(rates)')}])) AS s
   FROM boot_frames, range(0, {draws}) AS r(draw)),
 boot_bounds AS (SELECT *, {q('s', 'trim')} AS low, {q('s', '(1 - trim)')} AS high, {q('s', '0.5')} AS mid FROM boot_draws),
 boot AS (SELECT year, draw, sum(km_obs + greatest(l_total - l_obs, 0) * CASE WHEN len(s) = 0 THEN 0 WHEN len(s) < {LEAST} THEN mid ELSE coalesce(list_avg(list_filter(s, lambda x: x >= low AND x <= high)), 0) END) AS km_ext FROM boot_bounds GROUP BY ALL)"""

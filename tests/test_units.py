@@ -63,19 +63,38 @@ def test_trimmed_mean(spark):
     assert [rates.get(i, 0.0) for i in range(len(rows))] == pytest.approx([numpy_trim(v, estimation.TRIMS[c]) for c, v in rows], abs=1e-6)
 
 
-def test_leave_one_out_by_ranks():
+def test_leave_one_out_by_ranks(spark):
+    """Errors of every trim against leaving out one rate after the other, with ties, few rates and a lone one."""
     rng = np.random.default_rng(2)
-    for n in (2, 4, 6, 30):
-        v = rng.random(n).round(1)
-        for trim in (0.0, 0.2, 0.48):
+    rates = {0: rng.random(30).round(1), 1: rng.random(6).round(1), 2: rng.random(4).round(1), 3: np.array([0.5])}
+    rows = [(2020 + i % 3, f"z{c}-{i}", c, 1, 2.0, 2.0 * float(v) + 1e-3) for c, vs in rates.items() for i, v in enumerate(vs)]
+    observed = spark.createDataFrame(rows, "year int, zone string, cluster int, instrumented int, length_km double, km_obs double")
+    grid = (0.0, 0.1, 0.2, 0.34, 0.48)
+    got = {(r["cluster"], r["trim"]): (r["n"], r["error"]) for r in robustness.loocv_errors(observed, grid).collect()}
+    assert len(got) == 4 * len(grid) and all(got[3, t] == (1, None) for t in grid)
+    for c in (0, 1, 2):
+        v = np.array([round(km / 2.0, 6) for _, _, k, _, _, km in rows if k == c])
+        for trim in grid:
             errors = []
-            for i in range(n):
+            for i in range(len(v)):
                 o = np.delete(v, i)
                 low, high = np.quantile(o, [trim, 1 - trim]) if len(o) >= 5 else (o.min(), o.max())
-                k = o[(o >= low) & (o <= high)]
+                k = o[(o >= low - 1e-12) & (o <= high + 1e-12)]
                 errors.append(abs((k.mean() if len(k) else o.mean()) - v[i]))
-            assert robustness._loo_errors(v, trim) == pytest.approx(np.median(errors), abs=1e-9)
-    assert np.isnan(robustness._loo_errors(np.array([1.0]), 0.1))
+            assert got[c, trim] == (len(v), pytest.approx(np.median(errors), abs=1e-9))
+
+
+def test_bootstrap_ships_no_frame_for_each_draw(spark):
+    """A frame's rates are copied once for DRAWS_A_COPY draws, and draws use every index about as often."""
+    rows = [(2020, f"z{i}", 0, 1, 1.0, float(i + 1)) for i in range(40)]
+    observed = spark.createDataFrame(rows, "year int, zone string, cluster int, instrumented int, length_km double, km_obs double")
+    draws = robustness.bootstrap_national(observed, 1000)
+    plan = draws._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(sequence((copy") < plan.index("RepartitionByExpression") < plan.index("explode(sequence(0, 9")
+    assert draws.count() == 1000
+    index = spark.range(2000).select(F.explode(F.sequence(F.lit(0), F.lit(39))).alias("j"), "id").select(robustness.draw_index(robustness.draw_base(F.lit(20201), F.col("id")), F.col("j"), F.lit(40)).alias("k"))
+    counts = [r["count"] for r in index.groupBy("k").count().collect()]
+    assert len(counts) == 40 and 1800 < min(counts) and max(counts) < 2200
 
 
 def test_golden_identities():
