@@ -384,20 +384,27 @@ def _split_key(contents: list[bytes], least: np.ndarray) -> list[np.ndarray]:
     firsts = np.cumsum(counts) - counts
     starts = begins[owner] + np.arange(len(owner)) - firsts[owner]
     out = np.empty(len(owner), np.int64)
-    block: list[np.ndarray] = []
+    block: list[tuple[np.ndarray, np.ndarray]] = []  # rows and which of their distinct strings each has
+    strings: list[bytes] = []
 
     def build() -> None:
-        rows = np.concatenate(block)
-        found = _least_of_strings([flat[s : s + LENGTH].tobytes() for s in starts[rows].tolist()], least[owner[rows]])
-        out[rows] = np.concatenate(found)
+        rows, which = (np.concatenate(x) for x in zip(*block, strict=True))
+        lows = np.full(len(strings), np.iinfo(np.int64).max)
+        np.minimum.at(lows, which, least[owner[rows]])
+        out[rows] = np.concatenate(_least_of_strings(strings, lows))[which]
         block.clear()
+        strings.clear()
 
     for rows in _by_first_symbols(flat, starts):
-        if len(rows) > COLLECTION:  # equal strings: one of them stands for all
-            out[rows] = least[owner[rows]].min()
-            continue
-        block.append(rows)
-        if sum(map(len, block)) >= COLLECTION:
+        if len(rows) > COLLECTION:  # one string
+            rows_of = {flat[starts[rows[0]] : starts[rows[0]] + LENGTH].tobytes(): len(strings)}
+            which = np.full(len(rows), len(strings))
+        else:
+            rows_of = {}
+            which = np.array([rows_of.setdefault(flat[s : s + LENGTH].tobytes(), len(strings) + len(rows_of)) for s in starts[rows].tolist()])
+        strings += rows_of
+        block.append((rows, which))
+        if len(strings) >= COLLECTION:
             build()
     if block:
         build()
