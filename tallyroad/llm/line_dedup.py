@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tallyroad.llm import common
 
 MIN_CHARS, MIN_DOCS = 20, 3
+#: Length of a run that lasts to the end of its text.
+OPEN = 1 << 30
 
 
 def line_key(line: Column) -> Column:
@@ -26,10 +28,10 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _runs(dropped: Column, n_lines: Column) -> Column:
-    """Kept runs as (start, length) structs, from sorted dropped positions."""
+def _runs(dropped: Column) -> Column:
+    """Kept runs as (start, length) structs, from sorted dropped positions; the last one is open."""
     before = F.concat(F.array(F.lit(-1)), dropped)
-    after = F.concat(dropped, F.array(n_lines))
+    after = F.concat(dropped, F.array(F.element_at(dropped, -1) + 1 + OPEN))
     gaps = F.zip_with(before, after, lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("length")))
     return F.filter(gaps, lambda r: r["length"] > 0)
 
@@ -42,27 +44,26 @@ def first_occurrences(occurrences: DataFrame, partitions: int) -> DataFrame:
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, mark, n_dropped, keep_runs) of the texts that lose lines: their kept lines as a run-length bitmap.
+    """(doc_id, mark, n_dropped, keep_runs) of the texts that lose lines: their kept lines as a run-length bitmap, the last run open.
 
     ``docs`` has doc_id (not null), mark (a hash of the text, which tells rows of one doc_id apart) and text.
     """
     key = line_key(F.col("line"))
-    lines = lines_of(F.col("text"))
     occurrences = common.materialize(
-        docs.select("doc_id", "mark", F.size(lines).alias("n_lines"), F.posexplode(lines).alias("pos", "line"))
+        docs.select("doc_id", "mark", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
         .withColumn("key", key)
         .where(F.char_length("key") >= min_chars)
-        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "mark", "n_lines", "pos"),
+        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "mark", "pos"),
         "lines",
     )
-    firsts = first_occurrences(occurrences.drop("n_lines"), common.shuffle_partitions(docs.sparkSession))
+    firsts = first_occurrences(occurrences, common.shuffle_partitions(docs.sparkSession))
     repeated = common.materialize(
         firsts.groupBy("h1", "h2").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keep_id")).where(F.col("n_docs") >= min_docs).select("h1", "h2", "keep_id"),
         "line-keys",
     )
     dropped = occurrences.join(repeated, ["h1", "h2"]).where(F.col("doc_id") != F.col("keep_id"))
-    positions = dropped.groupBy("doc_id", "mark").agg(F.max("n_lines").alias("n_lines"), F.array_sort(F.collect_set("pos")).alias("dropped"))
-    return positions.select("doc_id", "mark", F.size("dropped").cast("long").alias("n_dropped"), _runs(F.col("dropped"), F.col("n_lines")).alias("keep_runs"))
+    positions = dropped.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
+    return positions.select("doc_id", "mark", F.size("dropped").cast("long").alias("n_dropped"), _runs(F.col("dropped")).alias("keep_runs"))
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, other: tuple[str, ...] = ()) -> DataFrame:
@@ -80,12 +81,14 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     bitmaps = keep_bitmaps(base.select("doc_id", "mark", "text").where(F.col("doc_id").isNotNull()), min_chars, min_docs)
     joined = base.join(bitmaps, ["doc_id", "mark"], "left")
     lines = lines_of(F.col("text"))
+    # the open run ends with the text
+    closed = F.filter(F.transform("keep_runs", lambda r: F.struct(r["start"].alias("start"), F.least(r["length"], F.col("n_lines").cast("int") - r["start"]).alias("length"))), lambda r: r["length"] > 0)
     # bound as a lambda variable, the split text is made once and not once a run
     kept = F.transform(F.array(lines), lambda whole: F.flatten(F.transform("keep_runs", lambda r: F.slice(whole, r["start"] + 1, r["length"]))))[0]
     return (
         joined.withColumn("n_lines", F.size(lines).cast("long"))
         .withColumn("text", F.when(F.col("keep_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .withColumn("keep_runs", F.coalesce("keep_runs", F.array(F.struct(F.lit(0).alias("start"), F.col("n_lines").cast("int").alias("length")))))
+        .withColumn("keep_runs", F.coalesce(closed, F.array(F.struct(F.lit(0).alias("start"), F.col("n_lines").cast("int").alias("length")))))
         .select("doc_id", "n_lines", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_runs", "text", "carried")
     )
 
