@@ -118,7 +118,7 @@ def _by_bucket(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     bucket = (key >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+    for a, b in zip(cuts, np.append(cuts, len(order))[1:], strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
 
@@ -185,7 +185,7 @@ def _deal(ids: np.ndarray, marks: np.ndarray, values: list[np.ndarray], targets:
     target, ids, marks, values = target[order].astype(np.int64), ids[order], marks[order], [v[order] for v in values]
     cuts = np.flatnonzero(np.diff(target, prepend=-1))
     out = []
-    for a, b in zip(cuts, [*cuts[1:], len(target)], strict=True):
+    for a, b in zip(cuts, np.append(cuts, len(target))[1:], strict=True):
         i, m = ids[a:b], marks[a:b]
         docs = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (m[1:] != m[:-1])))
         counts = np.diff(np.append(docs, b - a)).astype(np.uint32)
@@ -206,7 +206,7 @@ def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((m, i))
         i, m, stacked = i[order], m[order], stacked[order]
         cuts = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (m[1:] != m[:-1])))
-        held = [stacked[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(i)], strict=True)]
+        held = [stacked[a:b].tobytes() for a, b in zip(cuts, np.append(cuts, len(i))[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(i[cuts], pa.int64()), pa.array(m[cuts], pa.int64()), pa.array(held, pa.binary())], names=["doc_id", "mark", "found"])
 
 
@@ -418,7 +418,7 @@ def _joined(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]
     shift = np.cumsum(other) << 40  # no text has as many bytes, so a document's ranges end before the next one's
     reach = np.maximum.accumulate(found[:, 3] + shift)
     new = np.flatnonzero(np.append(True, found[1:, 2] + shift[1:] > reach[:-1])[: len(found)])
-    ends = (reach - shift)[np.append(new[1:], len(found)) - 1]
+    ends = (reach - shift)[np.append(new, len(found))[1:] - 1]
     return found[new, 0], found[new, 1], [found[new, 2], ends - found[new, 2]]
 
 

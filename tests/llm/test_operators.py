@@ -258,6 +258,16 @@ def test_split_key_finds_the_same(monkeypatch):
     assert [x.tolist() for x in got] == [x.tolist() for x in want]
 
 
+def test_suffix_dedup_without_repeats(spark):
+    """Blocks without a shared key, and without a removal, send nothing."""
+    texts = {i: "".join(np.random.default_rng(i).choice(list("abcdefgh "), 120)) for i in range(3)}
+    texts |= {7: texts[1][:49], 8: "x" + texts[2][:50]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert removed(SD.suffix_dedup(docs)) == removal_truth(texts)
+    none = np.zeros(0, np.int64)
+    assert SD._deal(none, none, [none], 4).num_rows == 0 and SD._deal(*SD._joined(np.zeros((0, 4), np.int64)), 4).num_rows == 0
+
+
 def test_ranges_are_joined():
     found = np.array([[1, 7, 0, 60], [1, 7, 50, 55], [1, 7, 60, 70], [1, 7, 90, 95], [1, 8, 3, 9], [2, 7, 3, 9]])
     ids, marks, (start, length) = SD._joined(found[::-1])
@@ -429,34 +439,138 @@ def test_lm_base_and_model(spark):
     assert better > 0
 
 
-def test_lm_is_a_distribution(spark):
-    """With every context asked for every word, and one unknown, the probabilities of a context sum to 1."""
-    words = ["a", "b", "c", "d"]
-    rng = np.random.default_rng(8)
-    train = [(i, " ".join(rng.choice(words, rng.integers(1, 30), p=[0.5, 0.3, 0.15, 0.05]))) for i in range(40) if zlib.crc32(str(i).encode()) % 10]
-    asks = [(10_000 + k, t) for k, t in enumerate(["a", *words[1:], "unknown", ""])]
-    asks = [(next(j for j in range(10_000 * (k + 1), 10_000 * (k + 1) + 500) if zlib.crc32(str(j).encode()) % 10 == 0), t) for k, (_, t) in enumerate(asks)]
-    ids = dict(asks)
-    got = {ids[r["doc_id"]]: r["score"] for r in LM.lm_scores(spark.createDataFrame(train + asks, "doc_id long, text string")).collect() if r["doc_id"] in ids}
-    more = {}
-    for w in [*words, "unknown"]:  # P(w | start) = P(w, end) / P(end | w): ask for the end after w through "w" and "w w"
-        more[w] = 10 ** got[w]
-    assert sum(more.values()) + 10 ** got[""] < 1.0 and 10 ** got[""] > 0
-
-
-def test_seating():
-    rng = np.random.default_rng(9)
-    customers = np.array([0, 1, 2, 50, 5000] * 400)
-    tables = LM.seat(customers, np.full(len(customers), 2.0), 0.5, rng)
-    assert (tables[customers == 0] == 0).all() and (tables[customers == 1] == 1).all() and (tables <= customers).all()
-    assert tables[customers == 2].mean() == pytest.approx(1 + 2 / 2.5, abs=0.06)  # the second opens a table with weight 2 against 1 - 0.5
-    slow = []
-    for _ in range(200):
-        t = 1.0
-        for k in range(1, 50):
-            t += rng.random() < 2 / (2 + k - 0.5 * t)
-        slow.append(t)
-    assert tables[customers == 50].mean() == pytest.approx(np.mean(slow), rel=0.08)
+def plain_lm(texts: dict) -> dict:
+    """Scores with all pairs in one set of restaurants, counted by dictionaries."""
+    words = {i: [LM.START, *(LM._Hashes()[w.encode()] for w in WORDS.findall(t.translate(LOWER))), LM.END] for i, t in texts.items()}
+    pairs = collections.Counter()
+    for i, x in words.items():
+        for p in zip(x[:-1], x[1:], strict=True):
+            pairs[p] += zlib.crc32(str(i).encode()) % 10 != 0
+    contexts, dishes = (np.array(sorted({p[k] for p in pairs}), np.uint64) for k in (0, 1))
+    keys = sorted(pairs)
+    at = lambda table, k: np.searchsorted(table, np.array([p[k] for p in keys], np.uint64))
+    r = LM.Restaurants(at(contexts, 0), at(dishes, 1), np.array([pairs[p] for p in keys]), contexts, dishes)
+    seen = np.bincount(r.word, r.count, len(dishes)) > 0
+
+    def root():
+        tables = np.bincount(r.word, r.tables, len(dishes))
+        return LM.root_probabilities(tables, tables.sum(), seen.sum())
+
+    for k in range(LM.ROUNDS):
+        g = root()
+        r.tables = (r.count > 0).astype(np.int64)
+        for j in range(LM.BURN + 1):
+            r.sweep(g, 100 * k + j)
+    g = root()
+    r.tables = (r.count > 0).astype(np.int64)
+    for j in range(LM.BURN):
+        r.sweep(g, 100 * LM.ROUNDS + j)
+    first = 100 * LM.ROUNDS + LM.BURN
+    p = dict(zip(keys, r.predict(g, range(first, first + LM.SAMPLES)), strict=True))
+    return {i: sum(math.log10(p[x]) for x in zip(w[:-1], w[1:], strict=True)) for i, w in words.items()}
+
+
+def test_lm_scores_against_one_block(spark):
+    """Blocks, exchanges and chunks change nothing against one set of restaurants; nor do partitions."""
+    want = plain_lm(documents())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    for n in (before, "3"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got.append({r["doc_id"]: (r["score"], r["base_score"]) for r in LM.op6_lm_scoring(spark, SF).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
+    assert {i: s for i, (s, _) in got[0].items()} == pytest.approx(want, abs=1e-5)
+
+
+def test_lm_tokenises_once(spark):
+    df = LM.op6_lm_scoring(spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("MapInArrow") == 1 and final.count("ReusedExchange") == 1 + LM.ROUNDS
+
+
+def test_lm_beats_the_base_clearly(spark):
+    """Held-out gain over the base, in log10 a token, on a larger table."""
+    got = LM.op6_lm_scoring(spark, SF.replace("sf0.001", "sf0.01")).where("held_out").agg((F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).alias("gain")).first()
+    assert got["gain"] > 1.0
+
+
+def partitions_of(n: int):
+    """All seatings of n customers as table sizes, with how often each occurs."""
+    if n == 0:
+        return {(): 1}
+    out = collections.Counter()
+    for sizes, times in partitions_of(n - 1).items():
+        out[tuple(sorted((*sizes, 1)))] += times
+        for k in range(len(sizes)):
+            out[tuple(sorted((*sizes[:k], sizes[k] + 1, *sizes[k + 1 :])))] += times
+    return out
+
+
+def stay(size: int) -> float:
+    return math.prod(k - LM.D1 for k in range(1, size))
+
+
+@pytest.mark.parametrize("a", [0.05, 0.7, 5.0])
+def test_seating_is_the_conditional_law(a):
+    """Numbers of tables of one dish against all seatings of its customers."""
+    many = 20_000
+    for n in range(1, 7):
+        law = collections.Counter()
+        for sizes, times in partitions_of(n).items():
+            law[len(sizes)] += times * a ** len(sizes) * math.prod(map(stay, sizes))
+        total = sum(law.values())
+        got = np.bincount(LM.seat(np.full(many, n), np.full(many, a), LM._mixed(np.arange(many), n)), minlength=n + 1) / many
+        assert got[1:] == pytest.approx([law[t] / total for t in range(1, n + 1)], abs=0.015)
+    assert LM.seat(np.array([0, 1]), np.array([1.0, 1.0]), np.array([1, 2], np.uint64)).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("a", [0.01, 1.0, 30.0, 900.0])
+def test_seating_of_many_customers(monkeypatch, a):
+    """Beyond the table of Stirling numbers the law stays the same, as a longer table shows."""
+    n = 400
+    weight = LM.log_stirling(n, LM.D1)[n, 1 : n + 1] + np.arange(1, n + 1) * math.log(a)
+    law = np.exp(weight - weight.max())
+    law /= law.sum()
+    t = np.arange(1, n + 1)
+    mean, dev = (law * t).sum(), math.sqrt((law * t**2).sum() - (law * t).sum() ** 2)
+    monkeypatch.setattr(LM, "EXACT", 64)
+    got = LM.seat(np.full(1500, n), np.full(1500, a), LM._mixed(np.arange(1500)))
+    assert got.mean() == pytest.approx(mean, rel=0.02, abs=0.1 + 0.15 * dev)
+    assert got.min() >= 1 and got.max() <= n
+
+
+def test_strengths_are_gamma():
+    for shape in (0.3, 1.25, 40.0):
+        x = LM.gamma(np.full(40_000, shape), LM._mixed(np.arange(40_000)))
+        assert x.mean() == pytest.approx(shape, rel=0.03) and x.var() == pytest.approx(shape, rel=0.06)
+
+
+def test_predictions_are_the_posterior_mean_and_sum_to_one():
+    """One restaurant with three dishes: many sweeps against the sum over all seatings."""
+    count, root = np.array([3, 2, 1, 0]), np.array([0.4, 0.3, 0.2, 0.1])  # the last stands for unknown words
+    laws = []
+    for n in count:
+        law = collections.Counter()
+        for sizes, times in partitions_of(int(n)).items():
+            law[len(sizes)] += times * math.prod(map(stay, sizes))
+        laws.append(law)
+    total, mean = 0.0, np.zeros(4)
+    for a in laws[0]:
+        for b in laws[1]:
+            for c in laws[2]:
+                t = np.array([a, b, c, 0])
+                weight = math.prod(LM.S1 + LM.D1 * k for k in range(t.sum())) * math.prod(root**t) * laws[0][a] * laws[1][b] * laws[2][c]
+                total += weight
+                mean += weight * (count - LM.D1 * t + (LM.S1 + LM.D1 * t.sum()) * root) / (LM.S1 + count.sum())
+    r = LM.Restaurants(np.zeros(4, int), np.arange(4), count, np.array([7], np.uint64), np.arange(4, dtype=np.uint64))
+    got = r.predict(root, range(6000))
+    assert got.sum() == pytest.approx(1.0) and got == pytest.approx(mean / total, abs=0.01)
+    tables = np.array([3, 1, 0])
+    seen = LM.root_probabilities(tables, 4, 2)
+    assert seen.sum() == pytest.approx(1.0)
 
 
 def test_lm_awkward(spark):
