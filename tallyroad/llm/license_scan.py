@@ -3,8 +3,10 @@
 A template is license wording with ``<<beginOptional>> ... <<endOptional>>`` regions, which
 may be left out, and ``<<var;min=0;max=8>>`` regions, which stand for any few words. It is
 compiled to a nondeterministic automaton over words; a place in a text is accepted when
-its words lead the automaton to its end, so all mandatory wording matches exactly. Texts
-without a template's rarest words are never tried.
+its words lead the automaton to its end, so all mandatory wording matches exactly: a license
+with a changed, missing or additional term is not accepted. Templates are whole licenses
+and headers, or notices that name a license behind a verb of granting. Texts that lack one
+of a template's mandatory words are never tried.
 """
 
 from __future__ import annotations
@@ -18,27 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroad.llm import common
+from tallyroad.llm.license_texts import NEGATIONS, NOTICES, PHRASES, TEXTS
 
-#: Fixed values of the contract: phrase and label.
-PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-
-#: Wording of public licenses and of notices that name them, with markup.
-TEMPLATES = {
-    "mit-notice": "<<beginOptional>>this <<var;min=1;max=2>> is<<endOptional>> <<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> <<beginOptional>>distributed<<endOptional>> under <<beginOptional>>the terms of<<endOptional>> the mit license",
-    "apache-2.0": "licensed under <<beginOptional>>the terms of<<endOptional>> the apache license <<beginOptional>>version<<endOptional>> 2.0",
-    "gpl-2.0": "licensed under <<beginOptional>>the terms of<<endOptional>> the gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> version 2",
-    "gpl-3.0": "licensed under <<beginOptional>>the terms of<<endOptional>> the gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> version 3",
-    "lgpl-notice": "<<beginOptional>>licensed<<endOptional>> under <<beginOptional>>the terms of<<endOptional>> the gnu lesser general public license",
-    "agpl-notice": "<<beginOptional>>licensed<<endOptional>> under <<beginOptional>>the terms of<<endOptional>> the gnu affero general public license",
-    "cc-by-4.0": "licensed under <<beginOptional>>the terms of<<endOptional>> <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> cc by 4.0",
-    "cc-by-nc-4.0": "licensed under <<beginOptional>>the terms of<<endOptional>> <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> cc by nc 4.0",
-    "cc-by-sa-4.0": "licensed under <<beginOptional>>the terms of<<endOptional>> <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> cc by sa 4.0",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this <<var;min=1;max=6>> and associated documentation files the <<var;min=1;max=4>> to deal in the <<var;min=1;max=4>> without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the <<var;min=1;max=4>> and to permit persons to whom the <<var;min=1;max=4>> is furnished to do so subject to the following conditions",
-    "isc-text": "permission to use copy modify and or distribute this <<var;min=1;max=3>> for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "apache-2.0-header": "you may not use this <<var;min=1;max=3>> except in compliance with the license <<beginOptional>>you may obtain a copy of the license at <<var;min=1;max=8>><<endOptional>> unless required by applicable law or agreed to in writing <<var;min=1;max=3>> distributed under the license is distributed on an as is basis without warranties or conditions of any kind",
-    "gpl-header": "is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
-}
+#: Scores of a text with a whole license or header, with a notice, and with base phrases alone.
+WHOLE, NOTICE, BASE = 1.0, 0.75, 0.5
 _SEPARATORS = bytes(c for c in range(128) if not (48 <= c <= 57 or 97 <= c <= 122 or 65 <= c <= 90))
 #: Separators to blanks and A-Z to a-z in one step; bytes from 80 stay, so this is exact on UTF-8.
 _TABLE = bytes.maketrans(_SEPARATORS + common.UPPER.encode(), b" " * len(_SEPARATORS) + common.LOWER.encode())
@@ -133,36 +118,53 @@ def compile_template(markup: str) -> Automaton:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str] | None = None):
-        self.automata = {k: compile_template(v) for k, v in (TEMPLATES if templates is None else templates).items()}
-        self.entries = {k: a.starts() for k, a in self.automata.items()}
+    """Automata of whole texts (label -> markup) and of notices (label -> markups)."""
+
+    def __init__(self, texts: dict[str, str] | None = None, notices: dict[str, list[str]] | None = None):
+        whole = TEXTS if texts is None else texts
+        short = NOTICES if notices is None else notices
+        self.automata = [(k, WHOLE, compile_template(v)) for k, v in whole.items()] + [(k, NOTICE, compile_template(v)) for k, each in short.items() for v in each]
         self.phrases = [(tuple(p.encode().split()), label) for p, label in PHRASES.items()]
+        self.negations = {w.encode() for w in NEGATIONS}
         # every phrase and template needs one of these words; checked on the raw bytes first
-        self.signs = [b"license", *sorted({max(a.mandatory, key=len) for a in self.automata.values()} - {b"license"})]
+        self.signs = [b"license", *sorted({max(sorted(a.mandatory), key=len) for _, _, a in self.automata if b"license" not in a.mandatory})]
+
+    def spans(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, word after the last, score) of the longest matches from left to right of each template; a notice behind a negation grants nothing."""
+        out, present, places = [], set(words), {}
+        for label, score, automaton in self.automata:
+            if not present >= automaton.mandatory:
+                continue
+            starts = automaton.starts()
+            if not places:
+                for i, w in enumerate(words):
+                    places.setdefault(w, []).append(i)
+            free = 0
+            for i in sorted(i for w in starts for i in places.get(w, ())):
+                if i < free or score == NOTICE and self.negations.intersection(words[max(0, i - 2) : i]):
+                    continue
+                if (end := automaton.ends(words, i)) is not None:
+                    out.append((label, i, end, score))
+                    free = end
+        return out
 
     def scan(self, text: bytes) -> dict:
         lowered = text.translate(_TABLE)
         words = lowered.split()
         base: list[tuple[int, str]] = []
-        spans: list[tuple[str, int, int]] = []
+        spans: list[tuple[str, int, int, float]] = []
         if any(s in lowered for s in self.signs):
             present = set(words)
             for phrase, label in self.phrases:
                 if present.issuperset(phrase):
                     base += [(i, label) for i, w in enumerate(words) if w == phrase[0] and tuple(words[i : i + len(phrase)]) == phrase]
-            for label, automaton in self.automata.items():
-                if present >= automaton.mandatory:
-                    entries, free = self.entries[label], 0
-                    for i, w in enumerate(words):
-                        if i >= free and w in entries and (end := automaton.ends(words, i)) is not None:
-                            spans.append((label, i, end))
-                            free = end
+            spans = self.spans(words)
         base_labels = {x for _, x in base}
         starts = [i for i, _ in base]
         return {
             "n_words": len(words), "n_base": len(base), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
-            "base_labels": ",".join(sorted(base_labels)), "labels": ",".join(sorted(base_labels | {x for x, _, _ in spans})),
-            "score": 1.0 if spans else 0.5 if base else 0.0, "spans": [{"label": x, "start": a, "end": b} for x, a, b in spans],
+            "base_labels": ",".join(sorted(base_labels)), "labels": ",".join(sorted(base_labels | {x[0] for x in spans})),
+            "score": max([x[3] for x in spans], default=BASE if base else 0.0), "spans": [{"label": x, "start": a, "end": b} for x, a, b, _ in spans],
         }
 
 
@@ -172,17 +174,18 @@ _SCHEMA = pa.schema(
 )
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
+def license_scan(docs: DataFrame, texts: dict[str, str] | None = None, notices: dict[str, list[str]] | None = None) -> DataFrame:
     """Scan every whole text for the base phrases and the templates.
 
     ``docs`` needs doc_id and text. Returns doc_id, n_words, n_base, first_word, last_word, base_labels,
-    labels, score (1 where a template is accepted, 0.5 with base phrases alone, else 0) and ``spans``
-    (label, first word, word after the last). Null and empty texts have no words and empty labels;
-    repeated rows and null ids give a row each; an empty table gives an empty table.
+    labels, score (WHOLE where a license's or header's whole wording stands, else NOTICE where a notice names
+    a license, else BASE with base phrases alone, else 0) and ``spans`` (label, first word, word after the
+    last). Null and empty texts have no words and empty labels; repeated rows and null ids give a row each;
+    an empty table gives an empty table.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates)
+        scanner = Scanner(texts, notices)
         for batch in batches:
             rows = [{"doc_id": i} | scanner.scan(t or b"") for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)

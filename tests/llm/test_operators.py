@@ -20,6 +20,7 @@ from tallyroad.llm import exact_dedup as E
 from tallyroad.llm import fingerprints as FP
 from tallyroad.llm import jaccard_join as J
 from tallyroad.llm import license_scan as LS
+from tallyroad.llm import license_texts as LT
 from tallyroad.llm import line_dedup as LD
 from tallyroad.llm import lm_scoring as LM
 from tallyroad.llm import mixing as M
@@ -361,7 +362,7 @@ def test_license_scan_base(spark):
     words = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     for i, t in documents().items():
         w, starts, labels = words.findall(t.translate(LOWER)), [], set()
-        for phrase, label in LS.PHRASES.items():
+        for phrase, label in LT.PHRASES.items():
             p = phrase.split()
             at = [k for k in range(len(w)) if w[k : k + len(p)] == p]
             starts += at
@@ -375,11 +376,89 @@ def test_license_scan_awkward(spark):
     got = LS.license_scan(awkward(spark)).collect()
     assert len(got) == len(AWKWARD)
     r = next(x for x in got if x["doc_id"] == 2**62)
-    assert (r["labels"], r["n_base"], r["score"]) == ("mit,mit-notice", 1, 1.0)
+    assert (r["labels"], r["n_base"], r["score"]) == ("mit,mit-notice", 1, LS.NOTICE)
     assert {x["n_words"] for x in got if x["doc_id"] in (4, 5, 6)} == {0}
     assert LS.license_scan(empty(spark)).count() == 0
 
 
+def written(markup: str, rng=None) -> str:
+    """A text that a template accepts, with optional regions kept or left out and variables filled at random."""
+    out = markup
+    while True:
+        new = re.sub("<<beginOptional>>((?:(?!<<beginOptional>>).)*?)<<endOptional>>", lambda m: m[1] if rng is None or rng.random() < 0.5 else " ", out, count=1, flags=re.S)
+        if new == out:
+            break
+        out = new
+    some = lambda m: " ".join(f"name{k}" for k in range(int(m[1]) if rng is None else rng.integers(int(m[1]), int(m[2]) + 1)))
+    return re.sub("<<var;min=(\\d+);max=(\\d+)>>", some, out)
+
+
+def pattern(markup: str) -> re.Pattern:
+    """The template as a regular expression over words that are each followed by a blank."""
+    out = []
+    for part in re.split("(<<[^>]*>>)", markup):
+        if part == "<<beginOptional>>":
+            out.append("(?:")
+        elif part == "<<endOptional>>":
+            out.append(")?")
+        elif m := re.fullmatch("<<var;min=(\\d+);max=(\\d+)>>", part):
+            out.append(f"(?:[^ ]+ ){{{m[1]},{m[2]}}}")
+        else:
+            out += [re.escape(w.decode()) + " " for w in LS.split_words(part.encode())]
+    return re.compile("".join(out))
+
+
+TEMPLATES = [(k, v) for k, v in LT.TEXTS.items()] + [(k, v) for k, each in LT.NOTICES.items() for v in each]
+
+
+def test_templates_against_regular_expressions():
+    """Every template accepts what its markup allows, and with a word changed, left out or put in what the pattern accepts, nothing else."""
+    rng = np.random.default_rng(13)
+    taken = refused = 0
+    for _, markup in TEMPLATES:
+        automaton, wanted = LS.compile_template(markup), pattern(markup)
+        for turn in range(12):
+            words = LS.split_words(written(markup, rng).encode())
+            assert automaton.ends(words, 0) is not None
+            at = rng.integers(0, len(words))
+            if turn % 3 == 0:
+                words[at] = b"changed"
+            elif turn % 3 == 1:
+                del words[at]
+            else:
+                words.insert(at, b"additional")
+            text = "".join(w.decode() + " " for w in words)
+            for i in {0, int(at), max(0, int(at) - 3)}:
+                place = sum(len(w) + 1 for w in words[:i])
+                got = automaton.ends(words, i) is not None
+                assert got == (wanted.match(text, place) is not None)
+                taken, refused = taken + got, refused + (not got)
+    assert taken > 20 and refused > 500
+
+
+def test_license_labels_against_brute_force(spark):
+    """Labels and scores of a table of license texts, notices and altered ones against patterns tried at every word."""
+    rng = np.random.default_rng(14)
+    texts = {}
+    for k, (_, markup) in enumerate(TEMPLATES):
+        whole = written(markup, rng)
+        words = whole.split()
+        cut = [w for j, w in enumerate(words) if j != len(words) // 2]
+        texts |= {3 * k: f"Copyright 2020\n{whole.upper()}\nint main", 3 * k + 1: " ".join(cut), 3 * k + 2: "you may not use what is " + whole}
+    texts |= {1000: written(LT.TEXTS["mit-text"])[:700] + " commercial use is forbidden and the licensee must pay a fee", 1001: "you may not ship this under the MIT license"}
+    got = {r["doc_id"]: r for r in LS.license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    patterns = [(label, score, pattern(m)) for label, m, score in [(k, v, LS.WHOLE) for k, v in LT.TEXTS.items()] + [(k, v, LS.NOTICE) for k, each in LT.NOTICES.items() for v in each]]
+    for i, t in texts.items():
+        words = [w.decode() for w in LS.split_words(t.encode())]
+        text, places = "".join(w + " " for w in words), np.cumsum([0, *(len(w) + 1 for w in words)])[:-1].tolist()
+        phrases = {label for p, label in LT.PHRASES.items() if f" {p} " in f" {text}"}
+        found = [(label, score) for label, score, p in patterns for j, at in enumerate(places) if p.match(text, at) and not (score == LS.NOTICE and set(words[max(0, j - 2) : j]) & set(LT.NEGATIONS))]
+        assert got[i]["labels"] == ",".join(sorted(phrases | {x for x, _ in found})), t
+        assert got[i]["score"] == max([s for _, s in found], default=LS.BASE if phrases else 0.0)
+    assert got[1000]["labels"] == "" and got[1001]["labels"] == "mit" and got[1001]["score"] == LS.BASE
+    assert got[0]["labels"] == "mit-text" and got[0]["score"] == LS.WHOLE and got[1]["labels"] == ""
+
+
 def best_score(codec: SP.Codec, word: str) -> float:
     """Best segmentation by trying every piece at every place."""
     v = codec.v
