@@ -4,6 +4,12 @@ The distinct marked words of a batch are sorted, which is a depth-first walk ove
 trie; the forward scores of the common prefix with the word before are kept, and only the
 remaining characters are extended. Pieces that end at a character are found in a trie of
 reversed pieces. A character that no piece covers falls back to its UTF-8 bytes.
+
+A unigram model's best path has the largest sum of scores. A merge model's scores are
+priorities and don't add up, but its encoding is a path of the same kind: any part of it
+is the encoding of that part, so the piece that ends a prefix is the one that stays whole
+beside the piece before it, and merging the two pieces' characters tells whether it does.
+Both kinds give the ids that the model defines.
 """
 
 from __future__ import annotations
@@ -12,6 +18,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,29 +33,42 @@ MARK = "▁"
 UNKNOWN = 10.0
 #: Distinct words that a worker keeps with their pieces, and characters of texts taken together.
 KEPT_WORDS, BLOCK_CHARS = 200_000, 2_000_000
+#: Pairs of pieces that a worker knows to stay side by side or not.
+KEPT_PAIRS = 1_000_000
 
 
 @dataclass
 class Vocabulary:
-    """Pieces with scores; ``bytes_`` has the ids of the 256 byte pieces, empty without byte fallback."""
+    """Pieces with scores; ``bytes_`` has the ids of the 256 byte pieces, empty without byte fallback; ``merges`` says that scores are priorities."""
 
     pieces: list[str]
     scores: list[float]
     normal: list[bool]
     bytes_: list[int]
     unknown: int
+    merges: bool = False
 
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = sp.get_piece_size()
-        pieces = [sp.id_to_piece(i) for i in range(n)]
-        if any(re.search(f"[^{MARK}]{MARK}", p) for i, p in enumerate(pieces) if not (sp.is_control(i) or sp.is_unknown(i))):
+        """Read a model file; raises ValueError for models whose texts this codec would prepare in another way."""
+        from sentencepiece import sentencepiece_model_pb2
+
+        model = sentencepiece_model_pb2.ModelProto()
+        model.ParseFromString(Path(path).read_bytes())
+        kind, prepared = model.trainer_spec, model.normalizer_spec
+        if kind.model_type not in (kind.UNIGRAM, kind.BPE):
+            raise ValueError("only unigram and merge models are read")
+        if prepared.precompiled_charsmap or not prepared.add_dummy_prefix or prepared.remove_extra_whitespaces or not prepared.escape_whitespaces or kind.treat_whitespace_as_suffix:
+            raise ValueError("only models that mark blanks and the text's start, and change nothing else, are read")
+        pieces = [p.piece for p in model.pieces]
+        types = [p.type for p in model.pieces]
+        one = type(model.pieces[0]) if pieces else sentencepiece_model_pb2.ModelProto.SentencePiece
+        if one.USER_DEFINED in types or one.UNUSED in types:
+            raise ValueError("user-defined and unused pieces are not read")
+        if any(re.search(f"[^{MARK}]{MARK}", p) for p, t in zip(pieces, types, strict=True) if t == one.NORMAL):
             raise ValueError("a piece crosses the start of a word")
-        of_byte = {pieces[i]: i for i in range(n) if sp.is_byte(i)}
-        return cls(pieces, [sp.get_score(i) for i in range(n)], [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)) for i in range(n)], [of_byte[f"<0x{b:02X}>"] for b in range(256)] if len(of_byte) == 256 else [], sp.unk_id())
+        of_byte = {p: i for i, (p, t) in enumerate(zip(pieces, types, strict=True)) if t == one.BYTE}
+        return cls(pieces, [p.score for p in model.pieces], [t == one.NORMAL for t in types], [of_byte[f"<0x{b:02X}>"] for b in range(256)] if len(of_byte) == 256 else [], types.index(one.UNKNOWN), kind.model_type == kind.BPE)
 
 
 class Codec:
@@ -64,6 +84,8 @@ class Codec:
         self.unknown_score = min((s for s, ok in zip(v.scores, v.normal, strict=True) if ok), default=0.0) - UNKNOWN
         alone = [c for c in "\n\t\r" if not any(c in p for p, ok in zip(v.pieces, v.normal, strict=True) if ok)]
         self.cut = re.compile(f"[{''.join(alone)}]|{MARK}*[^{MARK}{''.join(alone)}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.scores = {p: x for p, x, ok in zip(v.pieces, v.scores, v.normal, strict=True) if ok}
+        self.beside: dict[tuple[int, int], bool] = {}
         byte_of = {i: bytes([b]) for b, i in enumerate(v.bytes_)}
         self.raw = [byte_of.get(i, p.encode() if ok else (" ⁇ ".encode() if i == v.unknown else b"")) for i, (p, ok) in enumerate(zip(v.pieces, v.normal, strict=True))]
         self.forget()
@@ -78,9 +100,28 @@ class Codec:
         """Marked words of a text: runs of blanks with what follows them."""
         return self.cut.findall(MARK + text.replace(" ", MARK)) if text else []
 
+    def merged(self, text: str) -> list[str]:
+        """Characters merged by priority, the leftmost of equals first."""
+        parts = list(text)
+        while len(parts) > 1:
+            found = [(-self.scores[x], k) for k in range(len(parts) - 1) if (x := parts[k] + parts[k + 1]) in self.scores]
+            if not found:
+                break
+            k = min(found)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return parts
+
+    def stays(self, before: int, piece: int) -> bool:
+        """Whether a piece stays whole behind another one (or behind none or an uncovered character, -1)."""
+        known = self.beside.get((before, piece))
+        if known is None:
+            whole = [self.v.pieces[i] for i in (before, piece) if i >= 0]
+            known = self.beside[before, piece] = self.merged("".join(whole)) == whole
+        return known
+
     def add(self, words: set[str]) -> None:
-        """Encode new distinct words in sorted order, extending the scores of common prefixes."""
-        root, v, floor = self.root, self.v, self.unknown_score
+        """Encode new distinct words in sorted order, extending the forward scores of common prefixes."""
+        root, v, floor, merges, stays = self.root, self.v, self.unknown_score, self.v.merges, self.stays
         before, best, back, piece_at = "", [0.0], [0], [-1]
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
@@ -90,10 +131,21 @@ class Codec:
             for end in range(shared + 1, len(word) + 1):
                 top, start, chosen = best[end - 1] + floor, end - 1, -1
                 node, at = root, end - 1
-                while at >= 0 and (node := node.get(word[at])) is not None:
-                    if (hit := node.get("")) is not None and (s := best[at] + hit[1]) > top:
-                        top, start, chosen = s, at, hit[0]
-                    at -= 1
+                if merges:
+                    hits = []
+                    while at >= 0 and (node := node.get(word[at])) is not None:
+                        if (hit := node.get("")) is not None:
+                            hits.append((at, hit))
+                        at -= 1
+                    for at, hit in reversed(hits):
+                        if stays(piece_at[at], hit[0]):
+                            top, start, chosen = best[at] + hit[1], at, hit[0]
+                            break
+                else:
+                    while at >= 0 and (node := node.get(word[at])) is not None:
+                        if (hit := node.get("")) is not None and (s := best[at] + hit[1]) >= top:  # the longer of equals
+                            top, start, chosen = s, at, hit[0]
+                        at -= 1
                 best.append(top)
                 back.append(start)
                 piece_at.append(chosen)
@@ -118,6 +170,8 @@ class Codec:
         """(piece ids, Viterbi score) of each whole text."""
         if len(self.index) > KEPT_WORDS:
             self.forget()
+        if len(self.beside) > KEPT_PAIRS:
+            self.beside.clear()
         marked = [self.mark(t) for t in texts]
         self.add({w for m in marked for w in m}.difference(self.index))
         ids, offsets, scores = np.array(self.ids, np.int32), np.array(self.offsets, np.int64), np.array(self.word_scores)
@@ -127,7 +181,10 @@ class Codec:
             begin, count = offsets[at], offsets[at + 1] - offsets[at]
             ends = np.cumsum(count)
             total = int(ends[-1]) if len(m) else 0
-            out.append((ids[np.repeat(begin - ends + count, count) + np.arange(total)] if total else ids[:0], float(scores[at].sum())))
+            own = ids[np.repeat(begin - ends + count, count) + np.arange(total)] if total else ids[:0]
+            if not self.v.bytes_ and total:  # unknown pieces side by side are one, also across words
+                own = own[np.append(True, (own[1:] != self.v.unknown) | (own[:-1] != self.v.unknown))]
+            out.append((own, float(scores[at].sum())))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -170,7 +227,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """Encode every whole text and decode it again.
 
     ``docs`` needs doc_id and text. Returns doc_id, n_chars, n_pieces, score (sum of piece scores on the
-    best path), ids, decoded_sha256 and exact (the decoded text is the text). Null and empty texts have no
+    best path; a merge model's scores are priorities), ids, decoded_sha256 and exact (the decoded text is the text). Null and empty texts have no
     pieces. A literal U+2581 is read as a blank, as SentencePiece does, and then exact is false. Repeated
     rows and null ids give a row each; an empty table gives an empty table. The vocabulary has a fixed size
     and is broadcast.
