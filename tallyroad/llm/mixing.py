@@ -2,21 +2,24 @@
 
 Documents are pre-aggregated to token counts of (source, language, topic) cells. The cells'
 weights are raked: scaled in turn so that the sums by source, by language and by topic meet
-their targets. A cell's raked share against its token share gives the sampling probability
+their targets. A cell's weight is its tokens times a factor for each of its three values, so
+a step sums the cells by one margin, with map-side combination, and writes that margin's
+factors; cells are never brought together. A cell's raked share against its token share gives the sampling probability
 of its documents, scaled so that the fullest cell is kept whole, and a document stays where
 a uniform number made from its id lies below that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroad.llm import common
 
-ROUNDS = 12
-#: Rounds planned together before the cells are written: bounds the plan, not the result.
-ROUNDS_A_JOB = 3
+#: Most rounds, and the relative distance of every margin to its target at which they end before.
+ROUNDS, TOLERANCE = 12, 1e-10
 #: Exponent of the token share in the targets: 1 keeps the mixture, 0 gives every value the same weight.
 EVENNESS = 0.85
 #: Digits of probabilities, so that sums of different order agree.
@@ -43,18 +46,33 @@ def uniform(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("-"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Rake ``weight`` of the cells to the targets: ``targets[margin]`` has (margin, target), target shares that sum to 1."""
-    for margin, target in targets.items():
-        cells = cells.join(target.withColumnRenamed("target", f"target_{margin}"), margin)
-    cells = common.materialize(cells, "cells")
-    for done in range(rounds):
-        for margin in targets:
-            total = F.sum("weight").over(Window.partitionBy(margin))
-            cells = cells.withColumn("weight", F.col("weight") * F.col(f"target_{margin}") / total)
-        if (done + 1) % ROUNDS_A_JOB == 0 or done + 1 == rounds:
-            cells = common.materialize(cells.coalesce(1), "cells")
-    return cells
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[DataFrame, float]:
+    """Cells with ``weight`` (raked from ``tokens``) and the largest relative distance of a margin to its target before the last round.
+
+    ``targets[margin]`` has (margin, target), target shares that sum to 1; cells with a value that has none are left out.
+    """
+    factors = {m: common.materialize(t.select(m, "target", F.lit(1.0).alias(f"factor_{m}")), f"factors-{m}") for m, t in targets.items()}
+    for m in targets:
+        cells = cells.join(factors[m].select(m), m, "left_semi")
+
+    def weighed(margins: list[str]) -> tuple[DataFrame, Column]:
+        out, weight = cells, F.col("tokens").cast("double")
+        for m in margins:
+            out, weight = out.join(factors[m].select(m, f"factor_{m}"), m), weight * F.col(f"factor_{m}")
+        return out, weight
+
+    drift = float("inf")
+    for _ in range(rounds):
+        for m in targets:
+            rows, weight = weighed([o for o in targets if o != m])
+            sums = rows.groupBy(m).agg(F.sum(weight).alias("sum"))
+            moved = F.abs(F.col(f"factor_{m}") * F.col("sum") / F.col("target") - 1).alias("drift")
+            factors[m] = common.materialize(factors[m].join(sums, m).select(m, "target", (F.col("target") / F.col("sum")).alias(f"factor_{m}"), moved), f"factors-{m}")
+        drift = max(r["drift"] or 0.0 for r in reduce(DataFrame.unionAll, [factors[m].agg(F.max("drift").alias("drift")) for m in targets]).collect())  # three rows
+        if drift <= tolerance:
+            break
+    rows, weight = weighed(list(targets))
+    return rows.withColumn("weight", weight).drop(*[f"factor_{m}" for m in targets]), drift
 
 
 def even_targets(cells: DataFrame, margin: str, evenness: float = EVENNESS) -> DataFrame:
@@ -88,14 +106,13 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: in
     cells = common.materialize(base.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")), "cells")
     some = cells.where("tokens > 0")
     wanted = targets or {m: even_targets(some, m) for m in MARGINS}
-    raked = rake(some.withColumn("weight", F.col("tokens").cast("double")), wanted, rounds)
-    ratio = raked.select(*MARGINS, (F.col("weight") / F.col("tokens")).alias("ratio"))
+    raked, _ = rake(some, wanted, rounds)
+    ratio = common.materialize(raked.select(*MARGINS, (F.col("weight") / F.col("tokens")).alias("ratio")), "ratios")
     most = ratio.agg(F.max("ratio").alias("most")).first()["most"]
-    # in one file of known size, which Spark broadcasts while it is small and joins by key beyond
+    # of known size, which Spark broadcasts while it is small and joins by key beyond
     rated = common.materialize(
         cells.join(ratio, list(MARGINS), "left")
-        .select(*MARGINS, F.when(F.col("tokens") == 0, 1.0).otherwise(F.coalesce(F.round(F.col("ratio") / F.lit(most), DIGITS), F.lit(0.0))).alias("probability"))
-        .coalesce(1),
+        .select(*MARGINS, F.when(F.col("tokens") == 0, 1.0).otherwise(F.coalesce(F.round(F.col("ratio") / F.lit(most), DIGITS), F.lit(0.0))).alias("probability")),
         "probabilities",
     )
     return base.join(rated, list(MARGINS)).select("doc_id", *MARGINS, "tokens", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("selected"), "carried")

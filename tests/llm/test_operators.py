@@ -717,15 +717,27 @@ def test_mixing_meets_targets(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
     share = lambda m, **v: spark.createDataFrame(list(v.items()), f"{m} string, target double")
     targets = {"source": share("source", a=0.4, b=0.3, c=0.3), "lang": share("lang", x=0.6, y=0.4), "topic": share("topic", t=0.5, u=0.5)}
-    got = M.mix(docs, targets, rounds=30).toPandas()
+    got = M.mix(docs, targets).toPandas()
     got["kept"] = got.tokens * got.probability
-    for margin, want in (("source", {"a": 0.4, "b": 0.3, "c": 0.3}), ("lang", {"x": 0.6, "y": 0.4})):
+    for margin, want in (("source", {"a": 0.4, "b": 0.3, "c": 0.3}), ("lang", {"x": 0.6, "y": 0.4}), ("topic", {"t": 0.5, "u": 0.5})):
         shares = got.groupby(margin).kept.sum() / got.kept.sum()
-        assert shares.to_dict() == pytest.approx(want, abs=1e-3)
+        assert shares.to_dict() == pytest.approx(want, abs=1e-5)
     assert got.probability.max() == 1.0
     assert got.selected.mean() == pytest.approx(got.probability.mean(), abs=0.03)
 
 
+def test_raking_stops_when_margins_are_met(spark):
+    rows = [("a", "x", "t", 10), ("a", "y", "u", 30), ("b", "x", "u", 20), ("b", "y", "t", 40), ("z", "x", "t", 5)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    share = lambda m, **v: spark.createDataFrame(list(v.items()), f"{m} string, target double")
+    targets = {"source": share("source", a=0.5, b=0.5), "lang": share("lang", x=0.3, y=0.7), "topic": share("topic", t=0.4, u=0.6)}
+    raked, drift = M.rake(cells, targets, rounds=200, tolerance=1e-9)
+    got = raked.toPandas()
+    assert drift <= 1e-9 and len(got) == 4 and "z" not in set(got.source)  # a value without a target is left out
+    assert got.groupby("lang").weight.sum().to_dict() == pytest.approx({"x": 0.3, "y": 0.7}, abs=1e-8)
+    assert M.rake(cells, targets, rounds=1)[1] > 1e-3
+
+
 def test_mixing_awkward(spark):
     df = awkward(spark).withColumn("lang", F.when(F.col("doc_id") > 5, F.lit(None)).otherwise(F.col("lang")))
     got = M.mix(df).collect()
