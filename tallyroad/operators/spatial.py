@@ -7,14 +7,16 @@ a point or segment joins on its own cells, so no join compares all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
+from math import radians
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroad.functions.scalars import UNCERTAIN, YES, haversine_m, street_name
-from tallyroad.sources.scratch import materialize
+from tallyroad.functions.scalars import EARTH_M, UNCERTAIN, YES, street_name
+from tallyroad.sources.scratch import materialize, shared_dir
 
 
 def _ends(ring: str, axis: str) -> tuple[Column, Column]:
@@ -54,55 +56,80 @@ def polygon_or_nearest(points: DataFrame, polygons: DataFrame, centres: DataFram
     return found.join(lost.select("id", F.col("polygon").alias("near")), "id", "left").select("id", "x", "y", F.coalesce("polygon", "near").alias("polygon"))
 
 
-def nearest(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
-    """Nearest site of each point by rings of cells that double until the hit lies within the ring; smaller id of equals.
+#: Children of a cell along an axis, most cells of the coarsest level, and most cells that are broadcast (their number is counted first).
+FANOUT, TOP_CELLS, BROADCAST_CELLS = 4, 64, 10_000
+
 
-    Each round is one equi-join on cells of a doubled width, and only points without a certain hit go on.
+def _closest(points: DataFrame, sites: DataFrame, axes: list[str], size: float, distance: Column, slack: float) -> DataFrame:
+    """(id, site, distance): site of least (distance, site) for each point, which must fall as the straight distance between the axes falls.
+
+    ``points``: id and axes; ``sites``: site and axes with an ``s`` before. Points with a site no farther than ``size``
+    find it in the cells around their own. The others go down a pyramid of occupied cells: a cell is left out when its
+    box lies farther away than some site does that is known already, and every level is written, so neither the plan nor
+    a point's cells grow. ``slack`` keeps what rounding may have put a little too far away.
     """
-    left, done, width = points, None, size
-    reach = sites.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0]
-    if reach is None:
-        return points.select("id", F.lit(None).cast("long").alias("polygon"), F.lit(None).cast("double").alias("distance"))
-    farthest = max(float(reach), float(points.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0] or 0.0))
-    while True:
-        last = width > 2 * farthest
-        cell = lambda c, w=width: F.floor(F.col(c) / w).cast("int")
-        ring = F.array(*[F.struct((cell("x") + i).alias("i"), (cell("y") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        near = left.select("id", "x", "y", F.explode(ring).alias("cell")).join(sites.select("polygon", F.col("x").alias("sx"), F.col("y").alias("sy"), F.struct(cell("x").alias("i"), cell("y").alias("j")).alias("cell")), "cell")
-        distance = F.sqrt(F.pow(F.col("x") - F.col("sx"), 2) + F.pow(F.col("y") - F.col("sy"), 2))
-        best = near.groupBy("id").agg(F.min(F.struct(distance.alias("distance"), "polygon")).alias("best")).select("id", "best.polygon", "best.distance")
-        sure = best if last else best.where(F.col("distance") <= width)
-        done = sure if done is None else done.unionByName(sure)
-        if last:
-            return done
-        left = left.join(sure.select("id"), "id", "left_anti")
-        width *= 8
+    at = lambda prefix: F.struct(*[F.floor(F.col(prefix + a) / size).cast("long").alias(a) for a in axes])
+    gap = lambda other: F.sqrt(sum((F.pow(F.col(a) - other(a), 2) for a in axes), F.lit(0.0)))
+    placed = sites.withColumn("cell", at("s"))
+    pick = F.min(F.struct(distance.alias("distance"), "site", gap(lambda a: F.col(f"s{a}")).alias("gap"))).alias("best")
+    own = at("")
+    ring = F.array(*[F.struct(*[(own[a] + d).alias(a) for a, d in zip(axes, moves, strict=True)]) for moves in product((-1, 0, 1), repeat=len(axes))])
+    best = points.withColumn("cell", F.explode(ring)).join(placed, "cell").groupBy("id").agg(pick)
+    done = materialize(best.where(F.col("best.gap") <= size).select("id", "best.site", "best.distance"), "near")
+    left = materialize(points.join(done.select("id"), "id", "left_anti"), "far-points")
+    if left.isEmpty():
+        return done
+    first = F.min(F.struct("site", *[F.col(f"s{a}").alias(a) for a in axes])).alias("rep")
+    levels = [materialize(placed.groupBy("cell").agg(first), "cells")]
+    counts = [levels[0].count()]
+    while counts[-1] > TOP_CELLS:
+        up = F.struct(*[F.floor(F.col("cell")[a] / FANOUT).cast("long").alias(a) for a in axes])
+        levels.append(materialize(levels[-1].groupBy(up.alias("cell")).agg(F.min("rep").alias("rep")), "cells"))
+        counts.append(levels[-1].count())
+    if not counts[0]:
+        return done
+    # at most TOP_CELLS rows
+    top = [F.struct(*[F.lit(r["cell"][a]).cast("long").alias(a) for a in axes], *[F.lit(float(r["rep"][a])).alias(f"r{a}") for a in axes]) for r in levels[-1].collect()]
+    found = left.withColumn("c", F.explode(F.array(*top))).select("id", *axes, F.struct(*[F.col("c")[a].alias(a) for a in axes]).alias("cell"), F.struct(*[F.col("c")[f"r{a}"].alias(a) for a in axes]).alias("rep"))
+    for level in range(len(levels) - 1, -1, -1):
+        width = size * FANOUT**level
+        beyond = lambda a, w=width: F.greatest(F.col("cell")[a] * w - F.col(a), F.col(a) - (F.col("cell")[a] + 1) * w, F.lit(0.0))
+        box = F.sqrt(sum((F.pow(beyond(a), 2) for a in axes), F.lit(0.0)))
+        known = F.min(gap(lambda a: F.col("rep")[a])).over(Window.partitionBy("id"))
+        kept = materialize(found.withColumn("box", box).withColumn("known", known).where(F.col("box") <= F.col("known") + slack).select("id", *axes, "cell"), "far-cells")
+        if level:
+            below = levels[level - 1].select(F.struct(*[F.floor(F.col("cell")[a] / FANOUT).cast("long").alias(a) for a in axes]).alias("parent"), F.col("cell").alias("child"), "rep")
+            below = F.broadcast(below) if counts[level - 1] <= BROADCAST_CELLS else below
+            found = kept.join(below, kept["cell"] == below["parent"]).select("id", *axes, F.col("child").alias("cell"), "rep")
+    far = kept.join(placed, "cell").groupBy("id").agg(pick).select("id", "best.site", "best.distance")
+    return done.unionByName(far)
+
+
+def nearest(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
+    """(id, polygon, distance): nearest site of each point, the smaller id of equals. ``points``: id, x, y; ``sites``: polygon, x, y. Without sites there are no rows."""
+    distance = F.sqrt(F.pow(F.col("x") - F.col("sx"), 2) + F.pow(F.col("y") - F.col("sy"), 2))
+    named = sites.select(F.col("polygon").alias("site"), F.col("x").alias("sx"), F.col("y").alias("sy"))
+    found = _closest(points.select("id", "x", "y"), named, ["x", "y"], size, distance, 1e-9 * size)
+    return found.select("id", F.col("site").alias("polygon"), "distance")
 
 
 def nearest_on_sphere(points: DataFrame, sites: DataFrame, degrees: float = 2.0) -> DataFrame:
-    """Nearest site by great-circle distance, the smaller id of equals, for longitudes away from the antimeridian.
+    """(id, site, metres): nearest site by great-circle distance, the smaller id of equals, anywhere on the globe.
 
-    ``points``: id, lat, lon; ``sites``: site, slat, slon. Each round is one equi-join on cells of latitude and
-    longitude and their neighbours; a hit counts if it is nearer than the neighbours' border, and only the other
-    points go on to cells eight times as wide, until one cell covers the globe.
+    ``points``: id, lat, lon; ``sites``: site, slat, slon. Cells are cubes around the unit sphere, where straight
+    distances grow with great-circle ones; ``degrees`` is their width.
     """
-    left, done, width = points, None, degrees
-    while True:
-        last = width >= 360
-        at = lambda c, w=width: F.floor((F.col(c) + 180) / w).cast("int")
-        ring = F.array(*[F.struct((at("lat") + i).alias("i"), (at("lon") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        placed = sites.withColumn("cell", F.struct(at("slat").alias("i"), at("slon").alias("j")))
-        metres = F.round(haversine_m(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon")), 6)
-        near = left.select("*", F.explode(ring).alias("cell")).join(placed, "cell")
-        best = near.groupBy("id", "lat").agg(F.min(F.struct(metres.alias("metres"), "site")).alias("best")).select("id", "lat", "best.site", "best.metres")
-        # what lies beyond the neighbouring cells is at least this far away
-        border = F.lit(width * 111_000.0) * F.cos(F.radians(F.least(F.abs("lat") + width, F.lit(89.999))))
-        sure = (best if last else best.where(F.col("metres") <= border)).select("id", "site", "metres")
-        done = sure if done is None else done.unionByName(sure)
-        if last:
-            return done
-        left = left.join(sure.select("id"), "id", "left_anti")
-        width *= 8
+    axes = ["x", "y", "z"]
+
+    def vectors(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
+        a, b = F.radians(lat), F.radians(lon)
+        return df.withColumns({f"{prefix}x": F.cos(a) * F.cos(b), f"{prefix}y": F.cos(a) * F.sin(b), f"{prefix}z": F.sin(a)})
+
+    # straight distances are good to about 1e-16, which the rounding to a micrometre may turn into an equal one
+    straight = F.sqrt(sum((F.pow(F.col(a) - F.col(f"s{a}"), 2) for a in axes), F.lit(0.0)))
+    metres = F.round(2 * EARTH_M * F.asin(F.least(straight / 2, F.lit(1.0))), 6)
+    found = _closest(vectors(points.select("id", "lat", "lon"), "lat", "lon", "").select("id", *axes), vectors(sites.select("site", "slat", "slon"), "slat", "slon", "s").select("site", "sx", "sy", "sz"), axes, radians(degrees), metres, 1e-11)
+    return found.select("id", "site", F.col("distance").alias("metres"))
 
 
 def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
@@ -112,40 +139,52 @@ def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column,
     return F.sqrt(F.pow(px - (ax + t * (bx - ax)), 2) + F.pow(py - (ay + t * (by - ay)), 2))
 
 
-def inside_lengths(ax: float, ay: float, bx: float, by: float, rings: list[np.ndarray]) -> float:
-    """Length of a segment inside a polygon: parts between crossings whose middle lies inside by even-odd count."""
-    cuts = [0.0, 1.0]
-    for ring in rings:
-        p, q = ring, np.roll(ring, -1, axis=0)
+def inside_lengths(segments: np.ndarray, rings: list[np.ndarray], edges_at_once: int = 1 << 20) -> np.ndarray:
+    """Length of each segment (ax, ay, bx, by) inside a polygon: parts between crossings whose middle lies inside by even-odd count."""
+    p = np.concatenate(rings)
+    q = np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+    out, step = np.empty(len(segments)), max(1, edges_at_once // len(p))
+    for low in range(0, len(segments), step):
+        ax, ay, bx, by = (segments[low : low + step, k][:, None] for k in range(4))
         d = (bx - ax) * (q[:, 1] - p[:, 1]) - (by - ay) * (q[:, 0] - p[:, 0])
-        ok = d != 0
-        t = ((p[ok, 0] - ax) * (q[ok, 1] - p[ok, 1]) - (p[ok, 1] - ay) * (q[ok, 0] - p[ok, 0])) / d[ok]
-        u = ((p[ok, 0] - ax) * (by - ay) - (p[ok, 1] - ay) * (bx - ax)) / d[ok]
-        cuts += t[(t > 0) & (t < 1) & (u >= 0) & (u <= 1)].tolist()
-    cuts = np.unique(cuts)
-    mid = (cuts[1:] + cuts[:-1]) / 2
-    x, y = ax + mid * (bx - ax), ay + mid * (by - ay)
-    odd = np.zeros(len(mid), int)
-    for ring in rings:
-        p, q = ring, np.roll(ring, -1, axis=0)
-        crosses = (p[None, :, 1] <= y[:, None]) != (q[None, :, 1] <= y[:, None])
         with np.errstate(divide="ignore", invalid="ignore"):
-            at = p[None, :, 0] + (y[:, None] - p[None, :, 1]) * (q[None, :, 0] - p[None, :, 0]) / (q[None, :, 1] - p[None, :, 1])
-        odd += (crosses & (x[:, None] < at)).sum(axis=1)
-    return float(np.hypot(bx - ax, by - ay) * (cuts[1:] - cuts[:-1])[odd % 2 == 1].sum())
+            t = ((p[:, 0] - ax) * (q[:, 1] - p[:, 1]) - (p[:, 1] - ay) * (q[:, 0] - p[:, 0])) / d
+            u = ((p[:, 0] - ax) * (by - ay) - (p[:, 1] - ay) * (bx - ax)) / d
+            t = np.where((d != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1), t, 1.0)
+        cuts = np.sort(np.hstack([np.zeros((len(t), 1)), t, np.ones((len(t), 1))]), axis=1)
+        cuts = cuts[:, : int((cuts < 1).sum(axis=1).max(initial=1)) + 1]
+        total = np.zeros(len(t))
+        for k in range(cuts.shape[1] - 1):  # parts of all segments at once
+            mid = (cuts[:, k + 1] + cuts[:, k])[:, None] / 2
+            x, y = ax + mid * (bx - ax), ay + mid * (by - ay)
+            crosses = (p[:, 1] <= y) != (q[:, 1] <= y)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = p[:, 0] + (y - p[:, 1]) * (q[:, 0] - p[:, 0]) / (q[:, 1] - p[:, 1])
+            inside = (crosses & (x < at)).sum(axis=1) % 2 == 1
+            total += np.where(inside, cuts[:, k + 1] - cuts[:, k], 0.0)
+        out[low : low + step] = total * np.hypot(bx - ax, by - ay)[:, 0]
+    return out
 
 
 def clip_lengths(segments: DataFrame, polygons: DataFrame, size: float, least_m: float = 0.01) -> DataFrame:
     """(line, polygon, length_m, part): length of each line inside each polygon; pieces of ``least_m`` or less are dropped.
 
-    ``segments``: line, ax, ay, bx, by; ``polygons``: polygon, ring. Holes are further rows of the same polygon.
+    ``segments``: line, ax, ay, bx, by; ``polygons``: polygon, ring. Holes are further rows of the same polygon. Segments
+    of a batch are clipped together polygon by polygon.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            values = [inside_lengths(r["ax"], r["ay"], r["bx"], r["by"], [np.array([(p["x"], p["y"]) for p in ring]) for ring in r["rings"]]) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index("line")), batch.column(batch.schema.names.index("polygon")), pa.array(values, pa.float64())], names=["line", "polygon", "length_m"])
+            if not batch.num_rows:
+                continue
+            polygon = batch.column("polygon").to_numpy(zero_copy_only=False)
+            ends = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("ax", "ay", "bx", "by")], axis=1)
+            order = np.argsort(polygon, kind="stable")
+            values = np.empty(len(order))
+            for rows in np.split(order, np.flatnonzero(np.diff(polygon[order])) + 1):
+                rings = [np.array([(p["x"], p["y"]) for p in ring]) for ring in batch.column("rings")[int(rows[0])].as_py()]
+                values[rows] = inside_lengths(ends[rows], rings)
+            yield pa.RecordBatch.from_arrays([batch.column("line"), batch.column("polygon"), pa.array(values, pa.float64())], names=["line", "polygon", "length_m"])
 
     whole = polygons.groupBy("polygon").agg(F.collect_list("ring").alias("rings"))
     cells = polygons.select("polygon", F.explode(cells_of("ring", size)).alias("cell")).distinct()
@@ -181,9 +220,7 @@ def components(nodes: DataFrame, edges: DataFrame, checkpoint: bool = True) -> D
     labels = nodes.select("node", F.col("node").alias("component"))
     spark = nodes.sparkSession
     if checkpoint and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     both = both.checkpoint() if checkpoint else both
     while True:
         near = both.join(labels, both["a"] == labels["node"]).groupBy(F.col("b").alias("node")).agg(F.min("component").alias("least"))

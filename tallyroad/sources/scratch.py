@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; a temporary one is set only where none is named."""
+    """Folder of ``spark.checkpoint.dir``; in local mode a temporary one is set where none is named, on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="tallyroad-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

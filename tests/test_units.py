@@ -143,7 +143,15 @@ def test_clip_shares_add_up(spark):
     got = {(r["line"], r["polygon"]): round(r["length_m"], 6) for r in spatial.clip_lengths(lines, polygons, 7.0).collect()}
     assert got == {(1, 0): 8.0, (1, 1): 8.0, (2, 0): 5.0}
     hole = [np.array([[0, 0], [10, 0], [10, 10], [0, 10]], float), np.array([[4, 0], [6, 0], [6, 10], [4, 10]], float)]
-    assert spatial.inside_lengths(0, 5, 10, 5, hole) == pytest.approx(8.0)
+    assert spatial.inside_lengths(np.array([[0.0, 5, 10, 5], [0, -1, 0.5, -1], [5, -5, 5, 20]]), hole) == pytest.approx([8.0, 0.0, 0.0])
+    rng = np.random.default_rng(6)
+    some = rng.uniform(-2, 12, (50, 4))
+    assert spatial.inside_lengths(some, hole, 16) == pytest.approx(spatial.inside_lengths(some, hole))
+    t = (np.arange(4000) + 0.5) / 4000
+    for (ax, ay, bx, by), got in zip(some, spatial.inside_lengths(some, hole), strict=True):
+        x, y = ax + t * (bx - ax), ay + t * (by - ay)
+        inside = (x > 0) & (x < 10) & (y > 0) & (y < 10) & ~((x > 4) & (x < 6))
+        assert got == pytest.approx(np.hypot(bx - ax, by - ay) * inside.mean(), abs=0.02)
 
 
 def test_nearest_is_exact(spark):
@@ -153,6 +161,52 @@ def test_nearest_is_exact(spark):
     sites = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(s)], "polygon long, x double, y double")
     got = {r["id"]: r["polygon"] for r in spatial.nearest(points, sites, 3.0).collect()}
     assert got == {i: int(((s - q) ** 2).sum(axis=1).argmin()) for i, q in enumerate(p)}
+    assert spatial.nearest(points, sites.where("false"), 3.0).count() == 0 and spatial.nearest(points.where("false"), sites, 3.0).count() == 0
+
+
+def test_nearest_of_far_clusters(spark, monkeypatch):
+    """Points far from all sites descend to few cells: not every pair is made, and ties go to the smaller id."""
+    monkeypatch.setattr(spatial, "BROADCAST_CELLS", 20)
+    rng = np.random.default_rng(7)
+    p, s = rng.random((60, 2)) * 50 - 20_000, rng.random((400, 2)) * 300
+    s = np.vstack([s, s[:50]])  # equal places
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(p)] + [(99, None, 1.0)], "id long, x double, y double")
+    sites = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(s)], "polygon long, x double, y double")
+    pairs = []
+    plain = spatial.materialize
+    monkeypatch.setattr(spatial, "materialize", lambda df, label: pairs.append((label, (out := plain(df, label)).count())) or out)
+    out = spatial.nearest(points, sites, 4.0)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
+    got = {r["id"]: (r["polygon"], r["distance"]) for r in out.collect()}
+    for i, q in enumerate(p):
+        d = np.sqrt(((s - q) ** 2).sum(axis=1))
+        assert got[i] == (int(d.argmin()), pytest.approx(d.min()))
+    assert 99 not in got
+    assert max(n for label, n in pairs if label == "far-cells") < 60 * 64
+
+
+def test_nearest_on_sphere_everywhere(spark):
+    rng = np.random.default_rng(8)
+    p, s = (np.stack([np.degrees(np.arcsin(rng.uniform(-1, 1, n))), rng.uniform(-180, 180, n)], axis=1) for n in (50, 30))
+    p[0], s[0] = (10.0, 179.9), (10.0, -179.9)  # across the antimeridian
+    points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(p)], "id long, lat double, lon double")
+    sites = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(s)], "site long, slat double, slon double")
+    got = {r["id"]: (r["site"], r["metres"]) for r in spatial.nearest_on_sphere(points, sites).collect()}
+    for i, (a, b) in enumerate(np.radians(p)):
+        lat, lon = np.radians(s).T
+        d = 2 * 6371008.8 * np.arcsin(np.sqrt(np.sin((lat - a) / 2) ** 2 + np.cos(a) * np.cos(lat) * np.sin((lon - b) / 2) ** 2))
+        assert got[i] == (int(d.argmin()), pytest.approx(d.min(), abs=1e-3))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tallyroad.sources import scratch
+
+    unset = SimpleNamespace(get=lambda *_: None, set=lambda *_: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="spark://host:7077")))
+    assert scratch.shared_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="local[4]"))).startswith("file:")
 
 
 def test_components_chain(spark):
