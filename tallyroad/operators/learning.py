@@ -12,16 +12,17 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import product
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,8 +141,11 @@ class Mixture:
             z = c @ self.basis
             rest = c - z @ self.basis.T
             b = max(self.noise[k], 1e-12)
-            quad = np.einsum("ij,jk,ik->i", z, np.linalg.pinv(self.inner[k]), z)
-            out[:, k] = -0.5 * (quad + (rest**2).sum(axis=1) / b + (p - d) * np.log(b) + np.log(max(np.linalg.det(self.inner[k]), 1e-30)) - 2 * np.log(max(self.shares[k], 1e-12)) + p * np.log(2 * np.pi))
+            # a covariance of few rows may be singular, or not quite positive by rounding
+            values, vectors = np.linalg.eigh((self.inner[k] + self.inner[k].T) / 2)
+            values = np.maximum(values, 1e-9 * max(1.0, float(values.max())))
+            quad = ((z @ vectors) ** 2 / values).sum(axis=1)
+            out[:, k] = -0.5 * (quad + (rest**2).sum(axis=1) / b + (p - d) * np.log(b) + np.log(values).sum() - 2 * np.log(max(self.shares[k], 1e-12)) + p * np.log(2 * np.pi))
         return out
 
 
@@ -357,19 +361,44 @@ def group_folds(df: DataFrame, group: str, folds: int = 5) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64(group), F.lit(folds)).cast("int"))
 
 
-def fit_forest(df: DataFrame, features: list[str], label: str, weight: str, trees: int = 60, leaf: int = 8, seed: int = 42):
+def fit_forest(df: DataFrame, features: list[str], label: str, weight: str, trees: int = 60, leaf: int = 8, seed: int = 42, depth: int = 8):
     """Weighted random forest with a label index; classes that are rare are the caller's to drop."""
-    stages = [StringIndexer(inputCol=label, outputCol="__label", handleInvalid="skip", stringOrderType="alphabetAsc"), VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="skip"), RandomForestClassifier(labelCol="__label", featuresCol="__x", weightCol=weight, numTrees=trees, minInstancesPerNode=leaf, maxDepth=8, seed=seed)]
+    stages = [StringIndexer(inputCol=label, outputCol="__label", handleInvalid="skip", stringOrderType="alphabetAsc"), VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="skip"), RandomForestClassifier(labelCol="__label", featuresCol="__x", weightCol=weight, numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth, seed=seed)]
     return Pipeline(stages=stages).fit(df)
 
 
-def tuned_forest(df: DataFrame, features: list[str], label: str, weight: str, depths: tuple[int, ...] = (5, 8), folds: int = 3):
-    """Grid search under grouped folds given by a column ``fold``."""
+#: The space that random searches draw from.
+FOREST_SPACE = {"maxDepth": (5, 7, 10, 12, 15), "minInstancesPerNode": (5, 8, 12, 18, 25), "featureSubsetStrategy": ("sqrt", "log2", "0.5")}
+SEARCH_DRAWS, SEARCH_FOLDS = 40, 5
+
+
+class BalancedAccuracy(Evaluator):
+    """Mean over the classes of the share of a class's rows that are predicted right."""
+
+    def __init__(self, label: str):
+        super().__init__()
+        self.label = label
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        right = dataset.groupBy(self.label).agg(F.avg((F.col("prediction") == F.col(self.label)).cast("double")).alias("right"))
+        return float(right.agg(F.avg("right")).first()[0] or 0.0)
+
+
+def drawn_parameters(draws: int = SEARCH_DRAWS, seed: int = 42, space: dict | None = None) -> list[dict]:
+    """Distinct parameter sets drawn from a space, all of them if it has no more."""
+    space = space or FOREST_SPACE
+    every = [dict(zip(space, values, strict=True)) for values in product(*space.values())]
+    return [every[i] for i in np.random.default_rng(seed).permutation(len(every))[:draws]]
+
+
+def tuned_forest(df: DataFrame, features: list[str], label: str, weight: str, tried: list[dict], folds: int = SEARCH_FOLDS, trees: int = 20, parallelism: int = 4):
+    """Cross-validated balanced accuracy of every parameter set in ``tried`` under grouped folds given by a column ``fold``."""
     index = StringIndexer(inputCol=label, outputCol="__label", handleInvalid="skip", stringOrderType="alphabetAsc").fit(df)
     ready = VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="skip").transform(index.transform(df)).withColumn("__fold", F.col("fold") % folds)
-    forest = RandomForestClassifier(labelCol="__label", featuresCol="__x", weightCol=weight, numTrees=20, seed=42)
-    grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).build()
-    return CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(labelCol="__label", metricName="f1"), numFolds=folds, foldCol="__fold").fit(ready)
+    ready = materialize(ready.select("__label", "__x", "__fold", weight), "forest-search")
+    forest = RandomForestClassifier(labelCol="__label", featuresCol="__x", weightCol=weight, numTrees=trees, seed=42)
+    maps = [{forest.getParam(k): v for k, v in one.items()} for one in tried]
+    return CrossValidator(estimator=forest, estimatorParamMaps=maps, evaluator=BalancedAccuracy("__label"), numFolds=folds, foldCol="__fold", parallelism=parallelism).fit(ready)
 
 
 def predict_classes(model, df: DataFrame, keys: list[str], observed: Column) -> DataFrame:
@@ -405,6 +434,55 @@ def score_attributes(models: dict, df: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, *[c for n in models for c in (f"pred_{n}", f"conf_{n}")])
 
 
+def fit_attributes(df: DataFrame, features: list[str], targets: list[str], tuned: list[str], tried: list[dict], weight: str, trees: int = 20) -> tuple[dict, dict]:
+    """A model for each target, fitted on folds 2 and more: the targets in ``tuned`` try every parameter set and keep the one of least
+    log loss on fold 1, the others take the set of the first of them. Returns the models and their parameters."""
+    train, validation = df.where("fold >= 2"), df.where("fold = 1")
+    models, chosen, shared = {}, {}, None
+    for target in targets:
+        options = tried if target in tuned or shared is None else [shared]
+        fitted = []
+        for one in options:
+            model = fit_forest(train, features, target, weight, trees, one.get("minInstancesPerNode", 8), depth=one.get("maxDepth", 8))
+            loss = 0.0
+            if len(options) > 1:
+                loss = MulticlassClassificationEvaluator(labelCol="__label", metricName="logLoss").evaluate(model.transform(validation))
+            fitted.append((loss, len(fitted), model, one))
+        _, _, models[target], chosen[target] = min(fitted, key=lambda f: f[:2])
+        shared = shared or chosen[target]
+    return models, chosen
+
+
+def attribute_report(scored: DataFrame, lookups: dict[str, list[str]]) -> list[dict]:
+    """Quality of every target on fold 0, beside the most frequent value and the most frequent value of a key in the training folds.
+
+    ``scored`` has each target, pred_<target>, fold and the key columns of ``lookups``. What is collected has a row for each pair of a target's values.
+    """
+    out = []
+    for target, keys in lookups.items():
+        test, train = scored.where("fold = 0"), scored.where("fold >= 2")
+        pairs = test.groupBy(F.col(target).alias("real"), F.col(f"pred_{target}").alias("guess")).count().collect()
+        counts = train.groupBy(target).count().orderBy(F.desc("count"), target).limit(1).collect()
+        majority = counts[0][target] if counts else None
+        mode = train.groupBy(*keys, F.col(target).alias("v")).count().groupBy(*keys).agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("lookup"))
+        hits = test.join(mode, keys, "left").agg(F.avg((F.coalesce("lookup", F.lit(majority)) == F.col(target)).cast("double"))).first()[0]
+        classes = sorted({r["real"] for r in pairs} | {r["guess"] for r in pairs}, key=str)
+        table = np.zeros((len(classes), len(classes)))
+        for r in pairs:
+            table[classes.index(r["real"]), classes.index(r["guess"])] += r["count"]
+        n, real, guess, right = table.sum(), table.sum(axis=1), table.sum(axis=0), np.diag(table)
+        recall, precision = right / np.maximum(real, 1), right / np.maximum(guess, 1)
+        f1 = np.where(recall + precision > 0, 2 * recall * precision / np.maximum(recall + precision, 1e-300), 0.0)
+        chance = float((real * guess).sum() / max(n, 1) ** 2)
+        accuracy = float(right.sum() / max(n, 1))
+        out.append({
+            "target": target, "n_holdout": int(n), "n_train": train.count(), "n_classes": len(classes), "accuracy": accuracy, "balanced_accuracy": float(recall[real > 0].mean()) if n else 0.0,
+            "macro_f1": float(f1.mean()) if len(f1) else 0.0, "weighted_f1": float((f1 * real).sum() / max(n, 1)), "cohen_kappa": (accuracy - chance) / (1 - chance) if chance < 1 else 0.0,
+            "baseline_majority": float(real[classes.index(majority)] / n) if n and majority in classes else 0.0, "baseline_lookup": float(hits or 0.0),
+        })
+    return out
+
+
 # ---- persistence
 
 

@@ -268,6 +268,30 @@ def test_mixture_start_never_collapses(spark):
         learning.fit_mixture(df.limit(3), np.eye(4), 2)
 
 
+def test_random_parameters_and_balanced_accuracy(spark):
+    drawn = learning.drawn_parameters()
+    assert len(drawn) == 40 and len({tuple(d.values()) for d in drawn}) == 40 and learning.drawn_parameters(1000, space={"a": (1, 2), "b": (3,)}) in ([{"a": 1, "b": 3}, {"a": 2, "b": 3}], [{"a": 2, "b": 3}, {"a": 1, "b": 3}])
+    df = spark.createDataFrame([(0.0, 0.0)] * 3 + [(0.0, 1.0)] + [(1.0, 1.0)], "label double, prediction double")
+    assert learning.BalancedAccuracy("label").evaluate(df) == pytest.approx((0.75 + 1.0) / 2)
+
+
+def test_attribute_models_and_report(spark):
+    """Parameters of the tuned target are shared; metrics and baselines against counting by hand."""
+    rows = [(i, float(i % 2), float(i % 5), i % 5, "ab"[i % 2], "xyz"[i % 3], "k" + str(i % 2), 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, f double, g double, fold int, easy string, hard string, key string, w double")
+    models, chosen = learning.fit_attributes(df, ["f", "g"], ["easy", "hard"], ["easy"], [{"maxDepth": 2}, {"maxDepth": 3}], "w", trees=3)
+    assert chosen["hard"] == chosen["easy"]
+    scored = df.join(learning.score_attributes(models, df, ["id"]), "id")
+    report = {r["target"]: r for r in learning.attribute_report(scored, {"easy": ["key"], "hard": ["key"]})}
+    test = [r for r in scored.where("fold = 0").collect()]
+    for t in ("easy", "hard"):
+        real, guess = [r[t] for r in test], [r[f"pred_{t}"] for r in test]
+        right = np.mean([a == b for a, b in zip(real, guess, strict=True)])
+        assert report[t]["n_holdout"] == 40 and report[t]["n_train"] == 120 and report[t]["accuracy"] == pytest.approx(right)
+        assert report[t]["balanced_accuracy"] == pytest.approx(np.mean([np.mean([g == c for a, g in zip(real, guess, strict=True) if a == c]) for c in set(real)]))
+    assert report["easy"]["accuracy"] == report["easy"]["baseline_lookup"] == 1.0 and report["easy"]["cohen_kappa"] == 1.0 and report["easy"]["baseline_majority"] == 0.5
+
+
 def test_mixture_search_refits(spark):
     rng = np.random.default_rng(4)
     centres = np.array([[5, 0, 0, 0], [0, 5, 0, 0]])
