@@ -4,12 +4,16 @@ Pass one sends eight-byte hashes (deduplicated inside each batch) to segments of
 space; a segment streams them through a first filter and enters those already present
 into a second filter of repeated hashes. Pass two tests every row against the second
 filter: only rows that may repeat are shuffled and compared by SHA-256, all others pass
-straight through. False positives of the filter only shuffle a row needlessly.
+straight through. False positives of the filter only shuffle a row needlessly. Where the
+filters are larger than what may be broadcast, the hash space is worked off in rounds: the
+hashes are written in a folder for each round, and a round builds, broadcasts and releases
+its own filters and reads its own folder only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,7 @@ from tallyroad.llm import common
 BITS_PER_KEY, HASHES = 12, 4
 #: Hashes a segment holds on average, so that a segment's filters stay small.
 SEGMENT_KEYS = 1 << 20
-#: Bytes of filters broadcast at once; more segments are tested in further rounds.
+#: Bytes of filters broadcast at once; the segments of more are worked off in further rounds.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -112,28 +116,42 @@ def _test(filters, segments: int, bits: int):
     return run
 
 
+def _layout(n_rows: int) -> tuple[int, int, int]:
+    """Segments of the hash space, bits of a segment's filter, and segments of a round."""
+    segments = max(1, -(-n_rows // SEGMENT_KEYS))
+    bits = SEGMENT_KEYS * BITS_PER_KEY if segments > 1 else max(1024, -(-n_rows * BITS_PER_KEY // 8) * 8)
+    return segments, bits, max(1, BROADCAST_BYTES // (bits // 8))
+
+
 def mark_possible_repeats(rows: DataFrame) -> DataFrame:
     """Add boolean ``maybe`` to ``rows`` by their long column ``key``: false means that the key occurs once for certain.
 
-    The rows must be re-readable at low cost (a written table): they are read once for each pass
-    and once more for every further BROADCAST_BYTES of filters.
+    The rows must be re-readable at low cost (a written table). With filters of more than BROADCAST_BYTES the rows
+    are written once more, by round.
     """
     spark = rows.sparkSession
-    segments = max(1, -(-rows.count() // SEGMENT_KEYS))
-    bits = SEGMENT_KEYS * BITS_PER_KEY if segments > 1 else max(1024, -(-rows.count() * BITS_PER_KEY // 8) * 8)
-    packed = rows.select("key").mapInArrow(_pack(segments), "segment long, keys binary, twice binary")
-    built = common.materialize(packed.repartition(min(segments, common.shuffle_partitions(spark) * 8), "segment").mapInArrow(_filters(bits), "segment long, bits binary"), "bloom")
-    at_once = max(1, BROADCAST_BYTES // (bits // 8))
+    segments, bits, at_once = _layout(rows.count())
     schema = T.StructType([*rows.schema.fields, T.StructField("maybe", T.BooleanType())])
-    out = None
-    for low in range(0, segments, at_once):
-        block = built.where(F.col("segment").between(low, low + at_once - 1)).collect()  # at most BROADCAST_BYTES
-        held = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in block})
-        # the unsigned remainder, as numpy takes it
-        part = rows if segments <= at_once else rows.where(F.expr(f"cast(pmod(cast(key as decimal(20,0)) + if(key < 0, 18446744073709551616BD, 0BD), {segments}) as bigint) between {low} and {low + at_once - 1}"))
-        part = part.mapInArrow(_test(held, segments, bits), schema)
-        out = part if out is None else out.unionAll(part)
-    return out
+
+    def one(part: DataFrame, last: bool) -> DataFrame:
+        packed = part.select("key").mapInArrow(_pack(segments), "segment long, keys binary, twice binary")
+        tasks = min(segments, at_once, common.shuffle_partitions(spark) * 8)
+        built = packed.repartition(tasks, "segment").mapInArrow(_filters(bits), "segment long, bits binary").collect()  # at most BROADCAST_BYTES
+        held = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in built})
+        out = part.mapInArrow(_test(held, segments, bits), schema)
+        if last:
+            return out
+        out = common.materialize(out, "tested")
+        held.destroy()
+        return out
+
+    rounds = -(-segments // at_once)
+    if rounds == 1:
+        return one(rows, True)
+    # the unsigned remainder, as numpy takes it
+    segment = F.expr(f"pmod(cast(key as decimal(20,0)) + if(key < 0, 18446744073709551616BD, 0BD), {segments})")
+    dealt = common.materialize(rows.withColumn("bloom_round", F.floor(segment / at_once).cast("int")), "rounds", ("bloom_round",))
+    return reduce(DataFrame.unionAll, [one(dealt.where(F.col("bloom_round") == k).drop("bloom_round"), False) for k in range(rounds)])
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:

@@ -61,9 +61,21 @@ def test_exact_dedup_awkward(spark):
 
 
 def test_bloom_rounds_lose_nothing(spark, monkeypatch):
-    """Many segments and rounds find every repeated key."""
+    """Many segments and rounds find every repeated key; a round's broadcast is gone before the next one's is made."""
     monkeypatch.setattr(E, "SEGMENT_KEYS", 64)
     monkeypatch.setattr(E, "BROADCAST_BYTES", 200)
+    assert E._layout(1143) == (18, 768, 2)
+    made, held = spark.sparkContext.broadcast, []
+
+    def watched(value):
+        assert not held and sum(map(len, value.values())) <= 200
+        out = made(value)
+        held.append(out)
+        plain = out.destroy
+        out.destroy = lambda *a: (held.remove(out), plain(*a))
+        return out
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", watched)
     keys = [i - 500 for i in range(1000)] + [i - 500 for i in range(0, 1000, 7)]
     got = E.mark_possible_repeats(spark.createDataFrame([(k,) for k in keys], "key long")).collect()
     assert len(got) == len(keys)
@@ -72,6 +84,13 @@ def test_bloom_rounds_lose_nothing(spark, monkeypatch):
     assert sum(r["maybe"] for r in got) < 600
 
 
+def test_exact_dedup_in_rounds(spark, monkeypatch):
+    want = sorted(map(tuple, E.op8_exact_dedup(spark, SF).collect()))
+    monkeypatch.setattr(E, "SEGMENT_KEYS", 16)
+    monkeypatch.setattr(E, "BROADCAST_BYTES", 100)
+    assert sorted(map(tuple, E.op8_exact_dedup(spark, SF).collect())) == want
+
+
 def test_lines_awkward(spark):
     rows = LD.line_dedup(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD)
