@@ -8,8 +8,12 @@ group. A query set meets only groups that hold enough of its own first hashes; w
 one, its overlap with the group's whole token union bounds its overlap with every member,
 and only groups whose bound reaches the threshold are opened and compared member by member.
 Groups are split into blocks of BLOCK members and the queries of a block into shares of
-QUERIES, so that no task holds more, and within a block sets that are connected already are not compared again: links make components, and
-no link between different components is lost. Equal sets are collapsed before.
+QUERIES, so that no task holds more. Links make components, and no link between different
+components is lost, but sets that are connected already are not compared again: first every
+set meets its own block and its group's first one; after that only hashes that several
+components hold are looked up, and only blocks that hold another component than the set's
+are met. So a large group of near copies meets one block a set, not all of its own. Equal
+sets are collapsed before.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyroad.llm import common
 from tallyroad.llm.components import connected_components
 
-BLOCK, QUERIES = 512, 512
+BLOCK, QUERIES = 256, 256
 #: One set in so many hashes is asked for beyond the first shared one.
 LEVEL = 20
 SKETCH_BITS, SLICES = 22, 64
@@ -191,13 +195,18 @@ def _sets(shared, width: int):
 
 
 class _Block:
-    """At most BLOCK member sets with their token union; finds links among them and to query sets."""
+    """At most BLOCK member sets with their token union; finds links among them and to query sets.
+
+    Members whose component is known are not compared with each other, nor a query with members of its own component.
+    """
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.reps: list[int] = []
         self.sets: list[np.ndarray] = []
+        self.known: list[int | None] = []
         self.parent: list[int] = []
+        self.heads: dict[int, int] = {}
         self.firsts: dict[int, list[int]] = {}
         self.union: np.ndarray | None = None
 
@@ -210,11 +219,11 @@ class _Block:
     def prefix(self, tokens: np.ndarray) -> list[int]:
         return tokens[: len(tokens) - least_overlap(len(tokens), self.num, self.den) + 1].tolist()
 
-    def links(self, tokens: np.ndarray, mine: int | None) -> list[int]:
+    def links(self, tokens: np.ndarray, mine: int | None, known: int | None) -> list[int]:
         """Members linked to a set, one of each component at most; joins them with member ``mine`` if given."""
         n, found = len(tokens), []
         candidates = {j for t in self.prefix(tokens) for j in self.firsts.get(t, ())}
-        candidates = [j for j in candidates if self.den * min(n, len(self.sets[j])) >= self.num * max(n, len(self.sets[j]))]
+        candidates = [j for j in candidates if self.den * min(n, len(self.sets[j])) >= self.num * max(n, len(self.sets[j])) and (known is None or self.known[j] != known)]
         sorted_tokens = np.sort(tokens)
         joined: set[int] = set()
         for j in sorted(candidates):
@@ -234,18 +243,19 @@ class _Block:
                     joined = {self.find(mine)}
         return found
 
-    def add_member(self, rep: int, tokens: np.ndarray) -> list[tuple[int, int]]:
+    def add_member(self, rep: int, tokens: np.ndarray, known: int | None) -> list[tuple[int, int]]:
         at = len(self.reps)
         self.reps.append(rep)
         self.sets.append(tokens)
-        self.parent.append(at)
-        out = [(self.reps[j], rep) for j in self.links(tokens, at)]
+        self.known.append(known)
+        self.parent.append(at if known is None else self.heads.setdefault(known, at))
+        out = [(self.reps[j], rep) for j in self.links(tokens, at, None)] if known is None else []
         for t in self.prefix(tokens):
             self.firsts.setdefault(t, []).append(at)
         self.union = None
         return out
 
-    def query(self, rep: int, tokens: np.ndarray) -> list[tuple[int, int]]:
+    def query(self, rep: int, tokens: np.ndarray, known: int | None) -> list[tuple[int, int]]:
         """Open the block only if the overlap with its token union can reach the threshold."""
         if self.union is None:
             self.union = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.int64)
@@ -255,7 +265,7 @@ class _Block:
         at[at == len(self.union)] = 0
         if int((self.union[at] == tokens).sum()) < least_overlap(len(tokens), self.num, self.den):
             return []
-        return [(self.reps[j], rep) for j in self.links(tokens, None)]
+        return [(self.reps[j], rep) for j in self.links(tokens, None, known)]
 
 
 def _open(num: int, den: int):
@@ -265,18 +275,40 @@ def _open(num: int, den: int):
         at, block = None, None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            lists = batch.column(3)
+            lists = batch.column("tokens")
             flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-            for k, (b, role, rep) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            for k, (b, role, rep, known) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "role", "rep", "known")), strict=True)):
                 if b != at:
                     at, block = b, _Block(num, den)
                 tokens = flat[offsets[k] : offsets[k + 1]].copy()
-                out += block.add_member(rep, tokens) if role == 0 else block.query(rep, tokens)
+                out += block.add_member(rep, tokens, known) if role == 0 else block.query(rep, tokens, known)
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
     return run
 
 
+class _Opener:
+    """Opens blocks: sends the sets of members and queries to them and returns the links they find."""
+
+    def __init__(self, base: DataFrame, shared, width: int, num: int, den: int):
+        self.base, self.shared, self.width, self.num, self.den = base, shared, width, num, den
+
+    def __call__(self, members: DataFrame, queries: DataFrame, inside: bool) -> DataFrame:
+        """Links (a, b). ``members`` and ``queries``: rep, block, known (component so far or null); ``inside``: blocks without queries are opened for their members, too."""
+        n = common.shuffle_partitions(self.base.sparkSession)
+        sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("members")).join(queries.groupBy("block").agg(F.count(F.lit(1)).alias("queries")), "block", "left")
+        enough = (F.col("members") > 1) | (F.col("queries") > 0) if inside else F.col("queries") > 0
+        busy = common.materialize(sizes.where(enough).select("block", F.greatest(F.ceil(F.coalesce("queries", F.lit(0)) / QUERIES), F.lit(1)).cast("int").alias("shares")), "busy")
+        # a block's members go with every share of its queries
+        asked = members.join(busy, "block").select("rep", "known", "block", F.lit(0).alias("role"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+        asked = asked.unionAll(queries.join(busy, "block").select("rep", "known", "block", F.lit(1).alias("role"), F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int").alias("share")))
+        asked = asked.groupBy("rep").agg(F.collect_set(F.struct(F.xxhash64("block", "share").alias("block"), "role", "known")).alias("own"))
+        texts = self.base.join(asked, self.base["doc_id"] == asked["rep"]).select("rep", "text", F.to_json("own").alias("own"))
+        opened = texts.mapInArrow(_sets(self.shared, self.width), "rep long, own string, tokens array<long>")
+        rows = opened.select(F.explode(F.from_json("own", "array<struct<block:bigint,role:int,known:bigint>>")).alias("o"), "rep", "tokens").select("o.block", "o.role", "o.known", "rep", "tokens")
+        return rows.repartition(n, "block").sortWithinPartitions("block", "role", "rep").mapInArrow(_open(self.num, self.den), "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Component of every document under links of Jaccard similarity num / den or more on ``width``-word shingles.
 
@@ -301,23 +333,24 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     groups = firsts.groupBy("rep").agg(F.min(F.xxhash64("token")).alias("grp"), F.count(F.lit(1)).alias("shared")).join(needs, "rep").where("shared >= need").select("rep", "grp", "need")
     groups = common.materialize(groups, "groups")
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    blocks = common.materialize(groups.join(sizes, "grp").select("rep", "need", F.xxhash64("grp", F.pmod(F.xxhash64("rep"), F.col("blocks"))).alias("own")), "blocks")
-    placed = common.materialize(firsts.join(blocks, "rep"), "placed")
-    matrix = placed.select("token", F.col("own").alias("block")).distinct()
-    # one direction of each pair of blocks is enough; a set is a member of its own block
-    met = common.materialize(placed.join(matrix, "token").where("own <= block").groupBy("rep", "own", "block", "need").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need or own = block"), "met")
-    counts = met.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("own") != F.col("block")).alias("queries")).where("sets > 1")
-    busy = common.materialize(counts.select("block", F.greatest(F.ceil(F.col("queries") / QUERIES), F.lit(1)).cast("int").alias("shares")), "busy")
-    # a block's members go with every share of its queries
-    member = F.col("own") == F.col("block")
-    share = F.explode(F.when(member, F.sequence(F.lit(0), F.col("shares") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int"))))
-    asked = met.join(busy, "block").select("rep", "block", F.when(member, 0).otherwise(1).alias("role"), share.alias("share"))
-    asked = asked.groupBy("rep").agg(F.collect_set(F.struct(F.xxhash64("block", "share").alias("block"), "role")).alias("own"))
-    texts = base.join(asked, base["doc_id"] == asked["rep"]).select("rep", "text", F.to_json("own").alias("own"))
-    opened = texts.mapInArrow(_sets(classes, width), "rep long, own string, tokens array<long>")
-    rows = opened.select(F.explode(F.from_json("own", "array<struct<block:bigint,role:int>>")).alias("o"), "rep", "tokens").select("o.block", "o.role", "rep", "tokens")
-    links = rows.repartition(n, "block").sortWithinPartitions("block", "role", "rep").mapInArrow(_open(num, den), "a long, b long")
-    components = common.materialize(connected_components(links), "components")
+    number = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    blocks = common.materialize(groups.join(sizes, "grp").select("rep", "need", F.xxhash64("grp", number).alias("own"), F.xxhash64("grp", F.lit(0).cast("bigint")).alias("first")), "blocks")
+    opener = _Opener(base, classes, width, num, den)
+    unknown = F.lit(None).cast("long").alias("known")
+    near = opener(blocks.select("rep", F.col("own").alias("block"), unknown), blocks.where("own <> first").select("rep", F.col("first").alias("block"), unknown), True)
+    begun = common.materialize(connected_components(near), "begun")
+    # what is left: hashes of several components, and blocks that hold another component than the set's
+    known = common.materialize(blocks.join(begun, blocks["rep"] == begun["node"], "left").select("rep", "need", "own", "first", F.coalesce("component", "rep").alias("known")), "known")
+    placed = common.materialize(firsts.join(known, "rep"), "placed")
+    mixed = placed.groupBy("token").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low < high").select("token")
+    placed = common.materialize(placed.join(mixed, "token", "left_semi"), "placed-mixed")
+    uniform = known.groupBy("own").agg(F.min("known").alias("low"), F.max("known").alias("high")).select(F.col("own").alias("block"), F.when(F.col("low") == F.col("high"), F.col("low")).alias("only"))
+    matrix = placed.select("token", F.col("own").alias("block")).distinct().join(uniform, "block")
+    # one direction of each pair of blocks is enough
+    met = placed.join(matrix, "token").where("own < block and block <> first and (only is null or only <> known)").groupBy("rep", "block", "need", "known").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need")
+    met = common.materialize(met.select("rep", "block", "known"), "met")
+    far = opener(known.select("rep", F.col("own").alias("block"), "known"), met, False)
+    components = common.materialize(connected_components(begun.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "components")
     nodes = common.materialize(distinct.join(components, distinct["rep"] == components["node"], "left").select("key", F.coalesce("component", "rep").alias("component")), "nodes")
     return sets.drop("prefix").join(nodes, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"))
 
