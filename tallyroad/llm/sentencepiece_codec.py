@@ -32,7 +32,7 @@ MARK = "▁"
 #: What an uncovered character costs below the worst piece.
 UNKNOWN = 10.0
 #: Distinct words that a worker keeps with their pieces, and characters of texts taken together.
-KEPT_WORDS, BLOCK_CHARS = 200_000, 2_000_000
+KEPT_WORDS, BLOCK_CHARS = 400_000, 2_000_000
 #: Pairs of pieces that a worker knows to stay side by side or not.
 KEPT_PAIRS = 1_000_000
 
@@ -74,27 +74,43 @@ class Vocabulary:
 class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.v = v = vocabulary
-        self.root: dict = {}
+        # reversed pieces: a character's entry is the piece that is complete with it, or -1, and the entries of longer ones
+        self.root: dict[str, tuple] = {}
+        ends: dict = {}
         for i, (piece, ok) in enumerate(zip(v.pieces, v.normal, strict=True)):
             if ok:
-                node = self.root
+                node = ends
                 for ch in reversed(piece):
                     node = node.setdefault(ch, {})
-                node[""] = (i, v.scores[i])  # no character is empty, so this key is free
-        self.unknown_score = min((s for s, ok in zip(v.scores, v.normal, strict=True) if ok), default=0.0) - UNKNOWN
-        alone = [c for c in "\n\t\r" if not any(c in p for p, ok in zip(v.pieces, v.normal, strict=True) if ok)]
-        self.cut = re.compile(f"[{''.join(alone)}]|{MARK}*[^{MARK}{''.join(alone)}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+                node[""] = i  # no character is empty, so this key is free
+        #: characters of a piece, and the longest shorter piece that it ends with
+        self.sizes, self.shorter = [len(p) for p in v.pieces], [-1] * len(v.pieces)
+        todo = [(ends, self.root, -1)]
+        while todo:
+            node, entries, last = todo.pop()
+            for ch, below in node.items():
+                if ch:
+                    whole = below.get("", -1)
+                    entries[ch] = (whole, {})
+                    if whole >= 0:
+                        self.shorter[whole] = last
+                    todo.append((below, entries[ch][1], whole if whole >= 0 else last))
         self.scores = {p: x for p, x, ok in zip(v.pieces, v.scores, v.normal, strict=True) if ok}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN
+        alone = [c for c in "\n\t\r" if not any(c in p for p in self.scores)]
+        self.cut = re.compile(f"[{''.join(alone)}]|{MARK}*[^{MARK}{''.join(alone)}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
         byte_of = {i: bytes([b]) for b, i in enumerate(v.bytes_)}
         self.raw = [byte_of.get(i, p.encode() if ok else (" ⁇ ".encode() if i == v.unknown else b"")) for i, (p, ok) in enumerate(zip(v.pieces, v.normal, strict=True))]
+        #: whether a piece stays whole behind another one, by the one before (0 for none)
+        self.beside: list[dict[int, bool]] = [{} for _ in range(len(v.pieces) + 1)]
+        self.pairs = 0
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids: list[int] = []
-        self.offsets: list[int] = [0]
-        self.word_scores: list[float] = []
+        self.ids = np.zeros(0, np.int32)
+        self.offsets = np.zeros(1, np.int64)
+        self.word_scores = np.zeros(0)
 
     def mark(self, text: str) -> list[str]:
         """Marked words of a text: runs of blanks with what follows them."""
@@ -113,68 +129,103 @@ class Codec:
 
     def stays(self, before: int, piece: int) -> bool:
         """Whether a piece stays whole behind another one (or behind none or an uncovered character, -1)."""
-        known = self.beside.get((before, piece))
-        if known is None:
-            whole = [self.v.pieces[i] for i in (before, piece) if i >= 0]
-            known = self.beside[before, piece] = self.merged("".join(whole)) == whole
+        whole = [self.v.pieces[i] for i in (before, piece) if i >= 0]
+        if self.pairs >= KEPT_PAIRS:
+            for row in self.beside:
+                row.clear()
+            self.pairs = 0
+        self.pairs += 1
+        known = self.beside[before + 1][piece] = self.merged("".join(whole)) == whole
         return known
 
+    def _merge_on(self, word: str, first: int, back: list[int], piece_at: list[int]) -> None:
+        """Extend the forward state of a merge model by the characters from ``first``: the longest piece that stays beside what is before it."""
+        root, beside, sizes, shorter, stays = self.root, self.beside, self.sizes, self.shorter, self.stays
+        for end in range(first, len(word) + 1):
+            entries, at, piece = root, end, -1
+            while at and (entry := entries.get(word[at - 1])) is not None:
+                at -= 1
+                whole, entries = entry
+                if whole >= 0:
+                    piece = whole
+            start = end - 1
+            while piece >= 0:
+                start = end - sizes[piece]
+                before = piece_at[start]
+                if (ok := beside[before + 1].get(piece)) or ok is None and stays(before, piece):
+                    break
+                piece = shorter[piece]
+            back.append(start if piece >= 0 else end - 1)
+            piece_at.append(piece)
+
+    def _add_on(self, word: str, first: int, best: list[float], back: list[int], piece_at: list[int]) -> None:
+        """Extend the forward scores of a unigram model by the characters from ``first``."""
+        root, scores = self.root, self.v.scores
+        for end in range(first, len(word) + 1):
+            top, start, chosen = best[end - 1] + self.unknown_score, end - 1, -1
+            entries, at = root, end
+            while at and (entry := entries.get(word[at - 1])) is not None:
+                at -= 1
+                piece, entries = entry
+                if piece >= 0 and (s := best[at] + scores[piece]) >= top:  # the longer of equals
+                    top, start, chosen = s, at, piece
+            best.append(top)
+            back.append(start)
+            piece_at.append(chosen)
+
     def add(self, words: set[str]) -> None:
         """Encode new distinct words in sorted order, extending the forward scores of common prefixes."""
-        root, v, floor, merges, stays = self.root, self.v, self.unknown_score, self.v.merges, self.stays
+        v, merges, merge_on, add_on = self.v, self.v.merges, self._merge_on, self._add_on
         before, best, back, piece_at = "", [0.0], [0], [-1]
+        ids, counts, uncovered = [], [], []
+        n = len(self.index)
         for word in sorted(words):
-            shared, most = 0, min(len(before), len(word))
-            while shared < most and before[shared] == word[shared]:
+            shared = 0
+            for x, y in zip(before, word):  # noqa: B905  the shorter one ends it
+                if x != y:
+                    break
                 shared += 1
             del best[shared + 1 :], back[shared + 1 :], piece_at[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                top, start, chosen = best[end - 1] + floor, end - 1, -1
-                node, at = root, end - 1
-                if merges:
-                    hits = []
-                    while at >= 0 and (node := node.get(word[at])) is not None:
-                        if (hit := node.get("")) is not None:
-                            hits.append((at, hit))
-                        at -= 1
-                    for at, hit in reversed(hits):
-                        if stays(piece_at[at], hit[0]):
-                            top, start, chosen = best[at] + hit[1], at, hit[0]
-                            break
-                else:
-                    while at >= 0 and (node := node.get(word[at])) is not None:
-                        if (hit := node.get("")) is not None and (s := best[at] + hit[1]) >= top:  # the longer of equals
-                            top, start, chosen = s, at, hit[0]
-                        at -= 1
-                best.append(top)
-                back.append(start)
-                piece_at.append(chosen)
-            out, end = [], len(word)
-            while end > 0:
-                start = back[end]
-                if piece_at[end] >= 0:
-                    out.append(piece_at[end])
-                elif v.bytes_:
-                    out.extend(v.bytes_[b] for b in reversed(word[start:end].encode("utf-8", "replace")))
+            if merges:
+                merge_on(word, shared + 1, back, piece_at)
+            else:
+                add_on(word, shared + 1, best, back, piece_at)
+            out, end, missed = [], len(word), 0
+            while end:
+                start, piece = back[end], piece_at[end]
+                if piece >= 0:
+                    out.append(piece)
                 else:
-                    out.append(v.unknown)
+                    missed += 1
+                    if v.bytes_:
+                        out.extend(v.bytes_[b] for b in reversed(word[start:end].encode("utf-8", "replace")))
+                    else:
+                        out.append(v.unknown)
                 end = start
             out.reverse()
-            self.index[word] = len(self.offsets) - 1
-            self.ids.extend(out)
-            self.offsets.append(len(self.ids))
-            self.word_scores.append(best[len(word)])
+            self.index[word] = n
+            n += 1
+            ids += out
+            counts.append(len(out))
+            uncovered.append(missed)
             before = word
+        if not counts:
+            return
+        fresh, sizes = np.array(ids, np.int32), np.array(counts, np.int64)
+        of_piece = np.array([x if ok else 0.0 for x, ok in zip(v.scores, v.normal, strict=True)])
+        ends = np.cumsum(sizes)
+        sums = np.add.reduceat(np.append(of_piece[fresh], 0.0), ends - sizes) * (sizes > 0)
+        self.word_scores = np.concatenate([self.word_scores, sums + np.array(uncovered) * self.unknown_score])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends])
+        self.ids = np.concatenate([self.ids, fresh])
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, float]]:
         """(piece ids, Viterbi score) of each whole text."""
         if len(self.index) > KEPT_WORDS:
             self.forget()
-        if len(self.beside) > KEPT_PAIRS:
-            self.beside.clear()
         marked = [self.mark(t) for t in texts]
         self.add({w for m in marked for w in m}.difference(self.index))
-        ids, offsets, scores = np.array(self.ids, np.int32), np.array(self.offsets, np.int64), np.array(self.word_scores)
+        ids, offsets, scores = self.ids, self.offsets, self.word_scores
         out = []
         for m in marked:
             at = np.fromiter(map(self.index.__getitem__, m), np.int64, len(m))
