@@ -23,14 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """Path in the shared folder that is deleted at the end."""
+    path = f"{shared_dir(spark)}/{name}"
+    if not _written:
+        atexit.register(release)
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: its facts are scanned once, and a lost executor costs no table."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    if not _written:
-        atexit.register(release)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

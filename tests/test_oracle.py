@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 
 from oracle import compare
-from tallyroad.plans import core, extra, models
+from tallyroad.plans import core, extra, models, more
 from tests_env import SF
 
-QUERIES = core.queries() | extra.queries() | models.queries()
-SQL = core.oracle_sql() | extra.oracle_sql()
+QUERIES = core.queries() | extra.queries() | more.queries() | models.queries()
+SQL = core.oracle_sql() | extra.oracle_sql() | more.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
