@@ -11,8 +11,8 @@ Groups are split into blocks of BLOCK members and the queries of a block into sh
 QUERIES, so that no task holds more. Links make components, and no link between different
 components is lost, but sets that are connected already are not compared again: first every
 set meets its own block and its group's first one; after that only hashes that several
-components hold are looked up, and only blocks that hold another component than the set's
-are met. So a large group of near copies meets one block a set, not all of its own. Equal
+components hold are looked up, and only sets of the smaller of two components meet the
+blocks of the larger one. So a large group of near copies meets one block a set, not all of its own. Equal
 sets are collapsed before.
 """
 
@@ -339,15 +339,19 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     unknown = F.lit(None).cast("long").alias("known")
     near = opener(blocks.select("rep", F.col("own").alias("block"), unknown), blocks.where("own <> first").select("rep", F.col("first").alias("block"), unknown), True)
     begun = common.materialize(connected_components(near), "begun")
-    # what is left: hashes of several components, and blocks that hold another component than the set's
-    known = common.materialize(blocks.join(begun, blocks["rep"] == begun["node"], "left").select("rep", "need", "own", "first", F.coalesce("component", "rep").alias("known")), "known")
+    # what is left: hashes of several components, and blocks that hold another component as large as the set's own or larger
+    known = blocks.join(begun, blocks["rep"] == begun["node"], "left").select("rep", "need", "own", "first", F.coalesce("component", "rep").alias("known"))
+    known = common.materialize(known, "known")
+    known = common.materialize(known.join(known.groupBy("known").agg(F.count(F.lit(1)).alias("size")), "known"), "known-sizes")
     placed = common.materialize(firsts.join(known, "rep"), "placed")
     mixed = placed.groupBy("token").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low < high").select("token")
     placed = common.materialize(placed.join(mixed, "token", "left_semi"), "placed-mixed")
-    uniform = known.groupBy("own").agg(F.min("known").alias("low"), F.max("known").alias("high")).select(F.col("own").alias("block"), F.when(F.col("low") == F.col("high"), F.col("low")).alias("only"))
-    matrix = placed.select("token", F.col("own").alias("block")).distinct().join(uniform, "block")
-    # one direction of each pair of blocks is enough
-    met = placed.join(matrix, "token").where("own < block and block <> first and (only is null or only <> known)").groupBy("rep", "block", "need", "known").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need")
+    # the two largest components of a block's sets with a hash, of at most BLOCK
+    tops = F.slice(F.sort_array(F.collect_set(F.struct("size", "known")), False), 1, 2)
+    matrix = placed.groupBy("token", F.col("own").alias("block")).agg(tops.alias("tops")).select("token", "block", *[F.get("tops", F.lit(k))[c].alias(f"{c}_{k}") for k in (0, 1) for c in ("size", "known")])
+    # of two components the smaller one's sets ask, of equal ones those of the smaller block; a set is a member of its own block
+    other = "if(known_0 = known, size_1, size_0)"
+    met = placed.join(matrix, "token").where(f"own <> block and block <> first and ({other} > size or {other} = size and own < block)").groupBy("rep", "block", "need", "known").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need")
     met = common.materialize(met.select("rep", "block", "known"), "met")
     far = opener(known.select("rep", F.col("own").alias("block"), "known"), met, False)
     components = common.materialize(connected_components(begun.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "components")
