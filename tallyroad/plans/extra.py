@@ -49,9 +49,14 @@ def _curve(spark, sf):
     return rounded(profiles.curves(arrays, labels, "day"), 9)
 
 
+def _spectral(spark, sf):
+    return profiles.spectral(site_series(spark, sf)).select("site", *[F.round(F.col("spectral")[i], 6).alias(f"s{i}") for i in range(5)])
+
+
 def _flat(spark, sf):
     p = profiles.profiles(site_series(spark, sf), start())
-    return profiles.flat(profiles.from_flat(profiles.flat(p)))
+    out = profiles.flat(profiles.from_flat(profiles.flat(p)))
+    return out.select("site", *[F.round(c, 6).alias(c) for c in out.columns if c != "site"])
 
 
 def _encode(spark, sf):
@@ -308,7 +313,7 @@ def queries():
         "profile_daily": lambda s, d: rounded(profiles.daily(site_series(s, d)), 9),
         "profile_weekly": lambda s, d: rounded(profiles.weekly(site_series(s, d)).where("mean > 0"), 9),
         "profile_annual": lambda s, d: rounded(profiles.annual(site_series(s, d), start()), 9),
-        "profile_spectral": lambda s, d: profiles.spectral(site_series(s, d)),
+        "profile_spectral": _spectral,
         "profile_flat_round_trip": _flat,
         "profile_norm_curve": _curve,
         "encode_decode_flow": _encode,
@@ -356,6 +361,22 @@ counted AS (SELECT user_id AS site, floor(epoch(ts - TIMESTAMP '2024-01-01') / 3
 series AS (SELECT site, h::INTEGER AS hour_idx, TIMESTAMP '2024-01-01' + h * INTERVAL 1 HOUR AS ts, CASE WHEN coalesce(bad, 0) = 0 THEN (coalesce(f1, 0) + coalesce(f2, 0))::DOUBLE END AS value FROM users CROSS JOIN range(0, 720) AS g(h) LEFT JOIN counted ON counted.site = users.site AND counted.hour_idx = h)""".replace("SELECT site, h::INTEGER", "SELECT users.site, h::INTEGER")
 
 
+def _spectral_sql() -> str:
+    """Energy of every frequency by its definition, its shares at the periods' nearest frequencies, and their entropy; put after _FLOWS."""
+    bins = [min(range(HOURS // 2 + 1), key=lambda k, p=p: abs(k / HOURS - 1 / p)) for p in profiles.PERIODS]
+    return f""", centred AS (SELECT site, hour_idx, coalesce(value, 0) - avg(coalesce(value, 0)) OVER (PARTITION BY site) AS v FROM series),
+energy AS (SELECT site, k, pow(sum(v * cos(2 * pi() * k * hour_idx / {HOURS})), 2) + pow(sum(v * sin(2 * pi() * k * hour_idx / {HOURS})), 2) AS e FROM centred CROSS JOIN range(0, {HOURS // 2 + 1}) AS g(k) GROUP BY ALL),
+shares AS (SELECT site, k, e / (sum(e) OVER (PARTITION BY site) + 1e-12) AS share FROM energy),
+spectra AS (SELECT site, {', '.join(f"round(max(share) FILTER (WHERE k = {k}), 6) AS s{i}" for i, k in enumerate(bins))}, round(-sum(share * ln(share + 1e-12)), 6) AS s{len(bins)} FROM shares GROUP BY site)"""
+
+
+def _flat_sql() -> str:
+    blocks = (("d", profiles.DAY, 2, "hour(ts)::INTEGER"), ("h", profiles.WEEK, 3, "((isodow(ts) - 1) * 24 + hour(ts))::INTEGER"), ("y", profiles.YEAR, 2, "(hour_idx // 168)::INTEGER"))
+    means = ", ".join(f"m{p} AS (SELECT site, {pos} AS pos, sum(coalesce(value, 0)) / count(*) AS mean FROM series WHERE {pos} < {n} GROUP BY ALL)" for p, n, _, pos in blocks)
+    wide = ", ".join(f"w{p} AS (SELECT site, {', '.join(f'round(coalesce(max(mean) FILTER (WHERE pos = {i}), 0), 6) AS {p}{i:0{w}d}' for i in range(n))} FROM m{p} GROUP BY site)" for p, n, w, _ in blocks)
+    return f"WITH {_FLOWS}{_spectral_sql()}, {means}, {wide} SELECT * FROM wd JOIN wh USING (site) JOIN wy USING (site) JOIN spectra USING (site)"
+
+
 def oracle_sql():
     means = lambda pos, size: f"WITH {_FLOWS} SELECT site, {pos} AS pos, round(sum(coalesce(value, 0)) / count(*), 9) AS mean FROM series WHERE {pos} < {size} GROUP BY ALL"
     hav = "2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin((radians({b}) - radians({a})) / 2), 2) + cos(radians({a})) * cos(radians({b})) * pow(sin((radians({d}) - radians({c})) / 2), 2))))"
@@ -374,6 +395,8 @@ def oracle_sql():
         "profile_daily": means("hour(ts)::INTEGER", 24),
         "profile_weekly": "SELECT * FROM (" + means("((isodow(ts) - 1) * 24 + hour(ts))::INTEGER", 168) + ") WHERE mean > 0",
         "profile_annual": means("(hour_idx // 168)::INTEGER", 52),
+        "profile_spectral": f"WITH {_FLOWS}{_spectral_sql()} SELECT * FROM spectra",
+        "profile_flat_round_trip": _flat_sql(),
         "profile_norm_curve": f"WITH {_FLOWS}, means AS (SELECT site, hour(ts)::INTEGER AS pos, sum(coalesce(value, 0)) / count(*) AS mean FROM series GROUP BY ALL), normed AS (SELECT site, pos, mean / CASE WHEN sqrt(sum(mean * mean) OVER (PARTITION BY site)) > 1e-12 THEN sqrt(sum(mean * mean) OVER (PARTITION BY site)) ELSE 1.0 END AS value FROM means) SELECT (site % 4)::INTEGER AS cluster, pos, round(avg(value), 9) AS mean, round(stddev_pop(value), 9) AS deviation FROM normed GROUP BY ALL",
         "encode_decode_flow": "SELECT event_id, CASE WHEN event_type = 'error' OR value IS NULL THEN 65535 ELSE round_even(round_even(value, 2) * 100, 0)::INTEGER END AS code, CASE WHEN event_type = 'error' OR value IS NULL THEN NULL ELSE round_even(round_even(value, 2) * 100, 0)::INTEGER / 100.0 END AS decoded FROM events",
         "code_normalise": "SELECT c_custkey, lpad(c_nationkey::VARCHAR, 2, '0') AS department, CASE WHEN length(c_custkey::VARCHAR) >= 5 THEN c_custkey::VARCHAR ELSE lpad(c_custkey::VARCHAR, 5, '0') END AS code, trunc(c_acctbal)::BIGINT AS whole, c_mktsegment || '|' || c_nationkey AS parts FROM customer",
