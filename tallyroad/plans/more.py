@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
 from uuid import uuid4
 
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyroad.functions import scalars as C
 from tallyroad.operators import assembly, checks, indicators, sensors, spatial, tags
 from tallyroad.sources import fixtures as X
-from tallyroad.sources import readers
+from tallyroad.sources import binary, readers
 from tallyroad.sources.fixtures import table
 from tallyroad.sources.scratch import scratch_path
 
@@ -83,6 +85,88 @@ def cycle_route_members(spark: SparkSession, sf: str) -> DataFrame:
     return readers.route_members(orders.select(F.col("l_orderkey").alias("relation"), "member", tags_of.alias("tags")))
 
 
+def _message(*parts: tuple[int, int | bytes]) -> bytes:
+    """A protocol-buffer message of (number, value) fields."""
+
+    def number(n: int) -> bytes:
+        out = b""
+        while n >= 128:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    return b"".join(number(k << 3) + number(v) if isinstance(v, int) else number(k << 3 | 2) + number(len(v)) + v for k, v in parts)
+
+
+def _extract(ids: list[int]) -> bytes:
+    """A packed map extract with a node at each id, and a way from it to the two next ones, on a path or a road."""
+    run = lambda values: b"".join(_message((0, (s << 1) ^ (s >> 63)))[1:] for s in (b - a for a, b in zip([0, *values[:-1]], values, strict=True)))
+    table = _message(*[(1, x) for x in (b"", b"highway", b"path", b"road")])
+    dense = _message((1, run(ids)), (8, run([i % 80 * 10**7 for i in ids])), (9, run([i % 170 * 10**7 for i in ids])))
+    ways = [(3, _message((1, i), (2, b"\x01"), (3, b"\x02" if i % 3 == 0 else b"\x03"), (8, run([i, i + 1, i + 2])))) for i in ids]
+    out = b""
+    for kind, block in ((b"OSMHeader", b""), (b"OSMData", _message((1, table), (2, _message((2, dense))))), (b"OSMData", _message((1, table), (2, _message(*ways))))):
+        body = _message((2, len(block)), (3, zlib.compress(block)))
+        header = _message((1, kind), (3, len(body)))
+        out += struct.pack(">I", len(header)) + header + body
+    return out
+
+
+def packed_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths of a packed map extract with the positions of the nodes it has."""
+    ids = [r[0] for r in table(spark, sf, "supplier").select("s_suppkey").orderBy("s_suppkey").toLocalIterator()]  # the fixture is one file
+    path = scratch_path(spark, f"{uuid4().hex}.osm.pbf")
+    binary.write_file(spark, path, _extract(ids))
+    found = binary.osm_pbf(spark, path)
+    lines = readers.lines_from_nodes(found["ways"].where("tags['highway'] = 'path'"), found["nodes"])
+    return lines.select("way", F.size("points").cast("long").alias("n_points"), F.round(F.col("points")[0]["lat"], 6).alias("lat"), F.round(F.element_at("points", -1)["lon"], 6).alias("lon"))
+
+
+def package_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer of lines written to a geometry package and read again."""
+    s = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("area"), F.col("s_suppkey").cast("double").alias("x"))
+
+    def encode(batches):
+        for batch in batches:
+            lines = [readers.to_wkb_line([(x, 0.0), (x + 3.0, 4.0)]) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.binary())], names=[*batch.schema.names, "geometry"])
+
+    path = scratch_path(spark, f"{uuid4().hex}.gpkg")
+    binary.write_geopackage(s.mapInArrow(encode, "s_suppkey long, area string, x double, geometry binary"), path, "lines")
+    read = binary.geopackage(spark, path, "lines", {"s_suppkey": "long", "area": "string", "x": "double"})
+    point = lambda k: F.col("parts")[0][k]
+    return read.select("s_suppkey", "area", (point(1)["x"] - point(0)["x"]).alias("dx"), point(1)["y"].alias("y"))
+
+
+def packed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly series of users packed as nested records and read again."""
+    e = table(spark, sf, "events").where("user_id is not null").select(F.col("user_id").alias("site"), F.lit(2024).alias("year"), F.hour("ts").alias("hour_idx"), F.lit(1).alias("flow"), F.when(F.col("event_type") != "error", (F.col("event_id") % 10) / 4).alias("value"))
+    series = sensors.nested_records(e).select("site", F.explode("values").alias("year", "values"))
+    path = scratch_path(spark, f"{uuid4().hex}.msgpack")
+    binary.write_packed_series(series, path)
+    known = F.filter("values", lambda x: x.isNotNull())
+    return binary.packed_series(spark, path).select("site", "year", F.size("values").cast("long").alias("n_hours"), F.size(known).cast("long").alias("n_known"), F.round(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+def _tile(column: int, row: int, values: list[list[int]]) -> bytes:
+    """A one-band raster tile of 16-bit numbers in one strip, at a corner of the mosaic."""
+    height, width = len(values), len(values[0])
+    data = struct.pack(f"<{height * width}h", *[v for line in values for v in line])
+    scale, tie = struct.pack("<3d", 10, 10, 0), struct.pack("<6d", 0, 0, 0, column * width * 10.0, -row * height * 10.0, 0)
+    entries = [(256, 3, 1, width), (257, 3, 1, height), (258, 3, 1, 16), (259, 3, 1, 1), (273, 4, 1, 8), (277, 3, 1, 1), (279, 4, 1, len(data)), (339, 3, 1, 2), (33550, 12, 3, 8 + len(data)), (33922, 12, 6, 8 + len(data) + 24), (42113, 2, 3, int.from_bytes(b"-1\0", "little"))]
+    return struct.pack("<2sHI", b"II", 42, 8 + len(data) + 72) + data + scale + tie + struct.pack("<H", len(entries)) + b"".join(struct.pack("<HHII", *e) for e in entries) + b"\0" * 4
+
+
+def raster_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics by zone of a mosaic of raster tiles."""
+    folder = scratch_path(spark, f"{uuid4().hex}-tiles")
+    for k in range(4):  # the cells are given by a rule, so that SQL knows them
+        binary.write_file(spark, f"{folder}/{k}.tif", _tile(k % 2, k // 2, [[-1 if (i * j + k) % 7 == 0 else (i * 31 + j * 17 + k * 101) % 1000 for i in range(30)] for j in range(20)]))
+    cells = binary.raster_cells(spark, folder)
+    zone = (F.floor(F.col("x") / 150) + 10 * F.floor(-F.col("y") / 100)).alias("zone")
+    out = spatial.zonal_statistics(cells.select(zone, "value"))
+    return out.select("zone", "count", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "median", "std", "range")])
+
+
 # ---- zones
 
 
@@ -197,7 +281,7 @@ def lane_directions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries():
-    made = (csv_scan, geometry_scan, geojson_scan, lengths_by_source, lines_of_nodes, cycle_route_members, wide_zones, mainland_zones, densest_members, nested_series, bottom_suppliers, zone_differences, pivot_total)
+    made = (csv_scan, geometry_scan, geojson_scan, lengths_by_source, lines_of_nodes, cycle_route_members, packed_extract, package_scan, packed_records, raster_statistics, wide_zones, mainland_zones, densest_members, nested_series, bottom_suppliers, zone_differences, pivot_total)
     made += (containing_polygons, touching_polygons, isolated_centres, water_distance, tag_features, lane_directions)
     return {f.__name__: f for f in made}
 
@@ -214,6 +298,10 @@ def oracle_sql():
         "lengths_by_source": f"WITH lengths AS (SELECT year(l_shipdate)::INTEGER AS year, {zone} AS zone, {sums} FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) SELECT year, zone, scenario, round(CASE WHEN year IN (1996, 1999) AND scenario <> 'PARTIAL' THEN d * 2 ELSE d END, 6) AS len_d, round(CASE WHEN year IN (1996, 1999) AND scenario <> 'PARTIAL' THEN g + 1 ELSE g END, 6) AS len_g FROM ({long})",
         "lines_of_nodes": "SELECT l_orderkey AS way, count(*) AS n_points, arg_min((l_partkey % 160 - 80)::DOUBLE, (l_linenumber, rn)) AS first_lat, arg_max((l_partkey % 360 - 180)::DOUBLE, (l_linenumber, rn)) AS last_lon FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_partkey AS rn FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey % 5 <> 0) GROUP BY 1 HAVING count(*) >= 2",
         "cycle_route_members": "SELECT l_partkey AS way, 'n' || l_orderkey % 6 AS network FROM lineitem WHERE l_linenumber % 3 <> 0 AND l_orderkey % 4 <> 0",
+        "packed_extract": "WITH n AS (SELECT s_suppkey AS k FROM supplier), w AS (SELECT n.k AS way, r, r.r + n.k AS node FROM n CROSS JOIN range(0, 3) AS r(r) WHERE n.k % 3 = 0) SELECT way, count(*) AS n_points, round(arg_min(node % 80, node)::DOUBLE, 6) AS lat, round(arg_max(node % 170, node)::DOUBLE, 6) AS lon FROM w JOIN n ON n.k = node GROUP BY way HAVING count(*) >= 2",
+        "package_scan": "SELECT s_suppkey, s_nationkey::VARCHAR AS area, 3.0::DOUBLE AS dx, 4.0::DOUBLE AS y FROM supplier",
+        "packed_records": "WITH h AS (SELECT user_id AS site, hour(ts) AS hour_idx, CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN round_even(sum((event_id % 10) / 4.0), 2) END AS value FROM events WHERE user_id IS NOT NULL GROUP BY ALL) SELECT site, 2024 AS year, count(*) AS n_hours, count(value) AS n_known, round(coalesce(sum(value), 0), 6) AS total FROM h GROUP BY site",
+        "raster_statistics": "WITH c AS (SELECT (k % 2 * 300 + i * 10 + 5) AS x, (k // 2 * 200 + j * 10 + 5) AS y, CASE WHEN (i * j + k) % 7 <> 0 THEN ((i * 31 + j * 17 + k * 101) % 1000)::DOUBLE END AS v FROM range(0, 4) AS t(k), range(0, 30) AS a(i), range(0, 20) AS b(j)) SELECT (x // 150 + 10 * (y // 100))::BIGINT AS zone, count(v) AS count, round(min(v), 6) AS min, round(max(v), 6) AS max, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(stddev_pop(v), 6) AS std, round(max(v) - min(v), 6) AS range FROM c WHERE v IS NOT NULL GROUP BY 1",
         "wide_zones": f"WITH z AS (SELECT {zone} AS zone, min(p_brand) AS department, (min(p_size) % 4)::INTEGER AS fallback FROM part GROUP BY 1), c AS (SELECT {zone} AS zone, count(*) AS nb_large FROM part WHERE p_size > 10 GROUP BY 1), r AS (SELECT {zone} AS zone, round(avg(p_retailprice), 6) AS nb_taux_price FROM part WHERE p_retailprice > 1000 GROUP BY 1) SELECT zone, CASE WHEN zone IN ('Brand#11/01', 'Brand#12/02') THEN 'city' ELSE department END AS department, fallback, coalesce(nb_large, 0) AS nb_large, nb_taux_price FROM z LEFT JOIN c USING (zone) LEFT JOIN r USING (zone)",
         "mainland_zones": "SELECT c_custkey, lpad((c_custkey * 7 % 120)::VARCHAR, 2, '0') AS department FROM customer WHERE lpad((c_custkey * 7 % 120)::VARCHAR, 2, '0') BETWEEN '01' AND '95'",
         "densest_members": "SELECT c_nationkey AS grp, c_custkey AS code FROM customer WHERE c_acctbal IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY (c_custkey % 3 = 0) DESC, c_acctbal DESC, c_custkey) = 1",

@@ -601,3 +601,29 @@ def test_models_cover_all_rows(spark):
     customers = models.forest_predict(spark, SF).collect()
     assert len(customers) == models.table(spark, SF, "customer").count() == len({r["c_custkey"] for r in customers})
     assert {r["extrapolated"] for r in customers} == {0} and all(r["out_of_fold"] for r in customers)
+
+
+def test_charts(spark):
+    """Every chart is well-formed, draws its points where their values lie, and leaves gaps for missing ones."""
+    from xml.etree import ElementTree
+
+    from tallyroad.sources import charts
+
+    years = spark.createDataFrame([(2019, 1.0, 4.0, 4.0, 10, 5), (2020, 2.0, 6.0, None, 12, 5), (2021, 3.0, 8.0, 5.0, 15, 5)], "year int, km_obs_bn double, km_ext_bn double, km_panel_ext_bn double, n_sensors long, n_panel long")
+    interval = spark.createDataFrame([(2019, 3e9, 5e9), (2020, 5e9, 7e9), (2021, 7e9, 9e9)], "year int, low_95 double, high_95 double")
+    detail = spark.createDataFrame([(2021, "a <b>", 3.0), (2021, "c", 6.0), (2020, "d", 1.0)], "year int, cluster_name string, rate double")
+    curve = spark.createDataFrame([(1, p, 0.1 * p, 0.2) for p in range(24)], "cluster int, pos int, mean double, deviation double")
+    made = {
+        "national": charts.national(years), "interval": charts.with_interval(years, interval), "panel": charts.standard_and_panel(years), "index": charts.index_100(years, {"km_obs_bn": "observed", "n_sensors": "sensors"}, "Index"),
+        "rates": charts.rates(detail, 2021), "profile": charts.profile(curve, 1, "Cluster 1", "hour"), "none": charts.national(years.where("false")),
+    }
+    tag = "{http://www.w3.org/2000/svg}"
+    drawn = {k: ElementTree.fromstring(v) for k, v in made.items()}
+    line = [tuple(map(float, p.split(","))) for p in drawn["national"].findall(f"{tag}polyline")[0].get("points").split()]
+    assert len(line) == 3 and line[0][0] < line[1][0] < line[2][0] and line[0][1] > line[1][1] > line[2][1]
+    assert line[0][1] - line[1][1] == pytest.approx(line[1][1] - line[2][1], abs=0.2)
+    assert len(drawn["panel"].findall(f"{tag}polyline")) == 3  # the panel's gap parts its line
+    assert len(drawn["interval"].findall(f"{tag}polygon")) == len(drawn["profile"].findall(f"{tag}polygon")) == 1
+    assert "all (15 sensors in 2021)" in made["panel"] and "a &lt;b&gt;" in made["rates"] and "300" in made["index"]
+    widths = [float(r.get("width")) for r in drawn["rates"].findall(f"{tag}rect")]
+    assert widths[0] == pytest.approx(2 * widths[1], abs=0.2)
