@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroad.functions.scalars import count_present, direction_factor, principal_type, recode, tag_number
+from tallyroad.sources.scratch import materialize
 
 LEAST_USES, MOST_VALUES = 20, 250
 #: Infrastructure types from best to least, those that are not dedicated, families, ranks of route networks.
@@ -157,3 +158,13 @@ def feature_row(df: DataFrame, keys: list[str], vocab: dict[str, list[str]]) ->
         F.coalesce(*[number(k) for k in WIDTHS]).alias("cw_width_eff"),
         (count_present(*cycle) if cycle else F.lit(0)).alias("n_cycle_keys"),
     )
+
+
+def offsets(df: DataFrame, key: str, size: str) -> DataFrame:
+    """Add ``offset``: the sum of ``size`` over all rows with a smaller unique key. Ranges of the sorted key are summed first, so no task runs over the whole table."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(df.repartitionByRange(parts, key).withColumn("part", F.spark_partition_id()), "offsets")
+    sums = dealt.groupBy("part").agg(F.sum(size).alias("held"))  # a row a range
+    before = sums.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("before"))
+    inside = F.sum(size).over(Window.partitionBy("part").orderBy(key)) - F.col(size)
+    return dealt.withColumn("inside", inside).join(before, "part").select(*df.columns, (F.col("before") + F.col("inside")).alias("offset"))

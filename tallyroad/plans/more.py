@@ -280,9 +280,23 @@ def lane_directions(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").groupBy(X.zone_of().alias("zone")).agg(F.sum(C.direction_factor(spelt)).alias("lanes"))
 
 
+def node_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each way's nodes begin in one long list of nodes: orders are ways, line items their nodes."""
+    ways = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("way")).agg(F.count(F.lit(1)).alias("n"))
+    return tags.offsets(ways, "way", "n")
+
+
+def parameter_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Free parameters of every covariance model for the cluster counts and dimensions of nations (k = 2 + nation % 4, p = 10 + nation)."""
+    from tallyroad.operators.learning import MODELS, n_parameters
+
+    nations = [r[0] for r in table(spark, sf, "nation").select("n_nationkey").orderBy("n_nationkey").collect()]  # 25 rows
+    return spark.createDataFrame([(n, m, float(n_parameters(m, 2 + n % 4, 10 + n))) for n in nations for m in MODELS], "nation long, model string, parameters double")
+
+
 def queries():
     made = (csv_scan, geometry_scan, geojson_scan, lengths_by_source, lines_of_nodes, cycle_route_members, packed_extract, package_scan, packed_records, raster_statistics, wide_zones, mainland_zones, densest_members, nested_series, bottom_suppliers, zone_differences, pivot_total)
-    made += (containing_polygons, touching_polygons, isolated_centres, water_distance, tag_features, lane_directions)
+    made += (containing_polygons, touching_polygons, isolated_centres, water_distance, tag_features, lane_directions, node_offsets, parameter_counts)
     return {f.__name__: f for f in made}
 
 
@@ -314,5 +328,7 @@ def oracle_sql():
         "isolated_centres": "WITH p AS (SELECT c_custkey AS id, c_nationkey, ((c_custkey * 53) % 5000)::DOUBLE AS x, ((c_custkey * 29) % 5000)::DOUBLE AS y FROM customer), b AS (SELECT s_suppkey AS polygon, ((s_suppkey * 71) % 5000)::DOUBLE AS x, ((s_suppkey * 17) % 5000)::DOUBLE AS y FROM supplier WHERE s_suppkey % 2 = 0), e AS (SELECT id AS a, c_nationkey AS b FROM p UNION SELECT c_nationkey, id FROM p) SELECT id FROM p WHERE NOT EXISTS (SELECT 1 FROM e JOIN b ON e.b = b.polygon WHERE e.a = p.id) AND NOT EXISTS (SELECT 1 FROM b WHERE sqrt(pow(p.x - b.x, 2) + pow(p.y - b.y, 2)) <= 400)",
         "water_distance": f"WITH p AS (SELECT c_custkey AS id, ((c_custkey * 53) % 900)::DOUBLE AS x, ((c_custkey * 29) % 700)::DOUBLE AS y FROM customer), l AS (SELECT s_suppkey % 3 AS k, ((s_suppkey * 71) % 900)::DOUBLE AS ax, ((s_suppkey * 17) % 700)::DOUBLE AS ay FROM supplier), d AS (SELECT id, k, min({segment}) AS d FROM (SELECT id, x, y, k, ax, ay, greatest(0.0, least(1.0, ((x - ax) * 30 + (y - ay) * 40) / 2500)) AS t FROM p CROSS JOIN l) GROUP BY ALL) SELECT id, " + ", ".join(f"round(min(d) FILTER (WHERE k = {k}), 6) AS dist_{n}" for k, n in ((0, "river"), (1, "canal"), (2, "coastline"))) + " FROM d GROUP BY id",
         "tag_features": "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'path' WHEN 1 THEN '(autre)' END AS highway, CASE WHEN p_partkey % 7 = 0 THEN 'track' END AS cycleway__both, round(CASE p_partkey % 4 WHEN 0 THEN 32.18::DOUBLE WHEN 1 THEN 30::DOUBLE END, 6) AS maxspeed_num, CASE WHEN p_partkey % 7 = 0 THEN 'track' WHEN p_partkey % 5 = 0 THEN 'lane' WHEN p_partkey % 5 = 1 THEN '(autre)' END AS cw_right_eff, CASE WHEN p_partkey % 7 = 0 THEN 'track' WHEN p_partkey % 5 = 0 THEN 'lane' WHEN p_partkey % 5 = 1 THEN '(autre)' END AS cw_left_eff, ((p_partkey % 7 = 0)::INTEGER + (p_partkey % 5 < 2)::INTEGER)::BIGINT AS n_cycle_keys FROM part",
+        "node_offsets": "SELECT way, n, (sum(n) OVER (ORDER BY way) - n)::BIGINT AS offset FROM (SELECT l_orderkey AS way, count(*) AS n FROM lineitem GROUP BY 1)",
+        "parameter_counts": "WITH b AS (SELECT n_nationkey AS nation, 2 + n_nationkey % 4 AS k, 10 + n_nationkey AS p FROM nation), m AS (SELECT unnest(['DkBk', 'DkB', 'DBk', 'DB', 'AkjBk', 'AkjB', 'AkBk', 'AkB', 'AjBk', 'AjB', 'ABk', 'AB']) AS model) SELECT nation, model, ((k - 1) + k * (k - 1) + (k - 1) * (p - k / 2.0) + CASE WHEN model = 'ABk' THEN k + 1 ELSE CASE regexp_extract(model, '^(Dk|D|Akj|Ak|Aj|A)B', 1) WHEN 'Dk' THEN k * k * (k - 1) // 2 WHEN 'D' THEN k * (k - 1) // 2 WHEN 'Akj' THEN k * (k - 1) WHEN 'Ak' THEN k WHEN 'Aj' THEN k - 1 ELSE 1 END + CASE WHEN model LIKE '%Bk' THEN k ELSE 1 END END)::DOUBLE AS parameters FROM b CROSS JOIN m",
         "lane_directions": f"SELECT {zone} AS zone, sum(CASE WHEN p_partkey % 4 < 2 THEN 2.0 ELSE 1.0 END::DOUBLE) AS lanes FROM part GROUP BY 1",
     }
