@@ -326,11 +326,12 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     n = common.shuffle_partitions(spark)
     tokens = distinct.select(F.explode("prefix").alias("token"), "rep").repartition(n, "token").sortWithinPartitions("token")
     firsts = common.materialize(tokens.mapInArrow(_shared_only, "token long, rep long"), "firsts")
-    # groups: sets that share the first hash by an order of its own; blocks of a bounded size
+    # groups: sets that have their most frequent first hash in common, so that few blocks hold it; blocks of a bounded size
     # a partner has num / den of the hashes at least, so both share as many first hashes as its level
     need = (1 + F.floor(F.ceil(F.col("n") * num / den) / LEVEL)).alias("need")
     needs = distinct.groupBy("rep").agg(F.min("n").alias("n")).select("rep", need)
-    groups = firsts.groupBy("rep").agg(F.min(F.xxhash64("token")).alias("grp"), F.count(F.lit(1)).alias("shared")).join(needs, "rep").where("shared >= need").select("rep", "grp", "need")
+    frequent = firsts.join(firsts.groupBy("token").agg(F.count(F.lit(1)).alias("holders")), "token")
+    groups = frequent.groupBy("rep").agg(F.max(F.struct("holders", F.xxhash64("token").alias("grp")))["grp"].alias("grp"), F.count(F.lit(1)).alias("shared")).join(needs, "rep").where("shared >= need").select("rep", "grp", "need")
     groups = common.materialize(groups, "groups")
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     number = F.pmod(F.xxhash64("rep"), F.col("blocks"))
