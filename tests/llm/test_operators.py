@@ -344,6 +344,31 @@ def test_scores_do_not_depend_on_blocks(monkeypatch):
     assert whole[-1] == pytest.approx(whole[-1]) and whole[-2] == whole[-3]
 
 
+def plain_score(model: T.Model, text) -> float:
+    """Score of one text by its definition: every filter at every word, the greatest of each, the logistic layer."""
+    zero = np.zeros(T.DIM)
+    vectors = [sum((model.embedding[s].astype(float) for s in T.slots(w)), zero) for w in T.words(text)] or [zero]
+    vectors += [zero, zero]
+    z = model.out_bias
+    responses = [[max(sum(float(f[j] @ vectors[k + j]) for j in range(len(f))) for k in range(len(vectors) - 2)) for f in filters] for filters in model.filters]
+    for k, best in enumerate(x for r in responses for x in r):
+        z += max(best + float(model.bias[k]), 0.0) * float(model.out[k])
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_against_the_definition(spark):
+    model = T.fit(planted(300, 5))
+    texts = [t for t, _, _ in planted(40, 6)] + [None, "", "\n \t", "one", "vile", "Ünïcode € 漢字 vile", "word1 " * 300 + "nasty"]
+    assert T.score_texts(model, texts) == pytest.approx([plain_score(model, t) for t in texts], abs=1e-5)
+    # rows that repeat a doc_id are scored by their own texts
+    docs = spark.createDataFrame([(3, "a calm text"), (3, "vile nasty rotten vile"), (3, "a calm text"), (None, "vile nasty rotten vile")], "doc_id long, text string")
+    train = [(100 + i, t, y) for i, (t, y, _) in enumerate(planted(200, 8))]
+    labels = spark.createDataFrame([(i, y) for i, _, y in train], "doc_id long, toxic int")
+    both = docs.unionByName(spark.createDataFrame([(i, t) for i, t, _ in train], docs.schema))
+    got = [(r["doc_id"], r["score"]) for r in T.toxicity_scores(both, labels).collect() if r["doc_id"] in (3, None)]
+    assert len(got) == 4 and len({s for _, s in got}) == 2 and sorted(s > 0.5 for i, s in got if i == 3) == [False, False, True]
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = SF.replace("sf0.001", "sf0.1")
     labels = spark.read.parquet(f"{sf}/labels.parquet")
