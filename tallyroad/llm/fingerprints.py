@@ -77,8 +77,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def add_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint", width: int = SHINGLE) -> DataFrame:
-    """Add the fingerprint of a text column; empty string where the text has no words (null and empty texts too)."""
-    return docs.withColumn("__h", shingle_hashes(common.text_of(text), width)).withColumn(name, F.coalesce(fingerprint(F.col("__h")), F.lit(""))).drop("__h")
+    """Add the fingerprint of a text column as column ``name``, which must be a new one; empty string where the text has no words (null and empty texts too)."""
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {name} already")
+    free = "shingle_hashes"
+    while free in {c.lower() for c in docs.columns}:
+        free += "_"
+    return docs.withColumn(free, shingle_hashes(common.text_of(text), width)).withColumn(name, F.coalesce(fingerprint(F.col(free)), F.lit(""))).drop(free)
 
 
 def _bucket(value: Column, bounds: list[int]) -> Column:

@@ -208,6 +208,10 @@ def test_fingerprints_awkward(spark):
     assert {r["fingerprint"] for r in got if r["doc_id"] in (4, 5, 6)} == {""}
     assert len({r["fingerprint"] for r in got if r["doc_id"] in (1, 3, -5)}) == 1
     assert FP.fingerprints(empty(spark)).count() == 0
+    clashing = spark.createDataFrame([(1, "a b c d e f", 7)], "doc_id long, text string, shingle_hashes int")
+    assert FP.add_fingerprint(clashing).columns == ["doc_id", "text", "shingle_hashes", "fingerprint"] and FP.add_fingerprint(clashing).first()["shingle_hashes"] == 7
+    with pytest.raises(ValueError, match="already"):
+        FP.add_fingerprint(clashing.withColumnRenamed("shingle_hashes", "Fingerprint"))
     single = FP.fingerprints(spark.createDataFrame([(3, "a b c d e f")], "doc_id long, text string")).first()
     assert single["near_next"] == 1.0
 
