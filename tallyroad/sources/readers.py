@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import struct
 import urllib.request
 import zipfile
@@ -224,3 +225,12 @@ def download(url: str, target: str, attempts: int = 6) -> Path:
             if attempt + 1 == attempts:
                 raise
     raise AssertionError
+
+
+def dated_snapshot(template: str, date: str, folder: str) -> Path:
+    """Path of the extract of a day (YYMMDD) whose address is ``template`` with the date in place of {date}; fetched, resumably, unless it is there."""
+    if not re.fullmatch(r"\d{6}", date):
+        raise ValueError(f"a snapshot's date has six digits, YYMMDD: {date}")
+    url = template.format(date=date)
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    return download(url, str(Path(folder, url.rsplit("/", 1)[-1])))

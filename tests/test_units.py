@@ -627,3 +627,33 @@ def test_charts(spark):
     assert "all (15 sensors in 2021)" in made["panel"] and "a &lt;b&gt;" in made["rates"] and "300" in made["index"]
     widths = [float(r.get("width")) for r in drawn["rates"].findall(f"{tag}rect")]
     assert widths[0] == pytest.approx(2 * widths[1], abs=0.2)
+
+
+def test_zone_map_pixels(spark):
+    """Zones are filled by category, north on top; a hole between them stays white."""
+    import struct
+    import zlib
+
+    from tallyroad.sources import charts
+
+    square = lambda x, y: [{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + 10, y), (x + 10, y + 10), (x, y + 10))]
+    zones = spark.createDataFrame([(square(0, 0), "a"), (square(20, 0), "b"), (square(0, 10), "new")], "ring array<struct<x:double,y:double>>, category string")
+    raw = charts.zone_map(zones, {"a": "#ff0000", "b": "#0000ff"}, width=30)
+    assert raw[:8] == b"\x89PNG\r\n\x1a\n" and struct.unpack(">II", raw[16:24]) == (30, 20)
+    size = struct.unpack(">I", raw[33:37])[0]
+    pixels = np.frombuffer(zlib.decompress(raw[41 : 41 + size]), np.uint8).reshape(20, 91)[:, 1:].reshape(20, 30, 3)
+    assert pixels[15, 5].tolist() == [255, 0, 0] and pixels[15, 25].tolist() == [0, 0, 255] and pixels[15, 15].tolist() == [255] * 3
+    assert pixels[5, 5].tolist() == [0xE2] * 3 and pixels[5, 25].tolist() == [255] * 3
+    assert charts.zone_map(zones.where("false"), {}).startswith(b"\x89PNG")
+
+
+def test_dated_snapshot(tmp_path):
+    (tmp_path / "remote").mkdir()
+    (tmp_path / "remote" / "france-250101.osm.pbf").write_bytes(b"extract")
+    template = f"file://{tmp_path}/remote/france-{{date}}.osm.pbf"
+    path = readers.dated_snapshot(template, "250101", str(tmp_path / "here"))
+    assert path.read_bytes() == b"extract" and path.parent.name == "here"
+    (tmp_path / "remote" / "france-250101.osm.pbf").unlink()
+    assert readers.dated_snapshot(template, "250101", str(tmp_path / "here")) == path  # not fetched again
+    with pytest.raises(ValueError, match="YYMMDD"):
+        readers.dated_snapshot(template, "2025-01-01", str(tmp_path))
