@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from llm.fixtures import AWKWARD, BASE, LINE, LONG, awkward, empty
 from oracle import compare
-from tallyroad.llm import bcr, entry
+from tallyroad.llm import bcr, common, entry
 from tallyroad.llm import exact_dedup as E
 from tallyroad.llm import fingerprints as FP
 from tallyroad.llm import jaccard_join as J
@@ -167,6 +167,31 @@ def test_jaccard_family(spark, monkeypatch, width, num):
     assert got == jaccard_truth(texts, width, num)
 
 
+def test_large_group_of_near_copies_meets_few_blocks(spark, monkeypatch):
+    """Sets of one component don't meet each other's blocks, and sets that share one hash stay in few blocks."""
+    monkeypatch.setattr(J, "BLOCK", 16)
+    rng = np.random.default_rng(16)
+    base = [f"w{i}" for i in range(100)]
+    texts = {}
+    for i in range(300):  # one word changed: links everywhere
+        w = list(base)
+        w[int(rng.integers(0, 100))] = f"x{i}"
+        texts[i] = " ".join(w)
+    for i in range(300, 500):  # a common beginning, otherwise unlike
+        texts[i] = " ".join(base[:30] + [f"y{rng.integers(0, 10**6)}" for _ in range(60)])
+    rows, plain = {}, common.materialize
+
+    def watched(df, label, by=()):
+        out = plain(df, label, by)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(J.common, "materialize", watched)
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 90, 100).collect()}
+    assert got == {i: 0 if i < 300 else i for i in texts}
+    assert rows["met"] < 300  # all pairs of sets and blocks would be 300 * 19 and more
+
+
 def test_jaccard_awkward(spark):
     got = collections.defaultdict(set)
     for r in J.jaccard_components(awkward(spark), 3, 90, 100).collect():
@@ -273,8 +298,8 @@ def test_suffix_dedup_awkward(spark):
 def test_split_key_finds_the_same(monkeypatch):
     """Collections split by the first symbols decide as one collection does, also where one string is very common."""
     rng = np.random.default_rng(12)
-    common = bytes(rng.choice([97, 98], 60).astype(np.uint8))
-    contents = [bytes(rng.choice([97, 98], rng.integers(0, 9)).astype(np.uint8)) + common + bytes(rng.choice([97, 98], rng.integers(0, 9)).astype(np.uint8)) for _ in range(40)]
+    shared = bytes(rng.choice([97, 98], 60).astype(np.uint8))
+    contents = [bytes(rng.choice([97, 98], rng.integers(0, 9)).astype(np.uint8)) + shared + bytes(rng.choice([97, 98], rng.integers(0, 9)).astype(np.uint8)) for _ in range(40)]
     least = rng.integers(0, 1000, len(contents))
     want = SD._least_of_strings(contents, least)
     monkeypatch.setattr(SD, "COLLECTION", 5)
