@@ -60,19 +60,21 @@ def polygon_or_nearest(points: DataFrame, polygons: DataFrame, centres: DataFram
 FANOUT, TOP_CELLS, BROADCAST_CELLS = 4, 64, 10_000
 
 
-def _closest(points: DataFrame, sites: DataFrame, axes: list[str], size: float, distance: Column, slack: float) -> DataFrame:
-    """(id, site, distance): site of least (distance, site) for each point, which must fall as the straight distance between the axes falls.
+def _cell_at(axes: list[str], prefix: str, size: float) -> Column:
+    return F.struct(*[F.floor(F.col(prefix + a) / size).cast("long").alias(a) for a in axes])
 
-    ``points``: id and axes; ``sites``: site and axes with an ``s`` before. Points with a site no farther than ``size``
-    find it in the cells around their own. The others go down a pyramid of occupied cells: a cell is left out when its
+
+def _closest(points: DataFrame, placed: DataFrame, axes: list[str], size: float, distance: Column, straight: Column, slack: float) -> DataFrame:
+    """(id, site, distance): site of least (distance, site) for each point; ``distance`` must fall as ``straight``, the one between the axes, falls.
+
+    ``points``: id and axes; ``placed``: site, a point of it (axes with an ``s`` before) and ``cell``, one row for each cell
+    of ``size`` that it may touch, and what the distances read. Points with a site no farther than ``size`` find it in the cells around their own. The others go down a pyramid of occupied cells: a cell is left out when its
     box lies farther away than some site does that is known already, and every level is written, so neither the plan nor
     a point's cells grow. ``slack`` keeps what rounding may have put a little too far away.
     """
-    at = lambda prefix: F.struct(*[F.floor(F.col(prefix + a) / size).cast("long").alias(a) for a in axes])
     gap = lambda other: F.sqrt(sum((F.pow(F.col(a) - other(a), 2) for a in axes), F.lit(0.0)))
-    placed = sites.withColumn("cell", at("s"))
-    pick = F.min(F.struct(distance.alias("distance"), "site", gap(lambda a: F.col(f"s{a}")).alias("gap"))).alias("best")
-    own = at("")
+    pick = F.min(F.struct(distance.alias("distance"), "site", straight.alias("gap"))).alias("best")
+    own = _cell_at(axes, "", size)
     ring = F.array(*[F.struct(*[(own[a] + d).alias(a) for a, d in zip(axes, moves, strict=True)]) for moves in product((-1, 0, 1), repeat=len(axes))])
     best = points.withColumn("cell", F.explode(ring)).join(placed, "cell").groupBy("id").agg(pick)
     done = materialize(best.where(F.col("best.gap") <= size).select("id", "best.site", "best.distance"), "near")
@@ -108,8 +110,8 @@ def _closest(points: DataFrame, sites: DataFrame, axes: list[str], size: float,
 def nearest(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
     """(id, polygon, distance): nearest site of each point, the smaller id of equals. ``points``: id, x, y; ``sites``: polygon, x, y. Without sites there are no rows."""
     distance = F.sqrt(F.pow(F.col("x") - F.col("sx"), 2) + F.pow(F.col("y") - F.col("sy"), 2))
-    named = sites.select(F.col("polygon").alias("site"), F.col("x").alias("sx"), F.col("y").alias("sy"))
-    found = _closest(points.select("id", "x", "y"), named, ["x", "y"], size, distance, 1e-9 * size)
+    placed = sites.select(F.col("polygon").alias("site"), F.col("x").alias("sx"), F.col("y").alias("sy")).withColumn("cell", _cell_at(["x", "y"], "s", size))
+    found = _closest(points.select("id", "x", "y"), placed, ["x", "y"], size, distance, distance, 1e-9 * size)
     return found.select("id", F.col("site").alias("polygon"), "distance")
 
 
@@ -128,7 +130,9 @@ def nearest_on_sphere(points: DataFrame, sites: DataFrame, degrees: float = 2.0)
     # straight distances are good to about 1e-16, which the rounding to a micrometre may turn into an equal one
     straight = F.sqrt(sum((F.pow(F.col(a) - F.col(f"s{a}"), 2) for a in axes), F.lit(0.0)))
     metres = F.round(2 * EARTH_M * F.asin(F.least(straight / 2, F.lit(1.0))), 6)
-    found = _closest(vectors(points.select("id", "lat", "lon"), "lat", "lon", "").select("id", *axes), vectors(sites.select("site", "slat", "slon"), "slat", "slon", "s").select("site", "sx", "sy", "sz"), axes, radians(degrees), metres, 1e-11)
+    width = radians(degrees)
+    placed = vectors(sites.select("site", "slat", "slon"), "slat", "slon", "s").withColumn("cell", _cell_at(axes, "s", width))
+    found = _closest(vectors(points.select("id", "lat", "lon"), "lat", "lon", "").select("id", *axes), placed, axes, width, metres, straight, 1e-11)
     return found.select("id", "site", F.col("distance").alias("metres"))
 
 
@@ -273,35 +277,24 @@ def propagate_status(roads: DataFrame, size: float, reach: float = 5.0, rounds:
 def line_distances(points: DataFrame, segments: DataFrame, kinds: list[str], reach: float | None = None, size: float = 1000.0) -> DataFrame:
     """Distance of each point to the nearest line of each kind, one column a kind; null for a kind without lines and, where ``reach`` is given, beyond it.
 
-    ``points``: id, x, y; ``segments``: kind, ax, ay, bx, by. Segments are entered in the cells of their box, points
-    look into the cells around them, so both sides meet by cell. Cells of ``size`` are widened eightfold for the
-    points and kinds without a certain hit.
+    ``points``: id, x, y; ``segments``: kind, ax, ay, bx, by. Segments are entered in the cells of their box and searched as
+    sites are, with their first end as the point that is known of them.
     """
     box = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
-    lines = segments.where(F.col("kind").isin(kinds)).withColumn("box", box)
-    d = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
-    present = [r["kind"] for r in lines.select("kind").distinct().collect()]
-    if not present:
-        return points.select("id", *[F.lit(None).cast("double").alias(f"dist_{k}") for k in kinds])
-    ends = lines.agg(F.max(F.greatest(*[F.abs(c) for c in ("ax", "ay", "bx", "by")]))).first()[0]
-    farthest = max(float(ends or 0.0), float(points.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0] or 0.0))
-    left = points.select("id", "x", "y", F.explode(F.array(*map(F.lit, present))).alias("kind"))
-    done, width = None, reach or size
-    while True:
-        last = width > 2 * farthest
-        at = lambda c, w=width: F.floor(c / w).cast("int")
-        ring = F.array(*[F.struct((at(F.col("x")) + i).alias("i"), (at(F.col("y")) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        met = left.select("id", "x", "y", "kind", F.explode(ring).alias("cell")).join(lines.select("kind", "ax", "ay", "bx", "by", F.explode(cells_of("box", width)).alias("cell")), ["kind", "cell"])
-        best = met.groupBy("id", "kind").agg(F.min(d).alias("d"))
-        sure = best if last and reach is None else best.where(F.col("d") <= width)
-        sure = sure if last or reach is not None else materialize(sure, "line-distances")
-        done = sure if done is None else done.unionByName(sure)
-        if last or reach is not None:
-            break
-        left = left.join(sure.select("id", "kind"), ["id", "kind"], "left_anti")
-        width *= 8
-    near = done.groupBy("id").agg(*[F.min(F.when(F.col("kind") == k, F.col("d"))).alias(f"dist_{k}") for k in kinds])
-    return points.join(near, "id", "left").select("id", *[f"dist_{k}" for k in kinds])
+    width = reach or size
+    out = points.select("id")
+    for kind in kinds:
+        lines = segments.where(F.col("kind") == kind).withColumn("box", box)
+        cell = F.transform(cells_of("box", width), lambda c: F.struct(c["i"].cast("long").alias("x"), c["j"].cast("long").alias("y")))
+        placed = lines.select(F.xxhash64("ax", "ay", "bx", "by").alias("site"), F.col("ax").alias("sx"), F.col("ay").alias("sy"), "ax", "ay", "bx", "by", F.explode(cell).alias("cell"))
+        d = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
+        if reach is None:
+            found = _closest(points.select("id", "x", "y"), placed, ["x", "y"], width, d, d, 1e-9 * width).select("id", F.col("distance").alias(f"dist_{kind}"))
+        else:
+            ring = F.array(*[F.struct((F.floor(F.col("x") / width) + i).alias("x"), (F.floor(F.col("y") / width) + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+            found = points.select("id", "x", "y", F.explode(ring).alias("cell")).join(placed, "cell").groupBy("id").agg(F.min(d).alias(f"dist_{kind}")).where(F.col(f"dist_{kind}") <= reach)
+        out = out.join(found, "id", "left")
+    return out.select("id", *[f"dist_{k}" for k in kinds])
 
 
 def sample_cells(points: DataFrame, grid: DataFrame, size: float, nodata: float = -9999.0) -> DataFrame:
