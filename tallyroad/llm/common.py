@@ -43,22 +43,36 @@ def materialize(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFram
     if not _written:
         atexit.register(release)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["scratch"] = path
+    return out
+
+
+def _delete(owner: SparkSession, path: str) -> None:
+    try:
+        if owner.sparkContext._jsc is None:
+            return
+        hadoop = owner._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(owner._jsc.hadoopConfiguration()).delete(hadoop, True)
+    except Exception:  # the session has ended: its folder goes with it  # noqa: BLE001, S110
+        pass
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        path = df.__dict__.pop("scratch", None)
+        for owner, known in [x for x in _written if x[1] == path]:
+            _written.remove((owner, known))
+            _delete(owner, known)
 
 
 def release(spark: SparkSession | None = None) -> None:
     """Delete the scratch tables written so far (all, or those of ``spark``)."""
     for owner, path in list(_written):
-        if spark is not None and owner is not spark:
-            continue
-        _written.remove((owner, path))
-        try:
-            if owner.sparkContext._jsc is None:
-                continue
-            hadoop = owner._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(owner._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # the session has ended: its folder goes with it  # noqa: BLE001, S112
-            continue
+        if spark is None or owner is spark:
+            _written.remove((owner, path))
+            _delete(owner, path)
 
 
 def text_of(text: str | Column = "text") -> Column:

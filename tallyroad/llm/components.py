@@ -25,7 +25,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = common.materialize(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a != b").distinct(), "edges")
     before = None
     while True:
-        edges = common.materialize(_star(common.materialize(_star(edges, True), "edges"), False), "edges")
+        half = common.materialize(_star(edges, True), "edges")
+        whole = common.materialize(_star(half, False), "edges")
+        common.discard(edges, half)
+        edges = whole
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.groupBy("a").agg(F.min("b").alias("component")).unionAll(edges.groupBy("b").agg(F.min("b").alias("component"))).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("component"))

@@ -342,11 +342,13 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     begun = common.materialize(connected_components(near), "begun")
     # what is left: hashes of several components, and blocks that hold another component as large as the set's own or larger
     known = blocks.join(begun, blocks["rep"] == begun["node"], "left").select("rep", "need", "own", "first", F.coalesce("component", "rep").alias("known"))
-    known = common.materialize(known, "known")
+    known = begun_by = common.materialize(known, "known")
     known = common.materialize(known.join(known.groupBy("known").agg(F.count(F.lit(1)).alias("size")), "known"), "known-sizes")
-    placed = common.materialize(firsts.join(known, "rep"), "placed")
+    common.discard(begun_by)
+    placed = every = common.materialize(firsts.join(known, "rep"), "placed")
     mixed = placed.groupBy("token").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low < high").select("token")
     placed = common.materialize(placed.join(mixed, "token", "left_semi"), "placed-mixed")
+    common.discard(every)
     # the two largest components of a block's sets with a hash, of at most BLOCK
     tops = F.slice(F.sort_array(F.collect_set(F.struct("size", "known")), False), 1, 2)
     matrix = placed.groupBy("token", F.col("own").alias("block")).agg(tops.alias("tops")).select("token", "block", *[F.get("tops", F.lit(k))[c].alias(f"{c}_{k}") for k in (0, 1) for c in ("size", "known")])
@@ -354,6 +356,7 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     other = "if(known_0 = known, size_1, size_0)"
     met = placed.join(matrix, "token").where(f"own <> block and block <> first and ({other} > size or {other} = size and own < block)").groupBy("rep", "block", "need", "known").agg(F.count(F.lit(1)).alias("hits")).where("hits >= need")
     met = common.materialize(met.select("rep", "block", "known"), "met")
+    common.discard(placed, firsts)
     far = opener(known.select("rep", F.col("own").alias("block"), "known"), met, False)
     components = common.materialize(connected_components(begun.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "components")
     nodes = common.materialize(distinct.join(components, distinct["rep"] == components["node"], "left").select("key", F.coalesce("component", "rep").alias("component")), "nodes")

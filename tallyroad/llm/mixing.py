@@ -62,12 +62,15 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
         return out, weight
 
     drift = float("inf")
-    for _ in range(rounds):
+    for done in range(rounds):
+        moved_once = done > 0  # the cells are read against the first factors
         for m in targets:
             rows, weight = weighed([o for o in targets if o != m])
             sums = rows.groupBy(m).agg(F.sum(weight).alias("sum"))
             moved = F.abs(F.col(f"factor_{m}") * F.col("sum") / F.col("target") - 1).alias("drift")
-            factors[m] = common.materialize(factors[m].join(sums, m).select(m, "target", (F.col("target") / F.col("sum")).alias(f"factor_{m}"), moved), f"factors-{m}")
+            old, factors[m] = factors[m], common.materialize(factors[m].join(sums, m).select(m, "target", (F.col("target") / F.col("sum")).alias(f"factor_{m}"), moved), f"factors-{m}")
+            if moved_once:
+                common.discard(old)
         drift = max(r["drift"] or 0.0 for r in reduce(DataFrame.unionAll, [factors[m].agg(F.max("drift").alias("drift")) for m in targets]).collect())  # three rows
         if drift <= tolerance:
             break
