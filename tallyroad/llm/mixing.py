@@ -2,17 +2,14 @@
 
 Documents are pre-aggregated to token counts of (source, language, topic) cells. The cells'
 weights are raked: scaled in turn so that the sums by source, by language and by topic meet
-their targets. A cell's weight is its tokens times a factor for each of its three values, so
-a step sums the cells by one margin, with map-side combination, and writes that margin's
-factors; cells are never brought together. A cell's raked share against its token share gives the sampling probability
+their targets. A step sums the cells by one margin, with map-side combination, and joins the
+sums back, so cells are never brought together; each round is written. A cell's raked share against its token share gives the sampling probability
 of its documents, scaled so that the fullest cell is kept whole, and a document stays where
 a uniform number made from its id lies below that.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +17,8 @@ from tallyroad.llm import common
 
 #: Most rounds, and the relative distance of every margin to its target at which they end before.
 ROUNDS, TOLERANCE = 12, 1e-10
+#: Rounds after which the distance is looked at.
+ROUNDS_A_CHECK = 4
 #: Exponent of the token share in the targets: 1 keeps the mixture, 0 gives every value the same weight.
 EVENNESS = 0.85
 #: Digits of probabilities, so that sums of different order agree.
@@ -51,31 +50,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
 
     ``targets[margin]`` has (margin, target), target shares that sum to 1; cells with a value that has none are left out.
     """
-    factors = {m: common.materialize(t.select(m, "target", F.lit(1.0).alias(f"factor_{m}")), f"factors-{m}") for m, t in targets.items()}
-    for m in targets:
-        cells = cells.join(factors[m].select(m), m, "left_semi")
-
-    def weighed(margins: list[str]) -> tuple[DataFrame, Column]:
-        out, weight = cells, F.col("tokens").cast("double")
-        for m in margins:
-            out, weight = out.join(factors[m].select(m, f"factor_{m}"), m), weight * F.col(f"factor_{m}")
-        return out, weight
-
+    for m, target in targets.items():
+        cells = cells.join(target.select(m, F.col("target").alias(f"target_{m}")), m)
+    names = cells.columns
+    cells = common.materialize(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
     drift = float("inf")
     for done in range(rounds):
-        moved_once = done > 0  # the cells are read against the first factors
+        before = cells
         for m in targets:
-            rows, weight = weighed([o for o in targets if o != m])
-            sums = rows.groupBy(m).agg(F.sum(weight).alias("sum"))
-            moved = F.abs(F.col(f"factor_{m}") * F.col("sum") / F.col("target") - 1).alias("drift")
-            old, factors[m] = factors[m], common.materialize(factors[m].join(sums, m).select(m, "target", (F.col("target") / F.col("sum")).alias(f"factor_{m}"), moved), f"factors-{m}")
-            if moved_once:
-                common.discard(old)
-        drift = max(r["drift"] or 0.0 for r in reduce(DataFrame.unionAll, [factors[m].agg(F.max("drift").alias("drift")) for m in targets]).collect())  # three rows
-        if drift <= tolerance:
-            break
-    rows, weight = weighed(list(targets))
-    return rows.withColumn("weight", weight).drop(*[f"factor_{m}" for m in targets]), drift
+            sums = cells.groupBy(m).agg(F.sum("weight").alias("sum"))
+            factor = F.col(f"target_{m}") / F.col("sum")
+            cells = cells.join(sums, m).withColumn(f"drift_{m}", F.abs(1 / factor - 1)).withColumn("weight", F.col("weight") * factor).drop("sum")
+        cells = common.materialize(cells.select(*names, "weight", F.greatest(*[F.col(f"drift_{m}") for m in targets]).alias("drift")), "cells")
+        common.discard(before)
+        if (done + 1) % ROUNDS_A_CHECK == 0 or done + 1 == rounds:
+            drift = float(cells.agg(F.max("drift")).first()[0] or 0.0)
+            if drift <= tolerance:
+                break
+    return cells.drop("drift", *[f"target_{m}" for m in targets]), drift
 
 
 def even_targets(cells: DataFrame, margin: str, evenness: float = EVENNESS) -> DataFrame:
