@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroad.functions.scalars import trimmed_mean
-from tallyroad.operators.estimation import CLUSTERS, LEAST, complete, rate_of, trims
+from tallyroad.operators.estimation import CLUSTERS, LEAST, TRIMS, complete, rate_of
 from tallyroad.sources.scratch import materialize
 
 DRAWS = 3000
@@ -19,26 +22,53 @@ DRAWS_A_COPY = 100
 PRIME, STEP_DRAW, STEP_SLOT, STEP_MIX = 2147483647, 16807, 69621, 39373
 
 
-def draw_base(frame: Column, draw: Column) -> Column:
-    """Number of a (frame, draw) that the slots' indexes are made from."""
-    x = (frame.cast("bigint") % PRIME * 48271 + draw.cast("bigint") * STEP_DRAW + 1) % PRIME
-    return (x * x + 5) % PRIME
+def draw_indexes(frame: int, draws: np.ndarray, n: int) -> np.ndarray:
+    """(draws, n) indexes in 0..n-1 made from the numbers of the frame, the draw and the slot."""
+    x = (frame % PRIME * 48271 + draws.astype(np.int64) * STEP_DRAW + 1) % PRIME
+    base = (x * x + 5) % PRIME
+    x = (base[:, None] + np.arange(n, dtype=np.int64) * STEP_SLOT) % PRIME
+    x = ((x * x + 7) % PRIME * STEP_MIX + 11) % PRIME
+    return np.floor((x * x + 13) % PRIME * n / PRIME).astype(np.int64)
+
 
+def trimmed_means(samples: np.ndarray, trim: float, least: int = LEAST) -> np.ndarray:
+    """Trimmed mean of each row: under ``least`` values their median, 0 for none; else the mean between the linear quantiles ``trim`` and 1 - ``trim``, both included."""
+    s = np.sort(samples, axis=1)
+    n = s.shape[1]
+    if n == 0:
+        return np.zeros(len(s))
 
-def draw_index(base: Column, slot: Column, n: Column) -> Column:
-    """Index in 0..n-1 of a slot of a draw."""
-    x = (base + slot.cast("bigint") * STEP_SLOT) % PRIME
-    mixed = lambda v: (v * STEP_MIX + 11) % PRIME
-    x = mixed((x * x + 7) % PRIME)
-    return F.floor((x * x + 13) % PRIME * n / F.lit(PRIME)).cast("int")
+    def quantile(p: float) -> np.ndarray:
+        at = p * (n - 1)
+        low = int(np.floor(at))
+        return s[:, low] + (s[:, min(low + 1, n - 1)] - s[:, low]) * (at - low)
+
+    if n < least:
+        return quantile(0.5)
+    inside = (s >= quantile(trim)[:, None]) & (s <= quantile(1 - trim)[:, None])
+    return np.where(inside, s, 0.0).sum(axis=1) / np.maximum(inside.sum(axis=1), 1)
 
 
 def _spread(frames: DataFrame, draws: int, keys: list[str]) -> DataFrame:
-    """Frames with a row for each draw: a copy of a frame travels once for DRAWS_A_COPY draws, which are made where it arrives."""
-    copies = F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // DRAWS_A_COPY)))
-    dealt = frames.withColumn("copy", copies).repartition(*keys, "copy")
-    own = F.sequence(F.col("copy") * DRAWS_A_COPY, F.least((F.col("copy") + 1) * DRAWS_A_COPY, F.lit(draws)) - 1)
-    return dealt.withColumn("draw", F.explode(own)).drop("copy")
+    """Frames with a row for each DRAWS_A_COPY draws (``copy``), dealt out: a copy of a frame travels once for all of them."""
+    return frames.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // DRAWS_A_COPY)))).repartition(*keys, "copy")
+
+
+def _resampled(arrays: list[str], draws: int):
+    """Rows of (frame, cluster, copy, arrays) -> (number, draw, a trimmed mean for each array) under the same resampled slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers, frames, clusters, copies = (batch.column(c).to_pylist() for c in ("number", "frame", "cluster", "copy"))
+            for k in range(batch.num_rows):
+                own = np.arange(copies[k] * DRAWS_A_COPY, min((copies[k] + 1) * DRAWS_A_COPY, draws))
+                values = [np.array(batch.column(a)[k].as_py(), float) for a in arrays]
+                trim = TRIMS.get(clusters[k])
+                at = draw_indexes(frames[k], own, len(values[0]))
+                means = [pa.array(trimmed_means(v[at], trim)) if trim is not None else pa.nulls(len(own), pa.float64()) for v in values]
+                yield pa.RecordBatch.from_arrays([pa.array([numbers[k]] * len(own), pa.int64()), pa.array(own, pa.int32()), *means], names=["number", "draw", *[f"mean_{a}" for a in arrays]])
+
+    return run
 
 
 def rate_arrays(observed: DataFrame, km: str = "km_obs", instrumented: bool = True) -> DataFrame:
@@ -56,13 +86,12 @@ def rate_arrays(observed: DataFrame, km: str = "km_obs", instrumented: bool = Tr
 def bootstrap_national(observed: DataFrame, draws: int = DRAWS, km: str = "km_obs", instrumented: bool = True) -> DataFrame:
     """(year, draw, km_ext): rates resampled within each cluster, observed distance fixed, clusters summed.
 
-    A (year, cluster) frame is one row with at most one rate a zone; draws are rows of their own and spread.
+    A (year, cluster) frame is one row with at most one rate a zone; DRAWS_A_COPY draws are made together where a copy of it arrives.
     """
-    drawn = _spread(rate_arrays(observed, km, instrumented), draws, ["year", "cluster"]).withColumn("base", draw_base(F.col("year") * 10 + F.col("cluster"), F.col("draw")))
-    n = F.size("rates")
-    sample = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.get(F.col("rates"), draw_index(F.col("base"), j, n)))).otherwise(F.col("rates"))
-    value = F.col("km_obs") + trimmed_mean(sample, trims()) * F.greatest(F.col("l_total") - F.col("l_obs"), F.lit(0.0))
-    return drawn.select("year", "draw", value.alias("km")).groupBy("year", "draw").agg(F.sum("km").alias("km_ext"))
+    frames = materialize(rate_arrays(observed, km, instrumented).withColumn("frame", F.col("year").cast("bigint") * 10 + F.col("cluster")).withColumn("number", F.col("frame")), "frames")
+    means = _spread(frames.select("number", "frame", "year", "cluster", "rates"), draws, ["year", "cluster"]).select("number", "frame", "cluster", "copy", "rates").mapInArrow(_resampled(["rates"], draws), "number long, draw int, mean_rates double")
+    value = F.col("km_obs") + F.col("mean_rates") * F.greatest(F.col("l_total") - F.col("l_obs"), F.lit(0.0))
+    return means.join(frames.drop("rates", "frame"), "number").select("year", "draw", value.alias("km")).groupBy("year", "draw").agg(F.sum("km").alias("km_ext"))
 
 
 def interval(draws: DataFrame, value: str = "km_ext", keys: tuple[str, ...] = ("year",)) -> DataFrame:
@@ -95,12 +124,11 @@ def paired_frames(observed: DataFrame, years: tuple[int, ...]) -> DataFrame:
 def growth_draws(observed: DataFrame, years: tuple[int, ...], draws: int = DRAWS) -> DataFrame:
     """(transition, cluster, draw): both years' extrapolated distance under the same resampled zones."""
     frame = (F.col("year_ref").cast("bigint") * 10_000 + F.col("year_cmp")) * 10 + F.col("cluster")
-    drawn = _spread(paired_frames(observed, years), draws, ["transition", "cluster"]).withColumn("base", draw_base(frame, F.col("draw")))
-    n = F.size("pairs")
-    picked = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.get(F.col("pairs"), draw_index(F.col("base"), j, n)))).otherwise(F.col("pairs"))
-    drawn = drawn.withColumn("picked", picked)
-    rate = lambda s: trimmed_mean(F.transform("picked", lambda p: p[f"rate_{s}"]), trims())
-    return drawn.select("transition", "cluster", "draw", *[(F.col(f"km_{s}") + rate(s) * F.col(f"gap_{s}")).alias(f"ext_{s}") for s in ("ref", "cmp")])
+    side = lambda s: F.transform("pairs", lambda p: p[f"rate_{s}"]).alias(s)
+    frames = materialize(paired_frames(observed, years).withColumn("frame", frame).select("*", F.xxhash64("transition", "cluster").alias("number"), side("ref"), side("cmp")).drop("pairs"), "paired")
+    means = _spread(frames.select("number", "frame", "transition", "cluster", "ref", "cmp"), draws, ["transition", "cluster"]).select("number", "frame", "cluster", "copy", "ref", "cmp").mapInArrow(_resampled(["ref", "cmp"], draws), "number long, draw int, mean_ref double, mean_cmp double")
+    joined = means.join(frames.drop("ref", "cmp", "frame"), "number")
+    return joined.select("transition", "cluster", "draw", *[(F.col(f"km_{s}") + F.col(f"mean_{s}") * F.col(f"gap_{s}")).alias(f"ext_{s}") for s in ("ref", "cmp")])
 
 
 def growth_test(observed: DataFrame, years: tuple[int, ...], draws: int = DRAWS, by_cluster: bool = False) -> DataFrame:

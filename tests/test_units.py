@@ -91,11 +91,22 @@ def test_bootstrap_ships_no_frame_for_each_draw(spark):
     draws = robustness.bootstrap_national(observed, 1000)
     plan = draws._jdf.queryExecution().optimizedPlan().toString()
     # read from the top: draws are made behind the shuffle of the copies
-    assert plan.index("explode(sequence((copy") < plan.index("RepartitionByExpression") < plan.index("explode(org")
-    assert draws.count() == 1000
-    index = spark.range(2000).select(F.explode(F.sequence(F.lit(0), F.lit(39))).alias("j"), "id").select(robustness.draw_index(robustness.draw_base(F.lit(20201), F.col("id")), F.col("j"), F.lit(40)).alias("k"))
-    counts = [r["count"] for r in index.groupBy("k").count().collect()]
-    assert len(counts) == 40 and 1800 < min(counts) and max(counts) < 2200
+    assert plan.index("MapInArrow") < plan.index("RepartitionByExpression") < plan.index("explode(")
+    assert draws.count() == 1000 and draws.select("draw").distinct().count() == 1000
+    counts = np.bincount(robustness.draw_indexes(20201, np.arange(2000), 40).ravel(), minlength=40)
+    assert len(counts) == 40 and 1800 < counts.min() and counts.max() < 2200
+
+
+def test_trimmed_means_of_rows():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 4, 5, 30):
+        rows = rng.random((6, n)).round(1)
+        for trim in (0.0, 0.34, 0.48):
+            want = []
+            for v in rows:
+                kept = v[(v >= np.quantile(v, trim) - 1e-12) & (v <= np.quantile(v, 1 - trim) + 1e-12)] if n >= 5 else v
+                want.append(0.0 if n == 0 else np.median(v) if n < 5 else kept.mean())
+            assert robustness.trimmed_means(rows, trim) == pytest.approx(want)
 
 
 def test_golden_identities():
