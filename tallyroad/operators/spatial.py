@@ -6,7 +6,7 @@ a point or segment joins on its own cells, so no join compares all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import product
 from math import radians
 
@@ -58,12 +58,38 @@ def polygon_or_nearest(points: DataFrame, polygons: DataFrame, centres: DataFram
 
 #: Children of a cell along an axis, most cells of the coarsest level, and most cells that are broadcast (their number is counted first).
 FANOUT, TOP_CELLS, BROADCAST_CELLS = 4, 64, 10_000
+#: Entries that share a cell on average when cells are narrow enough, most entries a site for that, and how often cells are halved at most.
+CROWD, SPREAD, HALVINGS = 4, 16, 16
 
 
 def _cell_at(axes: list[str], prefix: str, size: float) -> Column:
     return F.struct(*[F.floor(F.col(prefix + a) / size).cast("long").alias(a) for a in axes])
 
 
+def _fitted(sites: DataFrame, cells: Callable[[float], Column], size: float) -> float:
+    """``size``, halved until an entry shares its cell with CROWD entries on average (itself included), as long as sites have no more than SPREAD cells each.
+
+    ``cells`` gives a site's cells of a size as an array. No result depends on the size of cells, only the pairs that are looked at.
+    """
+    n, fits = sites.count(), size
+    for _ in range(HALVINGS + 1):
+        held = sites.select(F.explode(cells(size)).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        entries, met = held.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+        if not entries or entries > SPREAD * n:
+            break
+        fits, size = size, size / 2
+        if met <= CROWD * entries:
+            break
+    return fits
+
+
+def _by_place(points: DataFrame, axes: list[str], search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``search`` finds for each place, by ``id``, for every point there: points of one place are searched once."""
+    place = F.struct(*axes)
+    places = materialize(points.select(*axes).distinct().select(place.alias("id"), *axes), "places")
+    return points.select("id", place.alias("place")).join(search(places).withColumnRenamed("id", "place"), "place").drop("place")
+
+
 def _closest(points: DataFrame, placed: DataFrame, axes: list[str], size: float, distance: Column, straight: Column, slack: float) -> DataFrame:
     """(id, site, distance): site of least (distance, site) for each point; ``distance`` must fall as ``straight``, the one between the axes, falls.
 
@@ -77,7 +103,7 @@ def _closest(points: DataFrame, placed: DataFrame, axes: list[str], size: float,
     own = _cell_at(axes, "", size)
     ring = F.array(*[F.struct(*[(own[a] + d).alias(a) for a, d in zip(axes, moves, strict=True)]) for moves in product((-1, 0, 1), repeat=len(axes))])
     best = points.withColumn("cell", F.explode(ring)).join(placed, "cell").groupBy("id").agg(pick)
-    done = materialize(best.where(F.col("best.gap") <= size).select("id", "best.site", "best.distance"), "near")
+    done = materialize(best.where(F.col("best.gap") + slack <= size).select("id", "best.site", "best.distance"), "near")
     left = materialize(points.join(done.select("id"), "id", "left_anti"), "far-points")
     if left.isEmpty():
         return done
@@ -91,18 +117,23 @@ def _closest(points: DataFrame, placed: DataFrame, axes: list[str], size: float,
     if not counts[0]:
         return done
     # at most TOP_CELLS rows
-    top = [F.struct(*[F.lit(r["cell"][a]).cast("long").alias(a) for a in axes], *[F.lit(float(r["rep"][a])).alias(f"r{a}") for a in axes]) for r in levels[-1].collect()]
-    found = left.withColumn("c", F.explode(F.array(*top))).select("id", *axes, F.struct(*[F.col("c")[a].alias(a) for a in axes]).alias("cell"), F.struct(*[F.col("c")[f"r{a}"].alias(a) for a in axes]).alias("rep"))
-    for level in range(len(levels) - 1, -1, -1):
+    top = F.array(*[F.struct(*[F.lit(r["cell"][a]).cast("long").alias(a) for a in axes], *[F.lit(float(r["rep"][a])).alias(f"r{a}") for a in axes]) for r in levels[-1].collect()])
+
+    def box(cell: Column, level: int) -> Column:
         width = size * FANOUT**level
-        beyond = lambda a, w=width: F.greatest(F.col("cell")[a] * w - F.col(a), F.col(a) - (F.col("cell")[a] + 1) * w, F.lit(0.0))
-        box = F.sqrt(sum((F.pow(beyond(a), 2) for a in axes), F.lit(0.0)))
+        beyond = [F.greatest(cell[a] * width - F.col(a), F.col(a) - (cell[a] + 1) * width, F.lit(0.0)) for a in axes]
+        return F.sqrt(sum((F.pow(v, 2) for v in beyond), F.lit(0.0)))
+
+    # the coarsest cells are left out within each row
+    found = left.withColumn("known", F.array_min(F.transform(top, lambda c: gap(lambda a: c[f"r{a}"]))))
+    found = found.withColumn("cell", F.explode(F.filter(top, lambda c: box(c, len(levels) - 1) <= F.col("known") + slack)))
+    kept = materialize(found.select("id", *axes, F.struct(*[F.col("cell")[a].alias(a) for a in axes]).alias("cell")), "far-cells")
+    for level in range(len(levels) - 2, -1, -1):
+        below = levels[level].select(F.struct(*[F.floor(F.col("cell")[a] / FANOUT).cast("long").alias(a) for a in axes]).alias("parent"), F.col("cell").alias("child"), "rep")
+        below = F.broadcast(below) if counts[level] <= BROADCAST_CELLS else below
+        found = kept.join(below, kept["cell"] == below["parent"]).select("id", *axes, F.col("child").alias("cell"), "rep")
         known = F.min(gap(lambda a: F.col("rep")[a])).over(Window.partitionBy("id"))
-        kept = materialize(found.withColumn("box", box).withColumn("known", known).where(F.col("box") <= F.col("known") + slack).select("id", *axes, "cell"), "far-cells")
-        if level:
-            below = levels[level - 1].select(F.struct(*[F.floor(F.col("cell")[a] / FANOUT).cast("long").alias(a) for a in axes]).alias("parent"), F.col("cell").alias("child"), "rep")
-            below = F.broadcast(below) if counts[level - 1] <= BROADCAST_CELLS else below
-            found = kept.join(below, kept["cell"] == below["parent"]).select("id", *axes, F.col("child").alias("cell"), "rep")
+        kept = materialize(found.withColumn("box", box(F.col("cell"), level)).withColumn("known", known).where(F.col("box") <= F.col("known") + slack).select("id", *axes, "cell"), "far-cells")
     far = kept.join(placed, "cell").groupBy("id").agg(pick).select("id", "best.site", "best.distance")
     return done.unionByName(far)
 
@@ -110,9 +141,16 @@ def _closest(points: DataFrame, placed: DataFrame, axes: list[str], size: float,
 def nearest(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
     """(id, polygon, distance): nearest site of each point, the smaller id of equals. ``points``: id, x, y; ``sites``: polygon, x, y. Without sites there are no rows."""
     distance = F.sqrt(F.pow(F.col("x") - F.col("sx"), 2) + F.pow(F.col("y") - F.col("sy"), 2))
-    placed = sites.select(F.col("polygon").alias("site"), F.col("x").alias("sx"), F.col("y").alias("sy")).withColumn("cell", _cell_at(["x", "y"], "s", size))
-    found = _closest(points.select("id", "x", "y"), placed, ["x", "y"], size, distance, distance, 1e-9 * size)
-    return found.select("id", F.col("site").alias("polygon"), "distance")
+    alone = materialize(sites.groupBy(F.col("x").alias("sx"), F.col("y").alias("sy")).agg(F.min("polygon").alias("site")), "sites")
+    width = _fitted(alone, lambda w: F.array(_cell_at(["x", "y"], "s", w)), size)
+    placed = alone.withColumn("cell", _cell_at(["x", "y"], "s", width))
+    found = _by_place(points, ["x", "y"], lambda places: _closest(places, placed, ["x", "y"], width, distance, distance, 1e-9 * size))
+    return _least_of(found).select("id", F.col("site").alias("polygon"), "distance")
+
+
+def _least_of(found: DataFrame) -> DataFrame:
+    """One row for each id, should it stand at several places."""
+    return found.groupBy("id").agg(F.min(F.struct("distance", "site")).alias("best")).select("id", "best.site", "best.distance")
 
 
 def nearest_on_sphere(points: DataFrame, sites: DataFrame, degrees: float = 2.0) -> DataFrame:
@@ -130,10 +168,11 @@ def nearest_on_sphere(points: DataFrame, sites: DataFrame, degrees: float = 2.0)
     # straight distances are good to about 1e-16, which the rounding to a micrometre may turn into an equal one
     straight = F.sqrt(sum((F.pow(F.col(a) - F.col(f"s{a}"), 2) for a in axes), F.lit(0.0)))
     metres = F.round(2 * EARTH_M * F.asin(F.least(straight / 2, F.lit(1.0))), 6)
-    width = radians(degrees)
-    placed = vectors(sites.select("site", "slat", "slon"), "slat", "slon", "s").withColumn("cell", _cell_at(axes, "s", width))
-    found = _closest(vectors(points.select("id", "lat", "lon"), "lat", "lon", "").select("id", *axes), placed, axes, width, metres, straight, 1e-11)
-    return found.select("id", "site", F.col("distance").alias("metres"))
+    alone = materialize(vectors(sites.groupBy("slat", "slon").agg(F.min("site").alias("site")), "slat", "slon", "s"), "sites")
+    width = _fitted(alone, lambda w: F.array(_cell_at(axes, "s", w)), radians(degrees))
+    placed = alone.withColumn("cell", _cell_at(axes, "s", width))
+    search = lambda places: _closest(vectors(places, "lat", "lon", "").select("id", *axes), placed, axes, width, metres, straight, 1e-11)
+    return _least_of(_by_place(points, ["lat", "lon"], search)).select("id", "site", F.col("distance").alias("metres"))
 
 
 def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:

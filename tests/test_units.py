@@ -196,6 +196,23 @@ def test_nearest_of_far_clusters(spark, monkeypatch):
     assert max(n for label, n in pairs if label == "far-cells") < 60 * 64
 
 
+def searched(monkeypatch):
+    """Rows of points, and most entries of a cell, of every search from now on."""
+    seen, plain = [], spatial._closest
+    monkeypatch.setattr(spatial, "_closest", lambda points, placed, *more: seen.append((points.count(), placed.groupBy("cell").count().agg(F.max("count")).first()[0])) or plain(points, placed, *more))
+    return seen
+
+
+def test_places_are_searched_once(spark, monkeypatch):
+    """Points and sites of one place meet once, and sites that crowd a cell get narrower ones; every point is answered."""
+    seen = searched(monkeypatch)
+    points = spark.range(600).selectExpr("id", "45.0 + id % 6 / 10.0 as lat", "2.0D as lon")
+    sites = spark.range(900).selectExpr("id + 7 as site", "45.01 + id % 300 / 200.0 as slat", "2.0D as slon")
+    got = {r["id"]: r["site"] for r in spatial.nearest_on_sphere(points.withColumn("lat", F.col("lat").cast("double")), sites.withColumn("slat", F.col("slat").cast("double"))).collect()}
+    assert got == {i: 7 + int(np.abs(45.01 + np.arange(300) / 200 - 45 - i % 6 / 10).argmin()) for i in range(600)}
+    assert seen[0][0] == 6 and seen[0][1] <= 2 * spatial.CROWD
+
+
 def test_nearest_on_sphere_everywhere(spark):
     rng = np.random.default_rng(8)
     p, s = (np.stack([np.degrees(np.arcsin(rng.uniform(-1, 1, n))), rng.uniform(-180, 180, n)], axis=1) for n in (50, 30))
