@@ -320,20 +320,25 @@ def line_distances(points: DataFrame, segments: DataFrame, kinds: list[str], rea
     sites are, with their first end as the point that is known of them.
     """
     box = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
-    width = reach or size
-    out = points.select("id")
-    for kind in kinds:
-        lines = segments.where(F.col("kind") == kind).withColumn("box", box)
-        cell = F.transform(cells_of("box", width), lambda c: F.struct(c["i"].cast("long").alias("x"), c["j"].cast("long").alias("y")))
-        placed = lines.select(F.xxhash64("ax", "ay", "bx", "by").alias("site"), F.col("ax").alias("sx"), F.col("ay").alias("sy"), "ax", "ay", "bx", "by", F.explode(cell).alias("cell"))
-        d = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
-        if reach is None:
-            found = _closest(points.select("id", "x", "y"), placed, ["x", "y"], width, d, d, 1e-9 * width).select("id", F.col("distance").alias(f"dist_{kind}"))
-        else:
-            ring = F.array(*[F.struct((F.floor(F.col("x") / width) + i).alias("x"), (F.floor(F.col("y") / width) + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-            found = points.select("id", "x", "y", F.explode(ring).alias("cell")).join(placed, "cell").groupBy("id").agg(F.min(d).alias(f"dist_{kind}")).where(F.col(f"dist_{kind}") <= reach)
-        out = out.join(found, "id", "left")
-    return out.select("id", *[f"dist_{k}" for k in kinds])
+    d = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
+
+    def search(places: DataFrame) -> DataFrame:
+        out = places.select("id")
+        for kind in kinds:
+            lines = segments.where(F.col("kind") == kind).select("ax", "ay", "bx", "by").distinct()
+            lines = materialize(lines.select(F.xxhash64("ax", "ay", "bx", "by").alias("site"), F.col("ax").alias("sx"), F.col("ay").alias("sy"), "ax", "ay", "bx", "by").withColumn("box", box), "lines")
+            cells = lambda w: F.transform(cells_of("box", w), lambda c: F.struct(c["i"].cast("long").alias("x"), c["j"].cast("long").alias("y")))
+            width = reach or _fitted(lines, cells, size)
+            placed = lines.withColumn("cell", F.explode(cells(width))).drop("box")
+            if reach is None:
+                found = _closest(places, placed, ["x", "y"], width, d, d, 1e-9 * size).select("id", F.col("distance").alias(f"dist_{kind}"))
+            else:
+                ring = F.array(*[F.struct((F.floor(F.col("x") / width) + i).alias("x"), (F.floor(F.col("y") / width) + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+                found = places.withColumn("cell", F.explode(ring)).join(placed, "cell").groupBy("id").agg(F.min(d).alias(f"dist_{kind}")).where(F.col(f"dist_{kind}") <= reach)
+            out = out.join(found, "id", "left")
+        return out
+
+    return _by_place(points, ["x", "y"], search).select("id", *[f"dist_{k}" for k in kinds])
 
 
 def sample_cells(points: DataFrame, grid: DataFrame, size: float, nodata: float = -9999.0) -> DataFrame:

@@ -548,6 +548,16 @@ def test_water_distances_without_limit(spark):
         assert r["dist_lake"] is None
 
 
+def test_water_places_are_searched_once(spark, monkeypatch):
+    """Points of one place and equal lines meet once; every row is answered, one without an id too."""
+    seen = searched(monkeypatch)
+    points = spark.createDataFrame([(i if i else None, float(i % 5), 3.0) for i in range(300)], "id long, x double, y double")
+    segments = spark.createDataFrame([("river", float(i % 4), 0.0, float(i % 4), 1.0) for i in range(200)], "kind string, ax double, ay double, bx double, by double")
+    got = sorted((r["id"] or 0, r["dist_river"]) for r in spatial.line_distances(points, segments, ["river"], size=50.0).collect())
+    assert got == [(i, 2.0 if i % 5 < 4 else 5.0**0.5) for i in range(300)]
+    assert seen == [(5, seen[0][1])] and seen[0][1] <= 4
+
+
 def test_isolated_centres(spark):
     candidates = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 0.0), (3, 500.0, 0.0)], "id long, x double, y double")
     bases = spark.createDataFrame([(9, 40.0, 0.0)], "polygon long, x double, y double")
