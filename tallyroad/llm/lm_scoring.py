@@ -40,7 +40,7 @@ from tallyroad.llm import common
 #: Discount and strength of the context restaurants and of the root.
 D1, S1, D0, S0 = 0.8, 1.0, 0.8, 50.0
 #: Rounds that end with a new root, sweeps of a round that are not used and that are, and tables of Stirling numbers.
-ROUNDS, BURN, SAMPLES, EXACT = 1, 1, 2, 512
+ROUNDS, BURN, SAMPLES, EXACT = 2, 4, 8, 512
 #: Bytes of texts in a chunk.
 CHUNK = 5 << 20
 FOLDS, ADD = 10, 0.1
@@ -140,12 +140,19 @@ def _seat_many(n: int, a: float, u: float, seed: int) -> int:
     t = np.arange(1, EXACT + 1)
     y, m = EXACT - D1 * t, n - EXACT
     low, high = np.full(EXACT, -60.0), np.full(EXACT, -1e-12)  # logarithm of z = 1 - x
-    for _ in range(60):
-        mid = (low + high) / 2
+    mid = np.clip(np.log(y) - np.log(m + y), low, high)
+    for _ in range(60):  # Newton's steps on logarithms, halves where they leave the bounds
         z = np.exp(mid)
-        more = -np.expm1(mid) * (y / z + a * z ** (D1 - 1)) > m
-        low, high = np.where(more, mid, low), np.where(more, high, mid)
-    z = np.exp((low + high) / 2)
+        first, second = y / z, a * z ** (D1 - 1)
+        over = np.log(-np.expm1(mid) * (first + second)) - np.log(m)
+        low, high = np.where(over > 0, mid, low), np.where(over > 0, high, mid)
+        step = mid + over / (z / (1 - z) + (first + (1 - D1) * second) / (first + second))
+        step = np.where((step > low) & (step < high), step, (low + high) / 2)
+        done = np.abs(step - mid).max() < 1e-8  # the weights below don't change in first order
+        mid = step
+        if done:
+            break
+    z = np.exp(mid)
     x = 1 - z
     others = a / D1 * (1 - z**D1)
     bend = m + x**2 * (y / z**2 + a * (1 - D1) * z ** (D1 - 2))
@@ -184,26 +191,32 @@ class Restaurants:
         self.key = _mixed(context_key[context], word_key[word])
         self.customers = np.bincount(context, count, len(context_key)).astype(np.int64)
         self.tables = (count > 0).astype(np.int64)
-        self.some = np.flatnonzero(count > 1)  # a lone customer has one table
+        # a lone customer has one table, so sweeps need the other pairs and their contexts only
+        self.some = np.flatnonzero(count > 1)
+        self.some_contexts, self.some_context = np.unique(context[self.some], return_inverse=True)
+        self.lone = np.bincount(context[count == 1], minlength=len(context_key)).astype(np.int64)
 
     def totals(self) -> np.ndarray:
         """Tables of each restaurant."""
-        return np.bincount(self.context, self.tables, len(self.context_key)).astype(np.int64)
+        out = self.lone.copy()
+        out[self.some_contexts] += np.bincount(self.some_context, self.tables[self.some], len(self.some_contexts)).astype(np.int64)
+        return out
 
     def sweep(self, root: np.ndarray, turn: int) -> None:
         """Draw the strengths given the tables, then all tables given the strengths and the root's probability of each word."""
-        strength = gamma(S1 / D1 + self.totals(), _mixed(self.context_key, turn))
-        some = self.some
-        self.tables[some] = seat(self.count[some], D1 * strength[self.context[some]] * root[self.word[some]], _mixed(self.key[some], turn))
+        some, at = self.some, self.some_contexts
+        strength = gamma(S1 / D1 + self.totals()[at], _mixed(self.context_key[at], turn))
+        self.tables[some] = seat(self.count[some], D1 * strength[self.some_context] * root[self.word[some]], _mixed(self.key[some], turn))
 
     def predict(self, root: np.ndarray, turns: range) -> np.ndarray:
         """Probability of each pair's word in its context, the mean of sweeps."""
-        own, all_ = np.zeros(len(self.count)), np.zeros(len(self.context_key))
+        own, all_ = (self.count == 1).astype(np.float64), np.zeros(len(self.context_key))
+        mean = np.zeros(len(self.some))
         for turn in turns:
             self.sweep(root, turn)
-            own += self.tables
+            mean += self.tables[self.some]
             all_ += self.totals()
-        own, all_ = own / len(turns), all_ / len(turns)
+        own[self.some], all_ = mean / len(turns), all_ / len(turns)
         return (self.count - D1 * own + (S1 + D1 * all_[self.context]) * root[self.word]) / (S1 + self.customers[self.context])
 
 
@@ -343,17 +356,20 @@ class _Block:
         r = self.restaurants
         score = np.round(np.log10(r.predict(self.root, turns)) * UNIT).astype(np.int64)
         base = np.round(np.log10((self.count + ADD) / (self.n_train + ADD * (self.n_words + 1))) * UNIT).astype(np.int64)
-        known = (self.count > 0).astype(np.int64)
+        base, known = base[r.word], (self.count > 0)[r.word]
         rows, low = [], 0
         for chunk, (_, _, words, size, doc, _) in zip(self.chunks, self.packets, strict=True):
             pair = self.pair_of[low : low + len(words)]
             low += len(words)
-            docs, of = np.unique(doc, return_inverse=True)
-            order = np.argsort(of, kind="stable")
-            starts = np.searchsorted(of[order], np.arange(len(docs)))
-            token = np.repeat(pair, size)[order]
-            add = lambda x, token=token, starts=starts: np.add.reduceat(x[token], starts)
-            rows.append((chunk, _zip(docs, add(score), add(base[r.word]), _least(add(known[r.word]))), None))
+            held = np.bincount(doc)  # documents are numbered from 0 in a chunk
+            docs, token = np.flatnonzero(held), np.repeat(pair, size)
+            low_bits = (1 << 26) - 1  # two exact sums of halves
+
+            def add(x, doc=doc, docs=docs, token=token, low_bits=low_bits):
+                v = x[token]
+                return (np.bincount(doc, v >> 26)[docs].astype(np.int64) << 26) + np.bincount(doc, v & low_bits)[docs].astype(np.int64)
+
+            rows.append((chunk, _zip(docs, add(score), add(base), _least(np.bincount(doc, known[token])[docs].astype(np.int64))), None))
         rows += [(chunk, None, info) for chunk, info in self.infos]
         names = ["chunk", "packet", "info", "train_tokens"]
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary()), pa.array([self.n_train] * len(rows), pa.int64())], names=names)

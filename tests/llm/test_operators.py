@@ -676,6 +676,17 @@ def test_lm_scores_against_one_block(spark):
     assert {i: s for i, (s, _) in got[0].items()} == pytest.approx(want, abs=1e-5)
 
 
+def test_lm_sampler_has_settled(monkeypatch):
+    """Scores lie close to those of a chain that runs far longer."""
+    texts = documents()
+    got = plain_lm(texts)
+    for k, v in (("ROUNDS", 6), ("BURN", 10), ("SAMPLES", 200)):
+        monkeypatch.setattr(LM, k, v)
+    want = plain_lm(texts)
+    off = [(got[i] - want[i]) / (1 + len(WORDS.findall(t.translate(LOWER)))) for i, t in texts.items()]
+    assert np.abs(off).mean() < 0.001 and abs(np.mean(off)) < 0.0005
+
+
 def test_lm_tokenises_once(spark):
     df = LM.op6_lm_scoring(spark, SF)
     df.collect()
