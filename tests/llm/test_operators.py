@@ -407,6 +407,23 @@ def test_toxicity_held_out_accuracy(spark):
     assert (pos[:, None] > neg[None]).mean() > 0.9
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """No labelled row is left out, however many there are; shards change neither what is learnt nor depend on partitions."""
+    many = spark.range(20_000).selectExpr("id as doc_id", "concat('word', id % 50, if(id % 2 = 1, ' vile', ' calm')) as text", "'en' as lang")
+    labels = many.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    assert T.training_rows(many, labels).count() == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(20_000))
+    rows = planted(900, 11)
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, _, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y, _) in enumerate(rows)], "doc_id long, toxic int")
+    monkeypatch.setattr(T, "SHARD_ROWS", 100)
+    one, two = T.fitted(docs, labels), T.fitted(docs.repartition(3), labels.repartition(5))
+    assert (one.embedding == two.embedding).all() and one.out_bias == two.out_bias and one.thresholds == two.thresholds
+    assert set(one.thresholds) == {"en", "de"}
+    test = planted(300, 12)
+    scores = T.score_texts(one, [t for t, _, _ in test])
+    assert ((scores >= 0.7) == (np.array([y for _, y, _ in test]) == 1)).mean() > 0.97
+
+
 def test_toxicity_awkward(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1), (7, 0, None), (7, 0, 1), (9, 1, 7)], "doc_id long, quality int, toxic int")
     got = T.toxicity_scores(awkward(spark), labels).collect()
